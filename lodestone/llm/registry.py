@@ -3,11 +3,13 @@
 from lodestone.llm.bpe import op10_bpe
 from lodestone.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from lodestone.llm.language_id import op1_language_id
+from lodestone.llm.ngram_join import op2_ngram_join
 from lodestone.llm.packing import op4_packing
 from lodestone.llm.secret_scan import op3_secret_scan
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
     "op7_exact_dedup": op7_exact_dedup,
