@@ -2,6 +2,7 @@
 
 from lodestone.llm.bpe import op10_bpe
 from lodestone.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from lodestone.llm.fingerprint import op5_fingerprint
 from lodestone.llm.language_id import op1_language_id
 from lodestone.llm.ngram_join import op2_ngram_join
 from lodestone.llm.packing import op4_packing
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
+    "op5_fingerprint": op5_fingerprint,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_bpe": op10_bpe,
 }
