@@ -66,7 +66,7 @@ _powers: tuple[np.ndarray, np.ndarray] | None = None
 _BASE = 0x5851F42D4C957F2D
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
     global _powers
     if _powers is None or len(_powers[0]) < n:
@@ -89,7 +89,7 @@ def word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.n
     if len(inside) and inside[0]:
         edges = np.concatenate(([0], edges))
     begin, end = edges[0::2], edges[1::2]
-    up, down = _power_tables(len(codes) + 1)
+    up, down = power_tables(len(codes) + 1)
     sums = np.empty(len(codes) + 1, np.uint64)
     sums[0] = 0
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=sums[1:])

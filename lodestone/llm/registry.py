@@ -6,7 +6,9 @@ from lodestone.llm.fingerprint import op5_fingerprint
 from lodestone.llm.language_id import op1_language_id
 from lodestone.llm.ngram_join import op2_ngram_join
 from lodestone.llm.packing import op4_packing
+from lodestone.llm.quality import op6_quality
 from lodestone.llm.secret_scan import op3_secret_scan
+from lodestone.llm.substring_dedup import op9_substring_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -14,7 +16,9 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_packing": op4_packing,
     "op5_fingerprint": op5_fingerprint,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe": op10_bpe,
 }
 ORACLES = {"op7_exact_dedup": OP7_SQL}
