@@ -4,6 +4,7 @@ from lodestone.llm.bpe import op10_bpe
 from lodestone.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from lodestone.llm.fingerprint import op5_fingerprint
 from lodestone.llm.language_id import op1_language_id
+from lodestone.llm.lm_score import OP8_SQL, op8_lm_score
 from lodestone.llm.ngram_join import op2_ngram_join
 from lodestone.llm.packing import op4_packing
 from lodestone.llm.quality import op6_quality
@@ -18,7 +19,8 @@ QUERIES = {
     "op5_fingerprint": op5_fingerprint,
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_lm_score": op8_lm_score,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe": op10_bpe,
 }
-ORACLES = {"op7_exact_dedup": OP7_SQL}
+ORACLES = {"op7_exact_dedup": OP7_SQL, "op8_lm_score": OP8_SQL}
