@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -99,14 +100,28 @@ def word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, np.diff(upto, prepend=0)
 
 
+#: Rows up to which a table of a few short columns is sent to all executors: some tens of MB.
+SENT_ROWS = 1_000_000
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, read back from the folder that the executors share; cuts the lineage.
 
     The folder is that of spark.checkpoint.dir. Only where that is unset, as in a local
-    session, one below the working directory of the session's warehouse is taken.
+    session, one below the session's warehouse is taken. What led to the rows needs its shuffle
+    files no more; the driver's garbage is collected so that Spark's cleaner can drop them.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(where or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """A checkpointed table, to be broadcast in a join if it has at most ``SENT_ROWS`` rows; a larger one is shuffled."""
+    return F.broadcast(df) if df.limit(SENT_ROWS + 1).count() <= SENT_ROWS else df

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import checkpointed, mixed, text_slices, word_hashes, word_table
+from lodestone.llm.common import checkpointed, mixed, sent_if_small, text_slices, word_hashes, word_table
 from lodestone.llm.components import components
 from lodestone.sources.tables import table
 
@@ -52,6 +52,11 @@ def shingles(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+def key_of(items: np.ndarray) -> bytes:
+    """A 128-bit digest of a set."""
+    return hashlib.blake2b(items.tobytes(), digest_size=16).digest()
+
+
 def minhashes(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
     """A row of MinHash values (unsigned 32-bit) for each set; of an empty set the largest."""
     rng = np.random.default_rng(20240917)
@@ -181,7 +186,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
             keys, sizes, rows = [], [], []
             for _, texts in text_slices(batch.column(1)):
                 sets = shingles(texts, words)
-                keys += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                keys += map(key_of, sets)
                 sizes += map(len, sets)
                 rows += [row.tobytes() for row in minhashes(sets)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())], names=["_id", "_key", "_n", "_sig"])
@@ -189,33 +194,36 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"_id {kind}, _key binary, _n long, _sig binary")
 
 
-def met(candidates: DataFrame, words: int, threshold: float) -> DataFrame:
-    """_key, _links and _root, from rows (_key, _weight, _sig, _at, _text) of the sets that share
-    a bucket with another; _at has their bands' buckets and these buckets' sizes."""
+def places(sets: DataFrame) -> DataFrame:
+    """_key, _first, _weight and _sig of the sets that share a bucket with another; _own: for each
+    band its bucket, or 0; _in: the different buckets and their sizes.
+
+    A bucket is named by the least of its bands' hashes; bands with the same members are one bucket.
+    """
+    width = 4 * HASHES // BANDS
+    hashes = [F.xxhash64(F.lit(k), F.expr(f"substring(_sig, {1 + k * width}, {width})")) for k in range(BANDS)]
+    bands = sets.select("_key", F.posexplode(F.array(*hashes)).alias("_band", "_hash"))
+    buckets = (
+        bands.groupBy("_hash")
+        .agg(F.count(F.lit(1)).alias("_size"), F.bit_xor(F.xxhash64("_key")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "_key")).alias("_y"))
+        .where("_size > 1")
+    )
+    same = buckets.groupBy("_size", "_x", "_y").agg(F.min("_hash").alias("_bucket"))
+    named = buckets.join(same, ["_size", "_x", "_y"]).select("_hash", "_bucket", "_size")
+    own = F.array(*[F.coalesce(F.element_at("_map", F.lit(k)), F.lit(0).cast("long")) for k in range(BANDS)])
+    at = (
+        bands.join(named, "_hash").groupBy("_key")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_band", "_bucket"))).alias("_map"), F.collect_set(F.struct("_bucket", "_size")).alias("_in"))
+        .select("_key", own.alias("_own"), "_in")
+    )
+    return sets.join(at, "_key").select("_key", "_first", "_weight", "_sig", "_own", "_in")
 
-    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_bucket", "_i", "_j", "_part", "_key", "_weight", "_sig", "_own", "_items"]
-        for batch in batches:
-            keys, weights, sigs, places = (batch.column(k).to_pylist() for k in range(4))
-            for first, texts in text_slices(batch.column(4), 1 << 18):
-                out: list[list] = [[] for _ in names]
-                for k, items in enumerate(shingles(texts, words), first):
-                    key, raw = keys[k], items.tobytes()
-                    if hashlib.blake2b(raw, digest_size=16).digest() != key:
-                        continue  # another text under the same id
-                    own = np.zeros(BANDS, np.int64)
-                    for p in places[k]:
-                        own[p["band"]] = p["bucket"]
-                    for bucket, n in {p["bucket"]: p["n"] for p in places[k]}.items():
-                        parts = -(-n // BLOCK)
-                        part = int.from_bytes(key[:8], "little") % parts
-                        for j in range(parts):
-                            row = (bucket, min(part, j), max(part, j), part, key, weights[k], sigs[k], own.tobytes(), raw)
-                            for column, value in zip(out, row, strict=True):
-                                column.append(value)
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
+def met(candidates: DataFrame, words: int, threshold: float) -> DataFrame:
+    """_key, _links and _root of the sets that have links, from rows of ``places`` with their _text.
+
+    A set goes to its buckets; in one of several parts, to all pairs of its part and another.
+    """
     least = least_matches(threshold)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,19 +237,25 @@ def met(candidates: DataFrame, words: int, threshold: float) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(keys), pa.binary()), pa.array(list(links), pa.int64()), pa.array(list(roots), pa.binary())], names=["_key", "_links", "_root"])
 
         for batch in batches:
-            for bucket, i, j, part, key, weight, sig, own, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (bucket, i, j) != at:
-                    if at and len(members) > 1:
-                        found += block_links(members, at[0], at[1:], threshold, least)
-                    at, members = (bucket, i, j), []
-                members.append(Member(key, weight, part, np.frombuffer(sig, np.uint32), np.frombuffer(own, np.int64), np.frombuffer(raw, np.uint64)))
+            for first, texts in text_slices(batch.column(8), 1 << 18):
+                rows = zip(shingles(texts, words), *(c.slice(first, len(texts)).to_pylist() for c in batch.columns[:8]), strict=True)
+                for items, bucket, i, j, part, key, weight, sig, own in rows:
+                    if (bucket, i, j) != at:
+                        if at and len(members) > 1:
+                            found += block_links(members, at[0], at[1:], threshold, least)
+                        at, members = (bucket, i, j), []
+                    if key_of(items) == key:  # else another text under the same id
+                        members.append(Member(key, weight, part, np.frombuffer(sig, np.uint32), np.array(own, np.int64), items))
             yield batch_of()
         if at and len(members) > 1:
             found += block_links(members, at[0], at[1:], threshold, least)
         yield batch_of()
 
-    columns = "_bucket long, _i int, _j int, _part int, _key binary, _weight long, _sig binary, _own binary, _items binary"
-    dealt = candidates.mapInArrow(unfold, columns).repartition("_bucket", "_i", "_j").sortWithinPartitions("_bucket", "_i", "_j")
+    parts = F.ceil(F.col("_size") / BLOCK).cast("int")
+    placed = candidates.select("*", F.inline("_in")).withColumn("_parts", parts).withColumn("_part", F.pmod(F.xxhash64("_key"), F.col("_parts")).cast("int"))
+    paired = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    columns = ["_bucket", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part", "_key", "_weight", "_sig", "_own", "_text"]
+    dealt = paired.select(*columns).repartition("_bucket", "_i", "_j").sortWithinPartitions("_bucket", "_i", "_j")
     return dealt.mapInArrow(meet, "_key binary, _links long, _root binary")
 
 
@@ -260,19 +274,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     base = checkpointed(signed(docs, id_col, text_col, words))
     sets = base.where("_n > 0").groupBy("_key", "_n", "_sig").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_weight"))
-    width = 4 * HASHES // BANDS
-    bands = sets.select("_key", F.posexplode(F.array(*[F.xxhash64(F.lit(k), F.expr(f"substring(_sig, {1 + k * width}, {width})")) for k in range(BANDS)])).alias("_band", "_hash"))
-    buckets = (
-        bands.groupBy("_hash")
-        .agg(F.count(F.lit(1)).alias("_size"), F.bit_xor(F.xxhash64("_key")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "_key")).alias("_y"))
-        .where("_size > 1")
-    )
-    same = buckets.groupBy("_size", "_x", "_y").agg(F.min("_hash").alias("_bucket"))
-    named = buckets.join(same, ["_size", "_x", "_y"]).select("_hash", "_bucket", "_size")
-    places = bands.join(named, "_hash").groupBy("_key").agg(F.collect_list(F.struct(F.col("_band").alias("band"), F.col("_bucket").alias("bucket"), F.col("_size").alias("n"))).alias("_at"))
-    texts = docs.select(F.col(id_col).alias("_own"), F.col(text_col).alias("_text"))
-    candidates = sets.join(places, "_key").join(texts, F.col("_first").eqNullSafe(F.col("_own"))).select("_key", "_weight", "_sig", "_at", "_text")
-    found = checkpointed(met(candidates, words, threshold))
+    candidates = checkpointed(places(sets))
+    texts = docs.select(F.col(id_col).alias("_of"), F.col(text_col).alias("_text"))
+    # first, by ids alone, to the texts that are needed
+    needed = texts.join(sent_if_small(candidates.select("_first")), F.col("_first").eqNullSafe(F.col("_of")), "left_semi")
+    found = checkpointed(met(needed.join(candidates, F.col("_first").eqNullSafe(F.col("_of"))), words, threshold))
     links = found.groupBy("_key").agg(F.sum("_links").alias("_links"))
     roots = components(found.select(F.col("_key").alias("a"), F.col("_root").alias("b")))
     classes = (
@@ -290,5 +296,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def keep_one_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all columns, of one document of each class: that of the smallest id.
+
+    Rows of other classes are all kept. Rows with null ids are kept. Rows that repeat an id count
+    as one document.
+    """
+    found = ngram_join(docs, id_col, text_col).where(F.col(id_col) > F.col("class_id")).select(F.col(id_col).alias("_drop"))
+    return docs.join(sent_if_small(checkpointed(found)), F.col(id_col) == F.col("_drop"), "left_anti")
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
