@@ -73,32 +73,31 @@ class CachedTokenizer:
     def learn(self) -> None:
         """Ask the library for the new words: plain ones in long texts, which it splits again, others alone."""
         new, self.places.new = self.places.new, []
-        known = [[]] * len(new)
-        plain = [k for k, w in enumerate(new) if w[0] == " " and len(w) > 1 and w[1:].isalpha() and is_latin(w)]
+        last = len(self.places)
+        first = last - len(new)
+        for name in ("begin", "count"):
+            if len(old := getattr(self, name)) < last:
+                setattr(self, name, np.concatenate([old, np.zeros(last, old.dtype)]))
+        plain = [k for k, w in enumerate(new) if w[0] == " " and w[1:].isalpha() and is_latin(w)]
+        alone = sorted(set(range(len(new))).difference(plain))
         for a in range(0, len(plain), 1000):
             part = plain[a : a + 1000]
             got = self.tokenizer.encode("".join([new[k] for k in part]), add_special_tokens=False)
-            of_word = np.array(got.word_ids, np.int64)
-            ends = np.cumsum(np.bincount(of_word, minlength=len(part))).tolist()
-            if len(ends) != len(part):
+            sizes = np.bincount(np.array(got.word_ids, np.int64), minlength=len(part))
+            if len(sizes) != len(part):
                 raise ValueError("the tokenizer does not split at spaces")
-            ids, begin = got.ids, 0
-            for k, end in zip(part, ends, strict=True):
-                known[k] = ids[begin:end]
-                begin = end
-        rest = [k for k in range(len(new)) if not known[k]]
-        for k, e in zip(rest, self.tokenizer.encode_batch([new[k] for k in rest], add_special_tokens=False), strict=True):
-            known[k] = e.ids
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        last, total = len(self.places), int(sizes.sum())
-        first = last - len(new)
-        for name, least in (("begin", last), ("count", last), ("flat", self.used + total)):
-            if len(old := getattr(self, name)) < least:
-                setattr(self, name, np.concatenate([old, np.zeros(max(least, 2 * len(old)) - len(old), old.dtype)]))
-        self.count[first:last] = sizes
-        self.begin[first:last] = self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(known), np.uint32, total)
-        self.used += total
+            self.keep(np.array(part) + first, sizes, got.ids)
+        if alone:
+            ids = [e.ids for e in self.tokenizer.encode_batch([new[k] for k in alone], add_special_tokens=False)]
+            self.keep(np.array(alone) + first, np.fromiter(map(len, ids), np.int64, len(ids)), list(chain.from_iterable(ids)))
+
+    def keep(self, places: np.ndarray, sizes: np.ndarray, ids: list[int]) -> None:
+        if len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
+        self.count[places] = sizes
+        self.begin[places] = self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
@@ -188,8 +187,6 @@ def best_two_fit(sizes: list[int], length: int = LENGTH) -> tuple[list[int], lis
                     break
             else:
                 break
-            if total <= sizes[least]:
-                break
             inside.remove(least)
             inside += [take(a), take(total - a)]
             n = sizes[least]
