@@ -178,7 +178,7 @@ def best_two_fit(sizes: list[int], length: int = LENGTH) -> tuple[list[int], lis
         while gap and have:
             least = min(inside, key=sizes.__getitem__)
             room = gap + sizes[least]
-            for total in range(room, sizes[least] + 1, -1):
+            for total in range(room, sizes[least], -1):
                 both = have & (back >> (length - total))
                 if total % 2 == 0 and both >> (total // 2) & 1 and len(stacks[total // 2]) < 2:
                     both &= ~(1 << (total // 2))
