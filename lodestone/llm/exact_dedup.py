@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestone.llm.common import text_slices
 from lodestone.sources.tables import table
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -51,17 +56,39 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def locally(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows without those that an equal text of a smaller id beats in the same batch of a map task."""
+    of_id, of_text = docs.columns.index(id_col), docs.columns.index(text_col)
+    white = re.compile(WHITE_SPACE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best: dict[str, int] = {}
+            ids = batch.column(of_id).to_pylist()
+            for first, texts in text_slices(batch.column(of_text)):
+                for k, text in enumerate(texts, first):
+                    held = best.setdefault(white.sub(" ", text), k)
+                    if ids[k] is not None and (ids[held] is None or ids[k] < ids[held]):
+                        best[white.sub(" ", text)] = k
+            yield batch.take(pa.array(sorted(best.values()), pa.int64()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows that stay: of equal texts the one with the smallest id, with all its columns.
 
-    Works on rows of any columns; a row whose id and text repeat comes out once.
+    The same three stages as ``exact_dedup``, of whole rows, so that none needs to be joined back:
+    within a batch of a map task, within a salt of the digest, over the salts. The normalised
+    text is what decides; it is made anew behind each exchange and doesn't cross it. Null ids come
+    last; of rows that repeat an id and a text, one stays.
     """
-    stay = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_stay"), F.col("text_sha256").alias("_stay_sha"))
-    sha = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITE_SPACE, " "), 256)
-    order = [F.col(c).asc_nulls_first() if kind != "map" and not kind.startswith("map<") else F.col(c).cast("string") for c, kind in docs.dtypes]
-    kept = docs.withColumn("_own_sha", sha).join(stay, F.col(id_col).eqNullSafe(F.col("_stay")) & (F.col("_own_sha") == F.col("_stay_sha")), "left_semi")
-    first = F.row_number().over(Window.partitionBy(id_col, "_own_sha").orderBy(*order))
-    return kept.withColumn("_first", first).where("_first = 1").select(*docs.columns)
+    norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITE_SPACE, " ")
+    rows = locally(docs, id_col, text_col).withColumn("_sha", F.sha2(norm, 256)).withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
+    for keys in (["_sha", "_salt"], ["_sha"]):
+        first = F.row_number().over(Window.partitionBy(*keys, "_norm").orderBy(F.col(id_col).asc_nulls_last(), text_col))
+        rows = rows.repartition(*keys).withColumn("_norm", norm).withColumn("_nth", first).where("_nth = 1").drop("_norm", "_nth")
+    return rows.select(*docs.columns)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

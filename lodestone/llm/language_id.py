@@ -157,6 +157,29 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(score, f"`{id_col}` {kind}, lang_pred string, score double, n_letters long")
 
 
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows, with all columns, whose text has a language of at least that posterior.
+
+    Null and empty texts and texts without a letter go.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stay = [np.zeros(0, bool)]
+            for _, texts in text_slices(batch.column(at)):
+                if sent.value.languages:
+                    own, letters = sent.value.scores(texts)
+                    post = 1 / np.exp(own - own.max(axis=1, keepdims=True)).sum(axis=1)
+                    stay.append((letters > 0) & (post >= least))
+                else:
+                    stay.append(np.array([any(map(str.isalpha, t)) for t in texts], bool))
+            yield batch.filter(pa.array(np.concatenate(stay)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = fold("doc_id", 5) == 0
