@@ -210,15 +210,35 @@ def places(sets: DataFrame) -> DataFrame:
     )
     same = buckets.groupBy("_size", "_x", "_y").agg(F.min("_hash").alias("_bucket"))
     named = buckets.join(same, ["_size", "_x", "_y"]).select("_hash", "_bucket", "_size")
+    placed = merged(checkpointed(bands.join(named, "_hash").select("_key", "_band", "_bucket", "_size")))
     own = F.array(*[F.coalesce(F.element_at("_map", F.lit(k)), F.lit(0).cast("long")) for k in range(BANDS)])
     at = (
-        bands.join(named, "_hash").groupBy("_key")
+        placed.groupBy("_key")
         .agg(F.map_from_entries(F.collect_list(F.struct("_band", "_bucket"))).alias("_map"), F.collect_set(F.struct("_bucket", "_size")).alias("_in"))
         .select("_key", own.alias("_own"), "_in")
     )
     return sets.join(at, "_key").select("_key", "_first", "_weight", "_sig", "_own", "_in")
 
 
+def merged(placed: DataFrame) -> DataFrame:
+    """Rows (_key, _band, _bucket, _size) in which large buckets that overlap by half are one.
+
+    A large group of near copies shares a bucket in each band, every time without those whose
+    values there changed; one bucket for all of them holds each set once instead of once a band.
+    """
+    large = placed.where(F.col("_size") > BLOCK)
+    if not large.limit(1).count():
+        return placed
+    own = large.select("_key", "_bucket", "_size").distinct()
+    other = own.select("_key", F.col("_bucket").alias("_b"), F.col("_size").alias("_s"))
+    overlaps = own.join(other, "_key").where("_bucket < _b").groupBy("_bucket", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min(F.least("_size", "_s")).alias("_least"))
+    edges = overlaps.where("2 * _n >= _least").select(F.col("_bucket").alias("a"), F.col("_b").alias("b"))
+    roots = components(edges).select(F.col("node").alias("_bucket"), "root")
+    renamed = large.join(sent_if_small(roots), "_bucket", "left").select("_key", "_band", F.coalesce("root", "_bucket").alias("_bucket"))
+    sizes = renamed.select("_key", "_bucket").distinct().groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    return placed.where(F.col("_size") <= BLOCK).unionByName(renamed.join(sent_if_small(checkpointed(sizes)), "_bucket").select("_key", "_band", "_bucket", "_size"))
+
+
 def met(candidates: DataFrame, words: int, threshold: float) -> DataFrame:
     """_key, _links and _root of the sets that have links, from rows of ``places`` with their _text.
 
@@ -268,7 +288,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     have no link and are their own class. Rows that repeat an id are joined like others.
 
     Rows with equal sets become one before any of them meets another. Sets that share a band of
-    MinHash values meet in buckets; buckets with the same members are one. A bucket is dealt in
+    MinHash values meet in buckets; buckets with the same members, and large ones that overlap by
+    half, are one. A bucket is dealt in
     blocks of at most about ``BLOCK`` sets, so that no task holds more than two blocks, and what
     leaves a block is a row for each of its sets, not for each pair.
     """
