@@ -14,8 +14,9 @@ def without_code(html: Column) -> Column:
 
 
 def plain(fragment: Column) -> Column:
-    """A fragment's text: tags out, the commonest entities read, white space collapsed."""
-    text = F.regexp_replace(fragment, r"(?s)<[^>]*>", " ")
+    """A fragment's text: tags out, the commonest entities read, white space collapsed; what is raised
+    or lowered stays with its word."""
+    text = F.regexp_replace(F.regexp_replace(fragment, r"(?i)</?su[bp]\b[^>]*>", ""), r"(?s)<[^>]*>", " ")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
     return collapse_space(text)
