@@ -81,8 +81,17 @@ def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of the texts in order, and the number of words of each text.
 
-    A word is a maximal run of code points that ``is_word`` marks; words never cross texts.
+    A word is a maximal run of code points that ``is_word`` marks; words never cross texts. Texts are
+    worked on in slices, so that what this takes beside its result is bounded, but for a text that
+    is longer than a slice.
     """
+    parts = [_word_hashes(texts[a:b], is_word) for a, b in slices(map(len, texts))]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate([h for h, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     codes = code_points("\n".join(texts) + "\n")
     inside = is_word[codes]
     # texts are joined by a line feed, which no table marks as a word
