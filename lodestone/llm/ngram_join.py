@@ -329,3 +329,17 @@ def keep_one_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9
+), r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON r.node = l.a
+), c AS (SELECT node, min(root) AS class_id FROM r GROUP BY node)
+SELECT d.doc_id, class_id, (SELECT count(*) FROM l WHERE l.a = d.doc_id) AS n_links FROM documents d JOIN c ON c.node = d.doc_id
+"""

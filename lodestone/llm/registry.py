@@ -5,7 +5,7 @@ from lodestone.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from lodestone.llm.fingerprint import op5_fingerprint
 from lodestone.llm.language_id import op1_language_id
 from lodestone.llm.lm_score import OP8_SQL, op8_lm_score
-from lodestone.llm.ngram_join import op2_ngram_join
+from lodestone.llm.ngram_join import OP2_SQL, op2_ngram_join
 from lodestone.llm.packing import op4_packing
 from lodestone.llm.quality import op6_quality
 from lodestone.llm.secret_scan import op3_secret_scan
@@ -23,4 +23,4 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe": op10_bpe,
 }
-ORACLES = {"op7_exact_dedup": OP7_SQL, "op8_lm_score": OP8_SQL}
+ORACLES = {"op2_ngram_join": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_lm_score": OP8_SQL}
