@@ -51,6 +51,20 @@ def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own[first], np.diff(np.append(first, len(own)))
 
 
+def packed(own: np.ndarray) -> bytes:
+    """Sorted hashes as differences, byte by byte: all first bytes, all second ones and so on.
+
+    The differences' high bytes are nearly all zero, and beside each other they compress.
+    """
+    steps = np.diff(own, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def blocks(own: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     """(part, start, end) of sorted hashes; a part holds those with the same first ``bits`` bits."""
     part = (own >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(own), np.int64)
@@ -116,13 +130,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
         for n, hashes in enumerate(grams(texts, order)[0], 1):
             own, count = distinct(hashes)
             for part, a, b in blocks(own, bits):
-                out.append((n, part, key[0].as_py(), own[a:b].tobytes(), count[a:b].astype(np.uint32).tobytes()))
+                out.append((n, part, key[0].as_py(), packed(own[a:b]), count[a:b].astype(np.uint32).tobytes()))
         columns = list(zip(*out, strict=True)) or [()] * 5
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.table([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["_n", "_part", "_chunk", "_grams", "_counts"])
 
     def count(part: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x, np.uint64) for x in part.column("_grams").to_pylist()]
+        parts = [unpacked(x) for x in part.column("_grams").to_pylist()]
         sizes = np.cumsum([0] + [len(p) for p in parts])
         every = np.concatenate(parts)
         counts = np.concatenate([np.frombuffer(x, np.uint32) for x in part.column("_counts").to_pylist()]).astype(np.int64)

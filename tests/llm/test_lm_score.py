@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lodestone.llm import lm_score as M
@@ -42,3 +43,11 @@ def test_repeated_rows_nulls_and_empty(spark, nothing):
     assert sorted((str(r.doc_id), r.n_words, r.log_score) for r in got) == sorted((str(k), n, s) for k, n, s in brute(rows, 2))
     assert {r.mean_log_score for r in got if not r.n_words} == {None}
     assert M.lm_scores(nothing).count() == 0
+
+
+def test_packing_keeps_hashes():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 1000):
+        own = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        assert (M.unpacked(M.packed(own)) == own).all()
+        assert (M.unpacked(M.packed(np.array([0, 1, (1 << 64) - 1], np.uint64))) == np.array([0, 1, (1 << 64) - 1], np.uint64)).all()
