@@ -25,9 +25,12 @@ LATIN_WHITE, LATIN_LETTERS, LATIN_DIGITS = r"\t-\r \x85\xa0", r"A-Za-z\xaa\xb5\x
 WORDS_KEPT = 300_000
 
 
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+
+
 def is_latin(text: str) -> bool:
     """Whether all code points are below U+0250."""
-    return text.isascii() or max(text) < "\u0250"
+    return text.isascii() or _BEYOND_LATIN.search(text) is None
 
 
 def byte_alphabet() -> list[str]:

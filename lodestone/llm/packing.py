@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodestone.llm.bpe import LATIN_DIGITS, LATIN_LETTERS, LATIN_WHITE, WHITE, is_latin
+from lodestone.llm.bpe import LATIN_DIGITS, LATIN_LETTERS, LATIN_WHITE, WHITE, byte_alphabet, is_latin
 from lodestone.llm.common import text_slices
 from lodestone.sources.tables import table
 
@@ -27,6 +27,10 @@ DOCS_AT_ONCE = 20_000
 WORDS_KEPT = 400_000
 
 
+#: Plain new words that the library gets in one text, and the character that stands for a space in its tokens.
+TOGETHER, SPACE = 200, byte_alphabet()[32]
+
+
 def words_pattern(white: str, letters: str, digits: str) -> str:
     """The byte-level pre-tokenizer's fixed pattern, from the contents of three character classes."""
     return rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^{white}{letters}{digits}]+|[{white}]+(?![^{white}])|[{white}]+"
@@ -60,6 +64,10 @@ class CachedTokenizer:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = regex.compile(words_pattern(WHITE, r"\p{L}", r"\p{N}"))
         self.latin_words = re.compile(words_pattern(LATIN_WHITE, LATIN_LETTERS, LATIN_DIGITS))
+        self.plain = re.compile(f" [{LATIN_LETTERS}]+").fullmatch
+        #: by id, whether the token begins with a space; of a plain word only the first one does
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[k for name, k in self.tokenizer.get_vocab().items() if name.startswith(SPACE)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -78,20 +86,21 @@ class CachedTokenizer:
         for name in ("begin", "count"):
             if len(old := getattr(self, name)) < last:
                 setattr(self, name, np.concatenate([old, np.zeros(last, old.dtype)]))
-        plain = [k for k, w in enumerate(new) if w[0] == " " and w[1:].isalpha() and is_latin(w)]
+        plain = [k for k, w in enumerate(new) if self.plain(w)]
         alone = sorted(set(range(len(new))).difference(plain))
-        for a in range(0, len(plain), 1000):
-            part = plain[a : a + 1000]
-            got = self.tokenizer.encode("".join([new[k] for k in part]), add_special_tokens=False)
-            sizes = np.bincount(np.array(got.word_ids, np.int64), minlength=len(part))
-            if len(sizes) != len(part):
+        for a in range(0, len(plain), TOGETHER):
+            part = plain[a : a + TOGETHER]
+            (got,) = self.tokenizer.encode_batch_fast(["".join([new[k] for k in part])], add_special_tokens=False)
+            ids = np.array(got.ids, np.int64)
+            (first_ids,) = np.nonzero(self.spaced[ids])
+            if len(first_ids) != len(part):
                 raise ValueError("the tokenizer does not split at spaces")
-            self.keep(np.array(part) + first, sizes, got.ids)
+            self.keep(np.array(part) + first, np.diff(first_ids, append=len(ids)), ids)
         if alone:
             ids = [e.ids for e in self.tokenizer.encode_batch([new[k] for k in alone], add_special_tokens=False)]
-            self.keep(np.array(alone) + first, np.fromiter(map(len, ids), np.int64, len(ids)), list(chain.from_iterable(ids)))
+            self.keep(np.array(alone) + first, np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.int64))
 
-    def keep(self, places: np.ndarray, sizes: np.ndarray, ids: list[int]) -> None:
+    def keep(self, places: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
         if len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
         self.count[places] = sizes
