@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import text_slices
 from lodestone.sources.tables import table
 
+#: Columns that stand beside a caller's own for a while.
+OWN = tuple(f"__exact_dedup_{c}" for c in ("sha", "salt", "content", "nth"))
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -84,10 +86,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     last; of rows that repeat an id and a text, one stays.
     """
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITE_SPACE, " ")
-    rows = locally(docs, id_col, text_col).withColumn("_sha", F.sha2(norm, 256)).withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
-    for keys in (["_sha", "_salt"], ["_sha"]):
-        first = F.row_number().over(Window.partitionBy(*keys, "_norm").orderBy(F.col(id_col).asc_nulls_last(), text_col))
-        rows = rows.repartition(*keys).withColumn("_norm", norm).withColumn("_nth", first).where("_nth = 1").drop("_norm", "_nth")
+    sha, salt, content, nth = OWN
+    rows = locally(docs, id_col, text_col).withColumn(sha, F.sha2(norm, 256)).withColumn(salt, F.pmod(F.xxhash64(id_col), F.lit(salts)))
+    for keys in ([sha, salt], [sha]):
+        first = F.row_number().over(Window.partitionBy(*keys, content).orderBy(F.col(id_col).asc_nulls_last(), text_col))
+        rows = rows.repartition(*keys).withColumn(content, norm).withColumn(nth, first).where(F.col(nth) == 1).drop(content, nth)
     return rows.select(*docs.columns)
 
 

@@ -323,8 +323,8 @@ def keep_one_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows of other classes are all kept. Rows with null ids are kept. Rows that repeat an id count
     as one document.
     """
-    found = ngram_join(docs, id_col, text_col).where(F.col(id_col) > F.col("class_id")).select(F.col(id_col).alias("_drop"))
-    return docs.join(sent_if_small(checkpointed(found)), F.col(id_col) == F.col("_drop"), "left_anti")
+    found = ngram_join(docs, id_col, text_col).where(F.col(id_col) > F.col("class_id")).select(F.col(id_col).alias("__ngram_join_drop"))
+    return docs.join(sent_if_small(checkpointed(found)), F.col(id_col) == F.col("__ngram_join_drop"), "left_anti")
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+#: Names that operators use within, or return.
+CLASHES = ["score", "_sha", "_norm", "_nth", "_salt", "_keep", "_key", "_n", "_sig", "_drop", "_bucket", "_pos", "_val", "_digest", "_start", "_chunk", "_words", "_lang", "_y", "piece", "length", "spans", "class_id", "n_links"]
 LETTERS = "etaoinshrdlucmfwypvbgkqjxz"
 
 
@@ -34,7 +36,7 @@ def documents():
 def docs(spark, documents):
     """The same as a table with more columns than are asked for, some of names that clash."""
     df = spark.createDataFrame(documents, "doc_id long, text string")
-    return df.select("doc_id", "text", F.lit("src0").alias("source"), F.lit("x").alias("_id"), F.lit(1).alias("_text"), F.lit(0.5).alias("score"), F.lit(None).cast("string").alias("kept"))
+    return df.select("doc_id", "text", F.lit("src0").alias("source"), F.lit("x").alias("_id"), F.lit(1).alias("_text"), *[F.lit(k).alias(c) for k, c in enumerate(CLASHES)], F.lit(None).cast("string").alias("kept"))
 
 
 @pytest.fixture(scope="session")
