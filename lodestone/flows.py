@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import sent_if_small
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.functions import values as V
@@ -97,7 +98,7 @@ def content_index(joined: DataFrame, mapping: DataFrame, vocabulary: DataFrame,
 
 def corpus_chunks(corpus: DataFrame, flags: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Chunks of a text corpus with what searches filter by. flags: source, flags; a small table."""
-    rows = corpus.join(F.broadcast(flags), "source", "left").withColumn("scraper_flags", F.coalesce("flags", F.lit("")))
+    rows = corpus.join(sent_if_small(flags), "source", "left").withColumn("scraper_flags", F.coalesce("flags", F.lit("")))
     rows = chunking.chunk_records(rows.withColumnRenamed("body", "text"))
     return rows.select(
         F.concat_ws("-", "source", F.col("chunk_index").cast("string")).alias("id"), F.col("chunk").alias("text"), F.lit("knowledge").alias("lane"), F.lit("").alias("institution"), "source", "url",

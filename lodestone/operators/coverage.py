@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import sent_if_small
 from lodestone.functions import fixed as X
 from lodestone.functions.nulls import is_populated
 from lodestone.operators.joins import keep
@@ -32,7 +33,7 @@ def coverage(vocabulary: DataFrame, mapping: DataFrame, entities: DataFrame, rec
     rejected, or no mapped field is populated. Partially reported: all usable rows are partial.
     Reported otherwise. Citable: there is a strong relationship and a value; citable_strict: on the
     same row.
-    The entities, as many as reporting institutions, are few; they are broadcast.
+    The entities, as many as reporting institutions, are broadcast if a count finds them few.
     """
     per = mapping.groupBy("disclosure").agg(
         F.count_if(F.col("review_status") == "confirmed").alias("_confirmed"),
@@ -42,7 +43,7 @@ def coverage(vocabulary: DataFrame, mapping: DataFrame, entities: DataFrame, rec
         F.count_if((F.col("review_status") == "confirmed") & F.col("relationship").isin(*X.CITABLE)).alias("_strong"),
     )
     found = provenance(mapping, entities, records).where("populated").groupBy("entity", "disclosure").agg(F.count(F.lit(1)).alias("_values"), F.count_if(F.col("relationship").isin(*X.CITABLE)).alias("_strong_values"))
-    grid = vocabulary.select("standard", "disclosure").join(F.broadcast(entities.select("entity")))
+    grid = vocabulary.select("standard", "disclosure").join(sent_if_small(entities.select("entity")))
     rows = grid.join(per, "disclosure", "left").join(found, ["entity", "disclosure"], "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
     status = (

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import sent_if_small
 from lodestone.functions import fixed as X
 from lodestone.functions import values as V
 from lodestone.operators.joins import comparable, keep
@@ -27,7 +28,7 @@ def scores(master: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """
     rows = master.where("anchor").withColumn("score", F.col("score").try_cast("double")).withColumn("max", F.col("max").try_cast("double"))
     rows = rows.withColumn("pct_of_max", V.percentage(F.col("score"), F.col("max")))
-    return rows if keys is None else rows.join(F.broadcast(keys), "institution", "left").withColumn("institution_key", F.coalesce("institution_key", F.lit("")))
+    return rows if keys is None else rows.join(sent_if_small(keys), "institution", "left").withColumn("institution_key", F.coalesce("institution_key", F.lit("")))
 
 
 def strongest_links(mapping: DataFrame) -> DataFrame:

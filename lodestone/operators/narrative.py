@@ -8,6 +8,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import sent_if_small
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.functions.nulls import is_populated
@@ -31,7 +32,7 @@ def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, reference
     used = rows.where(F.col("relationship").isin(*X.ANSWERS)).join(gaps.select("section", "disclosure"), ["section", "disclosure"], "left_anti")
     entities = records.select("entity").distinct()
     first = keep(records, ["entity", "credit", "field"], [F.col("value").asc_nulls_last()])
-    grid = used.join(F.broadcast(entities)).join(first, ["entity", "credit", "field"], "left")
+    grid = used.join(sent_if_small(entities)).join(first, ["entity", "credit", "field"], "left")
     said = is_populated("value")
     figure = said & F.col("value_type").isin(*TOKENISED)
     base = ["entity", "section", "disclosure", "credit", "field"]
@@ -44,7 +45,7 @@ def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, reference
         shown("context", grid.where(said & ~F.col("value_type").isin(*TOKENISED)), cut),
         shown("unavailable", grid.where(~F.coalesce(said, F.lit(False))), nothing),
         shown("caveat", grid.where(F.coalesce(said, F.lit(False)) & is_populated("caveat")), T.redact_figures(F.trim("caveat"), references)),
-        shown("gap", gaps.join(F.broadcast(entities)).withColumn("credit", nothing).withColumn("field", nothing), F.col("text")),
+        shown("gap", gaps.join(sent_if_small(entities)).withColumn("credit", nothing).withColumn("field", nothing), F.col("text")),
     ]
     rows = out[0]
     for part in out[1:]:
@@ -58,7 +59,7 @@ def prompts(found: DataFrame, titles: DataFrame) -> DataFrame:
     body = F.when(F.col("kind") == "figure", F.concat(F.lit("{{ "), F.col("token"), F.lit(" }}"))).otherwise(F.coalesce("text", F.lit("not available")))
     line = F.struct(F.array_position(F.array(*map(F.lit, ["figure", "context", "gap", "caveat", "unavailable"])), F.col("kind")).alias("a"), "disclosure", "credit", "field", F.concat(F.upper("kind"), F.lit(" "), label, F.lit(": "), body).alias("text"))
     lines = found.groupBy("entity", "section").agg(F.array_sort(F.collect_list(line)).alias("_lines"))
-    return lines.join(F.broadcast(titles), "section").select("entity", "section", F.concat_ws("\n", F.concat(F.lit("# "), F.col("title"), F.lit(" — "), F.col("entity").cast("string")), F.array_join(F.transform("_lines", lambda r: r["text"]), "\n")).alias("prompt"))
+    return lines.join(sent_if_small(titles), "section").select("entity", "section", F.concat_ws("\n", F.concat(F.lit("# "), F.col("title"), F.lit(" — "), F.col("entity").cast("string")), F.array_join(F.transform("_lines", lambda r: r["text"]), "\n")).alias("prompt"))
 
 
 def cache_key(system: Column, prompt: Column) -> Column:

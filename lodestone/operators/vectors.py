@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import with_queries
 from lodestone.functions import fixed as X
 
 
@@ -63,7 +64,7 @@ def nearest(queries: DataFrame, items: DataFrame, k: int, min_score: float | Non
     queries: query_id, query (vector); small, and sent to all tasks. items: item_id, vector; filter
     them before, so that what is filtered out never takes a place among the k.
     """
-    pairs = items.join(F.broadcast(queries)).where(F.col("query_id") != F.col("item_id"))
+    pairs = with_queries(items, queries).where(F.col("query_id") != F.col("item_id"))
     scored = pairs.select("query_id", "item_id", cosine(F.col("query"), F.col("vector")).alias("score"))
     scored = scored if min_score is None else scored.where(F.col("score") >= min_score)
     return top_k(scored, ["query_id"], k, "item_id")
@@ -108,6 +109,6 @@ def retrieve(
     for column, values in (("source_type", source_types), ("pillar", pillars)):
         rows = rows.where(F.col(column).isin(*values)) if values else rows
     rows = rows.where(~F.col("has_quantity")) if drop_quantities else rows
-    pairs = rows.join(F.broadcast(queries)).select("query_id", "item_id", "lane", cosine(F.col("query"), F.col("vector")).alias("score"))
+    pairs = with_queries(rows, queries).select("query_id", "item_id", "lane", cosine(F.col("query"), F.col("vector")).alias("score"))
     best = lane_quota(pairs, k, "institution") if lane == "all" else top_k(pairs, ["query_id"], k, "item_id")
     return best.where(F.col("score") >= min_score)

@@ -175,7 +175,7 @@ REGIONS = "SELECT l_partkey, n_regionkey FROM lineitem JOIN supplier ON l_suppke
 @query(f"SELECT p_partkey, p_name, coalesce(n, 0) = 5 AS comparable FROM part LEFT JOIN (SELECT l_partkey, count(DISTINCT n_regionkey) AS n FROM ({REGIONS}) GROUP BY l_partkey) ON l_partkey = p_partkey")
 def comparable_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Whether a metric is there for all members of a group."""
-    places = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
+    places = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
     sold = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey").join(places, F.col("l_suppkey") == F.col("s_suppkey"))
     known = sold.groupBy("p_partkey").agg((F.countDistinct("n_regionkey") == 5).alias("comparable"))
     return table(spark, d, "part").select("p_partkey", "p_name").join(known, "p_partkey", "left").withColumn("comparable", F.coalesce("comparable", F.lit(False)))
@@ -343,7 +343,7 @@ SELECT n_name, array_to_string(list_distinct_ordered, '; ') AS names FROM (SELEC
 """)
 def ordered_string_agg(spark: SparkSession, d: str) -> DataFrame:
     """A group's names as one string, in a stated order."""
-    rows = table(spark, d, "supplier").where(is_populated("s_name")).join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, d, "supplier").where(is_populated("s_name")).join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     names = F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name")))
     return rows.groupBy("n_name").agg(F.array_join(F.transform(names, lambda s: s["s_name"]), "; ").alias("names"))
 

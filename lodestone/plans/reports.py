@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import with_queries
 from lodestone.functions import text as T
 from lodestone.operators import embedding as E
 from lodestone.operators import html as H
@@ -159,7 +160,7 @@ def candidate_join(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
     queries = e.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     fields = e.where("vec_id >= 20").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
-    pairs = fields.join(F.broadcast(queries)).select("query_id", "item_id", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score"))
+    pairs = with_queries(fields, queries).select("query_id", "item_id", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score"))
     return W.top_k(pairs, ["query_id"], 6, "item_id").where("score >= 0.3D")
 
 

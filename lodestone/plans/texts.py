@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import with_queries
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.operators import chunking as K
@@ -167,7 +168,7 @@ WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS
 def knn_exact(spark: SparkSession, d: str) -> DataFrame:
     """The five nearest vectors of each query, exactly."""
     queries, items = vectors(spark, d)
-    pairs = items.join(F.broadcast(queries)).where("query_id <> item_id")
+    pairs = with_queries(items, queries).where("query_id <> item_id")
     scored = pairs.select("query_id", "item_id", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score"))
     return W.top_k(scored, ["query_id"], 5, "item_id")
 
@@ -176,7 +177,7 @@ def knn_exact(spark: SparkSession, d: str) -> DataFrame:
 def knn_masked(spark: SparkSession, d: str) -> DataFrame:
     """The nearest of those that a filter lets through before, from a least score on."""
     queries, items = vectors(spark, d)
-    pairs = items.where("label = 1").join(F.broadcast(queries)).where("query_id <> item_id")
+    pairs = with_queries(items.where("label = 1"), queries).where("query_id <> item_id")
     scored = pairs.select("query_id", "item_id", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score")).where("score >= 0.1D")
     return W.top_k(scored, ["query_id"], 5, "item_id")
 
@@ -186,7 +187,7 @@ SELECT query_id, item_id, lane, score, row_number() OVER (PARTITION BY query_id
 def knn_lane_quota(spark: SparkSession, d: str) -> DataFrame:
     """Five places, three of them for one lane."""
     queries, items = vectors(spark, d)
-    pairs = items.join(F.broadcast(queries)).where("query_id <> item_id").withColumn("lane", F.when(F.col("label") < 3, "institution").otherwise("knowledge"))
+    pairs = with_queries(items, queries).where("query_id <> item_id").withColumn("lane", F.when(F.col("label") < 3, "institution").otherwise("knowledge"))
     scored = pairs.select("query_id", "item_id", "lane", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score"))
     return W.lane_quota(scored, 5, "institution")
 
