@@ -109,10 +109,6 @@ def _word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.
     return hashes, np.diff(upto, prepend=0)
 
 
-#: Rows up to which a table of a few short columns is sent to all executors: some tens of MB.
-SENT_ROWS = 1_000_000
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, read back from the folder that the executors share; cuts the lineage.
 
@@ -129,8 +125,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return out
-
-
-def sent_if_small(df: DataFrame) -> DataFrame:
-    """A checkpointed table, to be broadcast in a join if it has at most ``SENT_ROWS`` rows; a larger one is shuffled."""
-    return F.broadcast(df) if df.limit(SENT_ROWS + 1).count() <= SENT_ROWS else df
