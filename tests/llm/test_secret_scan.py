@@ -43,6 +43,8 @@ def test_entropy_finds_what_patterns_miss_and_leaves_words():
     text = f"key {B64} and {HEX40.upper()} but internationalisation-of-everything 2024-01-01T00-00-00-000-long 123e4567-e89b-12d3-a456-426614174000 {'xy' * 30} retionwhingerbleernd"
     found = {text[a:b]: kind for a, b, kind in S.find(text)[1]}
     assert found == {B64: "entropy_base64", HEX40.upper(): "entropy_hex"}
+    assert [k for *_, k in S.find("JB5WY3DPEH4K3PXP7RT2 x")[1]] == ["entropy_base36"]
+    assert S.find("a1b2" * 10 + " " + "iso8601datetimeformats version2ofthisdocument")[1] == [(0, 40, "hex")]
 
 
 def test_base_spans_stay_and_cover(spark):
