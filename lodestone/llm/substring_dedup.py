@@ -91,18 +91,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     is the first holder of all of them, so that the passage stays here and goes elsewhere. Null and
     empty texts have no passage. Rows that repeat an id count as one document.
 
-    A chunk counts as one with another if digest and length agree. Counts cross an exchange as one
+    Chunks are one if their 64-bit digests agree, into which content and length go. Counts cross an exchange as one
     row for each digest and map task, so a chunk that a third of all documents hold is no
     burden there; in the join back Spark splits its partition. Of what repeats within one
-    document only nothing is reported.
+    document only nothing is reported, nor of a period so short that the hash never ends a chunk in it.
     """
     found = chunked(docs, id_col, text_col)
-    size = (F.col("_end") - F.col("_start")).alias("_size")
-    held = found.groupBy("_digest", size).agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last").drop("_last")
-    held = held.select(F.col("_digest").alias("_d"), F.col("_size").alias("_s"), "_first")
-    shared = found.join(held, (F.col("_digest") == F.col("_d")) & ((F.col("_end") - F.col("_start")) == F.col("_s"))).select(
-        "_id", "_start", "_end", "_first", (F.col("_id") == F.col("_first")).alias("_kept")
-    )
+    held = found.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last")
+    held = held.select(F.col("_digest").alias("_held"), "_first")
+    shared = found.join(held, F.col("_digest") == F.col("_held")).select("_id", "_start", "_end", "_first", (F.col("_id") == F.col("_first")).alias("_kept"))
     shared = shared.groupBy("_id", "_start", "_end").agg(F.min("_first").alias("_first"), F.min("_kept").alias("_kept"))
     order = Window.partitionBy("_id").orderBy("_start", "_end")
     joins = (F.lag("_end").over(order) == F.col("_start")) & (F.lag("_kept").over(order) == F.col("_kept"))
