@@ -170,7 +170,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+    return lm_scores(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 4).alias("mean_log_score"))
 
 
 OP8_SQL = r"""
@@ -186,6 +186,6 @@ WITH w AS (
     ELSE (CASE WHEN p.prior IS NULL THEN 0 ELSE ln(0.4) END) + ln(c1.n) - ln((SELECT count(*) FROM w)) END AS l
   FROM p JOIN c1 ON c1.word = p.word LEFT JOIN c2 ON c2.prior = p.prior AND c2.word = p.word LEFT JOIN c1 b ON b.word = p.prior
 ), t AS (SELECT doc_id, count(*) AS n_words, sum(l) AS l FROM s GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(l, 0), 6) AS log_score, round(l / n_words, 6) AS mean_log_score
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(l, 0), 4) AS log_score, round(l / n_words, 4) AS mean_log_score
 FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id
 """
