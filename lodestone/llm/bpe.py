@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import text_slices
+from lodestone.llm.common import in_arrow, text_slices
 from lodestone.sources.tables import table
 
 #: Fixed: what counts as white space in the tokenizer's patterns.
@@ -236,7 +236,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                     back.append(hashlib.sha256(decoded.encode()).hexdigest() if digests else decoded)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=[id_col, "n_tokens", *names])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, {names[0]} string, {names[1]} string")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"`{id_col}` {kind}, n_tokens long, {names[0]} string, {names[1]} string")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

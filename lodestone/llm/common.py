@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Code points that numpy works on at once; bounds the temporary arrays of a worker.
 CHARS_AT_ONCE = 1_000_000
+#: Rows that cross between Spark and Python at once.
+ROWS_AT_ONCE = 1_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,6 +42,18 @@ def text_slices(column: pa.Array, most: int = CHARS_AT_ONCE) -> Iterator[tuple[i
         yield a, [t or "" for t in column.slice(a, b - a).to_pylist()]
 
 
+def in_arrow(df: DataFrame, run: Callable, schema: object) -> DataFrame:
+    """``df.mapInArrow``, in batches of at most ``ROWS_AT_ONCE`` rows.
+
+    Spark's default of 10,000 rows is meant for short rows; of whole texts such a batch has no useful
+    bound. It is lowered for the session, unless a deployment has set a number of its own.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(ROWS_AT_ONCE))
+    return df.mapInArrow(run, schema)
+
+
 def code_points(text: str) -> np.ndarray:
     """The text's code points as uint32."""
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)

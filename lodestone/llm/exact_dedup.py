@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import text_slices
+from lodestone.llm.common import in_arrow, text_slices
 from lodestone.sources.tables import table
 
 #: Columns that stand beside a caller's own for a while.
@@ -74,7 +74,7 @@ def locally(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         best[white.sub(" ", text)] = k
             yield batch.take(pa.array(sorted(best.values()), pa.int64()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:

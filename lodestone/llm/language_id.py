@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import code_points, fold, text_slices
+from lodestone.llm.common import code_points, fold, in_arrow, text_slices
 from lodestone.sources.tables import table
 
 BUCKETS = 1 << 16
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
             (at,) = np.nonzero(total[:BUCKETS])
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["_lang", "_bucket", "_n"])
 
-    counted = sample.select("_lang", "_text").mapInArrow(count, "_lang string, _bucket int, _n long")
+    counted = in_arrow(sample.select("_lang", "_text"), count, "_lang string, _bucket int, _n long")
     got = counted.groupBy("_lang", "_bucket").agg(F.sum("_n").alias("_n")).toArrow()
     counts = np.zeros((len(languages), BUCKETS))
     place = {k: i for i, k in enumerate(languages)}
@@ -154,7 +154,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(score, f"`{id_col}` {kind}, lang_pred string, score double, n_letters long")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), score, f"`{id_col}` {kind}, lang_pred string, score double, n_letters long")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -177,7 +177,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, t
                     stay.append(np.array([any(map(str.isalpha, t)) for t in texts], bool))
             yield batch.filter(pa.array(np.concatenate(stay)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

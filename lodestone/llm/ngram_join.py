@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.sizes import sent_if_small
-from lodestone.llm.common import checkpointed, mixed, text_slices, word_hashes, word_table
+from lodestone.llm.common import checkpointed, in_arrow, mixed, text_slices, word_hashes, word_table
 from lodestone.llm.components import components
 from lodestone.sources.tables import table
 
@@ -192,7 +192,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
                 rows += [row.tobytes() for row in minhashes(sets)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())], names=["_id", "_key", "_n", "_sig"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"_id {kind}, _key binary, _n long, _sig binary")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _key binary, _n long, _sig binary")
 
 
 def places(sets: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def met(candidates: DataFrame, words: int, threshold: float) -> DataFrame:
     paired = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     columns = ["_bucket", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part", "_key", "_weight", "_sig", "_own", "_text"]
     dealt = paired.select(*columns).repartition("_bucket", "_i", "_j").sortWithinPartitions("_bucket", "_i", "_j")
-    return dealt.mapInArrow(meet, "_key binary, _links long, _root binary")
+    return in_arrow(dealt, meet, "_key binary, _links long, _root binary")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lodestone.llm.bpe import LATIN_DIGITS, LATIN_LETTERS, LATIN_WHITE, WHITE, byte_alphabet, is_latin
-from lodestone.llm.common import text_slices
+from lodestone.llm.common import in_arrow, text_slices
 from lodestone.sources.tables import table
 
 LENGTH = 2048
@@ -237,7 +237,7 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 arrays = [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *arrays, pa.array(parts, pa.binary())], names=[id_col, "piece", "start", "length", "ids_crc32", "ids"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def pack(pieces: DataFrame, n_docs: int, length: int = LENGTH, docs_at_once: int = DOCS_AT_ONCE) -> DataFrame:

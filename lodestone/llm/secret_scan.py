@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import text_slices
+from lodestone.llm.common import in_arrow, text_slices
 from lodestone.sources.tables import table
 
 #: Fixed patterns of the base spans, and the least length of what must match.
@@ -154,7 +154,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             packed = [pa.array([[dict(zip(("start", "end", "kind"), s, strict=True)) for s in x] for x in found], pa.list_(SPAN)) for found in (base, every)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *packed], names=[id_col, "base", "spans"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(scan, f"`{id_col}` {kind}, base {SPANS}, spans {SPANS}")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), scan, f"`{id_col}` {kind}, base {SPANS}, spans {SPANS}")
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,7 +180,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             columns[at] = pa.array(out, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(clean, docs.schema)
+    return in_arrow(docs, clean, docs.schema)
 
 
 def joined(spans: str) -> Column:

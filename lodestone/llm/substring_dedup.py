@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import MIX, mixed, power_tables, text_slices
+from lodestone.llm.common import MIX, in_arrow, mixed, power_tables, text_slices
 from lodestone.sources.tables import table
 
 #: Bytes that the rolling hash sees, and the mean length of a chunk in bytes.
@@ -80,7 +80,7 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     names=["_id", "_start", "_end", "_digest"],
                 )
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"_id {kind}, _start int, _end int, _digest long")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _start int, _end int, _digest long")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
