@@ -116,5 +116,5 @@ def finished(sections: DataFrame, references: str) -> DataFrame:
     used = F.transform(F.array_distinct(T.tokens_in(F.col("template"))), lambda t: F.element_at("figures", t))
     rows = sections.withColumn("rendered", text).withColumn("_used", used)
     audit = T.audit_digits(F.col("rendered"), F.col("_used"), F.col("context"), references)
-    rows = rows.select("*", *[c.alias(n) for n, c in audit.items()]).drop("_used")
+    rows = rows.withColumn("_audit", audit).select("*", "_audit.*").drop("_used", "_audit")
     return rows.withColumn("publishable", F.size("invented") == 0)

@@ -132,7 +132,8 @@ def digit_audit(spark: SparkSession, d: str) -> DataFrame:
     """Where each number of a rendered text comes from; one in seven texts has an invented one."""
     o = table(spark, d, "orders")
     found = T.audit_digits(rendered(), F.array(F.format_string("%.2f", "o_totalprice")), F.array((F.col("o_orderkey") % 1000).cast("string"), F.col("o_custkey").cast("string")), REFERENCES)
-    return o.select("o_orderkey", *[F.array_join(c, " ").alias(name) for name, c in found.items()])
+    rows = o.select("o_orderkey", found.alias("_audit")).select("o_orderkey", "_audit.*")
+    return rows.select("o_orderkey", *[F.array_join(c, " ").alias(c) for c in ("ok", "review", "invented", "spelled")])
 
 
 @query(f"""
