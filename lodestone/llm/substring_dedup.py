@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import MIX, in_arrow, mixed, power_tables, text_slices
@@ -83,7 +83,7 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _start int, _end int, _digest long")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, whole: bool = False) -> DataFrame:
     """The passages of at least ``least`` code points that consist of chunks found in several documents.
 
     A row for each passage of each document: id, start, end (code points, end exclusive), n_chars,
@@ -91,6 +91,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     is the first holder of all of them, so that the passage stays here and goes elsewhere. Null and
     empty texts have no passage. Rows that repeat an id count as one document.
 
+    Short chunks of a passage are often in some earlier document as well. With ``whole``, less than
+    ``least`` code points of these in a row are part of the passage around them, which its first
+    holder keeps as a whole and is the first_doc of; more are a passage of their own. Without it they
+    split the passage, and what is then shorter than ``least`` is not reported.
+
     Chunks are one if their 64-bit digests agree, into which content and length go. Counts cross an exchange as one
     row for each digest and map task, so a chunk that a third of all documents hold is no
     burden there; in the join back Spark splits its partition. Of what repeats within one
@@ -102,11 +107,23 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shared = found.join(held, F.col("_digest") == F.col("_held")).select("_id", "_start", "_end", "_first", (F.col("_id") == F.col("_first")).alias("_kept"))
     shared = shared.groupBy("_id", "_start", "_end").agg(F.min("_first").alias("_first"), F.min("_kept").alias("_kept"))
     order = Window.partitionBy("_id").orderBy("_start", "_end")
-    joins = (F.lag("_end").over(order) == F.col("_start")) & (F.lag("_kept").over(order) == F.col("_kept"))
-    runs = shared.withColumn("_new", F.when(joins, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(order))
-    passages = runs.groupBy("_id", "_run").agg(F.min("_start").alias("start"), F.max("_end").alias("end"), F.min("_first").alias("first_doc"), F.min("_kept").alias("kept"))
-    return passages.where(F.col("end") - F.col("start") >= least).select(F.col("_id").alias(id_col), "start", "end", (F.col("end") - F.col("start")).alias("n_chars"), "first_doc", "kept")
+    touches = F.lag("_end").over(order) == F.col("_start")
+    passages = joined(shared, touches & (F.lag("_kept").over(order) == F.col("_kept")))
+    first = F.col("_first")
+    if whole:
+        passages = passages.withColumn("_other", ~F.col("_kept") & (F.col("_end") - F.col("_start") >= least))
+        passages = joined(passages, touches & ~F.col("_other") & ~F.lag("_other").over(order))
+        first = F.when(F.col("_kept"), F.col("_id")).otherwise(first)
+    size = F.col("_end") - F.col("_start")
+    return passages.where(size >= least).select(F.col("_id").alias(id_col), F.col("_start").alias("start"), F.col("_end").alias("end"), size.alias("n_chars"), first.alias("first_doc"), F.col("_kept").alias("kept"))
+
+
+def joined(parts: DataFrame, on: Column) -> DataFrame:
+    """Each document's parts in order, those that ``on`` joins to the one before as one; kept if one of them is."""
+    order = Window.partitionBy("_id").orderBy("_start", "_end")
+    runs = parts.withColumn("_new", F.when(on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(order))
+    return runs.groupBy("_id", "_run").agg(F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.min("_first").alias("_first"), F.max("_kept").alias("_kept")).drop("_run")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_passages(table(spark, sf_dir, "documents"), whole=True)

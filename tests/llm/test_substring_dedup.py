@@ -82,3 +82,55 @@ def test_nulls_repeats_and_empty(spark, nothing):
     got = D.repeated_passages(spark.createDataFrame([*rows, (4, long), (4, long), (None, long)], "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.kept) for r in got if r.doc_id is not None) == [(1, True), (4, False)]
     assert D.repeated_passages(nothing).count() == 0
+
+
+def brute_whole(rows, least=D.LEAST):
+    holders, lists = {}, {}
+    for k, t in rows:
+        _, start, end, digest = D.chunks([t or ""])
+        lists.setdefault(k, set()).update(zip(start.tolist(), end.tolist(), digest.tolist(), strict=True))
+        for d in digest.tolist():
+            holders.setdefault(d, set()).add(k)
+    out = set()
+    for k, own in lists.items():
+        parts = []
+        for a, b, d in sorted(own):
+            first = min(holders[d])
+            if len(holders[d]) > 1:
+                if parts and parts[-1][1] == a and parts[-1][3] == (first == k):
+                    parts[-1] = (parts[-1][0], b, min(parts[-1][2], first), first == k)
+                else:
+                    parts.append((a, b, first, first == k))
+        runs, apart = [], True
+        for a, b, first, kept in parts:
+            other = not kept and b - a >= least
+            if runs and runs[-1][1] == a and not other and not apart:
+                runs[-1] = (runs[-1][0], b, min(runs[-1][2], first), runs[-1][3] or kept)
+            else:
+                runs.append((a, b, first, kept))
+            apart = other
+        out |= {(k, a, b, k if kept else first, kept) for a, b, first, kept in runs if b - a >= least}
+    return out
+
+
+def test_whole_passages_match_brute_force(docs, documents):
+    got = [(r.doc_id, r.start, r.end, r.first_doc, r.kept) for r in D.repeated_passages(docs, whole=True).collect()]
+    assert set(got) == brute_whole(documents) and len(got) == len(set(got))
+
+
+def test_query_reports_a_passage_whose_short_chunks_are_elsewhere(spark, tmp_path):
+    rng = random.Random(8)
+    text = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    passage = text(51)
+    _, start, end, _ = D.chunks([passage])
+    inner = list(zip(start.tolist(), end.tolist(), strict=True))[1:-1]
+    # every other inner chunk, with the 16 bytes before it that decide on its start
+    rows = [(k, passage[max(0, a - 16) : b + 1]) for k, (a, b) in enumerate(inner[::2])]
+    first = f"{text(40)} {passage} {text(40)}"
+    rows += [(1000, first), (1001, f"{text(30)} {passage} {text(60)}")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in D.op9_substring_dedup(spark, str(tmp_path)).collect()}
+    assert set(got) == {1000, 1001}
+    assert got[1000].kept and got[1000].first_doc == 1000 and not got[1001].kept
+    at = first.index(passage)
+    assert got[1000].start <= at + inner[0][0] and got[1000].end >= at + inner[-1][1]
