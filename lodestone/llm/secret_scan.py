@@ -49,23 +49,46 @@ DIGITS, SMALL, LARGE = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKL
 RULES = (
     EntropyRule("entropy_hex", frozenset(DIGITS + "abcdef"), 20, 2.9),
     EntropyRule("entropy_hex", frozenset(DIGITS + "ABCDEF"), 20, 2.9),
-    EntropyRule("entropy_base36", frozenset(DIGITS + SMALL), 20, 3.5, digits=4, lower=4),
-    EntropyRule("entropy_base36", frozenset(DIGITS + LARGE), 20, 3.5, digits=4, upper=4),
-    EntropyRule("entropy_base64", frozenset(DIGITS + SMALL + LARGE + "+/_=-"), 20, 3.7, digits=1, upper=1, lower=1),
+    EntropyRule("entropy_base36", frozenset(DIGITS + SMALL), 20, 3.5, digits=1, lower=4),
+    EntropyRule("entropy_base36", frozenset(DIGITS + LARGE), 20, 3.5, digits=1, upper=4),
+    EntropyRule("entropy_base64", frozenset(DIGITS + SMALL + LARGE + "+/_=-"), 20, 3.7, upper=1, lower=1),
 )
 
 #: Candidates of these shapes are no secrets, however their characters are spread.
 ALLOW = (
     re.compile(r"[A-Z]?[a-z]+|[A-Z]+"),  # one word
-    re.compile(r"[A-Za-z]+(?:[-_/+=][A-Za-z]+)*[-_/+=]*"),  # words joined by punctuation
     re.compile(r"[0-9]+"),  # a number
-    re.compile(r"[A-Za-z]+[0-9]+[A-Za-z]*"),  # words around one number
     re.compile(r"[-_=+/]+"),  # a rule
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"),  # a UUID
     re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}[-_A-Za-z0-9]*"),  # begins with a date
 )
 
 
+#: What may be words: letters and punctuation; letters around one number; few digits among letters of one case.
+MAYBE_WORDS = (
+    re.compile(r"[-_/+=A-Za-z]+"),
+    re.compile(r"[A-Za-z]+[0-9]+[A-Za-z]*"),
+    re.compile(r"(?=(?:[^0-9]*[0-9]){1,3}[^0-9]*\Z)(?:[a-z0-9]+|[A-Z0-9]+)"),
+)
+#: The words in it, each capital within beginning another one, and pairs of letters that are frequent in English, French, German or Spanish.
+PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+PAIRS = frozenset(
+    "ab ac ad ag ai al am an ap ar as at au av ba be bi bl bo br bu ca cc ce ch ci ck cl co cr ct cu da de di do du ea ec ed ee ef eg ei el em en ep er es et eu ev ex fa fe ff fi fo fr fu ga ge gh gi "
+    "gr gu ha he hi ho ht ia ib ic id ie if ig il im in io ir is it iv ke ki la ld le li ll lo ls lt lu ly ma me mi mm mo mp mu na nc nd ne ng ni nn no ns nt nu ob oc od of ol om on op or os ot ou ov ow "
+    "pa pe ph pi pl po pp pr pu qu ra rc rd re rg ri rm rn ro rr rs rt ru ry sa sc se sh si so sp ss st su ta te th ti to tr ts tt tu ty ue ui ul um un up ur us ut va ve vi vo wa we wh wi wo ye ze zu".split()
+)
+#: The least share of frequent pairs in words. Random pairs are frequent once in three.
+LEAST_FREQUENT = 0.55
+
+
+def wordlike(text: str) -> bool:
+    """Whether a string reads as words: of its pairs of neighbours with a letter, punctuation aside,
+    so many lie within a word and are frequent."""
+    seams = sum((a.isalpha() or b.isalpha()) and a.isalnum() and b.isalnum() for a, b in zip(text, text[1:], strict=False))
+    frequent = sum(w[k : k + 2] in PAIRS for w in (x.lower() for x in PART.findall(text)) for k in range(len(w) - 1))
+    return frequent >= LEAST_FREQUENT * seams and any(p.fullmatch(text) for p in MAYBE_WORDS)
+
+
 def peaks(text: str, width: int) -> Iterator[tuple[int, float]]:
     """Where each window of ``width`` characters begins, and its Shannon entropy in bits.
 
@@ -117,10 +140,10 @@ def entropy_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     for m in CANDIDATE.finditer(text):
         word = m[0]
-        if any(p.fullmatch(word) for p in ALLOW):
+        if any(p.fullmatch(word) for p in ALLOW) or wordlike(word):
             continue
         rule = next(r for r in RULES if r.chars.issuperset(word))
-        found += [(m.start() + a, m.start() + b, rule.kind) for a, b in runs(word, rule) if rule.mixed(word[a:b])]
+        found += [(m.start() + a, m.start() + b, rule.kind) for a, b in runs(word, rule) if rule.mixed(word[a:b]) and not wordlike(word[a:b])]
     return found
 
 

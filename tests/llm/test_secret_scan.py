@@ -69,3 +69,24 @@ def test_redact(spark):
     out = S.redact(df)
     assert out.columns == df.columns
     assert [r.text for r in out.orderBy("doc_id").collect()] == ["a [assign] é [entropy_base64] z", None, ""]
+
+
+@pytest.mark.parametrize("letters, length, least", [
+    ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 20, 0.9),
+    ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20, 0.95),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 20, 0.88),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32, 0.98),
+    ("abcdefghijklmnopqrstuvwxyz0123456789", 20, 0.93),
+])
+def test_random_keys_are_found(letters, length, least):
+    rng = random.Random(length)
+    keys = ["".join(rng.choice(letters) for _ in range(length)) for _ in range(1000)]
+    assert sum(bool(S.find(f"key {k} end")[1]) for k in keys) >= least * len(keys)
+
+
+def test_names_and_words_are_left():
+    names = (
+        "getElementByIdFromDocument AbstractSingletonProxyFactoryBean the-Quick-Brown-Fox/jumps_over /usr/Local/share/Documents/README INTERNATIONALIZATION_SETTINGS Donaudampfschifffahrtsgesellschaft "
+        "anticonstitutionnellement utf8mb4unicodecitable1 Covid19VaccinationProgramme XMLHttpRequestUpload KnowYourCustomerPolicy2024 sha256withrsaencryption"
+    )
+    assert [w for w in names.split() if S.find(w)[1]] == []
