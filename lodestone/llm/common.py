@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import gc
+import hashlib
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Code points that numpy works on at once; bounds the temporary arrays of a worker.
@@ -46,10 +48,11 @@ def in_arrow(df: DataFrame, run: Callable, schema: object) -> DataFrame:
     """``df.mapInArrow``, in batches of at most ``ROWS_AT_ONCE`` rows.
 
     Spark's default of 10,000 rows is meant for short rows; of whole texts such a batch has no useful
-    bound. It is lowered for the session, unless a deployment has set a number of its own.
+    bound. Spark reads the setting when the plan runs, so it is lowered for the session, but only
+    where nobody has set it: a number that a deployment or a caller chose stays, 10,000 too.
     """
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(key) == "10000":
+    if key not in conf.getAll:
         conf.set(key, str(ROWS_AT_ONCE))
     return df.mapInArrow(run, schema)
 
@@ -77,19 +80,37 @@ def word_table() -> np.ndarray:
 
 
 _words: np.ndarray | None = None
-_powers: tuple[np.ndarray, np.ndarray] | None = None
-_BASE = 0x5851F42D4C957F2D
+#: Items up to which a span is hashed two at a time beside others; longer spans are digested one by one.
+SHORT = 64
 
 
-def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64."""
-    global _powers
-    if _powers is None or len(_powers[0]) < n:
-        size = max(n, CHARS_AT_ONCE + 64)
-        up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _powers = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _powers
+def span_hashes(units: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span units[begin:end] of an array of code points (uint32) or bytes (uint8).
+
+    A span's items are taken eight bytes at a time, each scrambled into the hash before the next, so
+    that no arithmetic on repeated patterns cancels out, as it does in polynomials modulo 2**64. What
+    lies around a span has no say.
+    """
+    size = units.itemsize
+    per = 8 // size
+    raw = np.concatenate((units.view(np.uint8), np.zeros(8, np.uint8)))
+    eights = np.ndarray((len(units),), np.uint64, raw, strides=(size,))
+    length = end - begin
+    out = mixed(length.astype(np.uint64) * MIX)
+    at = np.flatnonzero((length > 0) & (length <= SHORT))
+    k = 0
+    while len(at):
+        left = length[at] - k
+        taken = eights[begin[at] + k]
+        short = left < per
+        if short.any():
+            taken[short] &= (np.uint64(1) << (left[short] * (8 * size)).astype(np.uint64)) - np.uint64(1)
+        out[at] = mixed(out[at] ^ taken) + MIX
+        at = at[left > per]
+        k += per
+    for i in np.flatnonzero(length > SHORT).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(units[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,11 +134,7 @@ def _word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.
     if len(inside) and inside[0]:
         edges = np.concatenate(([0], edges))
     begin, end = edges[0::2], edges[1::2]
-    up, down = power_tables(len(codes) + 1)
-    sums = np.empty(len(codes) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=sums[1:])
-    hashes = mixed((sums[end] - sums[begin]) * down[begin] ^ (end - begin).astype(np.uint64) * MIX)
+    hashes = span_hashes(codes, begin, end)
     stops = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
     upto = np.searchsorted(begin, stops)
     return hashes, np.diff(upto, prepend=0)
@@ -126,16 +143,26 @@ def _word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, read back from the folder that the executors share; cuts the lineage.
 
-    The folder is that of spark.checkpoint.dir. Only where that is unset, as in a local
-    session, one below the session's warehouse is taken. What led to the rows needs its shuffle
-    files no more; the driver's garbage is collected so that Spark's cleaner can drop them.
+    The folder is that of spark.checkpoint.dir. Where that is unset, a local session, whose tasks
+    all see the driver's disk, takes one below its warehouse; on a cluster it is an error. What led
+    to the rows needs its shuffle files no more; the driver's garbage is collected so that
+    Spark's cleaner can drop them.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(where or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     out = df.checkpoint(eager=True)
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return out
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; of a session in one process, one of its own if unset."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where is None:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        where = spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
+    return where

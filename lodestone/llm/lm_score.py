@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import checkpointed, mixed, word_hashes
 from lodestone.sources.tables import table
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 #: An n-gram counts as seen from this count on; once is the document itself.
 SEEN = 2
-#: Code points of the texts that one task holds, and n-grams of one partition of the count table; about.
+#: Code points of the texts that one task holds, and n-grams that meet in one group of the count table; about.
 CHUNK_CHARS, PART_GRAMS = 8_000_000, 1_500_000
+#: Chunks whose n-grams meet at once; of more, groups of them are added up first, level by level.
+FAN = 256
+BLOCKS = "_part long, _of long, _grams binary, _counts binary"
+TOTALS = "_part long, _of long, _totals binary"
 _words: np.ndarray | None = None
 
 
@@ -51,53 +56,124 @@ def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own[first], np.diff(np.append(first, len(own)))
 
 
-def packed(own: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte by byte: all first bytes, all second ones and so on.
-
-    The differences' high bytes are nearly all zero, and beside each other they compress.
-    """
-    steps = np.diff(own, prepend=np.uint64(0))
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers, compressed: all their first bytes, all second ones and so on, most of which are zero."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
 
 
-def blocks(own: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
-    """(part, start, end) of sorted hashes; a part holds those with the same first ``bits`` bits."""
+def sent(own: np.ndarray, counts: np.ndarray, of: int, bits: int) -> pa.Table:
+    """Sorted hashes and their counts as rows of ``BLOCKS``: one for each part, that is for each value of the first ``bits`` bits."""
     part = (own >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(own), np.int64)
     first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(own) else np.zeros(0, np.int64)
-    yield from zip(part[first].tolist(), first.tolist(), np.append(first[1:], len(own)).tolist(), strict=True)
+    ends = np.append(first, len(own)).tolist()
+    spans = list(zip(ends[:-1], ends[1:], strict=True))
+    return pa.table(
+        {
+            "_part": pa.array(part[first], pa.int64()),
+            "_of": pa.array([of] * len(spans), pa.int64()),
+            "_grams": pa.array([packed(np.diff(own[a:b], prepend=np.uint64(0))) for a, b in spans], pa.binary()),
+            "_counts": pa.array([packed(counts[a:b]) for a, b in spans], pa.binary()),
+        }
+    )
+
+
+def added_up(blocks: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The hashes of each block; the sorted different ones of all, and the sum of their counts."""
+    each = [np.cumsum(unpacked(x), dtype=np.uint64) for x in blocks.column("_grams").to_pylist()]
+    counts = np.concatenate([unpacked(x) for x in blocks.column("_counts").to_pylist()])
+    own, at = np.unique(np.concatenate(each), return_inverse=True)
+    sums = np.zeros(len(own), np.uint64)
+    np.add.at(sums, at, counts)
+    return each, own, sums
+
+
+def answers_to(blocks: pa.Table, each: list[np.ndarray], own: np.ndarray, sums: np.ndarray) -> pa.Table:
+    """Rows of ``TOTALS``: for each block the sums of its hashes, in its order."""
+    totals = [packed(sums[np.searchsorted(own, hashes)]) for hashes in each]
+    return pa.table({"_part": blocks.column("_part"), "_of": blocks.column("_of"), "_totals": pa.array(totals, pa.binary())})
+
+
+def totals_of(blocks: DataFrame, senders: int, fan: int, bits: int, level: int = 1) -> DataFrame:
+    """The count table joined back to its askers: for each of the ``BLOCKS`` the totals of its n-grams over all senders.
+
+    Blocks of one part, that is of one range of hashes, meet: of up to ``fan`` senders all at once.
+    Of more, each ``fan`` of them are added up to one sender of the next level, which has parts ``bits``
+    finer, and its answers are dealt back. So the blocks of a level are as many for each sender
+    however many senders there are, and no group holds more than ``fan`` blocks.
+    """
+    if senders <= fan:
+
+        def count(group: pa.Table) -> pa.Table:
+            return answers_to(group, *added_up(group))
+
+        return blocks.groupBy("_part").applyInArrow(count, TOTALS)
+
+    def combine(key: tuple, group: pa.Table) -> pa.Table:
+        _, own, sums = added_up(group)
+        return sent(own, sums, key[1].as_py(), bits * (level + 1))
+
+    def deal(group: pa.Table, answers: pa.Table) -> pa.Table:
+        each, own, _ = added_up(group)
+        return answers_to(group, each, own, joined(answers))
+
+    asked = blocks.groupBy("_part", F.floor(F.col("_of") / fan).alias("_over"))
+    above = totals_of(asked.applyInArrow(combine, BLOCKS), -(-senders // fan), fan, bits, level + 1)
+    return asked.cogroup(above.groupBy(F.shiftright("_part", bits).alias("_part"), F.col("_of").alias("_over"))).applyInArrow(deal, TOTALS)
+
+
+def joined(answers: pa.Table) -> np.ndarray:
+    """The totals of one sender, of its parts in order."""
+    parts = sorted(zip(answers.column("_part").to_pylist(), answers.column("_totals").to_pylist(), strict=True))
+    return np.concatenate([*(unpacked(x) for _, x in parts), np.zeros(0, np.uint64)])
 
 
-def scores(texts: list[str], found: list[tuple[np.ndarray, np.ndarray]], backoff: float, seen: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text the sum of the logarithms of its words' scores but for the corpus size, the
-    number of words at which that size comes in, and the number of words.
+def asked_for(by_order: list[np.ndarray], of: list[np.ndarray], seen: int) -> list[np.ndarray]:
+    """The hashes to be counted next, once the counts ``of`` shorter n-grams are known; 0 where none is needed.
 
-    found: for each n the sorted hashes and their counts in the corpus.
+    Words and pairs are counted first. A longer n-gram can be seen ``seen`` times only if its first and its last n - 1 words are.
+    """
+    if len(of) < 2:
+        return by_order[:2]
+    frequent = of[-1] >= seen
+    return [np.where(frequent & np.concatenate((np.zeros(min(1, len(frequent)), bool), frequent[:-1])), by_order[len(of)], np.uint64(0))]
+
+
+def counts_at(by_order: list[np.ndarray], rounds: list[np.ndarray], seen: int) -> list[np.ndarray]:
+    """For each n as far as there are answers the corpus count of the n-gram that ends at each word."""
+    of: list[np.ndarray] = []
+    for totals in rounds:
+        hashes = asked_for(by_order, of, seen)
+        own, _ = distinct(np.concatenate(hashes))
+        for h in hashes:
+            found = totals[np.minimum(np.searchsorted(own, h), max(0, len(own) - 1))] if len(own) else np.zeros(len(h))
+            of.append(np.where(h != 0, found, 0).astype(np.int64))
+    return of
+
+
+def scores(by_order: list[np.ndarray], counts: np.ndarray, of: list[np.ndarray], backoff: float, seen: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the sum of the logarithms of its words' scores but for the corpus size, and the
+    number of words at which that size comes in.
+
+    by_order, counts: as of ``grams``; of: the corpus counts of these n-grams.
     """
-    by_order, counts = grams(texts, len(found))
     total = len(by_order[0])
-    log = np.zeros(total)
-    open_ = np.ones(total, bool)
-    sized = np.zeros(total, bool)
-    of = [c[np.minimum(np.searchsorted(h, g), max(0, len(h) - 1))] if len(h) else np.zeros(total, np.int64) for g, (h, c) in zip(by_order, found, strict=True)]
-    for n in range(len(found), 0, -1):
+    log, open_ = np.zeros(total), np.ones(total, bool)
+    for n in range(len(by_order), 1, -1):
         there = open_ & (by_order[n - 1] != 0)
-        hit = there & (of[n - 1] >= seen) if n > 1 else there
-        if n > 1:
-            at = np.flatnonzero(hit)
-            log[at] += np.log(of[n - 1][at]) - np.log(of[n - 2][at - 1])
-            log[there & ~hit] += np.log(backoff)
-        else:
-            log[hit] += np.log(of[0][hit])
-            sized |= hit
+        hit = there & (of[n - 1] >= seen)
+        at = np.flatnonzero(hit)
+        log[at] += np.log(of[n - 1][at]) - np.log(of[n - 2][at - 1])
+        log[there & ~hit] += np.log(backoff)
         open_ &= ~hit
-    doc = np.repeat(np.arange(len(texts)), counts)
-    sums = lambda x: np.bincount(doc, weights=x, minlength=len(texts))
-    return sums(log), sums(sized).astype(np.int64), counts
+    log[open_] += np.log(of[0][open_])
+    doc = np.repeat(np.arange(len(counts)), counts)
+    sums = lambda x: np.bincount(doc, weights=x, minlength=len(counts))
+    return sums(log), sums(open_).astype(np.int64)
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, backoff: float = BACKOFF, seen: int = SEEN) -> DataFrame:
@@ -112,64 +188,56 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
 
     Texts are dealt by hash to chunks. A chunk's distinct n-grams, each once with its count, go as
     sorted blocks to the partitions of the count table, by the first bits of the hash. A
-    partition adds up the counts and joins them back to every block; the chunk's documents then
-    look up their n-grams and sum. However common an n-gram, it is one entry for each chunk,
-    and neither a chunk nor a partition grows with the input. n-grams are compared by 64-bit hashes.
+    partition adds up the counts and joins them back to every block (``totals_of``); the chunk's
+    documents then look up their n-grams and sum. However common an n-gram, it is one entry for
+    each chunk, and neither a chunk nor a partition grows with the input. Words and pairs are
+    counted first; of n-grams of three and more those go whose shorter ones are all seen often
+    enough, without which they can't be. n-grams are compared by 64-bit hashes.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     chars = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     n_chunks = max(1, -(-chars // CHUNK_CHARS))
-    bits = max(0, int(chars / 4 * order / PART_GRAMS)).bit_length()
+    levels = 1
+    while FAN**levels < n_chunks:
+        levels += 1
+    fan = next(k for k in range(1, FAN + 1) if k**levels >= n_chunks)
+    bits = max(0, ceil(np.log2(fan * CHUNK_CHARS / 2 / PART_GRAMS)))
     # the row, not its id, decides: rows of one id needn't meet in a chunk
-    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(n_chunks)))
+    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(n_chunks))).groupBy("_chunk")
+
+    def known(chunk: pa.Table, answers: pa.Table | None) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+        by_order, words = grams(chunk.column("_text").to_pylist(), order)
+        every = answers.column("_round").to_numpy() if answers is not None else np.zeros(0)
+        rounds = [joined(answers.filter(pa.array(every == k))) for k in range(int(every.max()) + 1 if len(every) else 0)]
+        return by_order, words, counts_at(by_order, rounds, seen)
 
     def ask(key: tuple, chunk: pa.Table) -> pa.Table:
-        texts = chunk.column("_text").to_pylist()
-        out: list[tuple] = []
-        for n, hashes in enumerate(grams(texts, order)[0], 1):
-            own, count = distinct(hashes)
-            for part, a, b in blocks(own, bits):
-                out.append((n, part, key[0].as_py(), packed(own[a:b]), count[a:b].astype(np.uint32).tobytes()))
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.table([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["_n", "_part", "_chunk", "_grams", "_counts"])
-
-    def count(part: pa.Table) -> pa.Table:
-        parts = [unpacked(x) for x in part.column("_grams").to_pylist()]
-        sizes = np.cumsum([0] + [len(p) for p in parts])
-        every = np.concatenate(parts)
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in part.column("_counts").to_pylist()]).astype(np.int64)
-        order_ = np.argsort(every, kind="stable")
-        ranked = every[order_]
-        first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        total = np.add.reduceat(counts[order_], first)
-        joined = np.empty(len(every), np.int64)
-        joined[order_] = np.repeat(total, np.diff(np.append(first, len(every))))
-        packed = [joined[a:b].astype(np.uint64 if joined[a:b].max() >> 32 else np.uint32).tobytes() for a, b in zip(sizes, sizes[1:], strict=False)]
-        wide = [bool(joined[a:b].max() >> 32) for a, b in zip(sizes, sizes[1:], strict=False)]
-        return pa.table([part.column("_chunk"), part.column("_n"), part.column("_part"), pa.array(wide), pa.array(packed, pa.binary())], names=["_chunk", "_n", "_part", "_wide", "_totals"])
+        return ask_more(key, chunk, None)
+
+    def ask_more(key: tuple, chunk: pa.Table, answers: pa.Table | None) -> pa.Table:
+        by_order, _, of = known(chunk, answers)
+        return sent(*distinct(np.concatenate(asked_for(by_order, of, seen))), key[0].as_py(), bits)
 
     def add_up(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = chunk.column("_text").to_pylist()
-        sent = sorted(zip(*(answers.column(c).to_pylist() for c in ("_n", "_part", "_wide", "_totals")), strict=True))
-        found = []
-        for n, hashes in enumerate(grams(texts, order)[0], 1):
-            own, _ = distinct(hashes)
-            totals = [np.frombuffer(x, np.uint64 if w else np.uint32).astype(np.int64) for m, _, w, x in sent if m == n]
-            found.append((own, np.concatenate([*totals, np.zeros(0, np.int64)])))
-        log, sized, words = scores(texts, found, backoff, seen)
+        by_order, words, of = known(chunk, answers)
+        of += [np.zeros(len(by_order[0]), np.int64)] * (order - len(of))  # nothing was asked for
+        log, sized = scores(by_order, words, of, backoff, seen)
         return pa.table([chunk.column("_id"), pa.array(words.astype(np.int64)), pa.array(log), pa.array(sized)], names=["_id", "_words", "_log", "_sized"])
 
-    asked = dealt.groupBy("_chunk").applyInArrow(ask, "_n int, _part long, _chunk long, _grams binary, _counts binary")
-    answers = asked.groupBy("_n", "_part").applyInArrow(count, "_chunk long, _n int, _part long, _wide boolean, _totals binary")
-    summed = checkpointed(dealt.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(add_up, f"_id {kind}, _words long, _log double, _sized long"))
+    answers = None
+    for k in range(max(1, order - 1)):
+        asked = dealt.applyInArrow(ask, BLOCKS) if answers is None else dealt.cogroup(answers.groupBy("_of")).applyInArrow(ask_more, BLOCKS)
+        found = totals_of(asked, n_chunks, fan, bits).withColumn("_round", F.lit(k))
+        answers = found if answers is None else answers.unionByName(found)
+    summed = checkpointed(dealt.cogroup(answers.groupBy("_of")).applyInArrow(add_up, f"_id {kind}, _words long, _log double, _sized long"))
     size = summed.agg(F.sum("_words").cast("double").alias("_all"))
     log = F.when(F.col("_words") > 0, F.col("_log") - F.col("_sized") * F.log("_all")).otherwise(F.lit(0.0))
     return summed.join(F.broadcast(size)).select(F.col("_id").alias(id_col), F.col("_words").alias("n_words"), log.alias("log_score"), F.when(F.col("_words") > 0, log / F.col("_words")).alias("mean_log_score"))
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_words, log_score and mean_log_score (to four decimals) of every document, from trigrams of all documents; as of ``lm_scores``."""
     return lm_scores(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 4).alias("mean_log_score"))
 
 
@@ -178,13 +246,17 @@ WITH w AS (
   SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place
   FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)
 ), p AS (
-  SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS prior FROM w
+  SELECT doc_id, word, lag(word) OVER o AS prior, lag(word, 2) OVER o AS before FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY place)
 ), c1 AS (SELECT word, count(*) AS n FROM w GROUP BY word
 ), c2 AS (SELECT prior, word, count(*) AS n FROM p WHERE prior IS NOT NULL GROUP BY prior, word
+), c3 AS (SELECT before, prior, word, count(*) AS n FROM p WHERE before IS NOT NULL GROUP BY before, prior, word
 ), s AS (
-  SELECT p.doc_id, CASE WHEN c2.n >= 2 THEN ln(c2.n) - ln(b.n)
-    ELSE (CASE WHEN p.prior IS NULL THEN 0 ELSE ln(0.4) END) + ln(c1.n) - ln((SELECT count(*) FROM w)) END AS l
-  FROM p JOIN c1 ON c1.word = p.word LEFT JOIN c2 ON c2.prior = p.prior AND c2.word = p.word LEFT JOIN c1 b ON b.word = p.prior
+  SELECT p.doc_id, CASE WHEN c3.n >= 2 THEN ln(c3.n) - ln(b2.n) ELSE (CASE WHEN p.before IS NULL THEN 0 ELSE ln(0.4) END) +
+    CASE WHEN c2.n >= 2 THEN ln(c2.n) - ln(b1.n)
+    ELSE (CASE WHEN p.prior IS NULL THEN 0 ELSE ln(0.4) END) + ln(c1.n) - ln((SELECT count(*) FROM w)) END END AS l
+  FROM p JOIN c1 ON c1.word = p.word
+    LEFT JOIN c2 ON c2.prior = p.prior AND c2.word = p.word LEFT JOIN c1 b1 ON b1.word = p.prior
+    LEFT JOIN c3 ON c3.before = p.before AND c3.prior = p.prior AND c3.word = p.word LEFT JOIN c2 b2 ON b2.prior = p.before AND b2.word = p.prior
 ), t AS (SELECT doc_id, count(*) AS n_words, sum(l) AS l FROM s GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(l, 0), 4) AS log_score, round(l / n_words, 4) AS mean_log_score
 FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id
