@@ -81,7 +81,7 @@ def word_table() -> np.ndarray:
 
 _words: np.ndarray | None = None
 #: Items up to which a span is hashed two at a time beside others; longer spans are digested one by one.
-SHORT = 64
+SHORT = 128
 
 
 def span_hashes(units: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -9,11 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import MIX, in_arrow, mixed, power_tables, text_slices
+from lodestone.llm.common import in_arrow, span_hashes, text_slices
 from lodestone.sources.tables import table
 
-#: Bytes that the rolling hash sees, and the mean length of a chunk in bytes.
-GEAR_BYTES, MEAN = 16, 24
+#: Bytes that the rolling hash sees, and from how many positions on average one is a candidate.
+GEAR_BYTES, MEAN = 16, 16
+#: Bytes of a chunk: at least, but where a text ends, and at most, but for the rest of a code point.
+SHORTEST, LONGEST = 12, 128
+#: How often a chunk that is too long is cut where its hash is least, before it is cut by length.
+ROUNDS = 3
 #: Code points of repeated text in a row from which on it counts as a passage; of a passage of over
 #: 50 words more than that lies between its first and its last boundary.
 LEAST = 100
@@ -37,38 +41,73 @@ def gear_hashes(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each chunk of the texts in order: the text's number, its start and end there in code
-    points, and a 64-bit digest.
+def boundaries(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the chunks of one text end (the byte after each), from its gear hashes and the bytes after which a code point ends.
 
-    A chunk ends after a byte at which the gear hash is small, if a code point ends there too, or
-    where its text ends. What was before the hash's 16 bytes has no say, so after an
-    insertion the boundaries are the old ones again.
+    A byte at which the hash is small is a candidate; it counts if there is no other among the
+    ``SHORTEST`` - 1 before it. Both depend on what stands just there alone, so after an insertion
+    the boundaries are the old ones again. A chunk above ``LONGEST``, as in a text that repeats a
+    short period, is cut where its hash is least, in a period each time.
     """
-    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    small = np.flatnonzero((h < (1 << 16) // MEAN) & ends)
+    cuts = small[np.diff(small, prepend=-SHORTEST) >= SHORTEST] + 1
+    cuts = np.append(cuts[cuts < len(h)], len(h))
+    for k in range(ROUNDS + 1):
+        begin = np.concatenate(([0], cuts[:-1]))
+        long = np.flatnonzero(cuts - begin > LONGEST)
+        if not len(long):
+            break
+        more = [cuts]
+        for a, b in zip(begin[long].tolist(), cuts[long].tolist(), strict=True):
+            inner = np.flatnonzero(ends[a + SHORTEST - 1 : b - SHORTEST]) + a + SHORTEST - 1
+            if k < ROUNDS:
+                inner = inner[h[inner] == h[inner].min()] if len(inner) else inner
+                more.append(spaced(inner + 1, SHORTEST))
+            else:
+                more.append(spaced(inner + 1, LONGEST - SHORTEST))
+        cuts = np.unique(np.concatenate(more))
+    return cuts
+
+
+def spaced(places: np.ndarray, least: int) -> np.ndarray:
+    """Of ascending places those that are ``least`` or more after the last one taken, from the first on."""
+    out, k = [], 0
+    while k < len(places):
+        out.append(places[k])
+        k = int(np.searchsorted(places, places[k] + least))
+    return np.array(out, np.int64)
+
+
+def chunks(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each chunk of the texts in order: the text's number, its start and end there in code
+    points, and a 64-bit digest."""
+    parts = [np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8) for t in texts]
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    raw = np.frombuffer(b"".join(parts), np.uint8)
-    if not len(raw):
+    if not sizes.sum():
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    stops = np.cumsum(sizes)
-    h = np.concatenate([gear_hashes(raw[e - n : e]) for n, e in zip(sizes.tolist(), stops.tolist(), strict=True)])
+    raw = np.concatenate(parts)
     leads = (raw & 0xC0) != 0x80
-    cut = h < (1 << 16) // MEAN
-    cut[:-1] &= leads[1:]
-    cut[stops[sizes > 0] - 1] = True
-    end = np.flatnonzero(cut) + 1
+    ends = np.append(leads[1:], True)
+    stops = np.cumsum(sizes)
+    end = np.concatenate([boundaries(gear_hashes(part), ends[e - len(part) : e]) + (e - len(part)) for part, e in zip(parts, stops.tolist(), strict=True) if len(part)])
     begin = np.concatenate(([0], end[:-1]))
     of = np.searchsorted(stops, begin, side="right")
     points = np.concatenate(([0], np.cumsum(leads)))
     base = points[(stops - sizes)[of]]
-    up, down = power_tables(len(raw) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], dtype=np.uint64)))
-    digest = mixed((sums[end] - sums[begin]) * down[begin] ^ (end - begin).astype(np.uint64) * MIX)
-    return of, points[begin] - base, points[end] - base, digest
+    return of, points[begin] - base, points[end] - base, span_hashes(raw, begin, end)
+
+
+def again(of: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Whether a chunk's digest was in its own text before."""
+    order = np.lexsort((digest, of))  # stable
+    same = (of[order][1:] == of[order][:-1]) & (digest[order][1:] == digest[order][:-1])
+    out = np.zeros(len(of), bool)
+    out[order[1:]] = same
+    return out
 
 
 def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_id, _start, _end and _digest of each chunk."""
+    """_id, _start, _end and _digest of each chunk; _again, if it was in the same text before."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,20 +115,22 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             for first, texts in text_slices(batch.column(1)):
                 of, start, end, digest = chunks(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(of + first)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(digest.view(np.int64))],
-                    names=["_id", "_start", "_end", "_digest"],
+                    [batch.column(0).take(pa.array(of + first)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(digest.view(np.int64)), pa.array(again(of, digest))],
+                    names=["_id", "_start", "_end", "_digest", "_again"],
                 )
 
-    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _start int, _end int, _digest long")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _start int, _end int, _digest long, _again boolean")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, whole: bool = False) -> DataFrame:
-    """The passages of at least ``least`` code points that consist of chunks found in several documents.
+    """The passages of at least ``least`` code points that consist of chunks found more than once, in
+    several documents or in one.
 
     A row for each passage of each document: id, start, end (code points, end exclusive), n_chars,
-    first_doc (the smallest id among the holders of its chunks) and kept: true where this document
-    is the first holder of all of them, so that the passage stays here and goes elsewhere. Null and
-    empty texts have no passage. Rows that repeat an id count as one document.
+    first_doc (the smallest id among the holders of its chunks) and kept: true where this is the
+    first place of all of them, so that the passage stays here and goes elsewhere; of places in
+    one document the first counts. Null and empty texts have no passage. Rows that repeat an id
+    count as one document, as do all rows of null ids, which come last.
 
     Short chunks of a passage are often in some earlier document as well. With ``whole``, less than
     ``least`` code points of these in a row are part of the passage around them, which its first
@@ -98,13 +139,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Chunks are one if their 64-bit digests agree, into which content and length go. Counts cross an exchange as one
     row for each digest and map task, so a chunk that a third of all documents hold is no
-    burden there; in the join back Spark splits its partition. Of what repeats within one
-    document only nothing is reported, nor of a period so short that the hash never ends a chunk in it.
+    burden there; in the join back Spark splits its partition.
     """
     found = chunked(docs, id_col, text_col)
-    held = found.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last")
+    several = (F.col("_first") < F.col("_last")) | F.col("_repeats") | (F.col("_nulls") & F.col("_first").isNotNull())
+    held = found.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.max("_again").alias("_repeats"), F.max(F.col("_id").isNull()).alias("_nulls")).where(several)
     held = held.select(F.col("_digest").alias("_held"), "_first")
-    shared = found.join(held, F.col("_digest") == F.col("_held")).select("_id", "_start", "_end", "_first", (F.col("_id") == F.col("_first")).alias("_kept"))
+    kept = F.col("_id").eqNullSafe(F.col("_first")) & ~F.col("_again")
+    shared = found.join(held, F.col("_digest") == F.col("_held")).select("_id", "_start", "_end", "_first", kept.alias("_kept"))
     shared = shared.groupBy("_id", "_start", "_end").agg(F.min("_first").alias("_first"), F.min("_kept").alias("_kept"))
     order = Window.partitionBy("_id").orderBy("_start", "_end")
     touches = F.lag("_end").over(order) == F.col("_start")
@@ -126,4 +168,5 @@ def joined(parts: DataFrame, on: Column) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole passages of 100 code points or more that are in several places of all documents; as of ``repeated_passages``."""
     return repeated_passages(table(spark, sf_dir, "documents"), whole=True)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from lodestone.llm import substring_dedup as D
 
@@ -32,23 +33,33 @@ def test_chunks_cover_texts_and_resist_shifts():
         assert pieces.setdefault(d, texts[k][a:b]) == texts[k][a:b]
     one, two = set(digest[of == 0].tolist()), set(digest[of == 2].tolist())
     assert len(one - two) <= 3 and len(two - one) <= 4
+    assert all(b - a <= D.LONGEST + 3 for a, b in zip(start.tolist(), end.tolist(), strict=True))
     alone = D.chunks([texts[2]])
     assert alone[3].tolist() == digest[of == 2].tolist() and alone[1].tolist() == start[of == 2].tolist()
 
 
-def brute(rows, least=D.LEAST):
-    holders, lists = {}, {}
+def places(rows):
+    """By document its chunks in order, (start, end, digest, whether it was there before); by digest its documents, and those found more than once."""
+    holders, lists, repeated = {}, {}, set()
     for k, t in rows:
         _, start, end, digest = D.chunks([t or ""])
-        lists.setdefault(k, set()).update(zip(start.tolist(), end.tolist(), digest.tolist(), strict=True))
-        for d in digest.tolist():
+        seen = set()
+        for a, b, d in zip(start.tolist(), end.tolist(), digest.tolist(), strict=True):
+            lists.setdefault(k, []).append((a, b, d, d in seen))
+            repeated |= {d} & (seen | {x for x in holders if holders[x] - {k}})
+            seen.add(d)
             holders.setdefault(d, set()).add(k)
+    return holders, lists, repeated
+
+
+def brute(rows, least=D.LEAST):
+    holders, lists, repeated = places(rows)
     out = set()
     for k, own in lists.items():
         run = None
-        for a, b, d in [*sorted(own), (-1, -1, None)]:
-            shared = d is not None and len(holders[d]) > 1
-            kept = shared and min(holders[d]) == k
+        for a, b, d, before in [*own, (-1, -1, None, False)]:
+            shared = d in repeated
+            kept = shared and min(holders[d]) == k and not before
             if run and not (shared and run[1] == a and run[3] == kept):
                 if run[1] - run[0] >= least:
                     out.add((k, *run))
@@ -80,27 +91,26 @@ def test_nulls_repeats_and_empty(spark, nothing):
     rows = [(1, long), (1, long), (2, None), (3, "")]
     assert D.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
     got = D.repeated_passages(spark.createDataFrame([*rows, (4, long), (4, long), (None, long)], "doc_id long, text string")).collect()
-    assert sorted((r.doc_id, r.kept) for r in got if r.doc_id is not None) == [(1, True), (4, False)]
+    assert sorted((r.doc_id, r.first_doc, r.kept) for r in got if r.doc_id is not None) == [(1, 1, True), (4, 1, False)]
+    assert [(r.first_doc, r.kept) for r in got if r.doc_id is None] == [(1, False)]
+    got = D.repeated_passages(spark.createDataFrame([(None, long), (2, ""), (None, long)], "doc_id long, text string")).collect()
+    assert got == []
     assert D.repeated_passages(nothing).count() == 0
 
 
 def brute_whole(rows, least=D.LEAST):
-    holders, lists = {}, {}
-    for k, t in rows:
-        _, start, end, digest = D.chunks([t or ""])
-        lists.setdefault(k, set()).update(zip(start.tolist(), end.tolist(), digest.tolist(), strict=True))
-        for d in digest.tolist():
-            holders.setdefault(d, set()).add(k)
+    holders, lists, repeated = places(rows)
     out = set()
     for k, own in lists.items():
         parts = []
-        for a, b, d in sorted(own):
-            first = min(holders[d])
-            if len(holders[d]) > 1:
-                if parts and parts[-1][1] == a and parts[-1][3] == (first == k):
-                    parts[-1] = (parts[-1][0], b, min(parts[-1][2], first), first == k)
+        for a, b, d, before in own:
+            if d in repeated:
+                first = min(holders[d])
+                kept = first == k and not before
+                if parts and parts[-1][1] == a and parts[-1][3] == kept:
+                    parts[-1] = (parts[-1][0], b, min(parts[-1][2], first), kept)
                 else:
-                    parts.append((a, b, first, first == k))
+                    parts.append((a, b, first, kept))
         runs, apart = [], True
         for a, b, first, kept in parts:
             other = not kept and b - a >= least
@@ -134,3 +144,28 @@ def test_query_reports_a_passage_whose_short_chunks_are_elsewhere(spark, tmp_pat
     assert got[1000].kept and got[1000].first_doc == 1000 and not got[1001].kept
     at = first.index(passage)
     assert got[1000].start <= at + inner[0][0] and got[1000].end >= at + inner[-1][1]
+
+
+def test_repeats_within_a_document(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    passage = text(60)
+    rows = [(1, f"{text(40)} {passage} {text(30)} {passage} {text(20)}"), (2, text(150))]
+    got = sorted(D.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.first_doc, r.kept) for r in got] == [(1, 1, True), (1, 1, False)]
+
+
+@pytest.mark.parametrize("period", ["a", "ab", "word ", "é😀", "etaoin shrdlu x", "0123456789" * 3])
+def test_periodic_passages_are_chunked_alike_wherever_they_are(spark, period):
+    run = period * (400 // len(period))
+    rows = [(1, f"some words before {run} and after"), (2, f"others {run}"), (3, f"{run}tail of another kind")]
+    assert all(max(e - s for s, e in zip(a.tolist(), b.tolist(), strict=True)) <= D.LONGEST for _, a, b, _ in [D.chunks([t]) for _, t in rows])
+    got = D.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect()
+    assert {r.doc_id for r in got} == {1, 2, 3}
+    assert sum(r.n_chars for r in got if r.doc_id != 1) > 400
+
+
+def test_long_texts_without_boundaries():
+    for text in ("z" * 300_000, "ab" * 100_000, "\0" * 70_000):
+        _, start, end, digest = D.chunks([text])
+        assert end[-1] == len(text) and (end - start).max() <= D.LONGEST and len(set(digest.tolist())) < 20
