@@ -23,38 +23,37 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows meet in three stages, each of which groups by the full content, never by a digest
     alone: within a map partition (the aggregate before the first exchange), within a salt of
     the digest, and over the salts. A group that holds a third of all rows reaches a task as one
-    row for each map partition of its salt, then as one row for each salt.
+    row for each map partition of its salt, then as one row for each salt. What a group is called
+    goes back to its rows salt by salt as well.
 
     Returns a row for each input row: the id, keep_id (the smallest id of the group), group_size,
     kept and text_sha256 (of the normalised text). Null text counts as empty. Ids that are null
     come last in a group. Where an id repeats with the same text, one of the rows is kept.
     Columns besides the id and the text are not read.
     """
+    of_id = lambda c: F.pmod(F.xxhash64(c), F.lit(salts))
     rows = docs.select(
         F.col(id_col).alias("_id"),
         F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITE_SPACE, " ").alias("_norm"),
-    ).withColumn("_sha", F.sha2("_norm", 256))
-    salted = (
-        rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)))
-        .groupBy("_sha", "_salt", "_norm")
-        .agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
-    )
+        of_id(id_col).alias("_salt"),
+    ).withColumn("_sha", F.unhex(F.sha2("_norm", 256)))
+    salted = rows.groupBy("_sha", "_salt", "_norm").agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
     groups = salted.groupBy("_sha", "_norm").agg(F.min("_keep").alias("_keep"), F.sum("_n").alias("_n"))
     # contents were told apart in full; that the digest names just one of them is checked, not assumed
     named = groups.groupBy("_sha").agg(F.min("_keep").alias("_keep"), F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_contents"))
-    named = named.select(
-        F.col("_sha").alias("_named"),
-        "_keep",
-        F.when(F.col("_contents") == 1, F.col("_n")).otherwise(F.raise_error(F.lit("two contents have one SHA-256")).cast("long")).alias("_n"),
-    )
-    repeat = F.row_number().over(Window.partitionBy("_sha", "_id").orderBy(F.lit(1)))
-    members = rows.select("_id", "_sha").withColumn("_repeat", repeat)
-    return members.join(named, F.col("_sha") == F.col("_named")).select(
+    size = F.when(F.col("_contents") == 1, F.col("_n")).otherwise(F.raise_error(F.lit("two contents have one SHA-256")).cast("long"))
+    # a row of a group of one is in its own id's salt; others may be in any
+    every = F.when(F.col("_n") == 1, F.array(of_id("_keep"))).otherwise(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
+    named = named.select(F.col("_sha").alias("_named"), "_keep", size.alias("_n"), F.explode(every).alias("_of"))
+    # equal ids are in one salt, so that the join's exchange serves this window as well
+    repeat = F.row_number().over(Window.partitionBy("_sha", "_salt", "_id").orderBy(F.lit(1)))
+    members = rows.select("_id", "_sha", "_salt").join(named, (F.col("_sha") == F.col("_named")) & (F.col("_salt") == F.col("_of"))).withColumn("_repeat", repeat)
+    return members.select(
         F.col("_id").alias(id_col),
         F.col("_keep").alias("keep_id"),
         F.col("_n").alias("group_size"),
         (F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_repeat") == 1)).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
+        F.lower(F.hex("_sha")).alias("text_sha256"),
     )
 
 
@@ -95,6 +94,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its equals, their number and the digest; as of ``exact_dedup``."""
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 

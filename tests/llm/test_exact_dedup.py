@@ -2,7 +2,7 @@ import hashlib
 import re
 from collections import defaultdict
 
-from lodestone.llm.exact_dedup import exact_dedup, keep_one_of_each
+from lodestone.llm.exact_dedup import exact_dedup, keep_one_of_each, op7_exact_dedup
 
 
 def brute(rows):
@@ -46,3 +46,21 @@ def test_repeated_rows_stay_once(spark):
 def test_empty_table(nothing):
     assert exact_dedup(nothing).count() == 0
     assert keep_one_of_each(nothing).count() == 0
+
+
+def test_query_on_a_table(spark, documents, tmp_path):
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op7_exact_dedup(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    rows = got.collect()
+    assert {tuple(r) for r in rows} == brute(documents) and len(rows) == len(documents)
+
+
+def test_a_hot_group_goes_back_to_its_rows_by_salts(spark):
+    rows = [(k, "same text") for k in range(400)] + [(k, f"text {k}") for k in range(400, 500)]
+    plan = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), salts=8)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("hashpartitioning(_sha") >= 2 and "hashpartitioning(_named" in text
+    joins = [x for x in text.splitlines() if "Join" in x]
+    assert joins and all("_salt" in x and "_of" in x for x in joins)
+    assert len(plan.collect()) == 500
