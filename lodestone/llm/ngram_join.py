@@ -19,12 +19,12 @@ from lodestone.sources.tables import table
 
 WORDS = 5
 THRESHOLD = 0.8
-#: 32 bands of 4 values: a pair at the threshold shares no band once in twenty million.
-HASHES, BANDS = 128, 32
+#: MinHash values of a set, and how often a pair at the threshold may share no band of them, at most.
+HASHES, MISSED = 128, 1e-6
 #: MinHash values that are compared at once, and the posterior below which a pair is dropped.
 STEP, TOLERANCE = 16, 1e-6
-#: Members of a bucket that meet in one task; larger buckets meet block by block.
-BLOCK = 512
+#: Sets of a bucket that meet in one task, and their shingles, about; larger buckets meet block by block.
+BLOCK, BLOCK_ITEMS = 2048, 1_000_000
 PAIRS_AT_ONCE = 1 << 15
 
 
@@ -76,6 +76,11 @@ def minhashes(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
     return out
 
 
+def band_rows(threshold: float, hashes: int = HASHES, missed: float = MISSED) -> int:
+    """The most values of a band with which a pair at the threshold shares a band but for ``missed``: at 0.8 four, 32 bands of which miss one in twenty million."""
+    return next((r for r in range(8, 1, -1) if (1 - threshold**r) ** (hashes // r) <= missed), 1)
+
+
 def least_matches(threshold: float, tolerance: float = TOLERANCE, hashes: int = HASHES, step: int = STEP) -> list[tuple[int, int]]:
     """(n, m): of n values compared, fewer than m equal ones leave a pair with a posterior
     probability below ``tolerance`` of reaching the threshold, from a uniform prior.
@@ -195,14 +200,14 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
     return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _key binary, _n long, _sig binary")
 
 
-def places(sets: DataFrame) -> DataFrame:
-    """_key, _first, _weight and _sig of the sets that share a bucket with another; _own: for each
-    band its bucket, or 0; _in: the different buckets and their sizes.
+def places(sets: DataFrame, rows: int) -> DataFrame:
+    """_key, _n, _first, _weight and _sig of the sets that share a bucket with another; _own: for each
+    band of ``rows`` values its bucket, or 0; _in: the different buckets and their sizes.
 
     A bucket is named by the least of its bands' hashes; bands with the same members are one bucket.
     """
-    width = 4 * HASHES // BANDS
-    hashes = [F.xxhash64(F.lit(k), F.expr(f"substring(_sig, {1 + k * width}, {width})")) for k in range(BANDS)]
+    n_bands = HASHES // rows
+    hashes = [F.xxhash64(F.lit(k), F.expr(f"substring(_sig, {1 + k * 4 * rows}, {4 * rows})")) for k in range(n_bands)]
     bands = sets.select("_key", F.posexplode(F.array(*hashes)).alias("_band", "_hash"))
     buckets = (
         bands.groupBy("_hash")
@@ -212,13 +217,24 @@ def places(sets: DataFrame) -> DataFrame:
     same = buckets.groupBy("_size", "_x", "_y").agg(F.min("_hash").alias("_bucket"))
     named = buckets.join(same, ["_size", "_x", "_y"]).select("_hash", "_bucket", "_size")
     placed = merged(checkpointed(bands.join(named, "_hash").select("_key", "_band", "_bucket", "_size")))
-    own = F.array(*[F.coalesce(F.element_at("_map", F.lit(k)), F.lit(0).cast("long")) for k in range(BANDS)])
+    own = F.array(*[F.coalesce(F.element_at("_map", F.lit(k)), F.lit(0).cast("long")) for k in range(n_bands)])
     at = (
         placed.groupBy("_key")
         .agg(F.map_from_entries(F.collect_list(F.struct("_band", "_bucket"))).alias("_map"), F.collect_set(F.struct("_bucket", "_size")).alias("_in"))
         .select("_key", own.alias("_own"), "_in")
     )
-    return sets.join(at, "_key").select("_key", "_first", "_weight", "_sig", "_own", "_in")
+    return sets.join(at, "_key").select("_key", "_n", "_first", "_weight", "_sig", "_own", "_in")
+
+
+def in_parts(candidates: DataFrame) -> DataFrame:
+    """A row for each set and bucket, with the bucket's number of parts.
+
+    There are as many as its sets and their shingles need.
+    """
+    placed = candidates.select("*", F.inline("_in")).drop("_in")
+    heavy = placed.groupBy("_bucket").agg(F.sum("_n").alias("_items")).where(F.col("_items") > BLOCK_ITEMS).withColumnRenamed("_bucket", "_heavy")
+    most = F.greatest(F.ceil(F.col("_size") / BLOCK), F.ceil(F.coalesce("_items", F.lit(0)) / BLOCK_ITEMS))
+    return placed.join(sent_if_small(checkpointed(heavy)), F.col("_bucket") == F.col("_heavy"), "left").withColumn("_parts", most.cast("int")).drop("_heavy", "_items")
 
 
 def merged(placed: DataFrame) -> DataFrame:
@@ -272,8 +288,7 @@ def met(candidates: DataFrame, words: int, threshold: float) -> DataFrame:
             found += block_links(members, at[0], at[1:], threshold, least)
         yield batch_of()
 
-    parts = F.ceil(F.col("_size") / BLOCK).cast("int")
-    placed = candidates.select("*", F.inline("_in")).withColumn("_parts", parts).withColumn("_part", F.pmod(F.xxhash64("_key"), F.col("_parts")).cast("int"))
+    placed = in_parts(candidates).withColumn("_part", F.pmod(F.xxhash64("_key"), F.col("_parts")).cast("int"))
     paired = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     columns = ["_bucket", F.least("_part", "_other").alias("_i"), F.greatest("_part", "_other").alias("_j"), "_part", "_key", "_weight", "_sig", "_own", "_text"]
     dealt = paired.select(*columns).repartition("_bucket", "_i", "_j").sortWithinPartitions("_bucket", "_i", "_j")
@@ -290,13 +305,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows with equal sets become one before any of them meets another. Sets that share a band of
     MinHash values meet in buckets; buckets with the same members, and large ones that overlap by
-    half, are one. A bucket is dealt in
-    blocks of at most about ``BLOCK`` sets, so that no task holds more than two blocks, and what
-    leaves a block is a row for each of its sets, not for each pair.
+    half, are one. A bucket is dealt in blocks of at most about ``BLOCK`` sets or ``BLOCK_ITEMS``
+    shingles, so that no task holds more than two blocks, and what leaves a block is a row for
+    each of its sets, not for each pair. Every pair of different sets of a bucket has to be
+    counted, so a group of S near copies that differ costs S * S comparisons, and S * S / ``BLOCK``
+    texts cross the exchange.
     """
     base = checkpointed(signed(docs, id_col, text_col, words))
     sets = base.where("_n > 0").groupBy("_key", "_n", "_sig").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_weight"))
-    candidates = checkpointed(places(sets))
+    candidates = checkpointed(places(sets, band_rows(threshold)))
     texts = docs.select(F.col(id_col).alias("_of"), F.col(text_col).alias("_text"))
     # first, by ids alone, to the texts that are needed
     needed = texts.join(sent_if_small(candidates.select("_first")), F.col("_first").eqNullSafe(F.col("_of")), "left_semi")
@@ -329,6 +346,7 @@ def keep_one_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """class_id and n_links of every document, of five-word shingles at a similarity of 0.8; as of ``ngram_join``."""
     return ngram_join(table(spark, sf_dir, "documents"))
 
 

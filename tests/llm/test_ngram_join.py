@@ -13,9 +13,9 @@ def shingle_set(text, n=5):
     return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows, threshold=0.8):
+def brute(rows, threshold=0.8, words=5):
     """doc_id -> (class_id, n_links), for distinct ids."""
-    sets = {k: shingle_set(t) for k, t in rows}
+    sets = {k: shingle_set(t, words) for k, t in rows}
     up, links = {k: k for k in sets}, Counter()
 
     def root(k):
@@ -43,8 +43,37 @@ def test_matches_brute_force(docs, documents):
     assert sum(n > 0 for _, n in expected.values()) > 20
 
 
-def test_large_bucket_meets_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK", 8)
+@pytest.mark.parametrize(("words", "threshold"), [(5, 0.5), (3, 0.65), (2, 0.9)])
+def test_other_shingles_and_thresholds(docs, documents, words, threshold):
+    got = J.ngram_join(docs, words=words, threshold=threshold)
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got.collect()} == brute(documents, threshold, words)
+
+
+def test_bands_follow_the_threshold():
+    assert [J.band_rows(t) for t in (0.5, 0.7, 0.8, 0.9)] == [2, 3, 4, 6] and J.band_rows(0.05) == 1
+    assert all((1 - t ** J.band_rows(t)) ** (J.HASHES // J.band_rows(t)) <= J.MISSED for t in (0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95))
+
+
+def test_query_on_a_table(spark, documents, tmp_path):
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = J.op2_ngram_join(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "class_id", "n_links"]
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got.collect()} == brute(documents)
+
+
+def test_texts_of_repeated_patterns_are_told_apart(spark):
+    a = "a"
+    for _ in range(10):
+        a += a.translate({97: 98, 98: 97})
+    b = a.translate({97: 98, 98: 97})
+    rows = [(1, a), (2, b), (3, f"{a} {b}"), (4, f"{b} {a}")]
+    assert {r.doc_id: (r.class_id, r.n_links) for r in J.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {k: (k, 0) for k in (1, 2, 3, 4)}
+
+
+@pytest.mark.parametrize(("block", "items"), [(8, 1_000_000), (2048, 1000)])
+def test_large_bucket_meets_in_blocks(spark, monkeypatch, block, items):
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "BLOCK_ITEMS", items)
     base = [f"w{k}" for k in range(120)]
     rows = [(k, " ".join(base[:k] + ["odd"] + base[k:])) for k in range(0, 120, 2)] + [(1000 + k, " ".join(base)) for k in range(5)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
