@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -15,6 +17,9 @@ TOKEN = r"[\p{L}\p{M}\p{N}]{1,8}|[^\p{L}\p{M}\p{N}\x20\x09-\x0D]{1,8}"
 #: A k-mer of 9 tokens has 8 inner s-mers of 2, its window; a quarter of all k-mers are anchors.
 INNER, WINDOW = 2, 8
 K = INNER + WINDOW - 1
+#: What is worked on at once: code points, and tokens in two steps.
+CHARS, LARGE, SMALL = 30_000, 1 << 16, 1 << 11
+SLICE = rf"(?s).{{1,{CHARS}}}+[^\x20\x09-\x0D]{{0,{CHARS}}}+"
 #: Bits of an anchor's hash, and of its position beside it.
 HASH_BITS, POS_BITS = 32, 31
 #: Anchors match if they are off from the usual offset by at most this part of the longer text.
@@ -27,6 +32,11 @@ NO_ID = -(1 << 62)
 NONE = "cast(array() as array<bigint>)"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
     """The rows with the closed syncmers of a text column, in order: each a hash of 32 bits and, in the lower 31, the number of its first token.
 
@@ -34,27 +44,34 @@ def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
     Whether it does depends on the k-mer alone, so a k-mer that two texts share is an anchor in
     both. A text of fewer tokens, but not an empty one, has one anchor, the whole text, at 0.
 
-    Each step is a column of its own, so that none is computed twice; the least of 8 neighbours
-    is found by doubling: of 2, 4, 8.
+    A text is worked on slice by slice, of ``CHARS`` code points and on to white space (or as many more
+    without any), then of tokens that overlap by a k-mer, so that of a very long one only its hashes
+    and its anchors are held in full.
     """
-    shifted = lambda a, n: F.slice(a, n + 1, F.greatest(F.size(a), F.lit(1)))
-    rows = rows.withColumn("_t", F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda s: F.xxhash64(s)))
-    rows = rows.withColumn("_h", F.zip_with("_t", shifted("_t", 1), lambda a, b: F.xxhash64(a, b))).drop("_t")
-    least, step = "_h", 1
-    while step < WINDOW:
-        rows = rows.withColumn(f"_m{2 * step}", F.zip_with(least, shifted(least, step), lambda a, b: F.least(a, b)))
-        rows = rows if least == "_h" else rows.drop(least)
-        step *= 2
-        least = f"_m{step}"
-    at = lambda a, i: F.get(F.col(a), i)
-    edge = lambda i: (at(least, i) == at("_h", i)) | (at(least, i) == at("_h", i + (WINDOW - 1)))
-    places = F.filter(F.sequence(F.lit(0), F.size("_h") - K), edge)
+    tokens = F.transform(F.regexp_extract_all(text, F.lit(SLICE), F.lit(0)), lambda s: F.transform(F.regexp_extract_all(s, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t)))
+    rows = rows.withColumn("_t", F.flatten(tokens))
+    parts = lambda a, size: F.transform(F.sequence(F.lit(0), F.size(a) - K, F.lit(size)), lambda i: F.slice(a, i + 1, F.lit(size + K - 1)))
+    within = lambda o, n: F.flatten(F.transform(parts(o, SMALL), lambda x, k: anchors(x, n * LARGE + k * SMALL)))
+    found = F.flatten(F.transform(parts(F.col("_t"), LARGE), within))
+    whole = F.array(anchor(F.xxhash64(text), F.lit(0)))
+    return rows.withColumn(out, F.when(F.size("_t") >= K, found).when(F.char_length(text) > 0, whole).otherwise(F.expr(NONE))).drop("_t")
+
+
+def anchors(tokens: Column, begin: Column) -> Column:
+    """The anchors among K tokens or more, of which the first is number ``begin``; the least of 8 neighbours is found by doubling: of 2, 4, 8."""
+    shifted = lambda a, n: F.slice(a, n + 1, F.size(a))
+    pairs = lambda a: F.zip_with(a, shifted(a, INNER - 1), lambda x, y: F.xxhash64(x, y))
+    least = lambda n: lambda a: F.zip_with(a, shifted(a, n), lambda x, y: F.least(x, y))
     # these s-mers cover the k-mer
-    parts = [*range(0, WINDOW, INNER), WINDOW - 1]
-    made = lambda h, i: F.shiftleft(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)), POS_BITS).bitwiseOR(i.cast("long"))
-    found = F.transform(places, lambda i: made(F.xxhash64(*[at("_h", i + n) for n in parts]), i))
-    whole = F.array(made(F.xxhash64(text), F.lit(0)))
-    return rows.withColumn(out, F.when(F.size("_h") >= K, found).when(F.char_length(text) > 0, whole).otherwise(F.expr(NONE))).drop("_h", least)
+    cover = [*range(0, WINDOW, INNER), WINDOW - 1]
+    made = lambda h, i: anchor(F.xxhash64(*[F.get(h, i + n) for n in cover]), begin + i)
+    edge = lambda h, m: lambda i: (F.get(m, i) == F.get(h, i)) | (F.get(m, i) == F.get(h, i + (WINDOW - 1)))
+    places = lambda h, m: F.filter(F.sequence(F.lit(0), F.size(tokens) - K), edge(h, m))
+    return let(pairs(tokens), lambda h: let(let(let(least(1)(h), least(2)), least(4)), lambda m: F.transform(places(h, m), lambda i: made(h, i))))
+
+
+def anchor(hashed: Column, place: Column) -> Column:
+    return F.shiftleft(hashed.bitwiseAND(F.lit((1 << HASH_BITS) - 1)), POS_BITS).bitwiseOR(place.cast("long"))
 
 
 def hash_of(anchor: Column) -> Column:

@@ -79,6 +79,13 @@ def test_edited_matches_brute_force(docs, documents):
     assert result(docs) == ordered(brute(documents))
 
 
+def test_slices_make_no_difference(docs, documents, monkeypatch):
+    monkeypatch.setattr(P, "LARGE", 64)
+    monkeypatch.setattr(P, "SMALL", 16)
+    monkeypatch.setattr(P, "SLICE", r"(?s).{1,100}+[^\x20\x09-\x0D]{0,30000}+")
+    assert result(docs) == ordered(brute(documents))
+
+
 def test_sparse_ids_small_tables_and_the_hierarchy(spark, monkeypatch):
     fox = "The quick brown fox jumps over the lazy dog. "
     rows = [(-5, "abc"), (3, "x" * 50), (5000, None), (5001, ""), (5002, "😀é" * 15), (10**12, fox * 4), (10**12 + 1, "a"), (10**12 + 2, "ab"), (10**15, fox[:19]), (10**15 + 1, fox[:25]), (10**15 + 9000, "0123456789" * 3)]
