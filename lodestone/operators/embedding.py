@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions.sizes import with_queries
 from lodestone.functions.nulls import is_populated
 from lodestone.operators import vectors as W
 
@@ -72,5 +71,4 @@ def query_text(title: str = "title", text: str = "text") -> F.Column:
 
 def candidates(queries: DataFrame, fields: DataFrame, k: int = 6, min_score: float = 0.3) -> DataFrame:
     """The k best fields for each query at or above a score; queries are a stated, small set."""
-    pairs = with_queries(fields, queries).select("query_id", "item_id", W.cosine(F.col("query"), F.col("vector")).alias("score"))
-    return W.top_k(pairs, ["query_id"], k, "item_id").where(F.col("score") >= min_score)
+    return W.top_k(W.similarities(queries, fields), ["query_id"], k, "item_id").where(F.col("score") >= min_score)

@@ -5,19 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.sizes import with_queries
+from lodestone.functions.sizes import sent_if_small, with_queries
 from lodestone.functions import fixed as X
 
 
-def terms(c: Column) -> Column:
-    """The terms of a text in order, stop words left out, repeats kept."""
-    stop = F.array(*map(F.lit, X.STOPWORDS))
-    return F.filter(F.regexp_extract_all(F.lower(c), F.lit(X.TERM), F.lit(0)), lambda t: ~F.array_contains(stop, t))
-
-
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf)."""
-    return docs.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(key, term, tf), stop words left out."""
+    found = docs.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(X.TERM), F.lit(0))).alias("term"))
+    return found.where(~F.col("term").isin(*X.STOPWORDS)).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequencies(counts: DataFrame, n: int, least: int = X.MIN_DOC_FREQUENCY) -> DataFrame:
@@ -29,13 +24,16 @@ def document_frequencies(counts: DataFrame, n: int, least: int = X.MIN_DOC_FREQU
 def weights(counts: DataFrame, frequencies: DataFrame, key: str) -> DataFrame:
     """(key, term, w): (1 + ln tf) * idf, each key's weights of length 1; terms outside the table are dropped."""
     raw = counts.join(frequencies.select("term", "idf"), "term").withColumn("_w", (1 + F.log("tf")) * F.col("idf"))
-    norm = raw.groupBy(key).agg(F.greatest(F.sqrt(F.sum(F.col("_w") * F.col("_w"))), F.lit(X.NORM_FLOOR)).alias("_norm"))
-    return raw.join(norm, key).select(key, "term", (F.col("_w") / F.col("_norm")).alias("w"))
+    norm = F.greatest(F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key))), F.lit(X.NORM_FLOOR))
+    return raw.select(key, "term", (F.col("_w") / norm).alias("w"))
 
 
 def lexical_scores(queries: DataFrame, items: DataFrame, query_key: str, item_key: str) -> DataFrame:
-    """(query, item, score) of the pairs that share a term: the product of their weight tables."""
-    return queries.join(items.withColumnRenamed("w", "_v"), "term").groupBy(query_key, item_key).agg(F.sum(F.col("w") * F.col("_v")).alias("score"))
+    """(query, item, score) of the pairs that share a term: the product of their weight tables.
+
+    The queries' terms are sent to all tasks while they are few; then only what scores is shuffled.
+    """
+    return items.withColumnRenamed("w", "_v").join(sent_if_small(queries), "term").groupBy(query_key, item_key).agg(F.sum(F.col("w") * F.col("_v")).alias("score"))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -58,14 +56,23 @@ def top_k(scored: DataFrame, keys: list[str], k: int, tie: str) -> DataFrame:
     return scored.withColumn("rank", nth).where(F.col("rank") <= k)
 
 
+def similarities(queries: DataFrame, items: DataFrame) -> DataFrame:
+    """Each item beside each of a stated set of queries, with their cosine as score; all columns but the vectors.
+
+    queries: query_id, query (vector); items: item_id, vector; and others. Each vector gets length
+    1 once, before it meets any other, so that a pair costs one product.
+    """
+    pairs = with_queries(items.withColumn("vector", unit(F.col("vector"))), queries.withColumn("query", unit(F.col("query"))))
+    return pairs.withColumn("score", dot(F.col("query"), F.col("vector"))).drop("query", "vector")
+
+
 def nearest(queries: DataFrame, items: DataFrame, k: int, min_score: float | None = None) -> DataFrame:
     """(query_id, item_id, score, rank): exact search of a stated set of queries over all items.
 
     queries: query_id, query (vector); small, and sent to all tasks. items: item_id, vector; filter
     them before, so that what is filtered out never takes a place among the k.
     """
-    pairs = with_queries(items, queries).where(F.col("query_id") != F.col("item_id"))
-    scored = pairs.select("query_id", "item_id", cosine(F.col("query"), F.col("vector")).alias("score"))
+    scored = similarities(queries, items).where(F.col("query_id") != F.col("item_id")).select("query_id", "item_id", "score")
     scored = scored if min_score is None else scored.where(F.col("score") >= min_score)
     return top_k(scored, ["query_id"], k, "item_id")
 
@@ -109,6 +116,6 @@ def retrieve(
     for column, values in (("source_type", source_types), ("pillar", pillars)):
         rows = rows.where(F.col(column).isin(*values)) if values else rows
     rows = rows.where(~F.col("has_quantity")) if drop_quantities else rows
-    pairs = with_queries(rows, queries).select("query_id", "item_id", "lane", cosine(F.col("query"), F.col("vector")).alias("score"))
+    pairs = similarities(queries, rows.select("item_id", "vector", "lane")).select("query_id", "item_id", "lane", "score")
     best = lane_quota(pairs, k, "institution") if lane == "all" else top_k(pairs, ["query_id"], k, "item_id")
     return best.where(F.col("score") >= min_score)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.functions.sizes import with_queries
 from lodestone.functions import text as T
 from lodestone.operators import embedding as E
 from lodestone.operators import html as H
@@ -152,21 +151,21 @@ def scorecard_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i WHERE q.vec_id < 20 AND i.vec_id >= 20)
+WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i WHERE q.vec_id % 20 = 0 AND q.vec_id <> i.vec_id)
 SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id)::INT AS rank FROM s QUALIFY rank <= 6 AND score >= 0.3
 """)
 def candidate_join(spark: SparkSession, d: str) -> DataFrame:
     """The best fields for each of a stated set of queries, from a score on."""
     e = table(spark, d, "embeddings")
-    queries = e.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    fields = e.where("vec_id >= 20").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
-    pairs = with_queries(fields, queries).select("query_id", "item_id", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score"))
+    queries = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    fields = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    pairs = W.similarities(queries, fields).where("query_id <> item_id").select("query_id", "item_id", F.round("score", 6).alias("score"))
     return W.top_k(pairs, ["query_id"], 6, "item_id").where("score >= 0.3D")
 
 
 @query("""
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label, CASE WHEN vec_id % 3 = 0 THEN 'institution' ELSE 'knowledge' END AS lane, 'U' || vec_id % 6 AS institution, CASE WHEN vec_id % 5 = 0 THEN 'peer_report' ELSE 'framework' END AS kind, CASE WHEN vec_id % 7 = 0 THEN 'fr' ELSE 'en' END AS language FROM embeddings),
-s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, i.lane, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i WHERE q.vec_id < 5 AND ((i.lane = 'institution' AND i.institution = 'U3') OR (i.lane = 'knowledge' AND i.kind <> 'peer_report' AND i.language = 'en'))),
+s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, i.lane, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i WHERE q.vec_id % 20 = 0 AND ((i.lane = 'institution' AND i.institution = 'U3') OR (i.lane = 'knowledge' AND i.kind <> 'peer_report' AND i.language = 'en'))),
 k AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query_id, lane ORDER BY score DESC, item_id) <= CASE WHEN lane = 'institution' THEN 3 ELSE 2 END)
 SELECT query_id, item_id, lane, score FROM k
 """)
@@ -177,7 +176,7 @@ def safe_retrieve(spark: SparkSession, d: str) -> DataFrame:
         k.alias("item_id"), F.col("embedding").alias("vector"), F.when(k % 3 == 0, "institution").otherwise("knowledge").alias("lane"), F.concat(F.lit("U"), (k % 6).cast("string")).alias("institution"),
         F.when(k % 5 == 0, "peer_report").otherwise("framework").alias("source_type"), F.when(k % 7 == 0, "fr").otherwise("en").alias("language"), F.lit(False).alias("has_quantity"), F.lit("").alias("pillar"),
     )
-    queries = e.where("vec_id < 5").select(k.alias("query_id"), F.col("embedding").alias("query"))
+    queries = e.where("vec_id % 20 = 0").select(k.alias("query_id"), F.col("embedding").alias("query"))
     return W.retrieve(queries, index, k=5, lane="all", institution="U3", min_score=-1.0).select("query_id", "item_id", "lane", F.round("score", 6).alias("score"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.functions.sizes import with_queries
+from lodestone.functions.stages import written
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.operators import chunking as K
@@ -116,15 +116,16 @@ def sentence_merge(spark: SparkSession, d: str) -> DataFrame:
 
 STOP = "', '".join(X.STOPWORDS)
 TERMS = f"""
-WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z0-9-]+')) AS term FROM documents WHERE lang = 'en'), c AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term NOT IN ('{STOP}') GROUP BY 1, 2),
-f AS (SELECT term, count(*) AS df, ln((1.0e0 + (SELECT count(*) FROM documents WHERE lang = 'en')) / (1.0e0 + count(*))) + 1 AS idf FROM c GROUP BY term HAVING count(*) >= 2),
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z0-9-]+')) AS term FROM documents), c AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term NOT IN ('{STOP}') GROUP BY 1, 2),
+f AS (SELECT term, count(*) AS df, ln((1.0e0 + (SELECT count(*) FROM documents)) / (1.0e0 + count(*))) + 1 AS idf FROM c GROUP BY term HAVING count(*) >= 2),
 r AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM c JOIN f USING (term)), w AS (SELECT doc_id, term, w / greatest(sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 1e-12) AS w FROM r)
 """
 
 
 def lexical(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, d, "documents").where("lang = 'en'").select("doc_id", "text")
-    counts = W.term_counts(docs, "doc_id", "text")
+    """The counts of each document's terms, written once as several tables are made of them, and the weights of terms."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    counts = written(W.term_counts(docs, "doc_id", "text"))
     return counts, W.document_frequencies(counts, docs.count())
 
 
@@ -154,13 +155,13 @@ def tfidf_retrieve(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The queries of a search, every vector whose id is divisible by 20, and what is searched, all of them."""
     e = table(spark, d, "embeddings")
-    # a stated set of queries of fixed size, as a search has it
-    return e.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"), "label")
+    return e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"), "label")
 
 
 NEAR = """
-WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, i.label, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i WHERE q.vec_id < 20 AND q.vec_id <> i.vec_id)
+WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, i.label, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i WHERE q.vec_id % 20 = 0 AND q.vec_id <> i.vec_id)
 """
 
 
@@ -168,8 +169,7 @@ WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS
 def knn_exact(spark: SparkSession, d: str) -> DataFrame:
     """The five nearest vectors of each query, exactly."""
     queries, items = vectors(spark, d)
-    pairs = with_queries(items, queries).where("query_id <> item_id")
-    scored = pairs.select("query_id", "item_id", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score"))
+    scored = W.similarities(queries, items).where("query_id <> item_id").select("query_id", "item_id", F.round("score", 6).alias("score"))
     return W.top_k(scored, ["query_id"], 5, "item_id")
 
 
@@ -177,8 +177,7 @@ def knn_exact(spark: SparkSession, d: str) -> DataFrame:
 def knn_masked(spark: SparkSession, d: str) -> DataFrame:
     """The nearest of those that a filter lets through before, from a least score on."""
     queries, items = vectors(spark, d)
-    pairs = with_queries(items.where("label = 1"), queries).where("query_id <> item_id")
-    scored = pairs.select("query_id", "item_id", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score")).where("score >= 0.1D")
+    scored = W.similarities(queries, items.where("label = 1")).where("query_id <> item_id").select("query_id", "item_id", F.round("score", 6).alias("score")).where("score >= 0.1D")
     return W.top_k(scored, ["query_id"], 5, "item_id")
 
 
@@ -187,8 +186,8 @@ SELECT query_id, item_id, lane, score, row_number() OVER (PARTITION BY query_id
 def knn_lane_quota(spark: SparkSession, d: str) -> DataFrame:
     """Five places, three of them for one lane."""
     queries, items = vectors(spark, d)
-    pairs = with_queries(items, queries).where("query_id <> item_id").withColumn("lane", F.when(F.col("label") < 3, "institution").otherwise("knowledge"))
-    scored = pairs.select("query_id", "item_id", "lane", F.round(W.cosine(F.col("query"), F.col("vector")), 6).alias("score"))
+    pairs = W.similarities(queries, items).where("query_id <> item_id").withColumn("lane", F.when(F.col("label") < 3, "institution").otherwise("knowledge"))
+    scored = pairs.select("query_id", "item_id", "lane", F.round("score", 6).alias("score"))
     return W.lane_quota(scored, 5, "institution")
 
 
