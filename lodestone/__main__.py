@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestone import flows
+from lodestone.operators import pages
 from lodestone.sources import files, schemas, sinks
 from lodestone.sources.config import Institution, institutions
 
@@ -30,6 +31,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     command("combine", "out").add_argument("scores", nargs="+", help="VERSION=FILE")
     command("master", "scores", "fields", "out")
+    command("scores", "pages", "out").add_argument("--institution", required=True)
+    command("fields", "pages", "out").add_argument("--institution", required=True)
     command("validate", "mapping", "vocabulary", "master")
     for name in ("bi", "index"):
         command(name, "mapping", "vocabulary", "master", "out").add_argument("--institution", action="append", required=True, help="KEY=NAME")
@@ -46,6 +49,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     mapping = lambda: numbered(files.read_csv(spark, a.mapping, schemas.MAPPING))
     if a.command == "combine":
         sinks.write_table(flows.combined([(v, files.read_csv(spark, f, schemas.SCORES)) for v, f in pairs(a.scores)]), a.out)
+    elif a.command in ("scores", "fields"):
+        cached = files.read_pages(spark, a.pages).withColumn("institution", F.lit(a.institution))
+        rows = pages.scorecard(cached) if a.command == "scores" else pages.fields(cached, code="key").drop("ord")
+        sinks.write_csv(rows, a.out)
     elif a.command == "master":
         scores, fields = spark.read.parquet(a.scores), files.read_csv(spark, a.fields, schemas.FIELDS)
         joined = flows.master(scores, fields)

@@ -3,7 +3,9 @@ content index, corpus chunks and their search. Each step is a plan; nothing is c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.sizes import sent_if_small
@@ -68,38 +70,54 @@ def records(joined: DataFrame) -> DataFrame:
     return coverage.first_values(rows, ["entity", "credit", "field"], [F.col("value").asc_nulls_last(), F.col("units").asc_nulls_last()])
 
 
-def bi_tables(joined: DataFrame, mapping: DataFrame, vocabulary: DataFrame, institutions: DataFrame, n_institutions: int) -> dict[str, DataFrame]:
-    """scores, metrics and coverage: a table for each grain."""
+def bi_tables(joined: DataFrame, mapping: DataFrame, vocabulary: DataFrame, institutions: DataFrame, n_institutions: int, notes: Sequence[config.Note] = ()) -> dict[str, DataFrame]:
+    """scores, metrics and coverage: a table for each grain. notes: known reasons why figures can't be read at face value."""
     named = crosswalk(mapping)
-    detail = joined.where("has_detail").withColumnRenamed("credit_code", "credit")
+    keys = institutions.select("institution", "institution_key")
+    detail = joined.where("has_detail").withColumnRenamed("credit_code", "credit").join(sent_if_small(keys), "institution", "left")
     entities = institutions.select(F.col("institution").alias("entity"))
     return {
-        "scores": measures.scores(joined, institutions.select("institution", "institution_key")),
-        "metrics": measures.metrics(detail, named, n_institutions),
+        "scores": measures.scores(joined, keys),
+        "metrics": measures.metrics(detail, named, n_institutions, notes=[(n.holds(), n.text) for n in notes]),
         "coverage": coverage.coverage(vocabulary, named, entities, records(joined)),
     }
 
 
 def content_index(joined: DataFrame, mapping: DataFrame, vocabulary: DataFrame, institutions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a row for each institution and disclosure: status, detail, note; the provenance of each value)."""
+    """(a row for each institution and disclosure: title, status, detail, note and its place; the provenance of each value).
+
+    The detail of what is reported is its fields' values; of a gap or a rejected match it says so. The
+    note has the caveats and up to three fields that the institution leaves empty.
+    """
     named, own = crosswalk(mapping), records(joined)
     entities = institutions.select(F.col("institution").alias("entity"))
     found = coverage.provenance(named, entities, own).join(own.select("entity", "credit", "field", "units"), ["entity", "credit", "field"])
     shown = F.struct("credit", "field", F.concat(F.lit("**"), F.col("field"), F.lit("**: "), V.cell(F.col("value"), F.col("units"))).alias("text"))
     lacking = F.struct("credit", "field", F.concat_ws(" / ", "credit", "field").alias("text"))
     texts = lambda c: F.transform(c, lambda s: s["text"])
+    # a disclosure's mapped fields are as many as its mapping rows, whatever the records
     per = found.groupBy("entity", "disclosure").agg(F.array_sort(F.collect_list(F.when(F.col("populated"), shown))).alias("a"), F.array_sort(F.collect_list(F.when(~F.col("populated"), lacking))).alias("b"))
-    said = named.where((F.col("review_status") == "confirmed") & is_populated("caveat")).groupBy("disclosure").agg(F.array_sort(F.collect_list(F.struct("line", "caveat"))).alias("c"))
+    confirmed = F.col("review_status") == "confirmed"
+    said = named.where(confirmed & is_populated("caveat")).groupBy("disclosure").agg(F.array_sort(F.collect_list(F.struct("line", "caveat"))).alias("c"))
     caveats = said.select("disclosure", T.merge_sentences(F.transform("c", lambda s: s["caveat"])).alias("caveats"))
-    rows = coverage.coverage(vocabulary, named, entities, own).join(per, ["entity", "disclosure"], "left").join(caveats, "disclosure", "left")
+    first = lambda test: F.min_by(F.when(test, F.struct("credit", "field", "caveat")), F.when(test, F.col("line")))
+    ended = named.groupBy("disclosure").agg(first(confirmed & (F.col("relationship") == "gap_gri_side")).alias("gap"), first(F.col("review_status") == "rejected").alias("rejected"), F.max(confirmed).alias("decided"))
+    rows = coverage.coverage(vocabulary, named, entities, own, proposed="Not assessed").join(per, ["entity", "disclosure"], "left").join(caveats, "disclosure", "left").join(ended, "disclosure", "left")
+    rows = rows.join(sent_if_small(vocabulary.select("disclosure", "title")), "disclosure") if "title" in vocabulary.columns else rows.withColumn("title", F.lit(None).cast("string"))
     missing = F.when((F.size("a") > 0) & (F.size("b") > 0), F.concat(F.lit("Not populated by this institution: "), F.array_join(F.slice(texts("b"), 1, 3), "; "), F.lit(".")))
-    return rows.select("entity", "standard", "disclosure", "status", F.coalesce(F.array_join(texts("a"), "<br>"), F.lit("")).alias("detail"), F.concat_ws(" ", "caveats", missing).alias("note")), found
+    turned_down = ~F.coalesce("decided", F.lit(False)) & F.col("rejected").isNotNull()
+    rejected = F.concat(F.lit("Assessed: the nearest field ("), F.concat_ws(" / ", "rejected.credit", "rejected.field"), F.lit(") was reviewed and rejected as an answer to this disclosure."))
+    detail = F.when(F.col("gap").isNotNull(), "No data exists for this disclosure.").when(turned_down, rejected).otherwise(F.coalesce(F.array_join(texts("a"), "<br>"), F.lit("")))
+    note = F.when(F.col("gap").isNotNull(), F.coalesce("gap.caveat", F.lit(""))).when(turned_down, F.coalesce("rejected.caveat", F.lit(""))).otherwise(F.concat_ws(" ", "caveats", missing))
+    major, minor = V.compound_key(F.col("disclosure"))
+    order = Window.partitionBy("entity").orderBy("standard", major, minor, "disclosure")
+    return rows.select("entity", F.row_number().over(order).alias("place"), "standard", "disclosure", "title", "status", detail.alias("detail"), note.alias("note")), found
 
 
-def corpus_chunks(corpus: DataFrame, flags: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """Chunks of a text corpus with what searches filter by. flags: source, flags; a small table."""
+def corpus_chunks(corpus: DataFrame, flags: DataFrame, kinds: dict[str, str], parity: bool = True) -> DataFrame:
+    """Chunks of a text corpus with what searches filter by. flags: source, flags; a small table. parity: how quantities are read, see ``has_quantity``."""
     rows = corpus.join(sent_if_small(flags), "source", "left").withColumn("scraper_flags", F.coalesce("flags", F.lit("")))
-    rows = chunking.chunk_records(rows.withColumnRenamed("body", "text"))
+    rows = chunking.chunk_records(rows.withColumnRenamed("body", "text"), parity=parity)
     return rows.select(
         F.concat_ws("-", "source", F.col("chunk_index").cast("string")).alias("id"), F.col("chunk").alias("text"), F.lit("knowledge").alias("lane"), F.lit("").alias("institution"), "source", "url",
         config.looked_up(F.col("source"), kinds, "context").alias("source_type"), F.when(F.contains("scraper_flags", F.lit("FRENCH")), "fr").otherwise("en").alias("language"), "scraper_flags",

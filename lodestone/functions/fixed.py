@@ -46,6 +46,9 @@ SPELLED = (
     r"(?i)\b(two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety"
     r"|hundred|thousand|million|billion)\b"
 )
+# what stands between two of a list's numbers, and between two scopes
+REFERENCE_JOINT = r"\s*,\s*(?:and\s+|&\s+)?|\s+(?:and|&)\s+"
+SCOPE_JOINT = r"\s*,\s*|\s*(?:and|&|to)\s*"
 SCOPE_ITEM = r"[123](?![0-9,.][0-9])"
 COUNTED_UNIT = r"(?i)^\s*(?:total\s+)?number of (weeks|days|months|years|hours) of\b"
 TOKEN_CHARS, CELL_CHARS = 60, 87

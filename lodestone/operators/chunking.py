@@ -50,15 +50,15 @@ def chunks(c: Column, target: int = X.TARGET_CHARS, overlap: int = X.OVERLAP_CHA
     return F.aggregate(steps, begin, fold, end)
 
 
-def chunk_records(docs: DataFrame, text: str = "text", min_words: int = X.MIN_DOC_WORDS, prefix: Column | None = None) -> DataFrame:
+def chunk_records(docs: DataFrame, text: str = "text", min_words: int = X.MIN_DOC_WORDS, prefix: Column | None = None, parity: bool = False) -> DataFrame:
     """A row for each chunk of each document: its index, text, length, words and whether it claims a quantity.
 
     Documents of fewer than ``min_words`` words have none. A ``prefix`` is put before a chunk's text;
-    the counts are those of the text without it.
+    the counts are those of the text without it. parity: see ``has_quantity``.
     """
     rows = docs.where(word_count(F.col(text)) >= min_words).select("*", F.posexplode(chunks(F.col(text))).alias("chunk_index", "chunk"))
     own = F.col("chunk")
-    rows = rows.withColumn("chars", F.length(own)).withColumn("words", word_count(own)).withColumn("has_quantity", has_quantity(own))
+    rows = rows.withColumn("chars", F.length(own)).withColumn("words", word_count(own)).withColumn("has_quantity", has_quantity(own, parity))
     return rows if prefix is None else rows.withColumn("chunk", F.concat(prefix, F.lit("\n"), own))
 
 

@@ -26,16 +26,18 @@ def provenance(mapping: DataFrame, entities: DataFrame, records: DataFrame) -> D
     return used.join(records, ["credit", "field"]).join(entities, "entity", "left_semi").select("entity", "disclosure", "relationship", "credit", "field", "value", is_populated("value").alias("populated"))
 
 
-def coverage(vocabulary: DataFrame, mapping: DataFrame, entities: DataFrame, records: DataFrame) -> DataFrame:
+def coverage(vocabulary: DataFrame, mapping: DataFrame, entities: DataFrame, records: DataFrame, proposed: str = "Not reported") -> DataFrame:
     """A row for each entity and disclosure: status, values_available and citable.
 
-    Not assessed: no mapping row, or only proposed ones. Not reported: a confirmed gap, or all were
-    rejected, or no mapped field is populated. Partially reported: all usable rows are partial.
+    Not assessed: no mapping row. Not reported: a confirmed gap, or none is confirmed and one
+    rejected, or no mapped field is populated. ``proposed``: the status where all rows are
+    proposed; chart tables take it as not reported, a content index as not assessed. Partially reported: all usable rows are partial.
     Reported otherwise. Citable: there is a strong relationship and a value; citable_strict: on the
     same row.
     The entities, as many as reporting institutions, are broadcast if a count finds them few.
     """
     per = mapping.groupBy("disclosure").agg(
+        F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("review_status") == "confirmed").alias("_confirmed"),
         F.count_if(F.col("review_status") == "rejected").alias("_rejected"),
         F.count_if((F.col("review_status") == "confirmed") & (F.col("relationship") == "gap_gri_side")).alias("_gaps"),
@@ -47,7 +49,7 @@ def coverage(vocabulary: DataFrame, mapping: DataFrame, entities: DataFrame, rec
     rows = grid.join(per, "disclosure", "left").join(found, ["entity", "disclosure"], "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
     status = (
-        F.when(n("_confirmed") == 0, F.when(n("_rejected") > 0, "Not reported").otherwise("Not assessed"))
+        F.when(n("_confirmed") == 0, F.when(n("_rejected") > 0, "Not reported").when(n("_rows") > 0, proposed).otherwise("Not assessed"))
         .when((n("_gaps") > 0) | (n("_values") == 0), "Not reported")
         .when(n("_strong") == 0, "Partially reported")
         .otherwise("Reported")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.nulls import is_populated
+from lodestone.functions.sizes import sent_if_small
 from lodestone.operators import vectors as W
 
 
@@ -69,6 +70,16 @@ def query_text(title: str = "title", text: str = "text") -> F.Column:
     return F.when(is_populated(text), F.concat_ws(". ", title, F.substring(text, 1, 600))).otherwise(F.col(title))
 
 
+def targets(vocabulary: DataFrame, mapping: DataFrame, asked: list[str] | None = None, every: bool = False) -> DataFrame:
+    """The disclosures to seek candidates for: those asked for by number, or all, or else those without any mapping row."""
+    if asked is not None:
+        return vocabulary.where(F.col("disclosure").isin(*asked))
+    if every:
+        return vocabulary
+    mapped = mapping.select(F.trim("disclosure").alias("_mapped")).distinct()
+    return vocabulary.join(sent_if_small(mapped), F.col("disclosure") == F.col("_mapped"), "left_anti")
+
+
 def candidates(queries: DataFrame, fields: DataFrame, k: int = 6, min_score: float = 0.3) -> DataFrame:
     """The k best fields for each query at or above a score; queries are a stated, small set."""
     return W.top_k(W.similarities(queries, fields), ["query_id"], k, "item_id").where(F.col("score") >= min_score)

@@ -45,8 +45,9 @@ def under_headings(found: DataFrame, key: str, outer: str = "h1", inner: str = "
 
 def pair_titles(found: DataFrame, key: str, title: str, well: str) -> DataFrame:
     """Each title with the next well after it; a well serves the first title that claims it, others get null."""
-    order = Window.partitionBy(key).orderBy("ord").rowsBetween(1, Window.unboundedFollowing)
-    at = F.first(F.when(F.col("tag") == well, F.struct("ord", "text")), ignorenulls=True).over(order)
+    # backwards, so that the frame only grows
+    after = Window.partitionBy(key).orderBy(F.desc("ord")).rowsBetween(Window.unboundedPreceding, -1)
+    at = F.last(F.when(F.col("tag") == well, F.struct("ord", "text")), ignorenulls=True).over(after)
     titles = found.withColumn("_well", at).where(F.col("tag") == title)
     claim = F.row_number().over(Window.partitionBy(key, "_well.ord").orderBy("ord"))
     return titles.withColumn("_claim", claim).select(key, "ord", F.col("text").alias("title"), F.when(F.col("_claim") == 1, F.col("_well.text")).alias("value"))
@@ -57,7 +58,8 @@ def links(html: Column, base: str = "") -> Column:
 
 
 def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, ord, href, cells): the rows of a page's tables, their first link and the texts of their cells."""
+    """(key, ord, href, link, cells): the rows of a page's tables, their first link and its text, and the texts of their cells."""
     rows = pages.select(key, F.posexplode(F.regexp_extract_all(without_code(F.col(html)), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))).alias("ord", "_row"))
     cells = F.transform(F.regexp_extract_all("_row", F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</tr>|$)"), F.lit(1)), plain)
-    return rows.select(key, "ord", F.regexp_extract("_row", r"""(?i)\bhref\s*=\s*["']([^"']*)["']""", 1).alias("href"), cells.alias("cells"))
+    link = plain(F.regexp_extract("_row", r"""(?is)<a\b[^>]*\bhref\b[^>]*>(.*?)</a>""", 1))
+    return rows.select(key, "ord", F.regexp_extract("_row", r"""(?i)\bhref\s*=\s*["']([^"']*)["']""", 1).alias("href"), link.alias("link"), cells.alias("cells"))

@@ -135,8 +135,11 @@ def violations(mapping: DataFrame, vocabulary: DataFrame, records: DataFrame, re
     return out
 
 
-def publishable(mapping: DataFrame, include_partial: bool = True) -> DataFrame:
-    """Confirmed rows that answer a disclosure; an uncaveated partial one among them is an error."""
+def publishable(mapping: DataFrame, include_partial: bool = False) -> DataFrame:
+    """Confirmed rows that answer a disclosure in full; with ``include_partial`` those that do in part, too.
+
+    Then an uncaveated one among these is an error, whichever columns are used of the result.
+    """
     rows = mapping.where((F.col("review_status") == "confirmed") & F.col("relationship").isin("equivalent", "component", "intensity", *["partial"] * include_partial))
     bad = (F.col("relationship") == "partial") & ~is_populated("caveat")
-    return rows.withColumn("relationship", F.when(bad, F.raise_error(F.lit("a partial mapping has no caveat")).cast("string")).otherwise(F.col("relationship")))
+    return rows.where(F.when(bad, F.raise_error(F.lit("a partial mapping has no caveat")).cast("boolean")).otherwise(F.lit(True)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.sizes import sent_if_small
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
+from lodestone.functions import values as V
 from lodestone.functions.nulls import is_populated
 from lodestone.operators.joins import keep
 
@@ -22,7 +23,8 @@ def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, reference
     """What each (entity, section) can say: (entity, section, kind, disclosure, credit, field, token, text).
 
     kind: figure (with a token unique in its section), context (prose, cut), unavailable (mapped, not
-    populated), gap (why there is no data) or caveat; the latter two with figures blanked out.
+    populated), gap (why there is no data) or caveat; the latter two with figures blanked out. A figure
+    carries its unit, a percent sign or what its field counts.
     sections: section, disclosure. records: entity, credit, field, value, units, value_type; repeated
     fields count once, by their first value.
     """
@@ -41,7 +43,7 @@ def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, reference
     cut = F.when(F.length("value") > CONTEXT_CHARS, F.concat(F.substring("value", 1, CONTEXT_CHARS), F.lit(" […]"))).otherwise(F.col("value"))
     nothing = F.lit(None).cast("string")
     out = [
-        shown("figure", figures, F.trim(F.concat_ws(" ", "value", "units")), "token"),
+        shown("figure", figures, V.with_unit(F.col("field"), F.trim("value"), F.coalesce("units", F.lit(""))), "token"),
         shown("context", grid.where(said & ~F.col("value_type").isin(*TOKENISED)), cut),
         shown("unavailable", grid.where(~F.coalesce(said, F.lit(False))), nothing),
         shown("caveat", grid.where(F.coalesce(said, F.lit(False)) & is_populated("caveat")), T.redact_figures(F.trim("caveat"), references)),

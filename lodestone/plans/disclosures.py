@@ -9,6 +9,7 @@ from lodestone.functions import text as T
 from lodestone.functions import values as V
 from lodestone.functions.fixed import STATUS_ORDER
 from lodestone.operators import coverage as C
+from lodestone.operators.embedding import targets
 from lodestone.sources.tables import table
 
 QUERIES: dict = {}
@@ -55,11 +56,12 @@ u AS (SELECT * FROM m WHERE review_status = 'confirmed' AND relationship IN ('eq
 h AS (SELECT r.entity, u.disclosure, u.relationship, u.credit, u.field, r.value, trim(r.value) <> '' AS populated FROM u JOIN r ON u.credit = r.credit AND u.field = r.field),
 c AS (SELECT n_nationkey AS entity, v.standard, v.disclosure,
     (SELECT count(*) FROM m WHERE m.disclosure = v.disclosure AND review_status = 'confirmed') AS confirmed, (SELECT count(*) FROM m WHERE m.disclosure = v.disclosure AND review_status = 'rejected') AS rejected,
+    (SELECT count(*) FROM m WHERE m.disclosure = v.disclosure) AS every,
     (SELECT count(*) FROM m WHERE m.disclosure = v.disclosure AND review_status = 'confirmed' AND relationship = 'gap_gri_side') AS gaps,
     (SELECT count(*) FROM u WHERE u.disclosure = v.disclosure AND relationship <> 'partial') AS strong,
     (SELECT count(*) FROM h WHERE h.disclosure = v.disclosure AND h.entity = n_nationkey AND populated) AS vals,
     (SELECT count(*) FROM h WHERE h.disclosure = v.disclosure AND h.entity = n_nationkey AND populated AND relationship <> 'partial') AS strong_vals FROM v, nation),
-s AS (SELECT entity, standard, disclosure, CASE WHEN confirmed = 0 AND rejected > 0 THEN 'Not reported' WHEN confirmed = 0 THEN 'Not assessed' WHEN gaps > 0 OR vals = 0 THEN 'Not reported' WHEN strong = 0 THEN 'Partially reported' ELSE 'Reported' END AS status,
+s AS (SELECT entity, standard, disclosure, CASE WHEN confirmed = 0 AND rejected > 0 THEN 'Not reported' WHEN confirmed = 0 AND every > 0 THEN 'Not reported' WHEN confirmed = 0 THEN 'Not assessed' WHEN gaps > 0 OR vals = 0 THEN 'Not reported' WHEN strong = 0 THEN 'Partially reported' ELSE 'Reported' END AS status,
   CASE WHEN confirmed > 0 AND gaps = 0 THEN vals ELSE 0 END AS values_available, strong > 0 AND confirmed > 0 AND gaps = 0 AND vals > 0 AS citable, strong_vals > 0 AND confirmed > 0 AND gaps = 0 AS citable_strict FROM c)
 """
 
@@ -70,6 +72,31 @@ def coverage_status(spark: SparkSession, d: str) -> DataFrame:
     return C.coverage(*star(spark, d))
 
 
+@query(STAR + "SELECT entity, disclosure, CASE WHEN confirmed = 0 AND rejected = 0 THEN 'Not assessed' ELSE status END AS status FROM s JOIN c USING (entity, standard, disclosure)")
+def index_status(spark: SparkSession, d: str) -> DataFrame:
+    """The same as a content index reads it: what is only proposed is not assessed."""
+    return C.coverage(*star(spark, d), proposed="Not assessed").select("entity", "disclosure", "status")
+
+
+@query(STAR + "SELECT disclosure, status, values_available FROM s WHERE entity = 3 AND standard = 'S8'")
+def entity_pillar(spark: SparkSession, d: str) -> DataFrame:
+    """One entity's disclosures of one standard."""
+    return coverage_status(spark, d).where("entity = 3 and standard = 'S8'").select("disclosure", "status", "values_available")
+
+
+@query(STAR + "SELECT disclosure, count(*) AS entities FROM s WHERE status = 'Partially reported' AND values_available > 0 GROUP BY 1")
+def partial_view(spark: SparkSession, d: str) -> DataFrame:
+    """Disclosures that entities answer in part, where a caveat has to be shown."""
+    return coverage_status(spark, d).where("status = 'Partially reported' and values_available > 0").groupBy("disclosure").agg(F.count(F.lit(1)).alias("entities"))
+
+
+@query(STAR + "SELECT DISTINCT standard, disclosure FROM v WHERE disclosure NOT IN (SELECT disclosure FROM m) OR disclosure = 'Brand#11'")
+def unmapped_targets(spark: SparkSession, d: str) -> DataFrame:
+    """The disclosures that candidates are sought for: those without any mapping row, and one that is asked for."""
+    vocabulary, mapping, _, _ = star(spark, d)
+    return targets(vocabulary, mapping).unionByName(targets(vocabulary, mapping, ["Brand#11"]))
+
+
 @query(STAR + """, n AS (SELECT entity, status, count(*) AS n FROM s GROUP BY 1, 2)
 SELECT entity, status, n, CASE status WHEN 'Reported' THEN 1 WHEN 'Partially reported' THEN 2 WHEN 'Not reported' THEN 3 ELSE 4 END AS place FROM n""")
 def coverage_summary(spark: SparkSession, d: str) -> DataFrame:

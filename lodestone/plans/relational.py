@@ -331,8 +331,9 @@ SELECT o_custkey, bool_or(o_orderstatus = 'P') AS any_p, bool_and(o_orderpriorit
 def group_flags(spark: SparkSession, d: str) -> DataFrame:
     """Any and all over a group, a count of what holds, and its first three members in order."""
     o = table(spark, d, "orders")
-    first = F.slice(F.array_sort(F.collect_list("o_orderkey")), 1, 3)
-    return o.groupBy("o_custkey").agg(
+    nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    first = F.array_sort(F.collect_list(F.when(F.col("nth") <= 3, F.col("o_orderkey"))))  # three at most
+    return o.withColumn("nth", nth).groupBy("o_custkey").agg(
         F.bool_or(F.col("o_orderstatus") == "P").alias("any_p"), F.bool_and(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "5-LOW")).alias("only_some"),
         F.count_if(F.col("o_totalprice") > 100000).alias("populated"), F.array_join(F.transform(first, lambda k: k.cast("string")), "; ").alias("first_three"),
     )

@@ -10,6 +10,7 @@ from lodestone.operators import embedding as E
 from lodestone.operators import html as H
 from lodestone.operators import measures as M
 from lodestone.operators import narrative as N
+from lodestone.operators import pages as P
 from lodestone.operators import requirements as R
 from lodestone.operators import vectors as W
 from lodestone.plans.relational import LINES, master
@@ -150,6 +151,41 @@ def scorecard_rows(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_orderkey", F.regexp_replace("href", "^/", "").alias("href"), F.col("cells")[0].alias("code"), pair[0].alias("score"), pair[1].alias("max"))
 
 
+@query("""
+WITH f AS (SELECT * FROM (VALUES (1, '6.1 Ind', 'Sec A', 'Field one'), (2, '6.1 Ind', 'Sec A', 'Field two'), (3, '6.2 Other', '', 'Field three'), (4, '6.2 Other', '', 'Field four')) t(nth, indicator, section, field))
+SELECT page_id AS institution, 'OP-' || (page_id % 9 + 1) AS credit_code, 'Environmental' AS pillar, 'Name ' || page_id AS credit_name, indicator, section, field,
+  CASE nth WHEN 1 THEN '1,23' || page_id % 10 || '.50' WHEN 2 THEN 'Yes indeed d y' ELSE '' END AS value, CASE nth WHEN 1 THEN 'MWh' ELSE '' END AS units, CASE nth WHEN 1 THEN 1230.5e0 + page_id % 10 END AS value_numeric,
+  CASE nth WHEN 1 THEN 'number' WHEN 2 THEN 'text' ELSE 'not_reported' END AS value_type, CASE nth WHEN 2 THEN 'https://base.org/doc/' || page_id ELSE '' END AS links FROM pages, f
+""")
+def parse_fields(spark: SparkSession, d: str) -> DataFrame:
+    """The fields of planted pages: headings that carry on, a unit in italics, emphasis, an unanswered title."""
+    k = F.col("page_id")
+    s = k.cast("string")
+    html = F.concat(
+        F.lit("<html><script>var x = '<div class=\"well\">no</div>'</script><h1>University of X OP-1: Name "), s, F.lit("</h1><div class='field-header x'><h4>6.1 Ind</h4> <h5>Sec A</h5></div><div class='scorecardFieldTitle'>Field one:</div><p>left out</p>"
+        "<div class='well'><div>1,23"), (k % 10).cast("string"), F.lit(".50</div> <i>MWh</i></div>after<span class=\"a scorecardFieldTitle\">Field <b>two</b></span>of it<div class='well well-sm'>Yes <i>indeed</i> <a href='/doc/"), s,
+        F.lit("'>d</a> <a href='#x'>y</a></div>after<div class='well-sm'>no well</div><div class='field-header'><h4>6.2 Other</h4></div><div class='scorecardFieldTitle'>Field three</div><div class='scorecardFieldTitle'>Field four</div><div class='well'>---</div>"),
+    )
+    pages = table(spark, d, "pages").select(k.alias("institution"), F.concat(F.lit("OP-"), (k % 9 + 1).cast("string")).alias("credit_code"), html.alias("html"))
+    return P.fields(pages, base="https://base.org").drop("ord", "category")
+
+
+@query("""
+SELECT page_id AS institution, 'Operations' AS category, 'OP' AS category_code, 'OP-' || (page_id % 9 + 1) AS credit_code, 'Credit ' || page_id AS credit_name, 'Complete' AS status, page_id % 7 + 0.5e0 AS score, 8.0e0 AS max FROM pages
+UNION ALL SELECT page_id, 'Planning & Administration', 'PA', 'PA-3', 'P', 'Not Applicable', NULL, NULL FROM pages
+""")
+def parse_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The credits of planted scorecards: headings, repeats, other links and unknown categories left out."""
+    k = F.col("page_id")
+    row = lambda href, name, *cells: f"<tr><td><a href='{href}'>{name}</a></td>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
+    page = "<table><tr><th>Credit</th><th>Score</th></tr>" + row("/i/x/report/2025/OP/energy/OP-@n/", "Credit @k", " Complete", "@a.50 / 8.00") + row("/i/x/report/2025/OP/energy/OP-@n/", "Again", "x", "1 / 2")
+    page += row("/i/x/report/2025/ZZ/e/ZZ-1/", "No", "x", "1 / 2") + row("/about", "About", "1 / 2") + row("/i/report/2025/PA/g/PA-3/", "P", "Not Applicable", " / 4") + "</table>"
+    html = F.lit(page)
+    for mark, value in (("@n", k % 9 + 1), ("@k", k), ("@a", k % 7)):
+        html = F.replace(html, F.lit(mark), value.cast("string"))
+    return P.scorecard(table(spark, d, "pages").select(k.alias("institution"), html.alias("html")))
+
+
 @query("""
 WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, round(list_cosine_similarity(q.v, i.v), 6) AS score FROM e q, e i WHERE q.vec_id % 20 = 0 AND q.vec_id <> i.vec_id)
 SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id)::INT AS rank FROM s QUALIFY rank <= 6 AND score >= 0.3

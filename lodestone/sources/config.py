@@ -33,6 +33,21 @@ def outline(spark: SparkSession, sections: dict[str, tuple[str, list[str]]]) ->
     return spark.createDataFrame(rows, "section string, title string, disclosure string, ord int")
 
 
+@dataclass(frozen=True)
+class Note:
+    """Why figures of an institution's credit, or of fields whose name has a part, can't be read at face value."""
+
+    institution_key: str
+    text: str
+    credit: str | None = None
+    part: str | None = None
+
+    def holds(self) -> Column:
+        test = F.col("institution_key") == self.institution_key
+        test = test if self.credit is None else test & (F.col("credit") == self.credit)
+        return test if self.part is None else test & F.contains(F.lower("field"), F.lit(self.part.lower()))
+
+
 def looked_up(c: Column, table: dict[str, str], default: str) -> Column:
     """A value's counterpart in a literal map, such as a source's kind."""
     if not table:

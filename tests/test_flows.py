@@ -96,3 +96,25 @@ def test_corpus_to_search(spark, world, capsys):
         assert f"|{source}" in capsys.readouterr().out
     hits = flows.search(chunks, spark.createDataFrame([(0, "water pipes")], "query_id int, text string"), 1).collect()
     assert [h.id.split("-")[0] for h in hits] == ["two"]
+
+
+def test_index_says_why_there_is_no_value(spark):
+    from lodestone import flows
+    from lodestone.sources import config
+
+    joined = spark.createDataFrame([("Uni", "C-1", "f", "7", "kg", "number", True, True, 7.0)], "institution string, credit_code string, field string, value string, units string, value_type string, has_detail boolean, anchor boolean, value_numeric double").selectExpr("*", "cast(null as string) as score", "cast(null as string) as max")
+    m = [(2, "C-1", "f", "S", "10-1", "equivalent", "confirmed", "", None), (3, None, None, "S", "9-2", "gap_gri_side", "confirmed", "", "no such data"), (4, "C-1", "g", "S", "9-10", "component", "rejected", "", "wrong scope"), (5, "C-1", "f", "S", "9-11", "component", "proposed", "", None)]
+    mapping = spark.createDataFrame(m, "line int, stars_credit string, stars_field string, gri_standard string, gri_disclosure string, relationship string, review_status string, rationale string, caveat string")
+    vocabulary = spark.createDataFrame([("S", d, f"T {d}") for d in ("10-1", "9-2", "9-10", "9-11", "9-12")], "standard string, disclosure string, title string")
+    known = config.institutions(spark, [config.Institution("u", "Uni")])
+    rows, _ = flows.content_index(joined, mapping, vocabulary, known)
+    got = [(r.disclosure, r.title, r.status, r.detail, r.note) for r in rows.orderBy("place").collect()]
+    assert got == [
+        ("9-2", "T 9-2", "Not reported", "No data exists for this disclosure.", "no such data"),
+        ("9-10", "T 9-10", "Not reported", "Assessed: the nearest field (C-1 / g) was reviewed and rejected as an answer to this disclosure.", "wrong scope"),
+        ("9-11", "T 9-11", "Not assessed", "", ""), ("9-12", "T 9-12", "Not assessed", "", ""), ("10-1", "T 10-1", "Reported", "**f**: 7 kg", ""),
+    ]
+    notes = [config.Note("u", "undercounted", credit="C-1"), config.Note("v", "other")]
+    tables = flows.bi_tables(joined, mapping, vocabulary, known, 1, notes)
+    assert [r.data_quality for r in tables["metrics"].collect()] == ["undercounted"]
+    assert {r.disclosure: r.status for r in tables["coverage"].collect()}["9-11"] == "Not reported"

@@ -56,9 +56,9 @@ def test_each_fabrication_is_found(spark, bad, rule):
 
 
 def test_publishable(spark):
-    assert J.publishable(mapping(spark)).count() == 2 and J.publishable(mapping(spark), include_partial=False).count() == 1
+    assert J.publishable(mapping(spark)).count() == 1 and J.publishable(mapping(spark), include_partial=True).count() == 2
     with pytest.raises(Exception, match="no caveat"):
-        J.publishable(mapping(spark, (9, "OP-1", "f1", "S3", "305-1", "partial", "confirmed", " "))).collect()
+        J.publishable(mapping(spark, (9, "OP-1", "f1", "S3", "305-1", "partial", "confirmed", " ")), include_partial=True).select("line").collect()
 
 
 def test_coverage_statuses(spark):
@@ -72,8 +72,10 @@ def test_coverage_statuses(spark):
     got = {r.disclosure: (r.status, r.values_available, r.citable, r.citable_strict) for r in C.coverage(vocabulary, m, entities, records).collect()}
     assert got == {
         "a": ("Reported", 1, True, True), "b": ("Partially reported", 1, False, False), "c": ("Not reported", 0, False, False), "d": ("Not reported", 0, False, False), "e": ("Not reported", 0, False, False),
-        "f": ("Not assessed", 0, False, False), "g": ("Not assessed", 0, False, False), "h": ("Reported", 1, True, False),
+        "f": ("Not reported", 0, False, False), "g": ("Not assessed", 0, False, False), "h": ("Reported", 1, True, False),
     }
+    index = {r.disclosure: r.status for r in C.coverage(vocabulary, m, entities, records, proposed="Not assessed").collect()}
+    assert index == {k: v[0] for k, v in got.items()} | {"f": "Not assessed"}
 
 
 def spec_chunks(text, target=1000, overlap=200, least=120):
@@ -144,7 +146,7 @@ def test_headings_reset_sections_and_wells_serve_one_title(spark):
     pairs = H.pair_titles(spark.createDataFrame([(1, 0, "t", "T1"), (1, 1, "t", "T2"), (1, 2, "w", "v"), (1, 3, "t", "T3")], "k int, ord int, tag string, text string"), "k", "t", "w")
     assert rows(pairs.select("title", "value"), "title") == [("T1", "v"), ("T2", None), ("T3", None)]
     table = spark.createDataFrame([(1, "<table><tr><th>a</th><td><a href='/report/x'>b</a></td></tr><tr><td>c<td>d</tr></table>")], "k int, html string")
-    assert rows(H.table_rows(table, "k", "html"), "ord") == [(1, 0, "/report/x", ["a", "b"]), (1, 1, "", ["c", "d"])]
+    assert rows(H.table_rows(table, "k", "html"), "ord") == [(1, 0, "/report/x", "b", ["a", "b"]), (1, 1, "", "", ["c", "d"])]
 
 
 def test_queries_go_in_blocks(spark):

@@ -91,3 +91,15 @@ def test_config(spark):
     assert C.institutions(spark, known).first().stars_version == "3.0" and known[0].path("/lake", "scores.csv") == "/lake/a/scores.csv"
     got = spark.createDataFrame([("x",), ("y",)], "s string").select(C.looked_up(F.col("s"), {"x": "framework"}, "context"))
     assert [r[0] for r in got.collect()] == ["framework", "context"]
+
+
+def test_figures_carry_their_units(spark):
+    from lodestone.functions import text as T
+    from lodestone.operators import narrative as N
+
+    sections = spark.createDataFrame([("s", "1-1")], "section string, disclosure string")
+    fields = [("Energy use", "5", "MWh"), ("Percentage of employees trained", "96.20", None), ("Number of weeks of paid leave", "26", ""), ("Head count", "12", None)]
+    mapping = spark.createDataFrame([(k, "1-1", "C", f, "component", "confirmed", "", None) for k, (f, _, _) in enumerate(fields)], "line int, disclosure string, credit string, field string, relationship string, review_status string, rationale string, caveat string")
+    records = spark.createDataFrame([("e", "C", f, v, u, "number") for f, v, u in fields], "entity string, credit string, field string, value string, units string, value_type string")
+    got = {r.field: r.text for r in N.facts(sections, mapping, records, T.reference_pattern(["1-1"])).collect() if r.kind == "figure"}
+    assert got == {"Energy use": "5 MWh", "Percentage of employees trained": "96.20%", "Number of weeks of paid leave": "26 weeks", "Head count": "12"}
