@@ -17,7 +17,7 @@ ORDER = 3
 BACKOFF = 0.4
 #: An n-gram counts as seen from this count on; once is the document itself.
 SEEN = 2
-#: Code points of the texts that one task holds, and n-grams that meet in one group of the count table; about.
+#: Code points of the texts that one task holds (more send fewer repeats of an n-gram, and take more memory), and n-grams that meet in one group of the count table; about.
 CHUNK_CHARS, PART_GRAMS = 12_000_000, 1_500_000
 #: Chunks whose n-grams meet at once; of more, groups of them are added up first, level by level.
 FAN = 256
