@@ -240,6 +240,10 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of every document, and digests of its ids and of what they decode to.
+
+    Null and empty texts have no token; repeated rows are encoded alike; an empty table gives no row.
+    """
     import public_tokenizers
 
     return bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)

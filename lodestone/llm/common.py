@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import gc
 import hashlib
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.stages import written
+
 #: Code points that numpy works on at once; bounds the temporary arrays of a worker.
 CHARS_AT_ONCE = 1_000_000
 #: Rows that cross between Spark and Python at once.
@@ -141,28 +142,14 @@ def _word_hashes(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, read back from the folder that the executors share; cuts the lineage.
+    """The rows, read back from the shared folder (``stages.written``); cuts the lineage.
 
-    The folder is that of spark.checkpoint.dir. Where that is unset, a local session, whose tasks
-    all see the driver's disk, takes one below its warehouse; on a cluster it is an error. What led
-    to the rows needs its shuffle files no more; the driver's garbage is collected so that
+    What led to the rows needs its shuffle files no more; the driver's garbage is collected so that
     Spark's cleaner can drop them.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    out = df.checkpoint(eager=True)
+    out = written(df)
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return out
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; of a session in one process, one of its own if unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where is None:
-        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
-    return where

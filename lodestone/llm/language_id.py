@@ -181,6 +181,11 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, t
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """held_out, lang_pred and score of every document, by naive Bayes learned outside the held-out fifth.
+
+    Null and letterless texts are ``und`` with score 0; repeated rows are predicted alike, ties of languages
+    go to the first in order; an empty table gives no row, and other columns are not read.
+    """
     docs = table(spark, sf_dir, "documents")
     held = fold("doc_id", 5) == 0
     model = fit(docs.where(~held))

@@ -270,6 +270,10 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document in sequences of 2048 tokens; as of ``pack_documents``.
+
+    Null and empty texts have one piece, of the closing id 0 alone.
+    """
     import public_tokenizers
 
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

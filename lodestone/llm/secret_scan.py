@@ -212,6 +212,10 @@ def joined(spans: str) -> Column:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base spans' numbers and digest, and all spans, of every document.
+
+    Null and empty texts have none; repeated rows are scanned alike; an empty table gives no row.
+    """
     found = secret_scan(table(spark, sf_dir, "documents"))
     of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return found.select("doc_id", *map(of, BASE_KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
