@@ -71,6 +71,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             rows, found = flows.content_index(*tables)
             sinks.write_table(rows, f"{a.out}/index")
+            flows.rendered_index(rows).select("markdown").write.mode("overwrite").text(f"{a.out}/markdown", lineSep="\n\n")
             sinks.write_table(found, f"{a.out}/provenance")
     elif a.command == "chunk":
         flags = spark.read.csv(a.summary, header=True, multiLine=True, escape='"').select("source", "flags") if a.summary else spark.createDataFrame([], "source string, flags string")

@@ -15,7 +15,7 @@ from lodestone.functions import values as V
 from lodestone.functions.nulls import is_populated
 from lodestone.operators import chunking, coverage, measures, vectors
 from lodestone.operators import joins as J
-from lodestone.sources import config, schemas
+from lodestone.sources import config, schemas, sinks
 
 KEYS = ["institution", "credit_code"]
 
@@ -114,6 +114,24 @@ def content_index(joined: DataFrame, mapping: DataFrame, vocabulary: DataFrame,
     return rows.select("entity", F.row_number().over(order).alias("place"), "standard", "disclosure", "title", "status", detail.alias("detail"), note.alias("note")), found
 
 
+def rendered_index(rows: DataFrame, preamble: str = "") -> DataFrame:
+    """(entity, markdown): a content index as a document: its counts by status, then a table for each standard, in order.
+
+    rows: as of ``content_index``; an entity's are as many as the vocabulary has disclosures.
+    """
+    empty = lambda c: F.when(F.col(c) == "", "—").otherwise(F.col(c))
+    shown = rows.withColumn("Disclosure", F.concat(F.lit("**"), F.col("disclosure"), F.lit("** "), F.coalesce("title", F.lit(""))))
+    shown = shown.select("entity", "standard", "place", F.trim("Disclosure").alias("Disclosure"), F.col("status").alias("Status"), empty("detail").alias("Value or reason"), F.col("note").alias("Notes"))
+    tables = sinks.markdown_tables(shown, ["entity", "standard"], ["place"], ["Disclosure", "Status", "Value or reason", "Notes"])
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("standard", "markdown"))), lambda p: F.concat(F.lit("## "), p["standard"], F.lit("\n\n"), p["markdown"]))
+    body = tables.groupBy("entity").agg(F.array_join(parts, "\n\n").alias("_body"))
+    counts = rows.groupBy("entity").agg(*[F.count_if(F.col("status") == s).alias(s) for s in X.STATUS_ORDER])
+    head = F.concat(F.lit(f"| {' | '.join(X.STATUS_ORDER)} |\n|{'---|' * len(X.STATUS_ORDER)}\n"), sinks.markdown_row(*map(F.col, X.STATUS_ORDER)))
+    title = F.concat(F.lit("# Content index — "), F.col("entity"))
+    front = [title, F.lit(preamble), head] if preamble else [title, head]
+    return body.join(counts, "entity").select("entity", F.concat_ws("\n\n", *front, "_body").alias("markdown"))
+
+
 def corpus_chunks(corpus: DataFrame, flags: DataFrame, kinds: dict[str, str], parity: bool = True) -> DataFrame:
     """Chunks of a text corpus with what searches filter by. flags: source, flags; a small table. parity: how quantities are read, see ``has_quantity``."""
     rows = corpus.join(sent_if_small(flags), "source", "left").withColumn("scraper_flags", F.coalesce("flags", F.lit("")))

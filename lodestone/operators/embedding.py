@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import warnings
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.nulls import is_populated
 from lodestone.functions.sizes import sent_if_small
+from lodestone.functions.stages import written
 from lodestone.operators import vectors as W
 
 
@@ -38,6 +40,38 @@ class ModelEmbedder:
         return rows.select(key, text).mapInArrow(run, f"`{key}` {kind}, vector array<float>").withColumn("backend", F.lit(self.name))
 
 
+class LexicalEmbedder:
+    """TF-IDF behind the same interface: sparse vectors as maps from term to weight, fitted on a corpus."""
+
+    name = "tfidf"
+
+    def __init__(self, frequencies: DataFrame):
+        self.frequencies = frequencies
+
+    @classmethod
+    def fit(cls, rows: DataFrame, key: str, text: str) -> LexicalEmbedder:
+        return cls(written(W.document_frequencies(W.term_counts(rows, key, text), rows.count())))
+
+    def encode(self, rows: DataFrame, key: str, text: str) -> DataFrame:
+        weights = W.weights(W.term_counts(rows, key, text), self.frequencies, key)
+        vectors = weights.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "w")))).alias("vector"))
+        empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+        return rows.select(key).join(vectors, key, "left").select(key, F.coalesce("vector", empty).alias("vector"), F.lit(self.name).alias("backend"))
+
+
+def first_available(choices: Sequence[Callable[[], ModelEmbedder | LexicalEmbedder]]) -> ModelEmbedder | LexicalEmbedder:
+    """The first embedder that can be made here; why those before it can't is a warning.
+
+    A choice is a function that raises ImportError or OSError if its library or model is missing.
+    """
+    for choice in choices:
+        try:
+            return choice()
+        except (ImportError, OSError) as missing:
+            warnings.warn(f"an embedder isn't available, the next is taken: {missing}", stacklevel=2)
+    raise LookupError("no embedder is available")
+
+
 class BackendMismatch(ValueError):
     """An index of one embedder searched with another."""
 

@@ -13,10 +13,13 @@ from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.functions import values as V
 from lodestone.functions.nulls import is_populated
+from lodestone.operators import vectors as W
 from lodestone.operators.joins import keep
 
 #: Value types that reach prose through a token, and how much of a longer text serves as context.
 TOKENISED, CONTEXT_CHARS = ("number", "year"), 600
+#: Passages of a section's own evidence and of others' style, their least score, and how much of a style passage is shown.
+EVIDENCE_K, STYLE_K, LEAST_SCORE, STYLE_CHARS = 4, 3, 0.35, 700
 
 
 def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, references: str) -> DataFrame:
@@ -55,11 +58,31 @@ def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, reference
     return rows.select("entity", "section", "kind", "disclosure", "credit", "field", "token", "text").distinct()
 
 
+def passages(sections: DataFrame, index: DataFrame, embedded: DataFrame, institution: str, references: str, style_k: int = STYLE_K, evidence_k: int = EVIDENCE_K, least: float = LEAST_SCORE) -> DataFrame:
+    """Facts of kind evidence and style for each section of one institution, figures blanked out; see ``facts``.
+
+    Evidence comes from the institution's own lane, style from the knowledge lane without quantities;
+    both from ``least`` on. sections: section; embedded: query_id (the section), query; index: as
+    of ``vectors.retrieve``, with source and text.
+    """
+    out = None
+    for kind, k, chars, more in (("evidence", evidence_k, CONTEXT_CHARS, {"lane": "institution", "institution": institution}), ("style", style_k, STYLE_CHARS, {"drop_quantities": True})):
+        hits = W.retrieve(embedded, index, k=k, min_score=least, **more).join(index.select("item_id", "source", "text"), "item_id")
+        text = F.concat(F.lit("["), F.col("source"), F.lit("] "), T.redact_figures(F.substring("text", 1, chars), references))
+        nothing = F.lit(None).cast("string")
+        rows = hits.join(sections.select(F.col("section").alias("query_id")).distinct(), "query_id").select(
+            F.lit(institution).alias("entity"), F.col("query_id").alias("section"), F.lit(kind).alias("kind"), F.lpad(F.col("rank").cast("string"), 3, "0").alias("disclosure"),
+            nothing.alias("credit"), nothing.alias("field"), nothing.alias("token"), text.alias("text"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def prompts(found: DataFrame, titles: DataFrame) -> DataFrame:
     """(entity, section, prompt): a section's facts as lines by kind; figures by token, never by value."""
     label = F.concat_ws(" ", F.col("disclosure"), F.concat(F.lit("("), F.concat_ws(" / ", "credit", "field"), F.lit(")")))
     body = F.when(F.col("kind") == "figure", F.concat(F.lit("{{ "), F.col("token"), F.lit(" }}"))).otherwise(F.coalesce("text", F.lit("not available")))
-    line = F.struct(F.array_position(F.array(*map(F.lit, ["figure", "context", "gap", "caveat", "unavailable"])), F.col("kind")).alias("a"), "disclosure", "credit", "field", F.concat(F.upper("kind"), F.lit(" "), label, F.lit(": "), body).alias("text"))
+    line = F.struct(F.array_position(F.array(*map(F.lit, ["figure", "context", "evidence", "style", "caveat", "gap", "unavailable"])), F.col("kind")).alias("a"), "disclosure", "credit", "field", F.concat(F.upper("kind"), F.lit(" "), label, F.lit(": "), body).alias("text"))
     lines = found.groupBy("entity", "section").agg(F.array_sort(F.collect_list(line)).alias("_lines"))
     return lines.join(sent_if_small(titles), "section").select("entity", "section", F.concat_ws("\n", F.concat(F.lit("# "), F.col("title"), F.lit(" — "), F.col("entity").cast("string")), F.array_join(F.transform("_lines", lambda r: r["text"]), "\n")).alias("prompt"))
 

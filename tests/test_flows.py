@@ -118,3 +118,6 @@ def test_index_says_why_there_is_no_value(spark):
     tables = flows.bi_tables(joined, mapping, vocabulary, known, 1, notes)
     assert [r.data_quality for r in tables["metrics"].collect()] == ["undercounted"]
     assert {r.disclosure: r.status for r in tables["coverage"].collect()}["9-11"] == "Not reported"
+    (text,) = [r.markdown for r in flows.rendered_index(rows, "With reference to the standards.").collect()]
+    assert text.startswith("# Content index — Uni\n\nWith reference to the standards.\n\n| Reported | Partially reported | Not reported | Not assessed |\n|---|---|---|---|\n| 1 | 0 | 2 | 2 |\n\n## S\n\n| Disclosure |")
+    assert text.index("**9-2** T 9-2") < text.index("**9-10** T 9-10") < text.index("| **10-1** T 10-1 | Reported | **f**: 7 kg |") and "| — |" in text

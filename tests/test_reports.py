@@ -103,3 +103,44 @@ def test_figures_carry_their_units(spark):
     records = spark.createDataFrame([("e", "C", f, v, u, "number") for f, v, u in fields], "entity string, credit string, field string, value string, units string, value_type string")
     got = {r.field: r.text for r in N.facts(sections, mapping, records, T.reference_pattern(["1-1"])).collect() if r.kind == "figure"}
     assert got == {"Energy use": "5 MWh", "Percentage of employees trained": "96.20%", "Number of weeks of paid leave": "26 weeks", "Head count": "12"}
+
+
+def test_passages_are_the_institutions_own_and_blanked(spark):
+    from lodestone.functions import text as T
+    from lodestone.operators import narrative as N
+
+    rows = [("a", [1.0, 0.0], "institution", "U", "report", "en", True, "", "own", "We used 15 tons."), ("b", [1.0, 0.0], "institution", "V", "report", "en", False, "", "other", "Not ours."),
+            ("c", [1.0, 0.1], "knowledge", "", "framework", "en", False, "", "guide", "Write plainly."), ("d", [0.0, 1.0], "knowledge", "", "framework", "en", False, "", "far", "Far away."), ("e", [1.0, 0.0], "knowledge", "", "framework", "en", True, "", "numbers", "It was 5 tons.")]
+    index = spark.createDataFrame(rows, "item_id string, vector array<double>, lane string, institution string, source_type string, language string, has_quantity boolean, pillar string, source string, text string")
+    embedded = spark.createDataFrame([("s", [1.0, 0.0])], "query_id string, query array<double>")
+    sections = spark.createDataFrame([("s", "1-1")], "section string, disclosure string")
+    found = N.passages(sections, index, embedded, "U", T.reference_pattern(["1-1"]))
+    got = {(r.kind, r.text) for r in found.collect()}
+    assert {k for k, _ in got} == {"evidence", "style"} and len(got) == 2
+    assert ("style", "[guide] Write plainly.") in got and not any("15" in t for _, t in got)
+    prompt = N.prompts(found, spark.createDataFrame([("s", "T")], "section string, title string")).first().prompt
+    assert prompt.index("EVIDENCE") < prompt.index("STYLE")
+
+
+def test_first_available_embedder_and_lexical_vectors(spark):
+    from lodestone.operators import embedding as E
+
+    texts = spark.createDataFrame([(1, "green energy"), (2, "green water"), (3, ""), (4, "green energy")], "k int, text string")
+
+    def model():
+        raise ImportError("no such library")
+
+    with pytest.warns(UserWarning, match="no such library"):
+        embedder = E.first_available([model, lambda: E.LexicalEmbedder.fit(texts, "k", "text")])
+    got = {r.k: (r.vector, r.backend) for r in embedder.encode(texts, "k", "text").collect()}
+    assert got[3] == ({}, "tfidf") and got[1] == got[4] and set(got[1][0]) == {"green", "energy"} and set(got[2][0]) == {"green"}
+    assert sum(w * w for w in got[1][0].values()) == pytest.approx(1)
+    with pytest.warns(UserWarning), pytest.raises(LookupError):
+        E.first_available([model])
+
+
+def test_nfkc(spark):
+    from lodestone.functions import text as T
+
+    df = spark.createDataFrame([("ﬁne  m²\u00a0x",), ("plain",), (None,)], "t string")
+    assert [r.t for r in T.nfkc(df, "t").collect()] == ["fine m2 x", "plain", None]
