@@ -9,10 +9,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestone import flows
-from lodestone.operators import pages
+from lodestone.functions import text as T
+from lodestone.operators import embedding, narrative, pages, requirements
+from lodestone.operators import joins as J
 from lodestone.sources import files, schemas, sinks
 from lodestone.sources.config import Institution, institutions
 
+#: What a writer is told beside a section's facts.
+SYSTEM = "Write the section in plain prose. State figures by their tokens alone, never a number of your own."
+
 
 def numbered(mapping: DataFrame) -> DataFrame:
     """A mapping file's rows with their line numbers; such files are edited by hand and small."""
@@ -36,7 +41,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     command("validate", "mapping", "vocabulary", "master")
     for name in ("bi", "index"):
         command(name, "mapping", "vocabulary", "master", "out").add_argument("--institution", action="append", required=True, help="KEY=NAME")
-    command("chunk", "corpus", "out").add_argument("--summary")
+    p = command("chunk", "corpus", "out")
+    p.add_argument("--summary")
+    p.add_argument("--manifest")
+    p.add_argument("--documents", help="folder of the manifest's documents as text")
+    p.add_argument("--institution", action="append", default=[], help="KEY=NAME")
+    command("requirements", "pages", "vocabulary", "retrieved", "out")
+    command("review", "mapping", "master", "requirements")
+    p = command("amend", "mapping", "changes", "inserts", "out")
+    p.add_argument("--write", action="store_true", help="else the outcomes are shown and nothing is written")
+    p = command("candidates", "master", "mapping", "vocabulary")
+    p.add_argument("--requirements")
+    p.add_argument("--all", action="store_true")
+    p.add_argument("--disclosure", action="append")
+    p.add_argument("-k", type=int, default=6)
+    p = command("narrative", "mapping", "vocabulary", "master", "sections", "out")
+    p.add_argument("--writer", choices=sorted(narrative.WRITERS), default="stub")
+    p.add_argument("--cache")
     p = command("search", "chunks")
     p.add_argument("query")
     p.add_argument("-k", type=int, default=5)
@@ -75,7 +96,41 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             sinks.write_table(found, f"{a.out}/provenance")
     elif a.command == "chunk":
         flags = spark.read.csv(a.summary, header=True, multiLine=True, escape='"').select("source", "flags") if a.summary else spark.createDataFrame([], "source string, flags string")
-        sinks.write_json_lines(flows.corpus_chunks(files.read_corpus(spark, a.corpus), flags, {}), a.out)
+        rows = flows.corpus_chunks(files.read_corpus(spark, a.corpus), flags, {})
+        if a.manifest:
+            listed = files.read_manifest(spark, a.manifest, a.documents)
+            rows = J.uniform([rows, flows.document_chunks(listed, institutions(spark, [Institution(k, n) for k, n in pairs(a.institution)]))])
+            flows.document_outcomes(listed).orderBy("outcome").show()
+        sinks.write_json_lines(rows, a.out)
+    elif a.command == "requirements":
+        found = requirements.extract_requirements(files.read_pages(spark, a.pages), "key", "html")
+        vocabulary = files.read_vocabulary(spark, a.vocabulary)
+        rows = found.join(vocabulary.select(F.col("disclosure").alias("number"), "standard"), "number", "left").withColumn("cached_source", F.col("key")).drop("key")
+        sinks.write_requirements(rows, a.out, ["Requirement text as its pages state it."], a.retrieved)
+        requirements.cross_check(found, vocabulary).orderBy("number", "finding").show(1000, False)
+    elif a.command == "review":
+        rows = flows.review(mapping(), files.read_requirements(spark, a.requirements), spark.read.parquet(a.master))
+        rows.orderBy("line").show(1000, False, vertical=True)
+    elif a.command == "amend":
+        plain = [files.read_csv(spark, f, schemas.MAPPING) for f in (a.mapping, a.changes, a.inserts)]
+        rows, counts = flows.amended(*plain)
+        counts.orderBy("outcome").show()
+        if a.write:
+            sinks.write_csv(rows, a.out)
+    elif a.command == "candidates":
+        asked = embedding.targets(files.read_vocabulary(spark, a.vocabulary), flows.crosswalk(mapping()), a.disclosure, a.all)
+        texts = files.read_requirements(spark, a.requirements).select(F.col("number").alias("disclosure"), "text") if a.requirements else spark.createDataFrame([], "disclosure string, text string")
+        flows.candidate_fields(asked.join(texts, "disclosure", "left"), spark.read.parquet(a.master), a.k).orderBy("disclosure", "rank").show(1000, False)
+    elif a.command == "narrative":
+        sections = spark.read.csv(a.sections, header=True, schema="section string, title string, disclosure string")
+        references = T.reference_pattern([r.disclosure for r in files.read_vocabulary(spark, a.vocabulary).select("disclosure").collect()])
+        found = narrative.facts(sections, flows.crosswalk(mapping()), flows.records(spark.read.parquet(a.master)), references)
+        cache = spark.read.parquet(a.cache) if a.cache else None
+        writer = narrative.WRITERS[a.writer]()
+        rows, _ = flows.narrative(found, sections.select("section", "title").distinct(), writer, SYSTEM, references, cache)
+        # prose of a stub, or with figures that nobody reported, is never published
+        whole = {"audited": lambda df: not df.where("not publishable").limit(1).count(), "written by a model": lambda df: not df.where("model in ('stub', 'rogue')").limit(1).count()}
+        print(sinks.guarded_write(rows.select("entity", "section", "title", "rendered", "model", "invented", "review", "spelled", "publishable"), a.out, whole, f"{a.out}.preview"))
     else:
         chunks = files.read_json_lines(spark, a.chunks, schemas.CHUNK)
         chunks = chunks if a.include_peer_reports else chunks.where("source_type <> 'peer_report'")

@@ -13,8 +13,9 @@ from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.functions import values as V
 from lodestone.functions.nulls import is_populated
-from lodestone.operators import chunking, coverage, measures, vectors
+from lodestone.operators import chunking, coverage, embedding, measures, vectors
 from lodestone.operators import joins as J
+from lodestone.operators import narrative as narrate
 from lodestone.sources import config, schemas, sinks
 
 KEYS = ["institution", "credit_code"]
@@ -143,6 +144,95 @@ def corpus_chunks(corpus: DataFrame, flags: DataFrame, kinds: dict[str, str], pa
     )
 
 
+def _with_outcome(documents: DataFrame) -> DataFrame:
+    rows = documents.where("extract_status = 'ok'").withColumn("extension", F.lower(F.regexp_extract("original_name", r"\.[^.]*$", 0)))
+    return chunking.indexable(rows, order="ord")
+
+
+def document_chunks(documents: DataFrame, institutions: DataFrame, parity: bool = True) -> DataFrame:
+    """Chunks of institutions' own documents: no spreadsheets, none that is too large, each text once, by ``ord``.
+
+    documents: ord, institution, original_name, local_file, url, credit_code, field, extract_status, text.
+    A chunk begins with its document's name; its counts are those of the text alone. Documents of
+    unknown institutions have none.
+    """
+    known = sent_if_small(institutions.select("institution", "institution_key"))
+    rows = _with_outcome(documents).where("skipped is null").join(known, "institution")
+    rows = chunking.chunk_records(rows, min_words=0, prefix=F.col("original_name"), parity=parity)
+    name = F.concat_ws("::", F.lit("doc"), "institution_key", F.substring("local_file", 1, 12), F.lpad(F.col("chunk_index").cast("string"), 4, "0"))
+    nothing = F.lit("")
+    return rows.select(
+        name.alias("id"), F.col("chunk").alias("text"), F.lit("institution").alias("lane"), "institution", "institution_key", F.substring("original_name", 1, 80).alias("source"), "url", F.lit("document").alias("source_type"),
+        F.lit("en").alias("language"), nothing.alias("scraper_flags"), "credit_code", nothing.alias("credit_name"), nothing.alias("pillar"), nothing.alias("section"), F.substring("field", 1, 120).alias("field"),
+        "has_quantity", "chunk_index", "chars", "words",
+    )
+
+
+def document_outcomes(documents: DataFrame) -> DataFrame:
+    """(outcome, documents): how many extracted documents are indexed, or are left out as spreadsheets, oversized or duplicates."""
+    return _with_outcome(documents).groupBy(F.coalesce("skipped", F.lit("indexed")).alias("outcome")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+def review(mapping: DataFrame, requirements: DataFrame, joined: DataFrame, lines: int = 9) -> DataFrame:
+    """Each proposed row beside the first lines of what its disclosure asks for and what institutions say in its field.
+
+    values: a line for each record of the field; reported of asked: how many have a value. Rows of
+    gaps have none of these.
+    """
+    todo = crosswalk(mapping).join(mapping.select("line", "confidence"), "line").where("review_status = 'proposed'")
+    asks = requirements.select(F.col("number").alias("disclosure"), "title", F.split("text", "\n").alias("_lines"))
+    more = F.size("_lines") - lines
+    shown = F.concat(F.array_join(F.slice("_lines", 1, lines), "\n"), F.when(more > 0, F.concat(F.lit("\n... "), more.cast("string"), F.lit(" more line(s)"))).otherwise(""))
+    said = F.concat(F.col("institution"), F.lit(": "), F.when(is_populated("value"), F.concat_ws(" ", F.trim("value"), F.when(is_populated("units"), F.col("units")))).otherwise("not reported"))
+    per = joined.where("has_detail").groupBy(F.col("credit_code").alias("credit"), F.trim("field").alias("field")).agg(
+        F.array_join(F.array_sort(F.collect_list(said)), "\n").alias("values"), F.count_if(is_populated("value")).alias("reported"), F.count(F.lit(1)).alias("asked")
+    )
+    rows = todo.join(sent_if_small(asks), "disclosure", "left").join(per, ["credit", "field"], "left")
+    return rows.select("line", "relationship", "confidence", "disclosure", "title", shown.alias("requirement"), "credit", "field", "values", "reported", "asked", "rationale", "caveat")
+
+
+def amended(mapping: DataFrame, changes: DataFrame, inserts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the mapping with changes and new rows, how many rows had each outcome); see ``operators.joins.amend``."""
+    rows = J.amend(mapping, changes, inserts, ["stars_credit", "stars_field", "gri_disclosure"])
+    return rows.where("outcome <> 'missing'").select(*mapping.columns), rows.where("outcome <> 'kept'").groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def candidate_fields(targets: DataFrame, joined: DataFrame, k: int = 6, least: float = 0.0) -> DataFrame:
+    """(disclosure, credit, field, sample, n_institutions, rank, score): fields whose texts are nearest to what a disclosure asks for, by lexical vectors.
+
+    targets: disclosure, title, text; see ``operators.embedding.targets``.
+    """
+    order = F.struct("institution", "section", "value")
+    rows = joined.where("has_detail").select(F.col("credit_code").alias("credit"), "field", "institution", "credit_name", "value", order.alias("ord"))
+    fields = embedding.field_corpus(rows).withColumn("id", F.concat_ws(" / ", "credit", "field"))
+    asked = targets.select(F.col("disclosure").alias("query_id"), embedding.query_text().alias("text"))
+    hits = search(fields, asked, k).where(F.col("score") >= least)
+    return hits.join(fields.drop("text"), "id").select(F.col("query_id").alias("disclosure"), "credit", "field", "sample", "n_institutions", "rank", "score")
+
+
+def narrative(found: DataFrame, titles: DataFrame, writer: narrate.Writer, system: str, references: str, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sections written, rendered and audited; the cache with what was written now).
+
+    found: as of ``operators.narrative.facts``; titles: section, title, as many as a report has. The
+    writer is called by the driver, section by section, for prompts that the cache (key, prose, model)
+    lacks.
+    """
+    spark = found.sparkSession
+    kind = "key string, prose string, model string"
+    cache = spark.createDataFrame([], kind) if cache is None else cache
+    asked = narrate.prompts(found, titles)
+    tokens = found.where("token is not null").groupBy("entity", "section").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
+    _, lacking = narrate.to_write(asked.join(tokens, ["entity", "section"], "left"), cache, system)
+    new = [(r.key, writer.write(system, r.prompt, r.tokens or []), writer.name) for r in lacking.dropDuplicates(["key"]).toLocalIterator()]
+    cache = cache.unionByName(spark.createDataFrame(new, kind))
+    have, _ = narrate.to_write(asked, cache, system)
+    figures = found.where("kind = 'figure'").groupBy("entity", "section").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("token", "text")))).alias("figures"))
+    context = found.where("kind <> 'figure' and text is not null").groupBy("entity", "section").agg(F.collect_set("text").alias("context"))
+    rows = have.join(figures, ["entity", "section"], "left").join(context, ["entity", "section"], "left").join(sent_if_small(titles), "section")
+    rows = rows.withColumn("figures", F.coalesce("figures", F.create_map().cast("map<string,string>"))).withColumn("context", F.coalesce("context", F.array().cast("array<string>")))
+    return narrate.finished(rows.withColumnRenamed("prose", "template"), references), cache
+
+
 def search(chunks: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The k best chunks for each query (query_id, text) by lexical vectors; filter the chunks before."""
     counts = vectors.term_counts(chunks, "id", "text")

@@ -67,4 +67,4 @@ NORM_FLOOR = 1e-12
 
 # --- documents
 DOCUMENT_EXTENSIONS = [".pdf", ".xlsx", ".xls", ".docx", ".doc", ".csv", ".pptx"]
-SPREADSHEET_EXTENSIONS = [".xlsx", ".xls", ".csv"]
+SPREADSHEET_EXTENSIONS = [".xlsx", ".xlsm", ".xls"]

@@ -98,15 +98,14 @@ def facts_bundle(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, substr(sha256('system' || chr(1) || 'prompt ' || o_custkey), 1, 8) AS key, o_custkey % 2 = 0 AS cached FROM orders
+SELECT o_orderkey, substr(sha256('system' || chr(0) || 'prompt ' || o_custkey), 1, 8) AS key, o_custkey % 2 = 0 AS cached FROM orders
 """)
 def prompt_cache(spark: SparkSession, d: str) -> DataFrame:
     """Which sections the cache has already, by their prompts' keys."""
     asked = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.concat(F.lit("prompt "), F.col("o_custkey").cast("string")).alias("prompt"))
-    key = F.substring(F.sha2(F.concat(F.lit("system\x01"), F.col("prompt")), 256), 1, 8)
-    cache = asked.where("o_custkey % 2 = 0").select(key.alias("key"), F.lit("x").alias("prose")).distinct()
-    rows = asked.withColumn("key", key)
-    return rows.join(cache, "key").select("o_orderkey", "key", F.lit(True).alias("cached")).unionByName(rows.join(cache, "key", "left_anti").select("o_orderkey", "key", F.lit(False).alias("cached")))
+    cache = asked.where("o_custkey % 2 = 0").select(N.cache_key(F.lit("system"), F.col("prompt")).alias("key"), F.lit("x").alias("prose"), F.lit("m").alias("model")).distinct()
+    have, lack = N.to_write(asked, cache, "system")
+    return have.select("o_orderkey", "key", F.lit(True).alias("cached")).unionByName(lack.select("o_orderkey", "key", F.lit(False).alias("cached")))
 
 
 @query("""

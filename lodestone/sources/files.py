@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from lodestone.functions import fixed as X
 from lodestone.functions.nulls import missing_to_null
 from lodestone.operators.chunking import strip
-from lodestone.sources.schemas import REQUIREMENT, VOCABULARY
+from lodestone.sources.schemas import MANIFEST, REQUIREMENT, VOCABULARY
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -40,8 +40,11 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_requirements(spark: SparkSession, path: str) -> DataFrame:
-    """(number, title, standard, text, source_url, cached_source) of a JSON object by number; keys that don't state one are left out."""
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", T.MapType(T.StringType(), T.StringType())).alias("m"))
+    """(number, title, standard, text, source_url, cached_source) of a JSON object by number, at the top or under ``requirements``;
+    keys that don't state one are left out."""
+    kind = T.MapType(T.StringType(), T.StringType())
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", kind).alias("m"))
+    raw = raw.select(F.coalesce(F.from_json(F.element_at("m", "requirements"), kind), "m").alias("m"))
     rows = raw.select(F.explode("m").alias("number", "body")).withColumn("body", F.from_json("body", REQUIREMENT))
     return rows.where(F.col("body.title").isNotNull()).select("number", "body.*")
 
@@ -69,6 +72,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(stem(F.col("_metadata.file_path")).alias("key"), F.col("value").alias("html"))
 
 
+def read_manifest(spark: SparkSession, path: str, texts: str) -> DataFrame:
+    """The rows of a manifest of documents with their extracted texts, files of the same stem; ``ord`` is their order in it."""
+    listed = read_csv(spark, path, MANIFEST).withColumn("ord", F.monotonically_increasing_id())
+    found = read_pages(spark, texts).select(F.col("key").alias("_stem"), F.col("html").alias("text"))
+    return listed.join(found, F.regexp_replace("local_file", r"\.[^.]*$", "") == F.col("_stem")).drop("_stem")
+
+
 def docx_text(raw: bytes) -> str:
     """The paragraphs of a word-processor document."""
     space = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"

@@ -22,6 +22,14 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_requirements(df: DataFrame, path: str, preamble: Sequence[str], retrieved: str) -> None:
+    """One JSON document: a preamble, when it was retrieved, and the rows by ``number``. A vocabulary's, so they are few."""
+    body = F.struct(*[c for c in df.columns if c != "number"])
+    by = F.map_from_entries(F.array_sort(F.collect_list(F.struct("number", body.alias("body"))))).alias("requirements")
+    whole = df.agg(F.to_json(F.struct(F.array(*map(F.lit, preamble)).alias("_README"), F.lit(retrieved).alias("retrieved"), by)).alias("value"))
+    whole.coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_index(df: DataFrame, path: str) -> None:
     """A vector index: the vector beside its metadata in each row, a folder for each lane."""
     df.write.mode("overwrite").partitionBy("lane").parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestone import flows
 from lodestone.__main__ import main
+from lodestone.functions import text as T
 from lodestone.functions.fixed import HEADER_RULE
 from lodestone.sources import files, schemas
 
@@ -121,3 +122,85 @@ def test_index_says_why_there_is_no_value(spark):
     (text,) = [r.markdown for r in flows.rendered_index(rows, "With reference to the standards.").collect()]
     assert text.startswith("# Content index — Uni\n\nWith reference to the standards.\n\n| Reported | Partially reported | Not reported | Not assessed |\n|---|---|---|---|\n| 1 | 0 | 2 | 2 |\n\n## S\n\n| Disclosure |")
     assert text.index("**9-2** T 9-2") < text.index("**9-10** T 9-10") < text.index("| **10-1** T 10-1 | Reported | **f**: 7 kg |") and "| — |" in text
+
+
+def test_review_amend_candidates_and_narrative(spark, world, capsys):
+    d = world
+    for name in ("a", "b"):
+        assert run(spark, "combine", "--out", d / f"scores_{name}", f"3.0={d}/a.csv", f"3.0={d}/b.csv") == 0
+    assert run(spark, "master", "--scores", d / "scores_a", "--fields", d / "fields.csv", "--out", d / "joined") == 0
+    joined = spark.read.parquet(f"{d}/joined")
+    (d / "pages").mkdir()
+    (d / "pages" / "305.html").write_text("<h2>Disclosure 305-1 t1</h2><p>Report scope one.</p><p>And more.</p><h2>305-2 t2</h2><p>x</p>", encoding="utf-8")
+    assert run(spark, "requirements", "--pages", d / "pages", "--vocabulary", d / "vocabulary.json", "--retrieved", "2025-01-01", "--out", d / "req") == 0
+    assert [(r.number, r.standard, r.text) for r in files.read_requirements(spark, f"{d}/req").orderBy("number").collect()] == [("305-1", "S 305", "Report scope one.\nAnd more."), ("305-2", None, "x")]
+    assert "unlisted" in capsys.readouterr().out
+
+    rule = lambda credit, name, disc, rel, state, caveat="", why="why": [credit, name, "S 305", disc, rel, "high", state, why, caveat, "", "", "", ""]
+    head = schemas.MAPPING.fieldNames()
+    write(d / "todo.csv", head, [rule("OP-6", "Scope 1", "305-1", "equivalent", "proposed"), rule("", "", "305-5", "gap_gri_side", "proposed"), rule("OP-6", "Notes", "305-1", "component", "confirmed")])
+    m = spark.createDataFrame([(2, *rule("OP-6", "Scope 1", "305-1", "equivalent", "proposed")), (3, *rule(None, None, "305-5", "gap_gri_side", "proposed"))], "line int, " + ", ".join(f"{c} string" for c in head))
+    rows = flows.review(m, files.read_requirements(spark, f"{d}/req"), joined, lines=1).orderBy("line").collect()
+    assert (rows[0].requirement, rows[0].values, rows[0].reported, rows[0].asked) == ("Report scope one.\n... 1 more line(s)", "University, A: 1,200 t\nUniversity, B: not reported", 1, 2)
+    assert rows[1].requirement is None and rows[1].asked is None
+    assert run(spark, "review", "--mapping", d / "todo.csv", "--master", d / "joined", "--requirements", d / "req") == 0
+
+    write(d / "changes.csv", head, [rule("OP-6", " Scope 1", "305-1", "equivalent", "confirmed"), rule("OP-6", "Gone", "305-1", "partial", "confirmed"), rule("OP-6", "Notes", "305-1", "component", "confirmed")])
+    write(d / "inserts.csv", head, [rule("OP-6", "Notes", "305-1", "component", "confirmed"), rule("PA-2", "New", "305-7", "partial", "confirmed", "mind")])
+    amend = ["amend", "--mapping", d / "todo.csv", "--changes", d / "changes.csv", "--inserts", d / "inserts.csv", "--out", d / "amended"]
+    assert run(spark, *amend) == 0 and not (d / "amended").exists()
+    assert run(spark, *amend, "--write") == 0
+    got = {(r.stars_field, r.gri_disclosure): r.review_status for r in files.read_csv(spark, f"{d}/amended", schemas.MAPPING).collect()}
+    assert got == {("Scope 1", "305-1"): "confirmed", (None, "305-5"): "proposed", ("Notes", "305-1"): "confirmed", ("New", "305-7"): "confirmed"}
+    plain = [files.read_csv(spark, f"{d}/{n}.csv", schemas.MAPPING) for n in ("todo", "changes", "inserts")]
+    assert {r.outcome: r.rows for r in flows.amended(*plain)[1].collect()} == {"applied": 1, "already": 1, "missing": 1, "inserted": 1}
+
+    asked = spark.createDataFrame([("305-4", "per person", None), ("305-9", "nothing alike", None)], "disclosure string, title string, text string")
+    best = flows.candidate_fields(asked, joined).collect()
+    assert {(r.disclosure, r.field) for r in best if r.score > 0} <= {("305-4", "Scope 1 per person")}
+    assert run(spark, "candidates", "--master", d / "joined", "--mapping", d / "todo.csv", "--vocabulary", d / "vocabulary.json", "--requirements", d / "req") == 0
+
+    write(d / "sections.csv", ["section", "title", "disclosure"], [["ghg", "Gases", "305-1"], ["ghg", "Gases", "305-4"], ["ghg", "Gases", "305-5"]])
+    common = ["narrative", "--mapping", d / "mapping.csv", "--vocabulary", d / "vocabulary.json", "--master", d / "joined", "--sections", d / "sections.csv", "--out", d / "prose"]
+    assert run(spark, *common) == 0
+    stub = {r.entity[-1]: r for r in spark.read.parquet(f"{d}/prose.preview").collect()}
+    assert not (d / "prose").exists() and "1,200 t" in stub["A"].rendered and all(r.publishable for r in stub.values())
+    assert run(spark, *common, "--writer", "rogue") == 0
+    assert {n for r in spark.read.parquet(f"{d}/prose.preview").collect() for n in r.invented} == {"31,337", "19"} and not (d / "prose").exists()
+
+
+def test_a_cached_section_is_not_written_again(spark):
+    found = spark.createDataFrame([("U", "s", "figure", "1-1", "C", "f", "f", "7 kg"), ("U", "s", "caveat", "1-1", "C", "f", None, "since 2019")], "entity string, section string, kind string, disclosure string, credit string, field string, token string, text string")
+    titles = spark.createDataFrame([("s", "T")], "section string, title string")
+
+    class Once:
+        name, calls = "once", 0
+
+        def write(self, system, prompt, tokens):
+            assert "7 kg" not in prompt and self.calls == 0
+            self.calls += 1
+            return "It is {{ " + tokens[0] + " }} since 2019, not 8."
+
+    rows, cache = flows.narrative(found, titles, Once(), "sys", T.reference_pattern(["1-1"]))
+    for _ in range(2):
+        (r,) = rows.collect()
+        assert (r.rendered, r.invented, r.review, r.publishable) == ("It is 7 kg since 2019, not 8.", ["8"], ["2019"], False)
+        busy = Once()
+        busy.calls = 1
+        rows, again = flows.narrative(found, titles, busy, "sys", T.reference_pattern(["1-1"]), cache)
+        assert again.count() == 1
+
+
+def test_institution_lane_beside_the_corpus(spark, world):
+    d = world
+    (d / "texts").mkdir()
+    line = "The campus plan states that 7 MWh were saved in the halls of residence this year."
+    for name in ("d1", "d2", "d3", "d4"):
+        (d / "texts" / f"{name}.txt").write_text("\n".join([line] * (3 if name != "d4" else 4)), encoding="utf-8")
+    row = lambda inst, name, local, state="ok": ["https://u", inst, "OP-6", "f", name, local, "1", "ok", "", state, "9"]
+    write(d / "manifest.csv", schemas.MANIFEST.fieldNames(), [row("University, A", "Plan.PDF", "d1.pdf"), row("University, A", "Same.pdf", "d2.pdf"), row("University, B", "Ledger.XLSM", "d3.xlsm"), row("Elsewhere", "Other.pdf", "d4.pdf"), row("University, B", "Broken.pdf", "d4.pdf", "failed")])
+    assert run(spark, "chunk", "--corpus", d / "corpus", "--manifest", d / "manifest.csv", "--documents", d / "texts", "--institution", "a=University, A", "--institution", "b=University, B", "--out", d / "lanes") == 0
+    rows = files.read_json_lines(spark, f"{d}/lanes", schemas.CHUNK).where("lane = 'institution'").collect()
+    assert [(r.id, r.text.split("\n")[0], r.institution_key, r.has_quantity, r.chars) for r in rows] == [("doc::a::d1.pdf::0000", "Plan.PDF", "a", True, len("\n".join([line] * 3)))]
+    listed = files.read_manifest(spark, f"{d}/manifest.csv", f"{d}/texts")
+    assert {r.outcome: r.documents for r in flows.document_outcomes(listed).collect()} == {"indexed": 2, "duplicate": 1, "spreadsheet": 1}
