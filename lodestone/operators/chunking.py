@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import fixed as X
-from lodestone.functions.text import has_quantity, word_count
+from lodestone.functions.text import has_quantity, let, word_count
 
 
 def strip(c: Column) -> Column:
@@ -33,21 +33,23 @@ def chunks(c: Column, target: int = X.TARGET_CHARS, overlap: int = X.OVERLAP_CHA
     def state(done: Column, text: Column) -> Column:
         return F.struct(done.alias("done"), text.alias("text"))
 
+    # paragraphs, sentences and the text so far never have white space at their ends, so joining them needs no trimming
+    kept = lambda s: F.when(F.length(s["text"]) >= least, F.concat(s["done"], F.array(s["text"]))).otherwise(s["done"])
+
     def fold(s: Column, x: Column) -> Column:
-        text, kind = s["text"], x["kind"]
-        flushed = F.when(F.length(strip(text)) >= least, F.concat(s["done"], F.array(strip(text)))).otherwise(s["done"])
-        full = (F.length(text) + F.length(x["text"]) + 1 > target) & (text != "")
-        tail = strip(F.right(text, F.lit(overlap)))
-        joined = lambda a, sep: strip(F.concat(a, F.lit(sep), x["text"]))
+        text, new = s["text"], x["text"]
+        sep = F.when(x["kind"] == "sentence", " ").otherwise("\n")
+        tail = F.when(x["kind"] == "sentence", "").otherwise(strip(F.right(text, F.lit(overlap))))
+        full = F.length(text) + F.length(new) + 1 > target
         return (
-            F.when(kind == "flush", state(flushed, F.lit("")))
-            .when(kind == "sentence", F.when(full, state(flushed, joined(F.lit(""), " "))).otherwise(state(s["done"], joined(text, " "))))
-            .otherwise(F.when(full, state(flushed, joined(tail, "\n"))).otherwise(state(s["done"], joined(text, "\n"))))
+            F.when(x["kind"] == "flush", state(kept(s), F.lit("")))
+            .when(text == "", state(s["done"], new))
+            .when(full, state(kept(s), F.concat(let(tail, lambda t: F.when(t == "", "").otherwise(F.concat(t, sep))), new)))
+            .otherwise(state(s["done"], F.concat(text, sep, new)))
         )
 
     begin = state(F.expr("cast(array() as array<string>)"), F.lit(""))
-    end = lambda s: F.when(F.length(strip(s["text"])) >= least, F.concat(s["done"], F.array(strip(s["text"])))).otherwise(s["done"])
-    return F.aggregate(steps, begin, fold, end)
+    return F.aggregate(steps, begin, fold, kept)
 
 
 def chunk_records(docs: DataFrame, text: str = "text", min_words: int = X.MIN_DOC_WORDS, prefix: Column | None = None, parity: bool = False) -> DataFrame:
