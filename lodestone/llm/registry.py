@@ -7,6 +7,7 @@ from lodestone.llm.language_id import op1_language_id
 from lodestone.llm.lm_score import OP8_SQL, op8_lm_score
 from lodestone.llm.ngram_join import OP2_SQL, op2_ngram_join
 from lodestone.llm.packing import op4_packing
+from lodestone.llm.periodic_runs import op13_periodic_runs
 from lodestone.llm.quality import op6_quality
 from lodestone.llm.secret_scan import op3_secret_scan
 from lodestone.llm.substring_dedup import op9_substring_dedup
@@ -22,5 +23,6 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe": op10_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES = {"op2_ngram_join": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_lm_score": OP8_SQL}
