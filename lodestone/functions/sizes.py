@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a table of a few short columns is sent to all executors: some tens of MB.
 SENT_ROWS = 1_000_000
-#: Rows up to which a stated set of queries is sent: vectors are a few KB each.
-SENT_QUERIES = 20_000
 
 
 def sent_if_small(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
@@ -17,21 +15,3 @@ def sent_if_small(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
     The count reads the table's first rows only; give it one that is cheap to read.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def with_queries(items: DataFrame, queries: DataFrame, rows: int = SENT_QUERIES) -> DataFrame:
-    """Each item beside each of a stated set of queries: all at once if they are few, else block by block.
-
-    A block of queries is sent to all tasks and the items are read once for each block, so that no
-    task holds more than ``rows`` queries.
-    """
-    n = queries.count()
-    if n <= rows:
-        return items.join(F.broadcast(queries))
-    blocks = -(-n // rows)
-    key = F.pmod(F.xxhash64(*queries.columns), F.lit(blocks))
-    out = None
-    for k in range(blocks):
-        part = items.join(F.broadcast(queries.where(key == k)))
-        out = part if out is None else out.unionByName(part)
-    return out

@@ -114,6 +114,6 @@ def targets(vocabulary: DataFrame, mapping: DataFrame, asked: list[str] | None =
     return vocabulary.join(sent_if_small(mapped), F.col("disclosure") == F.col("_mapped"), "left_anti")
 
 
-def candidates(queries: DataFrame, fields: DataFrame, k: int = 6, min_score: float = 0.3) -> DataFrame:
-    """The k best fields for each query at or above a score; queries are a stated, small set."""
-    return W.top_k(W.similarities(queries, fields), ["query_id"], k, "item_id").where(F.col("score") >= min_score)
+def candidates(queries: DataFrame, fields: DataFrame, k: int = 6, min_score: float = 0.3, apart: bool = False, digits: int | None = None) -> DataFrame:
+    """The k best fields for each query at or above a score, by blocks of either."""
+    return W.nearest(queries, fields, k, min_score, apart, digits)

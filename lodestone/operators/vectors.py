@@ -1,12 +1,13 @@
-"""Lexical and dense vectors: TF-IDF as tables, exact and masked nearest neighbours, safe retrieval."""
+"""Lexical and dense vectors: TF-IDF as tables, nearest neighbours with filters and lanes, safe retrieval."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.sizes import sent_if_small, with_queries
 from lodestone.functions import fixed as X
+from lodestone.functions.sizes import sent_if_small
+from lodestone.operators.search import best_in_blocks
 
 
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -41,44 +42,32 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(product, F.lit(0.0), lambda s, x: s + x)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / F.greatest(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(X.NORM_FLOOR))
-
-
-def unit(a: Column) -> Column:
-    length = F.greatest(F.sqrt(dot(a, a)), F.lit(X.NORM_FLOOR))
-    return F.transform(a, lambda x: x.cast("double") / length)
-
-
 def top_k(scored: DataFrame, keys: list[str], k: int, tie: str) -> DataFrame:
     """The k best rows of each key with their rank, ties by ``tie``; Spark limits each task's groups before the exchange."""
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), tie))
     return scored.withColumn("rank", nth).where(F.col("rank") <= k)
 
 
-def similarities(queries: DataFrame, items: DataFrame) -> DataFrame:
-    """Each item beside each of a stated set of queries, with their cosine as score; all columns but the vectors.
+def nearest(queries: DataFrame, items: DataFrame, k: int, min_score: float | None = None, apart: bool = True, digits: int | None = None) -> DataFrame:
+    """(query_id, item_id, score, rank): exact search by cosine of a stated set of queries over all items, block by block.
 
-    queries: query_id, query (vector); items: item_id, vector; and others. Each vector gets length
-    1 once, before it meets any other, so that a pair costs one product.
+    queries: query_id, query (vector). items: item_id, vector; filter them before, so that what is filtered out never
+    takes a place among the k. See ``search.best_in_blocks`` for the rest.
     """
-    pairs = with_queries(items.withColumn("vector", unit(F.col("vector"))), queries.withColumn("query", unit(F.col("query"))))
-    return pairs.withColumn("score", dot(F.col("query"), F.col("vector"))).drop("query", "vector")
+    return top_k(best_in_blocks(queries, items, k, apart=apart, min_score=min_score, digits=digits), ["query_id"], k, "item_id")
 
 
-def nearest(queries: DataFrame, items: DataFrame, k: int, min_score: float | None = None) -> DataFrame:
-    """(query_id, item_id, score, rank): exact search of a stated set of queries over all items.
-
-    queries: query_id, query (vector); small, and sent to all tasks. items: item_id, vector; filter
-    them before, so that what is filtered out never takes a place among the k.
-    """
-    scored = similarities(queries, items).where(F.col("query_id") != F.col("item_id")).select("query_id", "item_id", "score")
-    scored = scored if min_score is None else scored.where(F.col("score") >= min_score)
-    return top_k(scored, ["query_id"], k, "item_id")
+def nearest_by_lane(queries: DataFrame, items: DataFrame, k: int, first_lane: str, apart: bool = True, digits: int | None = None) -> DataFrame:
+    """(query_id, item_id, lane, score, rank): ceil(k / 2) places for one lane, the rest for each other; items have a lane."""
+    found = best_in_blocks(queries, items, k - (k + 1) // 2, {first_lane: (k + 1) // 2}, apart, digits=digits)
+    return lane_quota(found, k, first_lane)
 
 
 def lane_quota(scored: DataFrame, k: int, first_lane: str, query: str = "query_id") -> DataFrame:
-    """The best ceil(k / 2) rows of one lane and the best rest of the others, ranked together."""
+    """The best ceil(k / 2) rows of one lane and the best rest of the others, ranked together.
+
+    Meant for what blocks have left, a few rows of each query and lane.
+    """
     nth = F.row_number().over(Window.partitionBy(query, "lane").orderBy(F.desc("score"), "item_id"))
     quota = F.when(F.col("lane") == first_lane, (k + 1) // 2).otherwise(k - (k + 1) // 2)
     kept = scored.withColumn("_nth", nth).where(F.col("_nth") <= quota).drop("_nth")
@@ -91,7 +80,7 @@ class LaneMisuse(ValueError):
 
 def retrieve(
     queries: DataFrame, index: DataFrame, k: int = 5, lane: str = "knowledge", institution: str | None = None, exclude_peer_reports: bool = True,
-    language: str | None = "en", drop_quantities: bool = False, source_types: list[str] | None = None, pillars: list[str] | None = None, min_score: float = 0.0,
+    language: str | None = "en", drop_quantities: bool = False, source_types: list[str] | None = None, pillars: list[str] | None = None, min_score: float = 0.0, digits: int | None = None,
 ) -> DataFrame:
     """The k best chunks for each query among those that may be shown; safe unless told otherwise.
 
@@ -116,6 +105,5 @@ def retrieve(
     for column, values in (("source_type", source_types), ("pillar", pillars)):
         rows = rows.where(F.col(column).isin(*values)) if values else rows
     rows = rows.where(~F.col("has_quantity")) if drop_quantities else rows
-    pairs = similarities(queries, rows.select("item_id", "vector", "lane")).select("query_id", "item_id", "lane", "score")
-    best = lane_quota(pairs, k, "institution") if lane == "all" else top_k(pairs, ["query_id"], k, "item_id")
+    best = nearest_by_lane(queries, rows, k, "institution", apart=False, digits=digits) if lane == "all" else nearest(queries, rows, k, apart=False, digits=digits)
     return best.where(F.col("score") >= min_score)

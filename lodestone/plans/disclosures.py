@@ -32,14 +32,14 @@ def star(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame,
     k = F.col("p_partkey")
     p = table(spark, d, "part")
     # some disclosures have no mapping row, and vary in the kinds of those that they have
-    mapping = p.where("p_size <= 6 and p_brand not in ('Brand#3', 'Brand#14')").select(
+    mapping = p.where("p_brand not in ('Brand#3', 'Brand#14')").select(
         F.col("p_brand").alias("disclosure"), F.col("p_type").alias("credit"), F.concat(F.lit("part "), k.cast("string")).alias("field"),
         F.when(F.col("p_brand").isin("Brand#5", "Brand#21"), "partial").when((F.col("p_brand") == "Brand#7") & (k % 2 == 0), "gap_gri_side").otherwise(F.element_at(F.array(*map(F.lit, ["equivalent", "component", "intensity", "partial"])), (k % 4 + 1).cast("int"))).alias("relationship"),
         F.when(F.col("p_brand") == "Brand#9", "proposed").when(F.col("p_brand") == "Brand#11", "rejected").when(k % 5 == 0, "rejected").otherwise("confirmed").alias("review_status"),
     )
     vocabulary = p.select(F.concat(F.lit("S"), F.length("p_brand").cast("string")).alias("standard"), F.col("p_brand").alias("disclosure")).distinct()
     entities = table(spark, d, "nation").select(F.col("n_nationkey").alias("entity"))
-    sold = table(spark, d, "lineitem").where("l_quantity > 40").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == k)
+    sold = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == k)
     value = F.when(F.max("l_discount") > 0.02, F.max("l_quantity").cast("int").cast("string")).otherwise(" ")
     records = sold.groupBy(F.col("s_nationkey").alias("entity"), F.col("p_type").alias("credit"), F.concat(F.lit("part "), k.cast("string")).alias("field")).agg(value.alias("value"))
     return vocabulary, mapping, entities, records
@@ -48,10 +48,10 @@ def star(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame,
 STAR = """
 WITH m AS (SELECT p_brand AS disclosure, p_type AS credit, 'part ' || p_partkey AS field, CASE WHEN p_brand IN ('Brand#5', 'Brand#21') THEN 'partial' WHEN p_brand = 'Brand#7' AND p_partkey % 2 = 0 THEN 'gap_gri_side'
     ELSE list_value('equivalent', 'component', 'intensity', 'partial')[p_partkey % 4 + 1] END AS relationship,
-    CASE WHEN p_brand = 'Brand#9' THEN 'proposed' WHEN p_brand = 'Brand#11' OR p_partkey % 5 = 0 THEN 'rejected' ELSE 'confirmed' END AS review_status FROM part WHERE p_size <= 6 AND p_brand NOT IN ('Brand#3', 'Brand#14')),
+    CASE WHEN p_brand = 'Brand#9' THEN 'proposed' WHEN p_brand = 'Brand#11' OR p_partkey % 5 = 0 THEN 'rejected' ELSE 'confirmed' END AS review_status FROM part WHERE p_brand NOT IN ('Brand#3', 'Brand#14')),
 v AS (SELECT DISTINCT 'S' || length(p_brand) AS standard, p_brand AS disclosure FROM part),
 r AS (SELECT s_nationkey AS entity, p_type AS credit, 'part ' || p_partkey AS field, CASE WHEN max(l_discount) > 0.02 THEN max(l_quantity)::INT::VARCHAR ELSE ' ' END AS value
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_quantity > 40 GROUP BY 1, 2, 3),
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3),
 u AS (SELECT * FROM m WHERE review_status = 'confirmed' AND relationship IN ('equivalent', 'component', 'intensity', 'partial')),
 h AS (SELECT r.entity, u.disclosure, u.relationship, u.credit, u.field, r.value, trim(r.value) <> '' AS populated FROM u JOIN r ON u.credit = r.credit AND u.field = r.field),
 c AS (SELECT n_nationkey AS entity, v.standard, v.disclosure,

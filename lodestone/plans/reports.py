@@ -194,8 +194,7 @@ def candidate_join(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
     queries = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     fields = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
-    pairs = W.similarities(queries, fields).where("query_id <> item_id").select("query_id", "item_id", F.round("score", 6).alias("score"))
-    return W.top_k(pairs, ["query_id"], 6, "item_id").where("score >= 0.3D")
+    return E.candidates(queries, fields, apart=True, digits=6)
 
 
 @query("""
@@ -212,7 +211,7 @@ def safe_retrieve(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 5 == 0, "peer_report").otherwise("framework").alias("source_type"), F.when(k % 7 == 0, "fr").otherwise("en").alias("language"), F.lit(False).alias("has_quantity"), F.lit("").alias("pillar"),
     )
     queries = e.where("vec_id % 20 = 0").select(k.alias("query_id"), F.col("embedding").alias("query"))
-    return W.retrieve(queries, index, k=5, lane="all", institution="U3", min_score=-1.0).select("query_id", "item_id", "lane", F.round("score", 6).alias("score"))
+    return W.retrieve(queries, index, k=5, lane="all", institution="U3", min_score=-1.0, digits=6).select("query_id", "item_id", "lane", "score")
 
 
 @query("""

@@ -169,16 +169,14 @@ WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS
 def knn_exact(spark: SparkSession, d: str) -> DataFrame:
     """The five nearest vectors of each query, exactly."""
     queries, items = vectors(spark, d)
-    scored = W.similarities(queries, items).where("query_id <> item_id").select("query_id", "item_id", F.round("score", 6).alias("score"))
-    return W.top_k(scored, ["query_id"], 5, "item_id")
+    return W.nearest(queries, items, 5, digits=6)
 
 
 @query(NEAR + "SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id)::INT AS rank FROM s WHERE label = 1 AND score >= 0.1 QUALIFY rank <= 5")
 def knn_masked(spark: SparkSession, d: str) -> DataFrame:
     """The nearest of those that a filter lets through before, from a least score on."""
     queries, items = vectors(spark, d)
-    scored = W.similarities(queries, items.where("label = 1")).where("query_id <> item_id").select("query_id", "item_id", F.round("score", 6).alias("score")).where("score >= 0.1D")
-    return W.top_k(scored, ["query_id"], 5, "item_id")
+    return W.nearest(queries, items.where("label = 1"), 5, min_score=0.1, digits=6)
 
 
 @query(NEAR + """, l AS (SELECT *, CASE WHEN label < 3 THEN 'institution' ELSE 'knowledge' END AS lane FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY query_id, lane ORDER BY score DESC, item_id) AS nth FROM l QUALIFY nth <= CASE WHEN lane = 'institution' THEN 3 ELSE 2 END)
@@ -186,9 +184,7 @@ SELECT query_id, item_id, lane, score, row_number() OVER (PARTITION BY query_id
 def knn_lane_quota(spark: SparkSession, d: str) -> DataFrame:
     """Five places, three of them for one lane."""
     queries, items = vectors(spark, d)
-    pairs = W.similarities(queries, items).where("query_id <> item_id").withColumn("lane", F.when(F.col("label") < 3, "institution").otherwise("knowledge"))
-    scored = pairs.select("query_id", "item_id", "lane", F.round("score", 6).alias("score"))
-    return W.lane_quota(scored, 5, "institution")
+    return W.nearest_by_lane(queries, items.withColumn("lane", F.when(F.col("label") < 3, "institution").otherwise("knowledge")), 5, "institution", digits=6)
 
 
 @query(NEAR + "SELECT query_id, round(max(score), 4) AS best, max(score) < 0.45 AS weak FROM s GROUP BY query_id")
