@@ -90,16 +90,21 @@ class CachedTokenizer:
         alone = sorted(set(range(len(new))).difference(plain))
         for a in range(0, len(plain), TOGETHER):
             part = plain[a : a + TOGETHER]
-            (got,) = self.tokenizer.encode_batch_fast(["".join([new[k] for k in part])], add_special_tokens=False)
-            ids = np.array(got.ids, np.int64)
-            (first_ids,) = np.nonzero(self.spaced[ids])
-            if len(first_ids) != len(part):
+            sizes, ids = self.together([new[k] for k in part])
+            if len(sizes) != len(part):
                 raise ValueError("the tokenizer does not split at spaces")
-            self.keep(np.array(part) + first, np.diff(first_ids, append=len(ids)), ids)
+            self.keep(np.array(part) + first, sizes, ids)
         if alone:
             ids = [e.ids for e in self.tokenizer.encode_batch([new[k] for k in alone], add_special_tokens=False)]
             self.keep(np.array(alone) + first, np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.int64))
 
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each of some plain words, which begin with a space, and all their ids."""
+        (got,) = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)
+        ids = np.array(got.ids, np.int64)
+        (first,) = np.nonzero(self.spaced[ids])
+        return np.diff(first, append=len(ids)), ids
+
     def keep(self, places: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
         if len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from lodestone.functions.stages import shared_folder, written
-from lodestone.llm.bpe import WordBpe
+from lodestone.llm.bpe import LATIN_LETTERS, WordBpe
 from lodestone.llm.common import in_arrow, slices, text_slices
 from lodestone.llm.packing import CachedTokenizer
 from lodestone.sources.tables import table
@@ -57,6 +58,15 @@ def numbers(fs: pafs.FileSystem, path: str, kind: str, begin: int, end: int) ->
         return np.frombuffer(f.read_at((end - begin) * size, begin * size), kind)
 
 
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The number of ids of each row of a binary column, none of null, and all ids in one array."""
+    column = pc.fill_null(column, b"").cast(pa.large_binary())
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if len(column) == 0 or edges[-1] == edges[0]:
+        return np.zeros(len(column), np.int64), np.zeros(0, "<u4")
+    return np.diff(edges) // 4, np.frombuffer(column.buffers()[2], "<u4", (edges[-1] - edges[0]) // 4, edges[0])
+
+
 @dataclass
 class Part(WriterCommitMessage):
     """What one task has written."""
@@ -87,13 +97,10 @@ class TokenWriter(DataSourceArrowWriter):
             offsets.write(np.zeros(1, "<i8").tobytes())
             with pa.ipc.new_file(own, pa.schema([("doc_id", to_arrow_type(self.id_kind))])) as keys:
                 for batch in iterator:
-                    column = batch.column(batch.schema.get_field_index("ids"))
-                    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-                    for raw in column:
-                        values = np.frombuffer(raw.as_py() or b"", "<u4")
-                        if len(values) and int(values.max()) > most:
-                            raise ValueError(f"id {values.max()} needs more than {self.width} bytes")
-                        ids.write(values.astype(f"<u{self.width}").tobytes())
+                    sizes, values = flat(batch.column(batch.schema.get_field_index("ids")))
+                    if len(values) and int(values.max()) > most:
+                        raise ValueError(f"id {values.max()} needs more than {self.width} bytes")
+                    ids.write(values.astype(f"<u{self.width}").tobytes())
                     offsets.write((at + np.cumsum(sizes)).astype("<i8").tobytes())
                     keys.write_batch(pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")).cast(to_arrow_type(self.id_kind))], names=["doc_id"]))
                     docs += len(batch)
@@ -234,12 +241,20 @@ class WordTokenizer(CachedTokenizer):
     def __init__(self, path: str):
         super().__init__(path)
         self.by_file = WordBpe(path)
-        self.plain = lambda word: None
+        self.plain = re.compile(f"[{LATIN_LETTERS}]+").fullmatch
+        #: by id, whether the token ends a word
+        self.ended = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ended[[k for name, k in self.tokenizer.get_vocab().items() if name.endswith(self.by_file.table.suffix)]] = True
         self.chars = 0
 
     def split(self, text: str) -> list[str]:
         return self.by_file.plain(text)
 
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        (got,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(got.ids, np.int64)
+        return np.diff(np.flatnonzero(self.ended[ids]), prepend=-1), ids
+
     def learn(self) -> None:
         self.chars += sum(map(len, self.places.new))
         super().learn()
