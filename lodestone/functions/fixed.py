@@ -65,6 +65,9 @@ MIN_DOC_FREQUENCY = 2
 WEAK_MATCH = 0.45
 NORM_FLOOR = 1e-12
 
+# --- lines of a standard's page below which nothing is binding
+GUIDANCE_MARKERS, GUIDANCE_PREFIX = ["guidance", "background", "glossary"], "guidance for"
+
 # --- documents
 DOCUMENT_EXTENSIONS = [".pdf", ".xlsx", ".xls", ".docx", ".doc", ".csv", ".pptx"]
 SPREADSHEET_EXTENSIONS = [".xlsx", ".xlsm", ".xls"]

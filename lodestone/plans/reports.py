@@ -119,20 +119,39 @@ def requirement_crosscheck(spark: SparkSession, d: str) -> DataFrame:
     return R.cross_check(pages, p.where(k % 17 != 0).select(k.alias("disclosure"), F.col("p_name").alias("title")))
 
 
-SEGMENTS = "'<h1>Page</h1><p>before</p><h2>Disclosure 305-' || page_id % 9 || ' Title of it</h2><p>one CO2</p><li>two</li><h3>Guidance for it</h3><p>left out</p><h2>305-' || (page_id % 9 + 1) || ' Next</h2><p>three' || page_id || '<h2>Other</h2><p>x'"
-
-
 @query("""
-SELECT page_id, '305-' || page_id % 9 AS number, 'Title of it' AS title, 'one CO2' || chr(10) || 'two' AS text FROM pages UNION ALL SELECT page_id, '305-' || (page_id % 9 + 1), 'Next', 'three' || page_id FROM pages
+WITH p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '<p>([^<]+)', 1), lambda t: trim(regexp_replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&'), '[\\s\\x{a0}]+', ' ', 'g'))), lambda t: t <> '') AS texts FROM pages),
+u AS (SELECT page_id, generate_subscripts(texts, 1) AS nth, unnest(texts) AS t FROM p)
+SELECT page_id, nth || '-' || (page_id % 90 + 1) AS number, 'Title of ' || nth AS title, CASE nth % 6 WHEN 0 THEN t || chr(10) || 'a b' WHEN 1 THEN t || '2' WHEN 2 THEN t || 'tail' || chr(10) || 'inner' || chr(10) || 'last' ELSE t END AS text FROM u WHERE nth % 6 < 4
 """)
 def html_segments(spark: SparkSession, d: str) -> DataFrame:
-    """What pages state below each disclosure's heading, guidance left out."""
-    k = F.col("page_id")
-    html = F.concat(
-        F.lit("<h1>Page</h1><p>before</p><h2>Disclosure 305-"), (k % 9).cast("string"), F.lit(" Title of it</h2><p>one CO2</p><li>two</li><h3>Guidance for it</h3><p>left out</p><h2>305-"), (k % 9 + 1).cast("string"),
-        F.lit(" Next</h2><p>three"), k.cast("string"), F.lit("<h2>Other</h2><p>x"),
+    """What pages state below each disclosure's heading: the paragraphs of the pages themselves, put into nested markup.
+
+    Headings are plain, spans within spans, or first ranks; texts are in paragraphs, divs and nested items. One in six stands
+    below another heading and one below a glossary, so that they are nobody's; headers, footers and what is outside the body are left out.
+    """
+    p = table(spark, d, "pages")
+    trimmed = F.transform(F.regexp_extract_all("html", F.lit("<p>([^<]+)"), F.lit(1)), lambda t: F.trim(F.regexp_replace(t, r"(?:\s|&nbsp;)+", " ")))
+
+    def planted(t: F.Column, k: F.Column) -> F.Column:
+        n, kind = (k + 1).cast("string"), (k + 1) % 6
+        number = F.concat(n, F.lit("-"), (F.col("page_id") % 90 + 1).cast("string"))
+        of = lambda *parts: F.concat(*[x if isinstance(x, F.Column) else F.lit(x) for x in parts])
+        return (
+            F.when(kind == 0, of("<div><span class='big heading'>Disclosure ", number, "<br/>Title of ", n, "</span></div><p>", t, "<div>nobody's</div><p>a <b>b</b>"))
+            .when(kind == 1, of('<span class="heading"><span class="heading">Disclosure ', number, '</span><span class="h2"><i>Title of</i> ', n, "</span></span><div><p>", t, "<sub>2</sub></div>"))
+            .when(kind == 2, of("<h1>Disclosure ", number, " Title of ", n, "</h1><ol><li>", t, "<ul><li>inner<li><b>last</b></ul>tail</li></ol>"))
+            .when(kind == 3, of("<h2 id=x><a>Disclosure ", number, "</a><a>Title of ", n, "</a></h2><ul>not in an item<li><div>", t, "</div></li></ul>"))
+            .when(kind == 4, of("<h2>Other ", n, "</h2><p>", t, "</p>"))
+            .otherwise(of("<h2>Disclosure ", number, " Title of ", n, "</h2><p>Glossary:</p><p>", t, "</p>"))
+        )
+
+    whole = F.concat(
+        F.lit("<html><body><header><h2>Disclosure 1-99 No</h2><p>no</p></header><h2>Disclosure 2-99 No</h2><p>no</p><div class='x'><div class=\"wide doc-body\"><div>"),
+        F.array_join(F.transform(F.filter(trimmed, lambda t: t != ""), planted), "\n"),
+        F.lit("</div><nav><li>no</li></nav><footer><p>no</p></footer></div><p>no</p></div><footer><h2>Disclosure 3-99 No</h2><p>no</p></footer></body></html>"),
     )
-    return R.extract_requirements(table(spark, d, "pages").select("page_id", html.alias("html")), "page_id", "html")
+    return R.extract_requirements(p.select("page_id", whole.alias("html")), "page_id", "html")
 
 
 @query("""
