@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestone import flows
@@ -19,9 +18,9 @@ from lodestone.sources.config import Institution, institutions
 SYSTEM = "Write the section in plain prose. State figures by their tokens alone, never a number of your own."
 
 
-def numbered(mapping: DataFrame) -> DataFrame:
-    """A mapping file's rows with their line numbers; such files are edited by hand and small."""
-    return mapping.withColumn("_m", F.monotonically_increasing_id()).withColumn("line", F.row_number().over(Window.orderBy("_m")) + 1).drop("_m")
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """A mapping file's rows with their line numbers, from 2, below the header; a folder's files follow each other by name."""
+    return files.read_csv(spark, path, schemas.MAPPING, "line").withColumn("line", F.col("line") + 2)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -67,7 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName("lodestone").getOrCreate()
     pairs = lambda values: [v.split("=", 1) for v in values]
-    mapping = lambda: numbered(files.read_csv(spark, a.mapping, schemas.MAPPING))
+    mapping = lambda: numbered(spark, a.mapping)
     if a.command == "combine":
         sinks.write_table(flows.combined([(v, files.read_csv(spark, f, schemas.SCORES)) for v, f in pairs(a.scores)]), a.out)
     elif a.command in ("scores", "fields"):
@@ -80,12 +79,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         whole = {"reconciled": lambda df: not flows.reconciliation(scores, fields, df).where("expected <> actual").limit(1).count()}
         sinks.guarded_write(joined, a.out, whole)
     elif a.command == "validate":
-        found = flows.validated(mapping(), files.read_vocabulary(spark, a.vocabulary), spark.read.parquet(a.master))
+        found = flows.validated(mapping(), files.read_vocabulary(spark, a.vocabulary), sinks.read_published(spark, a.master))
         found.orderBy("line", "rule").show(1000, False)
         return int(found.where("rule not like 'warning%'").limit(1).count() > 0)
     elif a.command in ("bi", "index"):
         known = [Institution(k, n) for k, n in pairs(a.institution)]
-        tables = spark.read.parquet(a.master), mapping(), files.read_vocabulary(spark, a.vocabulary), institutions(spark, known)
+        tables = sinks.read_published(spark, a.master), mapping(), files.read_vocabulary(spark, a.vocabulary), institutions(spark, known)
         if a.command == "bi":
             for name, df in flows.bi_tables(*tables, len(known)).items():
                 sinks.write_table(df, f"{a.out}/{name}")
@@ -109,7 +108,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sinks.write_requirements(rows, a.out, ["Requirement text as its pages state it."], a.retrieved)
         requirements.cross_check(found, vocabulary).orderBy("number", "finding").show(1000, False)
     elif a.command == "review":
-        rows = flows.review(mapping(), files.read_requirements(spark, a.requirements), spark.read.parquet(a.master))
+        rows = flows.review(mapping(), files.read_requirements(spark, a.requirements), sinks.read_published(spark, a.master))
         rows.orderBy("line").show(1000, False, vertical=True)
     elif a.command == "amend":
         plain = [files.read_csv(spark, f, schemas.MAPPING) for f in (a.mapping, a.changes, a.inserts)]
@@ -120,11 +119,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "candidates":
         asked = embedding.targets(files.read_vocabulary(spark, a.vocabulary), flows.crosswalk(mapping()), a.disclosure, a.all)
         texts = files.read_requirements(spark, a.requirements).select(F.col("number").alias("disclosure"), "text") if a.requirements else spark.createDataFrame([], "disclosure string, text string")
-        flows.candidate_fields(asked.join(texts, "disclosure", "left"), spark.read.parquet(a.master), a.k).orderBy("disclosure", "rank").show(1000, False)
+        flows.candidate_fields(asked.join(texts, "disclosure", "left"), sinks.read_published(spark, a.master), a.k).orderBy("disclosure", "rank").show(1000, False)
     elif a.command == "narrative":
         sections = spark.read.csv(a.sections, header=True, schema="section string, title string, disclosure string")
         references = T.reference_pattern([r.disclosure for r in files.read_vocabulary(spark, a.vocabulary).select("disclosure").collect()])
-        found = narrative.facts(sections, flows.crosswalk(mapping()), flows.records(spark.read.parquet(a.master)), references)
+        found = narrative.facts(sections, flows.crosswalk(mapping()), flows.records(sinks.read_published(spark, a.master)), references)
         cache = spark.read.parquet(a.cache) if a.cache else None
         writer = narrative.WRITERS[a.writer]()
         rows, _ = flows.narrative(found, sections.select("section", "title").distinct(), writer, SYSTEM, references, cache)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +29,14 @@ def written(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def passing_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder where all machines see it, which goes at the end with all that is in it; return only what was ``written`` before."""
+    at = f"{shared_folder(spark)}/{name}_{uuid.uuid4().hex}"
+    try:
+        yield at
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodestone import flows
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
-from lodestone.functions.stages import shared_folder
+from lodestone.functions.stages import passing_folder, written
 from lodestone.operators import joins as J
 from lodestone.operators import narrative as N
 from lodestone.sources import files, schemas, sinks
@@ -29,22 +29,31 @@ def query(sql: str):
     return add
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder where all machines see it."""
-    return f"{shared_folder(spark)}/{name}_{uuid.uuid4().hex}"
+def through_files(sql: str):
+    """A query that writes files below a folder and reads them back; its rows are written to the shared folder, so that the files can go."""
+
+    def add(f):
+        @functools.wraps(f)
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            with passing_folder(spark, f.__name__) as at:
+                return written(f(spark, d, at))
+
+        return query(sql)(run)
+
+    return add
 
 
 def number(c: str, n: int) -> F.Column:
     return (F.col(c) % n).cast("string")
 
 
-@query("""
+@through_files("""
 SELECT c_name AS institution, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'a "b", c' WHEN 2 THEN 'two' || chr(10) || 'lines' ELSE c_mktsegment END AS category,
   'OP-' || c_custkey AS credit_code, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '---' END AS status, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS score FROM customer
 """)
-def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+def csv_round_trip(spark: SparkSession, d: str, at: str) -> DataFrame:
     """A delimited file as written and read: quotes, separators, line breaks and marks of missing values."""
-    k, at = F.col("c_custkey"), folder(spark, "csv")
+    k = F.col("c_custkey")
     category = F.when(k % 4 == 0, "None").when(k % 4 == 1, 'a "b", c').when(k % 4 == 2, "two\nlines").otherwise(F.col("c_mktsegment"))
     rows = table(spark, d, "customer").select(
         F.col("c_name").alias("institution"), category.alias("category"), F.lit("OP").alias("category_code"), F.concat(F.lit("OP-"), k.cast("string")).alias("credit_code"), F.lit("n").alias("credit_name"),
@@ -54,31 +63,30 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return files.read_csv(spark, at, schemas.SCORES).select("institution", "category", "credit_code", "status", "score")
 
 
-@query("SELECT 'd-' || doc_id AS id, text, lang AS language, n_chars AS chars, doc_id % 2 = 0 AS has_quantity FROM documents")
-def json_lines_round_trip(spark: SparkSession, d: str) -> DataFrame:
+@through_files("SELECT 'd-' || doc_id AS id, text, lang AS language, n_chars AS chars, doc_id % 2 = 0 AS has_quantity FROM documents")
+def json_lines_round_trip(spark: SparkSession, d: str, at: str) -> DataFrame:
     """All documents as JSON lines, written and read by the declared shape."""
-    at, k = folder(spark, "lines"), F.col("doc_id")
+    k = F.col("doc_id")
     rows = table(spark, d, "documents").select(F.concat(F.lit("d-"), k.cast("string")).alias("id"), "text", F.col("lang").alias("language"), F.col("n_chars").alias("chars"), (k % 2 == 0).alias("has_quantity"), F.lit(1).alias("extra"))
     sinks.write_json_lines(rows, at)
     return files.read_json_lines(spark, at, schemas.CHUNK).select("id", "text", "language", "chars", "has_quantity")
 
 
-@query(f"""
+@through_files(f"""
 SELECT n_name AS source, CASE WHEN n_nationkey % 2 = 0 THEN 'https://x/' || n_nationkey ELSE '' END AS url, CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE 'Body of ' || n_name || chr(10) || '{X.HEADER_RULE}' || chr(10) || 'more' END AS body FROM nation
 """)
-def corpus_files(spark: SparkSession, d: str) -> DataFrame:
+def corpus_files(spark: SparkSession, d: str, at: str) -> DataFrame:
     """A file for each nation, read as a corpus: header above a rule, body below; without a rule there is no body."""
-    at, k = folder(spark, "corpus"), F.col("n_nationkey")
+    k = F.col("n_nationkey")
     head = F.concat(F.lit("SOURCE: "), F.col("n_name"), F.when(k % 2 == 0, F.concat(F.lit("\nURL: https://x/"), k.cast("string"))).otherwise(""))
     body = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit(f"\n{X.HEADER_RULE}\n\nBody of "), F.col("n_name"), F.lit(f"\n{X.HEADER_RULE}\nmore\n")))
     table(spark, d, "nation").select(k.alias("at"), F.concat(head, body).alias("value")).write.partitionBy("at").text(at)
     return files.read_corpus(spark, at)
 
 
-@query("SELECT r_name AS standard, 'T ' || r_name AS standard_title, 'F' AS family, '3-' || n_nationkey AS disclosure, n_name AS title FROM nation JOIN region ON n_regionkey = r_regionkey")
-def vocabulary_json(spark: SparkSession, d: str) -> DataFrame:
+@through_files("SELECT r_name AS standard, 'T ' || r_name AS standard_title, 'F' AS family, '3-' || n_nationkey AS disclosure, n_name AS title FROM nation JOIN region ON n_regionkey = r_regionkey")
+def vocabulary_json(spark: SparkSession, d: str, at: str) -> DataFrame:
     """A nested vocabulary of one JSON document, as rows."""
-    at = folder(spark, "vocabulary")
     rows = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     listed = F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("3-"), F.col("n_nationkey").cast("string")), F.col("n_name"))))
     each = rows.groupBy("r_name").agg(F.struct(F.concat(F.lit("T "), F.col("r_name")).alias("title"), F.lit("F").alias("family"), listed.alias("disclosures")).alias("body"))
@@ -87,29 +95,27 @@ def vocabulary_json(spark: SparkSession, d: str) -> DataFrame:
     return files.read_vocabulary(spark, at)
 
 
-@query("SELECT '305-' || n_nationkey AS number, n_name AS title, 'S' || n_regionkey AS standard, 'line one' || chr(10) || 'of \"' || n_name || '\"' AS text, 'https://x/' || n_nationkey AS source_url FROM nation")
-def requirements_json(spark: SparkSession, d: str) -> DataFrame:
+@through_files("SELECT '305-' || n_nationkey AS number, n_name AS title, 'S' || n_regionkey AS standard, 'line one' || chr(10) || 'of \"' || n_name || '\"' AS text, 'https://x/' || n_nationkey AS source_url FROM nation")
+def requirements_json(spark: SparkSession, d: str, at: str) -> DataFrame:
     """Requirements written as one JSON document with a preamble, and read back."""
-    at, k = folder(spark, "requirements"), F.col("n_nationkey").cast("string")
+    k = F.col("n_nationkey").cast("string")
     text = F.concat(F.lit('line one\nof "'), F.col("n_name"), F.lit('"'))
     rows = table(spark, d, "nation").select(F.concat(F.lit("305-"), k).alias("number"), F.col("n_name").alias("title"), F.concat(F.lit("S"), F.col("n_regionkey").cast("string")).alias("standard"), text.alias("text"), F.concat(F.lit("https://x/"), k).alias("source_url"))
     sinks.write_requirements(rows, at, ["what this is", "and whose"], "2025-01-01")
     return files.read_requirements(spark, at).drop("cached_source")
 
 
-@query("SELECT vec_id AS item_id, round(embedding[1]::DOUBLE, 6) AS first, 'L' || label AS label FROM embeddings WHERE vec_id % 3 = 0")
-def index_by_lane(spark: SparkSession, d: str) -> DataFrame:
+@through_files("SELECT vec_id AS item_id, round(embedding[1]::DOUBLE, 6) AS first, 'L' || label AS label FROM embeddings WHERE vec_id % 3 = 0")
+def index_by_lane(spark: SparkSession, d: str, at: str) -> DataFrame:
     """One lane of a vector index as written: its folder alone is read."""
-    at = folder(spark, "index")
     lane = F.when(F.col("vec_id") % 3 == 0, "institution").otherwise("knowledge")
     sinks.write_index(table(spark, d, "embeddings").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"), F.concat(F.lit("L"), F.col("label").cast("string")).alias("label"), lane.alias("lane")), at)
     return spark.read.parquet(at).where("lane = 'institution'").select("item_id", F.round(F.col("vector")[0].cast("double"), 6).alias("first"), "label")
 
 
-@query("SELECT 'published' AS place, o_orderkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'preview', o_orderkey FROM orders WHERE o_orderkey % 2 = 1")
-def guarded_rewrite(spark: SparkSession, d: str) -> DataFrame:
+@through_files("SELECT 'published' AS place, o_orderkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'preview', o_orderkey FROM orders WHERE o_orderkey % 2 = 1")
+def guarded_rewrite(spark: SparkSession, d: str, at: str) -> DataFrame:
     """What is published and what is kept aside, after a set that is whole, one that isn't, and one that isn't and has a preview."""
-    at = folder(spark, "guarded")
     keys = table(spark, d, "orders").select("o_orderkey")
     even = {"even keys": lambda df: not df.where("o_orderkey % 2 = 1").limit(1).count()}
     sinks.guarded_write(keys.where("o_orderkey % 2 = 0"), f"{at}/out", even)
@@ -118,7 +124,7 @@ def guarded_rewrite(spark: SparkSession, d: str) -> DataFrame:
     except sinks.Incomplete:
         pass
     aside = sinks.guarded_write(keys.where("o_orderkey % 2 = 1"), f"{at}/out", even, f"{at}/preview")
-    return spark.read.parquet(f"{at}/out").select(F.lit("published").alias("place"), "o_orderkey").unionByName(spark.read.parquet(aside).select(F.lit("preview").alias("place"), "o_orderkey"))
+    return sinks.read_published(spark, f"{at}/out").select(F.lit("published").alias("place"), "o_orderkey").unionByName(sinks.read_published(spark, aside).select(F.lit("preview").alias("place"), "o_orderkey"))
 
 
 @query("""

@@ -9,18 +9,33 @@ from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions import fixed as X
 from lodestone.functions.nulls import missing_to_null
+from lodestone.functions.sizes import sent_if_small
 from lodestone.operators.chunking import strip
 from lodestone.sources.schemas import MANIFEST, REQUIREMENT, VOCABULARY
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A delimited file with a header, by a declared schema; marks of missing values read as null.
+def with_ordinal(rows: DataFrame, out: str) -> DataFrame:
+    """What was just read from files, with the place of each row among all: files by path, their splits by place, rows as they stand there.
+
+    Within a split Spark's increasing ids are consecutive, so a row's place is its id less the split's first one, and the number of
+    rows of all splits before. Only the table of splits, a row for each, is put in one order; no row is moved for it. The order
+    is that of the files whatever tasks read them. Call it on the reader's result, before any filter.
+    """
+    found = rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).alias("_split"), F.monotonically_increasing_id().alias("_id"))
+    splits = found.groupBy("_split").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = splits.select("_split", (before - F.col("_first")).alias("_base"))
+    return found.join(sent_if_small(base), "_split").withColumn(out, F.col("_base") + F.col("_id")).drop("_split", "_id", "_base")
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, ordinal: str | None = None) -> DataFrame:
+    """A delimited file with a header, by a declared schema; marks of missing values read as null. ``ordinal``: a column of rows' places from 0, over all files.
 
     All columns are read as text first, so that a value such as "None" in a number's column is
     null and not an error, and so that no text is taken for a number. Names in the header
@@ -29,7 +44,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = spark.read.schema(text).csv(path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=False, mode="FAILFAST")
     cast = lambda f: missing_to_null(f.name) if isinstance(f.dataType, T.StringType) else missing_to_null(f.name).try_cast(f.dataType)
-    return raw.select(*[cast(f).alias(f.name) for f in schema.fields])
+    columns = [cast(f).alias(f.name) for f in schema.fields]
+    return raw.select(*columns) if ordinal is None else with_ordinal(raw, ordinal).select(*columns, ordinal)
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
@@ -73,8 +89,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str, texts: str) -> DataFrame:
-    """The rows of a manifest of documents with their extracted texts, files of the same stem; ``ord`` is their order in it."""
-    listed = read_csv(spark, path, MANIFEST).withColumn("ord", F.monotonically_increasing_id())
+    """The rows of a manifest of documents with their extracted texts, files of the same stem; ``ord`` is their order in it, over all its files."""
+    listed = read_csv(spark, path, MANIFEST, "ord")
     found = read_pages(spark, texts).select(F.col("key").alias("_stem"), F.col("html").alias("text"))
     return listed.join(found, F.regexp_replace("local_file", r"\.[^.]*$", "") == F.col("_stem")).drop("_stem")
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -56,24 +60,106 @@ class Incomplete(RuntimeError):
     """A set that may not be published."""
 
 
-def guarded_write(df: DataFrame, path: str, checks: dict[str, Callable[[DataFrame], bool]], preview: str | None = None) -> str:
-    """Write the rows to ``path`` only if all checks hold for what was written beside it.
+def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, Callable[..., JavaObject]]:
+    """Hadoop's file system of a path, and its constructor of paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
-    The rows go to a staging folder, are read back and checked there, and then take the place of what
-    was at ``path``. If a check fails, nothing at ``path`` changes; with ``preview`` the rows go there
-    instead. Returns where the rows are.
+
+#: Folders of a published set: one for each version of its rows, and the log of commits, of which the last counts.
+VERSIONS, COMMITS = "versions", "_commits"
+
+
+def commits(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, version) of the commits of a published set, in order. A commit's file that isn't whole, as after a crash, isn't one."""
+    fs, make = file_system(spark, path)
+    if not fs.exists(make(f"{path}/{COMMITS}")):
+        return []
+    out = []
+    for status in fs.listStatus(make(f"{path}/{COMMITS}")):
+        name = status.getPath().getName()
+        if re.fullmatch(r"[0-9]{12}", name):
+            stream = fs.open(status.getPath())
+            try:
+                text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if whole := re.fullmatch(r"([0-9a-f]{32})\n", text):
+                out.append((int(name), whole[1]))
+    return sorted(out)
+
+
+def commit(spark: SparkSession, path: str, version: str) -> int:
+    """Make a version of a set, all of whose files are written, the one that readers get: one small file, which nobody overwrites.
+
+    Its number is the next one; where another writer has taken that meanwhile, the one after it.
+    """
+    fs, make = file_system(spark, path)
+    fs.mkdirs(make(f"{path}/{COMMITS}"))
+    taken = [int(s.getPath().getName()) for s in fs.listStatus(make(f"{path}/{COMMITS}")) if re.fullmatch(r"[0-9]{12}", s.getPath().getName())]
+    number = max(taken, default=-1) + 1
+    while True:
+        try:
+            stream = fs.create(make(f"{path}/{COMMITS}/{number:012d}"), False)
+        except Py4JJavaError:
+            if not fs.exists(make(f"{path}/{COMMITS}/{number:012d}")):
+                raise
+            number += 1
+            continue
+        try:
+            stream.write(bytearray(f"{version}\n".encode()))
+        finally:
+            stream.close()
+        return number
+
+
+def retire(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove the versions of all but the last ``keep`` commits, then those commits. What an open reader may still read should be among those kept."""
+    fs, make = file_system(spark, path)
+    known = commits(spark, path)
+    kept = {v for _, v in known[-keep:]}
+    for number, version in known[:-keep]:
+        if version not in kept:
+            fs.delete(make(f"{path}/{VERSIONS}/{version}"), True)
+        fs.delete(make(f"{path}/{COMMITS}/{number:012d}"), False)
+
+
+def read_published(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """The rows of the last commit of a published set, or of one by its number; a folder without commits is read as plain Parquet."""
+    known = commits(spark, path)
+    if number is not None:
+        return spark.read.parquet(f"{path}/{VERSIONS}/{dict(known)[number]}")
+    return spark.read.parquet(f"{path}/{VERSIONS}/{known[-1][1]}" if known else path)
+
+
+def guarded_write(df: DataFrame, path: str, checks: dict[str, Callable[[DataFrame], bool]], preview: str | None = None, keep: int = 2) -> str:
+    """Publish the rows at ``path`` only if all checks hold for what was written.
+
+    The rows are written as a version beside those that are there, read back and checked; then a commit names the
+    version. Until that one file is whole readers (``read_published``) get the version before, and nothing of it is touched: a failure
+    at any moment loses nothing. If a check fails, nothing is committed; with ``preview`` the version is moved there and
+    committed there instead. The last ``keep`` versions stay. Returns where the rows are published.
     """
     spark = df.sparkSession
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    staging = f"{path}.staging"
-    df.write.mode("overwrite").parquet(staging)
-    written = spark.read.parquet(staging)
+    fs, make = file_system(spark, path)
+    version = uuid.uuid4().hex
+    staged = f"{path}/{VERSIONS}/{version}"
+    df.write.mode("errorifexists").parquet(staged)
+    written = spark.read.parquet(staged)
     failed = [name for name, check in checks.items() if not check(written)]
-    goal = preview if failed and preview else path
-    files = hadoop.Path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if failed and not preview:
-        files.delete(hadoop.Path(staging), True)
-        raise Incomplete(", ".join(failed))
-    files.delete(hadoop.Path(goal), True)
-    files.rename(hadoop.Path(staging), hadoop.Path(goal))
+    if failed:
+        if preview:
+            fs.mkdirs(make(f"{preview}/{VERSIONS}"))
+            if not fs.rename(make(staged), make(f"{preview}/{VERSIONS}/{version}")):
+                raise OSError(f"{staged} could not be moved to {preview}")
+        else:
+            fs.delete(make(staged), True)
+        for emptied in (f"{path}/{VERSIONS}", path):  # folders that this write alone has made
+            if fs.exists(make(emptied)) and not len(fs.listStatus(make(emptied))):
+                fs.delete(make(emptied), False)
+        if not preview:
+            raise Incomplete(", ".join(failed))
+    goal = preview if failed else path
+    commit(spark, goal, version)
+    retire(spark, goal, keep)
     return goal

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.functions.stages import shared_folder
+from lodestone.functions.stages import passing_folder, written
 from lodestone.sources.tables import table
 from lodestone.streaming.upsert import arriving, current, upsert_stream
 
 
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     """Events that arrive in four batches of files: by user the last event of the last batch that has one."""
-    base = f"{shared_folder(spark)}/stream_{uuid.uuid4().hex}"
     events = table(spark, d, "events").select("user_id", "event_id", "event_type", "value")
-    for k in range(4):
-        events.where(f"event_id % 4 = {k}").write.mode("append").parquet(f"{base}/in")
-        # what has arrived is one batch, however many files it is
-        upsert_stream(arriving(spark, f"{base}/in", events.schema, 1_000_000), f"{base}/out", ["user_id"], "event_id", f"{base}/state")
-    return current(spark, f"{base}/out", ["user_id"], "event_id")
+    with passing_folder(spark, "stream_upsert") as base:
+        for k in range(4):
+            events.where(f"event_id % 4 = {k}").write.mode("append").parquet(f"{base}/in")
+            # what has arrived is one batch, however many files it is
+            upsert_stream(arriving(spark, f"{base}/in", events.schema, 1_000_000), f"{base}/out", ["user_id"], "event_id", f"{base}/state")
+        return written(current(spark, f"{base}/out", ["user_id"], "event_id"))
 
 
 QUERIES = {"stream_upsert": stream_upsert}

@@ -10,7 +10,7 @@ from lodestone import flows
 from lodestone.__main__ import main
 from lodestone.functions import text as T
 from lodestone.functions.fixed import HEADER_RULE
-from lodestone.sources import files, schemas
+from lodestone.sources import files, schemas, sinks
 
 
 def write(path, header, rows):
@@ -54,7 +54,7 @@ def test_from_files_to_tables(spark, world):
     assert scores.columns == schemas.COMBINED.fieldNames() and scores.count() == 5
     assert sorted({r.pillar for r in scores.collect()}) == ["Environmental", "Governance"]
     assert run(spark, "master", "--scores", d / "scores", "--fields", d / "fields.csv", "--out", d / "master") == 0
-    joined = spark.read.parquet(f"{d}/master")
+    joined = sinks.read_published(spark, f"{d}/master")
     assert joined.where("anchor").agg(F.round(F.sum("score"), 3)).first()[0] == 13.65 < joined.agg(F.sum("score")).first()[0]
     assert joined.count() == 5 + 3
     common = ["--mapping", d / "mapping.csv", "--vocabulary", d / "vocabulary.json", "--master", d / "master"]
@@ -129,7 +129,7 @@ def test_review_amend_candidates_and_narrative(spark, world, capsys):
     for name in ("a", "b"):
         assert run(spark, "combine", "--out", d / f"scores_{name}", f"3.0={d}/a.csv", f"3.0={d}/b.csv") == 0
     assert run(spark, "master", "--scores", d / "scores_a", "--fields", d / "fields.csv", "--out", d / "joined") == 0
-    joined = spark.read.parquet(f"{d}/joined")
+    joined = sinks.read_published(spark, f"{d}/joined")
     (d / "pages").mkdir()
     (d / "pages" / "305.html").write_text("<h2>Disclosure 305-1 t1</h2><p>Report scope one.</p><p>And more.</p><h2>305-2 t2</h2><p>x</p>", encoding="utf-8")
     assert run(spark, "requirements", "--pages", d / "pages", "--vocabulary", d / "vocabulary.json", "--retrieved", "2025-01-01", "--out", d / "req") == 0
@@ -163,10 +163,10 @@ def test_review_amend_candidates_and_narrative(spark, world, capsys):
     write(d / "sections.csv", ["section", "title", "disclosure"], [["ghg", "Gases", "305-1"], ["ghg", "Gases", "305-4"], ["ghg", "Gases", "305-5"]])
     common = ["narrative", "--mapping", d / "mapping.csv", "--vocabulary", d / "vocabulary.json", "--master", d / "joined", "--sections", d / "sections.csv", "--out", d / "prose"]
     assert run(spark, *common) == 0
-    stub = {r.entity[-1]: r for r in spark.read.parquet(f"{d}/prose.preview").collect()}
+    stub = {r.entity[-1]: r for r in sinks.read_published(spark, f"{d}/prose.preview").collect()}
     assert not (d / "prose").exists() and "1,200 t" in stub["A"].rendered and all(r.publishable for r in stub.values())
     assert run(spark, *common, "--writer", "rogue") == 0
-    assert {n for r in spark.read.parquet(f"{d}/prose.preview").collect() for n in r.invented} == {"31,337", "19"} and not (d / "prose").exists()
+    assert {n for r in sinks.read_published(spark, f"{d}/prose.preview").collect() for n in r.invented} == {"31,337", "19"} and not (d / "prose").exists()
 
 
 def test_a_cached_section_is_not_written_again(spark):

@@ -154,3 +154,20 @@ def test_only_small_tables_are_sent(spark):
 
     hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hint(sent_if_small(spark.range(5), 5)) and not hint(sent_if_small(spark.range(5), 4))
+
+
+def test_names_that_still_clash_are_an_error(spark):
+    from lodestone.functions import text as T
+
+    unique = lambda *rows: {(r.a, r.b): r.token for r in T.unique_slugs(spark.createDataFrame(rows, "g int, a string, b string"), ["g"], ["a", "b"]).collect()}
+    long = "scope two emissions from off site sources of electricity, all of it, "
+    got = unique((1, long, "market based"), (1, long, "location based"), (1, "x", "y"), (1, "x", "y"), (2, "x y", ""))
+    assert len(set(got.values())) == 3 and got["x", "y"] == got["x y", ""] == "x_y" and all(len(v) <= 60 for v in got.values())
+    assert unique((1, "a", None), (1, "a", None)) == {("a", None): "a"}
+    for clash in [((1, "a", "b c"), (1, "a b", "c")), ((1, "a", None), (1, None, "a"))]:
+        with pytest.raises(Exception, match="different names have one token"):
+            unique(*clash)
+    # a suffixed name that a third one has as its own
+    token = got[long, "market based"]
+    with pytest.raises(Exception, match="different names have one token"):
+        unique((1, long, "market based"), (1, long, "location based"), (1, token, ""))

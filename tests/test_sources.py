@@ -59,7 +59,7 @@ def test_guarded_write(spark, tmp_path):
     with pytest.raises(sinks.Incomplete, match="five rows"):
         sinks.guarded_write(bad, path, checks)
     assert sinks.guarded_write(bad, path, checks, f"{tmp_path}/preview") == f"{tmp_path}/preview"
-    assert spark.read.parquet(path).count() == 5 and spark.read.parquet(f"{tmp_path}/preview").count() == 2
+    assert sinks.read_published(spark, path).count() == 5 and sinks.read_published(spark, f"{tmp_path}/preview").count() == 2
 
 
 def test_markdown_and_exports(spark, tmp_path):
@@ -87,3 +87,86 @@ def test_stream_batches_replace_and_compact(spark, tmp_path):
     assert now() == [(1, 0, "later"), (2, 1, "c")]
     U.compact(spark, f"{tmp_path}/out", f"{tmp_path}/small", ["k"], "o")
     assert now("small") == now()
+
+
+def test_a_failed_commit_loses_nothing(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/out"
+    rows = lambda n: spark.range(n).toDF("k")
+    now = lambda: sinks.read_published(spark, path).count()
+    assert sinks.guarded_write(rows(1), path, {}) == path and now() == 1
+    with monkeypatch.context() as m:  # the rows are there and checked, the commit isn't
+        m.setattr(sinks, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            sinks.guarded_write(rows(2), path, {})
+    assert now() == 1
+    (tmp_path / "out" / "_commits" / "000000000001").write_text("0123")  # a commit that was cut off
+    assert now() == 1 and [n for n, _ in sinks.commits(spark, path)] == [0]
+    reader = sinks.read_published(spark, path)
+    sinks.guarded_write(rows(3), path, {})
+    assert now() == 3 and [n for n, _ in sinks.commits(spark, path)] == [0, 2] and reader.count() == 1 and sinks.read_published(spark, path, 0).count() == 1
+    sinks.guarded_write(rows(4), path, {})
+    assert now() == 4 and [n for n, _ in sinks.commits(spark, path)] == [2, 3]
+    with monkeypatch.context() as m:  # removing what is old fails: what is new is there all the same
+        m.setattr(sinks, "retire", lambda *_: (_ for _ in ()).throw(OSError("busy")))
+        with pytest.raises(OSError, match="busy"):
+            sinks.guarded_write(rows(5), path, {})
+    assert now() == 5
+    sinks.guarded_write(rows(6), path, {}, keep=1)
+    assert now() == 6 and len(sinks.commits(spark, path)) == 1
+    with pytest.raises(sinks.Incomplete):
+        sinks.guarded_write(rows(7), f"{tmp_path}/never", {"no": lambda df: False})
+    assert not (tmp_path / "never").exists()
+
+
+def test_two_writers_take_two_numbers(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    assert [sinks.commit(spark, path, k * 32) for k in "ab"] == [0, 1]
+    fs, make = sinks.file_system(spark, path)
+
+    class Late:
+        """A listing from before the other writer's commit."""
+
+        def __getattr__(self, name):
+            return (lambda _: []) if name == "listStatus" else getattr(fs, name)
+
+    real = sinks.file_system
+    try:
+        sinks.file_system = lambda *_: (Late(), make)
+        assert sinks.commit(spark, path, "c" * 32) == 2
+    finally:
+        sinks.file_system = real
+    assert sinks.commits(spark, path) == [(0, "a" * 32), (1, "b" * 32), (2, "c" * 32)]
+
+
+def test_order_of_lines_over_files_and_splits(spark, tmp_path):
+    names = ["b", "a", "c"]
+    sizes = {"a": 3000, "b": 10, "c": 900}
+    for name in names:
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{k:05d}\n" for k in range(sizes[name])))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        lines = spark.read.text(str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 5
+        got = files.with_ordinal(lines, "at").orderBy("at").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.at, r.value) for r in got] == list(enumerate(f"{n}{k:05d}" for n in "abc" for k in range(sizes[n])))
+    assert files.with_ordinal(spark.read.text(str(tmp_path)), "at").where("value >= 'c'").agg({"at": "min"}).first()[0] == 3010
+
+
+def test_a_manifest_of_several_files_keeps_its_order(spark, tmp_path):
+    from lodestone.sources import schemas
+
+    head = ",".join(schemas.MANIFEST.fieldNames())
+    (tmp_path / "texts").mkdir()
+    (tmp_path / "manifest").mkdir()
+    at = 0
+    for part, n in (("1", 40), ("2", 3), ("3", 25)):
+        rows = []
+        for _ in range(n):
+            rows.append(f'https://x/{at},U,OP-1,"a\nfield",name {at}.docx,doc{at}.docx,1,ok,{"long " * (200 if part == "2" else 1)},ok,5')
+            (tmp_path / "texts" / f"doc{at}.txt").write_text(f"text {at}")
+            at += 1
+        (tmp_path / "manifest" / f"part-{part}.csv").write_text(head + "\n" + "\n".join(rows) + "\n")
+    got = files.read_manifest(spark, f"{tmp_path}/manifest", f"{tmp_path}/texts").orderBy("ord").collect()
+    assert [(r.ord, r.original_name, r.text) for r in got] == [(k, f"name {k}.docx", f"text {k}") for k in range(at)]
