@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone import flows
-from lodestone.functions import text as T
 from lodestone.operators import embedding, narrative, pages, requirements
 from lodestone.operators import joins as J
+from lodestone.operators.references import references_of
 from lodestone.sources import files, schemas, sinks
 from lodestone.sources.config import Institution, institutions
 
@@ -122,7 +122,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         flows.candidate_fields(asked.join(texts, "disclosure", "left"), sinks.read_published(spark, a.master), a.k).orderBy("disclosure", "rank").show(1000, False)
     elif a.command == "narrative":
         sections = spark.read.csv(a.sections, header=True, schema="section string, title string, disclosure string")
-        references = T.reference_pattern([r.disclosure for r in files.read_vocabulary(spark, a.vocabulary).select("disclosure").collect()])
+        references = references_of(files.read_vocabulary(spark, a.vocabulary))
         found = narrative.facts(sections, flows.crosswalk(mapping()), flows.records(sinks.read_published(spark, a.master)), references)
         cache = spark.read.parquet(a.cache) if a.cache else None
         writer = narrative.WRITERS[a.writer]()

@@ -210,7 +210,7 @@ def candidate_fields(targets: DataFrame, joined: DataFrame, k: int = 6, least: f
     return hits.join(fields.drop("text"), "id").select(F.col("query_id").alias("disclosure"), "credit", "field", "sample", "n_institutions", "rank", "score")
 
 
-def narrative(found: DataFrame, titles: DataFrame, writer: narrate.Writer, system: str, references: str, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def narrative(found: DataFrame, titles: DataFrame, writer: narrate.Writer, system: str, references: str | T.ReferenceFinder, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(sections written, rendered and audited; the cache with what was written now).
 
     found: as of ``operators.narrative.facts``; titles: section, title, as many as a report has. The

@@ -22,7 +22,7 @@ TOKENISED, CONTEXT_CHARS = ("number", "year"), 600
 EVIDENCE_K, STYLE_K, LEAST_SCORE, STYLE_CHARS = 4, 3, 0.35, 700
 
 
-def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, references: str) -> DataFrame:
+def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, references: str | T.ReferenceFinder) -> DataFrame:
     """What each (entity, section) can say: (entity, section, kind, disclosure, credit, field, token, text).
 
     kind: figure (with a token unique in its section), context (prose, cut), unavailable (mapped, not
@@ -58,7 +58,7 @@ def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, reference
     return rows.select("entity", "section", "kind", "disclosure", "credit", "field", "token", "text").distinct()
 
 
-def passages(sections: DataFrame, index: DataFrame, embedded: DataFrame, institution: str, references: str, style_k: int = STYLE_K, evidence_k: int = EVIDENCE_K, least: float = LEAST_SCORE) -> DataFrame:
+def passages(sections: DataFrame, index: DataFrame, embedded: DataFrame, institution: str, references: str | T.ReferenceFinder, style_k: int = STYLE_K, evidence_k: int = EVIDENCE_K, least: float = LEAST_SCORE) -> DataFrame:
     """Facts of kind evidence and style for each section of one institution, figures blanked out; see ``facts``.
 
     Evidence comes from the institution's own lane, style from the knowledge lane without quantities;
@@ -135,7 +135,7 @@ class RogueWriter:
 WRITERS: dict[str, type] = {w.name: w for w in (StubWriter, RogueWriter)}
 
 
-def finished(sections: DataFrame, references: str) -> DataFrame:
+def finished(sections: DataFrame, references: str | T.ReferenceFinder) -> DataFrame:
     """Rows (…, template, figures: map, context: array) rendered and audited; see ``publishable`` there."""
     text = T.render(F.col("template"), F.col("figures"))
     used = F.transform(F.array_distinct(T.tokens_in(F.col("template"))), lambda t: F.element_at("figures", t))
