@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.sizes import sent_if_small
+from lodestone.functions.stages import passing_folder
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.functions import values as V
 from lodestone.functions.nulls import is_populated
-from lodestone.operators import chunking, coverage, embedding, measures, vectors
+from lodestone.operators import chunking, coverage, embedding, measures, vectors, writing
 from lodestone.operators import joins as J
 from lodestone.operators import narrative as narrate
 from lodestone.sources import config, schemas, sinks
@@ -210,32 +211,120 @@ def candidate_fields(targets: DataFrame, joined: DataFrame, k: int = 6, least: f
     return hits.join(fields.drop("text"), "id").select(F.col("query_id").alias("disclosure"), "credit", "field", "sample", "n_institutions", "rank", "score")
 
 
-def narrative(found: DataFrame, titles: DataFrame, writer: narrate.Writer, system: str, references: str | T.ReferenceFinder, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def lexical_passages(
+    sections: DataFrame, entities: DataFrame, chunks: DataFrame, references: str | T.ReferenceFinder, style_k: int = narrate.STYLE_K, evidence_k: int = narrate.EVIDENCE_K, least: float = narrate.LEAST_SCORE
+) -> DataFrame:
+    """Facts of kind evidence and style for each section of each entity, by lexical vectors; see ``operators.narrative.passages`` for their shape.
+
+    A section asks with its title and brief. Evidence comes from an entity's own chunks alone, style from the knowledge lane
+    without peer reports, other languages and quantities; both from ``least`` on, and with figures blanked out.
+    sections: section, title, and a brief if there is one; a few. entities: entity; chunks: as of ``corpus_chunks`` and ``document_chunks``.
+    """
+    brief = F.col("brief") if "brief" in sections.columns else F.lit(None).cast("string")
+    asked = sections.select(F.col("section").alias("query_id"), F.concat_ws(". ", "title", brief).alias("text")).dropDuplicates(["query_id"])
+    style = search(vectors.allowed(chunks, drop_quantities=True), asked, style_k).join(sent_if_small(entities.select("entity")))
+    own = chunks.where("lane = 'institution'").join(sent_if_small(entities.select(F.col("entity").alias("institution"))), "institution", "left_semi")
+    counts = vectors.term_counts(own, "id", "text")
+    frequencies = vectors.document_frequencies(counts, own.count())
+    weighed = vectors.weights(counts, frequencies, "id").join(own.select("id", F.col("institution").alias("entity")), "id")
+    questions = vectors.weights(vectors.term_counts(asked, "query_id", "text"), frequencies, "query_id")
+    scored = weighed.withColumnRenamed("w", "_v").join(sent_if_small(questions), "term").groupBy("query_id", "entity", "id").agg(F.sum(F.col("w") * F.col("_v")).alias("score"))
+    evidence = vectors.top_k(scored, ["query_id", "entity"], evidence_k, "id")
+    out = None
+    for kind, hits, chars in (("evidence", evidence, narrate.CONTEXT_CHARS), ("style", style, narrate.STYLE_CHARS)):
+        found = hits.where(F.col("score") >= least).join(chunks.select("id", "source", F.substring("text", 1, chars).alias("_text")), "id")
+        nothing = F.lit(None).cast("string")
+        rows = found.select(
+            "entity", F.col("query_id").alias("section"), F.lit(kind).alias("kind"), F.lpad(F.col("rank").cast("string"), 3, "0").alias("disclosure"), nothing.alias("credit"), nothing.alias("field"), nothing.alias("token"),
+            F.concat(F.lit("["), F.coalesce("source", F.lit("")), F.lit("] "), T.redact_figures(F.col("_text"), references)).alias("text"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def narrative(
+    found: DataFrame, titles: DataFrame, writer: narrate.Writer, system: str, references: str | T.ReferenceFinder, cache: DataFrame | None = None, ledger: str | None = None, limits: writing.Limits = writing.Limits(), fresh: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(sections written, rendered and audited; the cache with what was written now).
 
-    found: as of ``operators.narrative.facts``; titles: section, title, as many as a report has. The
-    writer is called by the driver, section by section, for prompts that the cache (key, prose, model)
-    lacks.
+    found: as of ``operators.narrative.facts``; titles: section, title and brief, as many as a report has. Prompts that the cache (of
+    ``operators.writing``) lacks go to the writer, in tasks and within ``limits``: see ``written_now``. Sections that it leaves aren't among the rows.
     """
-    spark = found.sparkSession
-    kind = "key string, prose string, model string"
-    cache = spark.createDataFrame([], kind) if cache is None else cache
+    cache = found.sparkSession.createDataFrame([], writing.CACHE) if cache is None else cache
     asked = narrate.prompts(found, titles)
-    tokens = found.where("token is not null").groupBy("entity", "section").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
-    _, lacking = narrate.to_write(asked.join(tokens, ["entity", "section"], "left"), cache, system)
-    new = [(r.key, writer.write(system, r.prompt, r.tokens or []), writer.name) for r in lacking.dropDuplicates(["key"]).toLocalIterator()]
-    cache = cache.unionByName(spark.createDataFrame(new, kind))
+    new = written_now(found, asked, writer, system, cache, ledger, limits, fresh)
+    added = new.where("status = 'written'").select("key", "prose", "model", "prompt_sha256", "generated", F.lit("now").alias("run"))
+    cache = (cache.join(added.select("key"), "key", "left_anti") if fresh else cache).unionByName(added, allowMissingColumns=True)
     have, _ = narrate.to_write(asked, cache, system)
+    return sections_of(found, have, titles, references), cache
+
+
+def written_now(found: DataFrame, asked: DataFrame, writer: narrate.Writer, system: str, cache: DataFrame, ledger: str | None = None, limits: writing.Limits = writing.Limits(), fresh: bool = False) -> DataFrame:
+    """What a writer made of those of the prompts (entity, section, prompt) that the cache lacks, or of all if ``fresh``: rows of ``writing.RESULTS``.
+
+    ledger: the folder in which calls are counted, so that a day's quota holds over runs; without one it holds for this call alone.
+    """
+    tokens = found.where("token is not null").groupBy("entity", "section").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
+    wanted = asked.join(tokens, ["entity", "section"], "left")
+    _, lacking = narrate.to_write(wanted, cache.limit(0) if fresh else cache, system)
+    if ledger is not None:
+        return writing.write_prompts(lacking, lambda: writer, system, writing.Ledger(ledger), limits, fresh)
+    with passing_folder(found.sparkSession, "ledger") as at:
+        return writing.write_prompts(lacking, lambda: writer, system, writing.Ledger(at), limits, fresh)
+
+
+def sections_of(found: DataFrame, have: DataFrame, titles: DataFrame, references: str | T.ReferenceFinder) -> DataFrame:
+    """Written sections (entity, section, prose, model) rendered and audited, beside the figures and texts that they were written from."""
     figures = found.where("kind = 'figure'").groupBy("entity", "section").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("token", "text")))).alias("figures"))
     context = found.where("kind <> 'figure' and text is not null").groupBy("entity", "section").agg(F.collect_set("text").alias("context"))
     rows = have.join(figures, ["entity", "section"], "left").join(context, ["entity", "section"], "left").join(sent_if_small(titles), "section")
     rows = rows.withColumn("figures", F.coalesce("figures", F.create_map().cast("map<string,string>"))).withColumn("context", F.coalesce("context", F.array().cast("array<string>")))
-    return narrate.finished(rows.withColumnRenamed("prose", "template"), references), cache
+    return narrate.finished(rows.withColumnRenamed("prose", "template"), references)
+
+
+def full_reports(sections: DataFrame, order: DataFrame, index: DataFrame, preamble: str = "") -> DataFrame:
+    """(entity, markdown): front matter with what the audit found, the sections in order, the content index and how to check it.
+
+    sections: entity, section, title, rendered, model, and the audit's arrays; order: section, place; index: entity, markdown (of ``rendered_index``),
+    whose first four lines, its own title, are left out. A report has as many sections as its outline.
+    """
+    placed = sections.join(sent_if_small(order), "section")
+    body = F.transform(F.array_sort(F.collect_list(F.struct("place", F.concat(F.lit("## "), F.col("title"), F.lit("\n\n"), F.trim("rendered")).alias("text")))), lambda p: p["text"])
+    per = placed.groupBy("entity").agg(
+        F.array_join(body, "\n\n").alias("_body"), F.count(F.lit(1)).alias("_sections"), F.array_join(F.array_sort(F.collect_set("model")), ", ").alias("_models"), F.sum(F.size("invented")).alias("_invented"), F.sum(F.size("review")).alias("_review"),
+    )
+    facts = F.concat(F.lit("| Sections | Written by | Figures to review | Figures without a source |\n|---|---|---|---|\n"), sinks.markdown_row(F.col("_sections"), F.col("_models"), F.col("_review"), F.col("_invented")))
+    rows = per.join(index.select("entity", F.col("markdown").alias("_index")), "entity")
+    title = F.concat(F.lit("# Sustainability report — "), F.col("entity"))
+    front = F.concat_ws("\n\n", title, *([F.lit(preamble)] if preamble else []), facts, F.lit("---"), F.col("_body"), F.lit("---\n\n# Content index"))
+    check = F.lit("---\n\n## Checking this report\n\nEach figure comes from one field of one record, which the provenance table names.\n")
+    return rows.select("entity", F.concat_ws("\n\n", sinks.assembled(F.array("_index"), front), check).alias("markdown"))
 
 
-def search(chunks: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """The k best chunks for each query (query_id, text) by lexical vectors; filter the chunks before."""
+def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str | None = None) -> DataFrame:
+    """The k best chunks for each query (query_id, text) by lexical vectors; filter the chunks before (``vectors.allowed``). ``first_lane`` has ceil(k / 2) places."""
     counts = vectors.term_counts(chunks, "id", "text")
     frequencies = vectors.document_frequencies(counts, chunks.count())
     asked = vectors.weights(vectors.term_counts(queries, "query_id", "text"), frequencies, "query_id")
-    return vectors.top_k(vectors.lexical_scores(asked, vectors.weights(counts, frequencies, "id"), "query_id", "id"), ["query_id"], k, "id")
+    scored = vectors.lexical_scores(asked, vectors.weights(counts, frequencies, "id"), "query_id", "id")
+    if first_lane is None:
+        return vectors.top_k(scored, ["query_id"], k, "id")
+    return vectors.lane_quota(scored.join(chunks.select("id", "lane"), "id").withColumnRenamed("id", "item_id"), k, first_lane).withColumnRenamed("item_id", "id")
+
+
+def evaluated(chunks: DataFrame, questions: DataFrame, k: int = 3) -> DataFrame:
+    """(question, best, source, weak, hit) of each question: the best score and its source, whether it is weak, and whether an expected source is among the k.
+
+    questions: question, and expected (a source, or null). A question without any hit is weak.
+    """
+    asked = questions.select("question", "expected").withColumn("query_id", F.col("question")).withColumn("text", F.col("question"))
+    hits = search(chunks, asked.select("query_id", "text"), k).join(chunks.select("id", "source"), "id")
+    per = hits.groupBy("query_id").agg(F.max("score").alias("best"), F.max_by("source", F.struct("score", -F.col("rank"))).alias("source"), F.collect_set("source").alias("_sources"))
+    rows = asked.join(per, "query_id", "left")
+    found = F.when(F.col("expected").isNotNull(), F.coalesce(F.array_contains("_sources", F.col("expected")), F.lit(False)))
+    return rows.select("question", "best", "source", (F.coalesce("best", F.lit(0.0)) < X.WEAK_MATCH).alias("weak"), found.alias("hit"))
+
+
+def built_index(chunks: DataFrame, embedder: embedding.ModelEmbedder | embedding.LexicalEmbedder) -> DataFrame:
+    """The chunks with their vectors and the name of what made them, as ``sinks.write_index`` writes them: an index is searched by its own backend alone."""
+    return chunks.withColumnRenamed("id", "item_id").join(embedder.encode(chunks, "id", "text").withColumnRenamed("id", "item_id"), "item_id")

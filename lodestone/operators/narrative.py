@@ -79,12 +79,17 @@ def passages(sections: DataFrame, index: DataFrame, embedded: DataFrame, institu
 
 
 def prompts(found: DataFrame, titles: DataFrame) -> DataFrame:
-    """(entity, section, prompt): a section's facts as lines by kind; figures by token, never by value."""
+    """(entity, section, prompt): a section's facts as lines by kind; figures by token, never by value.
+
+    titles: section, title and, if sections have one, a brief of what each has to cover.
+    """
     label = F.concat_ws(" ", F.col("disclosure"), F.concat(F.lit("("), F.concat_ws(" / ", "credit", "field"), F.lit(")")))
     body = F.when(F.col("kind") == "figure", F.concat(F.lit("{{ "), F.col("token"), F.lit(" }}"))).otherwise(F.coalesce("text", F.lit("not available")))
     line = F.struct(F.array_position(F.array(*map(F.lit, ["figure", "context", "evidence", "style", "caveat", "gap", "unavailable"])), F.col("kind")).alias("a"), "disclosure", "credit", "field", F.concat(F.upper("kind"), F.lit(" "), label, F.lit(": "), body).alias("text"))
     lines = found.groupBy("entity", "section").agg(F.array_sort(F.collect_list(line)).alias("_lines"))
-    return lines.join(sent_if_small(titles), "section").select("entity", "section", F.concat_ws("\n", F.concat(F.lit("# "), F.col("title"), F.lit(" — "), F.col("entity").cast("string")), F.array_join(F.transform("_lines", lambda r: r["text"]), "\n")).alias("prompt"))
+    title = F.concat(F.lit("# "), F.col("title"), F.lit(" — "), F.col("entity").cast("string"))
+    brief = [F.when(is_populated("brief"), F.concat(F.lit("COVER: "), F.trim("brief")))] if "brief" in titles.columns else []
+    return lines.join(sent_if_small(titles), "section").select("entity", "section", F.concat_ws("\n", title, *brief, F.array_join(F.transform("_lines", lambda r: r["text"]), "\n")).alias("prompt"))
 
 
 def cache_key(system: Column, prompt: Column) -> Column:
@@ -106,8 +111,8 @@ def missing_disclosures(sections: DataFrame, vocabulary: DataFrame) -> DataFrame
 
 
 class Writer(Protocol):
-    """Turns a prompt into a template whose figures are tokens. Models that are reached over a
-    network are called by the driver, section by section, never inside a task that may be done again."""
+    """Turns a prompt into a template whose figures are tokens. Raises ``writing.Busy`` where it is worth asking again, and
+    ``writing.QuotaExhausted`` where it isn't until another day; ``model``, if there is one, says what wrote."""
 
     name: str
 

@@ -78,16 +78,15 @@ class LaneMisuse(ValueError):
     """A search that could mix institutions."""
 
 
-def retrieve(
-    queries: DataFrame, index: DataFrame, k: int = 5, lane: str = "knowledge", institution: str | None = None, exclude_peer_reports: bool = True,
-    language: str | None = "en", drop_quantities: bool = False, source_types: list[str] | None = None, pillars: list[str] | None = None, min_score: float = 0.0, digits: int | None = None,
+def allowed(
+    index: DataFrame, lane: str = "knowledge", institution: str | None = None, exclude_peer_reports: bool = True, language: str | None = "en",
+    drop_quantities: bool = False, source_types: list[str] | None = None, pillars: list[str] | None = None,
 ) -> DataFrame:
-    """The k best chunks for each query among those that may be shown; safe unless told otherwise.
+    """The chunks that a search may show; safe unless told otherwise. Filter with it before anything is scored.
 
-    index: item_id, vector, lane, institution, source_type, language, has_quantity, pillar. Lanes
+    index: lane, institution, source_type, language, has_quantity, pillar, and others. Lanes
     other than "knowledge" need an institution, of which alone they show chunks. Peer reports
-    and other languages are left out of the knowledge lane. All filters come before the
-    scores. With lane "all" the institution's lane has ceil(k / 2) places.
+    and other languages are left out of the knowledge lane.
     """
     if lane not in ("knowledge", "institution", "all"):
         raise ValueError(f"lane must be knowledge, institution or all, not {lane!r}")
@@ -104,6 +103,14 @@ def retrieve(
     rows = index.where({"knowledge": general, "institution": own, "all": general | own}[lane])
     for column, values in (("source_type", source_types), ("pillar", pillars)):
         rows = rows.where(F.col(column).isin(*values)) if values else rows
-    rows = rows.where(~F.col("has_quantity")) if drop_quantities else rows
+    return rows.where(~F.col("has_quantity")) if drop_quantities else rows
+
+
+def retrieve(queries: DataFrame, index: DataFrame, k: int = 5, lane: str = "knowledge", institution: str | None = None, min_score: float = 0.0, digits: int | None = None, **filters: object) -> DataFrame:
+    """The k best chunks for each query among those that may be shown: see ``allowed`` for the filters.
+
+    index: item_id, vector, and what is filtered by. With lane "all" the institution's lane has ceil(k / 2) places.
+    """
+    rows = allowed(index, lane, institution, **filters)
     best = nearest_by_lane(queries, rows, k, "institution", apart=False, digits=digits) if lane == "all" else nearest(queries, rows, k, apart=False, digits=digits)
     return best.where(F.col("score") >= min_score)
