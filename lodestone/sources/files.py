@@ -17,6 +17,7 @@ from lodestone.functions import fixed as X
 from lodestone.functions.nulls import missing_to_null
 from lodestone.functions.sizes import sent_if_small
 from lodestone.operators.chunking import strip
+from lodestone.sources.pdf import pdf_text
 from lodestone.sources.schemas import MANIFEST, REQUIREMENT, VOCABULARY
 
 
@@ -125,13 +126,14 @@ def xlsx_text(raw: bytes) -> str:
 
 
 #: By extension; others are reported as unsupported. Add a function from bytes to text for more.
-EXTRACTORS: dict[str, Callable[[bytes], str]] = {".docx": docx_text, ".xlsx": xlsx_text, ".csv": lambda raw: raw.decode("utf-8", "replace"), ".txt": lambda raw: raw.decode("utf-8", "replace")}
+EXTRACTORS: dict[str, Callable[[bytes], str]] = {".pdf": pdf_text, ".docx": docx_text, ".xlsx": xlsx_text, ".xlsm": xlsx_text, ".csv": lambda raw: raw.decode("utf-8", "replace"), ".txt": lambda raw: raw.decode("utf-8", "replace")}
 
 
 def extract_documents(spark: SparkSession, path: str, extractors: dict[str, Callable[[bytes], str]] | None = None, least: int = 200) -> DataFrame:
     """(file, extension, text, status) of binary documents.
 
-    status: ok, empty (fewer than ``least`` code points), unsupported, or failed with the error's name.
+    status: ok, empty (fewer than ``least`` code points), unsupported, or failed with the error's name. Spark lists no
+    file without any byte.
     """
     by = extractors or EXTRACTORS
     raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
