@@ -303,7 +303,9 @@ class Document:
         open_ = [(top, None)]
         while open_:
             node, resources = open_.pop()
-            if not isinstance(node, dict) or id(node) in seen:
+            if not isinstance(node, dict):
+                raise PdfError("a page is missing")
+            if id(node) in seen:
                 continue
             seen.add(id(node))
             resources = self.get(node.get("Resources")) or resources
