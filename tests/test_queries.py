@@ -7,12 +7,12 @@ from collections import Counter
 import duckdb
 import pytest
 
-from lodestone.plans import disclosures, exchange, relational, reports, texts
+from lodestone.plans import disclosures, exchange, pipeline, relational, reports, texts
 from lodestone.streaming import queries as streams
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = {}, {}
-for module in (relational, disclosures, texts, reports, exchange, streams):
+for module in (relational, disclosures, texts, reports, exchange, pipeline, streams):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
 
