@@ -12,8 +12,12 @@ from lodestone.functions.sizes import sent_if_small
 from lodestone.llm.common import checkpointed
 from lodestone.sources.tables import table
 
-#: A token is a run of letters and digits, or of other signs, cut after eight; white space only parts them.
-TOKEN = r"[\p{L}\p{M}\p{N}]{1,8}|[^\p{L}\p{M}\p{N}\x20\x09-\x0D]{1,8}"
+_LETTER, _SIGN = r"[\p{L}\p{M}\p{N}]", r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]"
+#: A token is a run of letters and digits, or of other signs, of up to 16; of a longer run each code point is one. White space only parts
+#: them. So what a token is depends on its own run alone, and an insertion changes the tokens of one run, not those after it.
+TOKEN = "|".join(rf"(?<!{c}){c}{{1,16}}+(?!{c})|{c}" for c in (_LETTER, _SIGN))
+#: In a text of fewer code points than this, each one but white space is a token, so that short texts have several anchors, too.
+SHORT, SINGLE = 256, r"[^\x20\x09-\x0D]"
 #: A k-mer of 9 tokens has 8 inner s-mers of 2, its window; a quarter of all k-mers are anchors.
 INNER, WINDOW = 2, 8
 K = INNER + WINDOW - 1
@@ -42,14 +46,16 @@ def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
 
     A k-mer of tokens counts if the least hash of its s-mers is that of its first or its last one.
     Whether it does depends on the k-mer alone, so a k-mer that two texts share is an anchor in
-    both. A text of fewer tokens, but not an empty one, has one anchor, the whole text, at 0.
+    both. A text of fewer tokens, but not an empty one, has one anchor, the whole text, at 0. Tokens are words, or the
+    code points of a short text or a long run: see ``TOKEN`` and ``SHORT``.
 
     A text is worked on slice by slice, of ``CHARS`` code points and on to white space (or as many more
     without any), then of tokens that overlap by a k-mer, so that of a very long one only its hashes
     and its anchors are held in full.
     """
-    tokens = F.transform(F.regexp_extract_all(text, F.lit(SLICE), F.lit(0)), lambda s: F.transform(F.regexp_extract_all(s, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t)))
-    rows = rows.withColumn("_t", F.flatten(tokens))
+    hashes = lambda s, pattern: F.transform(F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), lambda t: F.xxhash64(t))
+    sliced = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SLICE), F.lit(0)), lambda s: hashes(s, TOKEN)))
+    rows = rows.withColumn("_t", F.when(F.char_length(text) < SHORT, hashes(F.col(text), SINGLE)).otherwise(sliced))
     parts = lambda a, size: F.transform(F.sequence(F.lit(0), F.size(a) - K, F.lit(size)), lambda i: F.slice(a, i + 1, F.lit(size + K - 1)))
     within = lambda o, n: F.flatten(F.transform(parts(o, SMALL), lambda x, k: anchors(x, n * LARGE + k * SMALL)))
     found = F.flatten(F.transform(parts(F.col("_t"), LARGE), within))

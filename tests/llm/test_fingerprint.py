@@ -26,7 +26,7 @@ def chained(values):
 
 def anchors(text):
     """(number of the first token, hash) by the definition: a k-mer whose least s-mer is its first or last."""
-    tokens = [hashed(t) for t in regex.findall(P.TOKEN, text)]
+    tokens = [hashed(t) for t in regex.findall(P.SINGLE if len(text) < P.SHORT else P.TOKEN, text)]
     if len(tokens) < P.K:
         return [(0, hashed(text) & LOW)] if text else []
     h = [signed(chained(tokens[k : k + P.INNER])) for k in range(len(tokens) - P.INNER + 1)]
@@ -162,3 +162,35 @@ def test_very_long_texts(spark, unit):
 def test_plan_has_no_python(docs):
     plan = P.edited_fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_anchors_are_free_of_context(spark):
+    """An insertion near the beginning of texts without white space leaves what comes after as it was."""
+    import base64
+    import random
+
+    rng = random.Random(9)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(4000))
+    clauses = "".join(han[k : k + 11] + "，" for k in range(0, 3900, 11))
+    coded = base64.b64encode(bytes(rng.randrange(256) for _ in range(3000))).decode()
+    minified = "".join(f"function f{k}(a,b){{return a[{k}]+b.x{k}*{k * k}}};" for k in range(120))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2E)) for _ in range(4000))
+    for text in (han, clauses, coded, minified, thai, "z" + "".join(rng.choice("!?#$%&/=+-*") for _ in range(3000))):
+        df = spark.createDataFrame([(1, text), (2, text[:10] + text[500:501] + text[10:])], "doc_id long, text string")
+        first, second = (set(r.anchors) for r in P.fingerprint(df).orderBy("doc_id").collect())
+        assert len(first) > 50 and len(first & second) > 0.9 * len(first)
+        assert P.edited_fingerprints(df).orderBy("doc_id").first().near_next > 0.8
+
+
+def test_short_texts_have_a_likeness(spark):
+    import random
+
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("etaoinshrdlu ") for _ in range(n))
+    near = {}
+    for n in (32, 64, 127, 200, 255, 300):
+        df = spark.createDataFrame([(k, text(n)) for k in range(0, 40)], "doc_id long, text string")
+        got = P.edited_fingerprints(df).collect()
+        near[n] = sum(r.near_edited for r in got) / len(got)
+        assert sum(r.near_next for r in got) / len(got) < 0.03
+    assert near[32] > 0.05 and near[64] > 0.15 and all(near[n] > 0.2 for n in (127, 200, 255)), near
