@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -150,7 +152,9 @@ def entropy_spans(text: str) -> list[tuple[int, int, str]]:
 def find(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """The base spans, and all spans: those and the entropy spans that no base span covers."""
     base = base_spans(text)
-    more = [x for x in entropy_spans(text) if not any(a <= x[0] and x[1] <= b for a, b, _ in base)]
+    begins = [a for a, _, _ in base]
+    reach = list(accumulate((b for _, b, _ in base), max))  # of those that begin no later than each, how far one goes
+    more = [x for x in entropy_spans(text) if not (k := bisect_right(begins, x[0])) or reach[k - 1] < x[1]]
     return base, sorted(base + more, key=lambda x: (x[0], x[2] not in BASE_KINDS, BASE_KINDS.index(x[2]) if x[2] in BASE_KINDS else 0))
 
 

@@ -90,3 +90,17 @@ def test_names_and_words_are_left():
         "anticonstitutionnellement utf8mb4unicodecitable1 Covid19VaccinationProgramme XMLHttpRequestUpload KnowYourCustomerPolicy2024 sha256withrsaencryption"
     )
     assert [w for w in names.split() if S.find(w)[1]] == []
+
+
+def test_many_secrets_take_their_time_once():
+    import random
+    import time
+
+    rng = random.Random(3)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    word = lambda: "".join(rng.choice(alphabet) for _ in range(32))
+    text = " ".join(f"token={word()} {word()}" for _ in range(20_000))
+    begin = time.monotonic()
+    base, every = S.find(text)
+    assert time.monotonic() - begin < 30 and len(base) == 20_000 and len(every) > 38_000
+    assert every == sorted(every, key=lambda x: x[0])
