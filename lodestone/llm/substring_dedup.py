@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,19 +108,23 @@ def again(of: np.ndarray, digest: np.ndarray) -> np.ndarray:
 
 
 def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_id, _start, _end and _digest of each chunk; _again, if it was in the same text before."""
+    """_id, _text, _start, _end and _digest of each chunk; _again, if it was in the same text before.
+
+    _text is a hash of the whole text, which tells texts of one id apart.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in text_slices(batch.column(1)):
                 of, start, end, digest = chunks(texts)
+                whole = np.fromiter((zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts), np.uint32, len(texts)).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(of + first)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(digest.view(np.int64)), pa.array(again(of, digest))],
-                    names=["_id", "_start", "_end", "_digest", "_again"],
+                    [batch.column(0).take(pa.array(of + first)), pa.array(whole[of]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(digest.view(np.int64)), pa.array(again(of, digest))],
+                    names=["_id", "_text", "_start", "_end", "_digest", "_again"],
                 )
 
-    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _start int, _end int, _digest long, _again boolean")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _text int, _start int, _end int, _digest long, _again boolean")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, whole: bool = False) -> DataFrame:
@@ -129,8 +134,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     A row for each passage of each document: id, start, end (code points, end exclusive), n_chars,
     first_doc (the smallest id among the holders of its chunks) and kept: true where this is the
     first place of all of them, so that the passage stays here and goes elsewhere; of places in
-    one document the first counts. Null and empty texts have no passage. Rows that repeat an id
-    count as one document, as do all rows of null ids, which come last.
+    one document the first counts. Null and empty texts have no passage. Rows that repeat an id and a text
+    count as one document; different texts of one id are documents of their own, in the order of a hash of 32 bits,
+    so that no passage crosses from one to another. Null ids come last.
 
     Short chunks of a passage are often in some earlier document as well. With ``whole``, less than
     ``least`` code points of these in a row are part of the passage around them, which its first
@@ -141,30 +147,30 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     row for each digest and map task, so a chunk that a third of all documents hold is no
     burden there; in the join back Spark splits its partition.
     """
-    found = chunked(docs, id_col, text_col)
-    several = (F.col("_first") < F.col("_last")) | F.col("_repeats") | (F.col("_nulls") & F.col("_first").isNotNull())
-    held = found.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.max("_again").alias("_repeats"), F.max(F.col("_id").isNull()).alias("_nulls")).where(several)
+    found = chunked(docs, id_col, text_col).withColumn("_who", F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_text").alias("text")))
+    several = (F.col("_first") < F.col("_last")) | F.col("_repeats")
+    held = found.groupBy("_digest").agg(F.min("_who").alias("_first"), F.max("_who").alias("_last"), F.max("_again").alias("_repeats")).where(several)
     held = held.select(F.col("_digest").alias("_held"), "_first")
-    kept = F.col("_id").eqNullSafe(F.col("_first")) & ~F.col("_again")
-    shared = found.join(held, F.col("_digest") == F.col("_held")).select("_id", "_start", "_end", "_first", kept.alias("_kept"))
-    shared = shared.groupBy("_id", "_start", "_end").agg(F.min("_first").alias("_first"), F.min("_kept").alias("_kept"))
-    order = Window.partitionBy("_id").orderBy("_start", "_end")
+    kept = (F.col("_who") == F.col("_first")) & ~F.col("_again")
+    shared = found.join(held, F.col("_digest") == F.col("_held")).select("_who", "_start", "_end", "_first", kept.alias("_kept"))
+    shared = shared.groupBy("_who", "_start", "_end").agg(F.min("_first").alias("_first"), F.min("_kept").alias("_kept"))
+    order = Window.partitionBy("_who").orderBy("_start", "_end")
     touches = F.lag("_end").over(order) == F.col("_start")
     passages = joined(shared, touches & (F.lag("_kept").over(order) == F.col("_kept")))
     first = F.col("_first")
     if whole:
         passages = passages.withColumn("_other", ~F.col("_kept") & (F.col("_end") - F.col("_start") >= least))
         passages = joined(passages, touches & ~F.col("_other") & ~F.lag("_other").over(order))
-        first = F.when(F.col("_kept"), F.col("_id")).otherwise(first)
+        first = F.when(F.col("_kept"), F.col("_who")).otherwise(first)
     size = F.col("_end") - F.col("_start")
-    return passages.where(size >= least).select(F.col("_id").alias(id_col), F.col("_start").alias("start"), F.col("_end").alias("end"), size.alias("n_chars"), first.alias("first_doc"), F.col("_kept").alias("kept"))
+    return passages.where(size >= least).select(F.col("_who.id").alias(id_col), F.col("_start").alias("start"), F.col("_end").alias("end"), size.alias("n_chars"), first["id"].alias("first_doc"), F.col("_kept").alias("kept"))
 
 
 def joined(parts: DataFrame, on: Column) -> DataFrame:
-    """Each document's parts in order, those that ``on`` joins to the one before as one; kept if one of them is."""
-    order = Window.partitionBy("_id").orderBy("_start", "_end")
+    """Each text's parts in order, those that ``on`` joins to the one before as one; kept if one of them is."""
+    order = Window.partitionBy("_who").orderBy("_start", "_end")
     runs = parts.withColumn("_new", F.when(on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(order))
-    return runs.groupBy("_id", "_run").agg(F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.min("_first").alias("_first"), F.max("_kept").alias("_kept")).drop("_run")
+    return runs.groupBy("_who", "_run").agg(F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.min("_first").alias("_first"), F.max("_kept").alias("_kept")).drop("_run")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,3 +169,24 @@ def test_long_texts_without_boundaries():
     for text in ("z" * 300_000, "ab" * 100_000, "\0" * 70_000):
         _, start, end, digest = D.chunks([text])
         assert end[-1] == len(text) and (end - start).max() <= D.LONGEST and len(set(digest.tolist())) < 20
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_texts_of_one_id_are_documents_of_their_own(spark, whole):
+    """Repeated and null ids: as if each text had an id of its own, in the order of id and hash."""
+    import zlib
+
+    rng = random.Random(12)
+    text = lambda n: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    a, b, passage = text(90), text(90), text(60)
+    rows = [(4, a), (4, b), (5, b), (5, b), (6, f"{text(30)} {passage} {text(20)}"), (6, f"{text(40)} {passage} {text(25)}"), (None, f"{text(20)} {passage}"), (None, f"{passage} {text(30)}"), (None, a), (7, text(80)), (7, None), (7, "")]
+    crc = lambda t: np.array(zlib.crc32((t or "").encode()), np.uint32).view(np.int32).item()
+    order = sorted({(k is None, k or 0, crc(t)) for k, t in rows})
+    number = {who: n for n, who in enumerate(order)}
+    plain = [(number[k is None, k or 0, crc(t)], t) for k, t in rows]
+    back = {n: None if who[0] else who[1] for who, n in number.items()}
+    wanted = (brute_whole if whole else brute)(plain)
+    got = D.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), whole=whole).collect()
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted(((r.doc_id, r.start, r.end, r.first_doc, r.kept) for r in got), key=key) == sorted(((back[k], x, y, back[f], kept) for k, x, y, f, kept in wanted), key=key)
+    assert any(r.doc_id == 4 and r.kept for r in got) and any(r.doc_id == 5 and r.first_doc == 4 for r in got)
