@@ -197,7 +197,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sinks.write_table(reports.withColumn("html", markdown.page(F.col("entity"), F.col("markdown"))) if a.html else reports, a.out)
     elif a.command == "index-chunks":
         chunks = files.read_json_lines(spark, a.chunks, schemas.CHUNK)
-        own = [] if a.backend in ("auto", "tfidf") else [named(a.backend)]
+        own = [] if a.backend in ("auto", "tfidf") else [lambda: named(a.backend)()]
         embedder = embedding.first_available([*own, lambda: embedding.LexicalEmbedder.fit(chunks, "id", "text")])
         print(embedder.name)
         sinks.write_index(flows.built_index(chunks, embedder), a.out)
@@ -207,14 +207,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         shown = vectors.allowed(chunks, a.lane, who, not a.include_peer_reports, None if a.any_language else "en", a.drop_quantities, a.source_type, a.pillar)
         if a.command == "evaluate":
             questions = spark.read.csv(a.questions, header=True, schema="question string, expected string", multiLine=True, escape='"')
-            found = flows.evaluated(shown, questions, a.k)
+            found = flows.evaluated(shown, questions, a.k, chunks)
             found.orderBy("question").show(1000, False)
             found.agg(F.count(F.lit(1)).alias("questions"), F.count_if("weak").alias("weak"), F.count_if("hit").alias("hits")).show()
         else:
             asked = spark.createDataFrame([(0, a.query)], "query_id int, text string")
             if asked.where(T.out_of_scope(F.col("text"))).count():
                 print("These chunks explain; what a standard says word for word, the requirements have.")
-            hits = flows.search(shown, asked, a.k, "institution" if a.lane == "all" else None).where(F.col("score") >= a.min_score)
+            hits = flows.search(shown, asked, a.k, "institution" if a.lane == "all" else None, chunks).where(F.col("score") >= a.min_score)
             hits.select("id", "rank", "score").join(shown, "id").select("rank", F.round("score", 3).alias("score"), "lane", "source", "url", F.substring("text", 1, 80).alias("text")).orderBy("rank").show(a.k, False)
     return 0
 

@@ -3,6 +3,7 @@ content index, corpus chunks and their search. Each step is a plan; nothing is c
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -222,10 +223,10 @@ def lexical_passages(
     """
     brief = F.col("brief") if "brief" in sections.columns else F.lit(None).cast("string")
     asked = sections.select(F.col("section").alias("query_id"), F.concat_ws(". ", "title", brief).alias("text")).dropDuplicates(["query_id"])
-    style = search(vectors.allowed(chunks, drop_quantities=True), asked, style_k).join(sent_if_small(entities.select("entity")))
+    style = search(vectors.allowed(chunks, drop_quantities=True), asked, style_k, corpus=chunks).join(sent_if_small(entities.select("entity")))
     own = chunks.where("lane = 'institution'").join(sent_if_small(entities.select(F.col("entity").alias("institution"))), "institution", "left_semi")
     counts = vectors.term_counts(own, "id", "text")
-    frequencies = vectors.document_frequencies(counts, own.count())
+    frequencies = vectors.document_frequencies(vectors.term_counts(chunks, "id", "text"), chunks.count())
     weighed = vectors.weights(counts, frequencies, "id").join(own.select("id", F.col("institution").alias("entity")), "id")
     questions = vectors.weights(vectors.term_counts(asked, "query_id", "text"), frequencies, "query_id")
     scored = weighed.withColumnRenamed("w", "_v").join(sent_if_small(questions), "term").groupBy("query_id", "entity", "id").agg(F.sum(F.col("w") * F.col("_v")).alias("score"))
@@ -267,10 +268,11 @@ def written_now(found: DataFrame, asked: DataFrame, writer: narrate.Writer, syst
     tokens = found.where("token is not null").groupBy("entity", "section").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
     wanted = asked.join(tokens, ["entity", "section"], "left")
     _, lacking = narrate.to_write(wanted, cache.limit(0) if fresh else cache, system)
+    whose = re.sub(r"[^A-Za-z0-9._-]", "_", getattr(writer, "model", writer.name))
     if ledger is not None:
-        return writing.write_prompts(lacking, lambda: writer, system, writing.Ledger(ledger), limits, fresh)
+        return writing.write_prompts(lacking, lambda: writer, system, writing.Ledger(ledger), limits, fresh, whose=whose)
     with passing_folder(found.sparkSession, "ledger") as at:
-        return writing.write_prompts(lacking, lambda: writer, system, writing.Ledger(at), limits, fresh)
+        return writing.write_prompts(lacking, lambda: writer, system, writing.Ledger(at), limits, fresh, whose=whose)
 
 
 def sections_of(found: DataFrame, have: DataFrame, titles: DataFrame, references: str | T.ReferenceFinder) -> DataFrame:
@@ -301,10 +303,14 @@ def full_reports(sections: DataFrame, order: DataFrame, index: DataFrame, preamb
     return rows.select("entity", F.concat_ws("\n\n", sinks.assembled(F.array("_index"), front), check).alias("markdown"))
 
 
-def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str | None = None) -> DataFrame:
-    """The k best chunks for each query (query_id, text) by lexical vectors; filter the chunks before (``vectors.allowed``). ``first_lane`` has ceil(k / 2) places."""
+def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str | None = None, corpus: DataFrame | None = None) -> DataFrame:
+    """The k best chunks for each query (query_id, text) by lexical vectors; filter the chunks before (``vectors.allowed``). ``first_lane`` has ceil(k / 2) places.
+
+    corpus: what terms are weighed by, with what is filtered out; the chunks themselves by default.
+    """
     counts = vectors.term_counts(chunks, "id", "text")
-    frequencies = vectors.document_frequencies(counts, chunks.count())
+    every = counts if corpus is None else vectors.term_counts(corpus, "id", "text")
+    frequencies = vectors.document_frequencies(every, (chunks if corpus is None else corpus).count())
     asked = vectors.weights(vectors.term_counts(queries, "query_id", "text"), frequencies, "query_id")
     scored = vectors.lexical_scores(asked, vectors.weights(counts, frequencies, "id"), "query_id", "id")
     if first_lane is None:
@@ -312,13 +318,13 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str |
     return vectors.lane_quota(scored.join(chunks.select("id", "lane"), "id").withColumnRenamed("id", "item_id"), k, first_lane).withColumnRenamed("item_id", "id")
 
 
-def evaluated(chunks: DataFrame, questions: DataFrame, k: int = 3) -> DataFrame:
+def evaluated(chunks: DataFrame, questions: DataFrame, k: int = 3, corpus: DataFrame | None = None) -> DataFrame:
     """(question, best, source, weak, hit) of each question: the best score and its source, whether it is weak, and whether an expected source is among the k.
 
     questions: question, and expected (a source, or null). A question without any hit is weak.
     """
     asked = questions.select("question", "expected").withColumn("query_id", F.col("question")).withColumn("text", F.col("question"))
-    hits = search(chunks, asked.select("query_id", "text"), k).join(chunks.select("id", "source"), "id")
+    hits = search(chunks, asked.select("query_id", "text"), k, corpus=corpus).join(chunks.select("id", "source"), "id")
     per = hits.groupBy("query_id").agg(F.max("score").alias("best"), F.max_by("source", F.struct("score", -F.col("rank"))).alias("source"), F.collect_set("source").alias("_sources"))
     rows = asked.join(per, "query_id", "left")
     found = F.when(F.col("expected").isNotNull(), F.coalesce(F.array_contains("_sources", F.col("expected")), F.lit(False)))

@@ -24,6 +24,10 @@ RESULTS = "key string, prose string, model string, prompt_sha256 string, generat
 CACHE = "key string, prose string, model string, prompt_sha256 string, generated string, run string"
 
 
+#: Names of writers that only stand in for one: what they write is never kept.
+STAND_INS = ("stub", "rogue")
+
+
 class WriterError(RuntimeError):
     """A writer gave no prose, and would give none if it were asked again."""
 
@@ -143,18 +147,18 @@ class Lease:
 
 
 def write_prompts(
-    asked: DataFrame, load: Callable[[], Writer], system: str, ledger: Ledger, limits: Limits = Limits(), fresh: bool = False, today: str | None = None, wait: Callable[[float], None] = time.sleep
+    asked: DataFrame, load: Callable[[], Writer], system: str, ledger: Ledger, limits: Limits = Limits(), fresh: bool = False, today: str | None = None, wait: Callable[[float], None] = time.sleep, whose: str = "writer"
 ) -> DataFrame:
     """What a writer makes of prompts (key, prompt, tokens), each once: rows of RESULTS, computed and kept when this returns.
 
     Of today's calls that the ledger has left, each of ``writers`` leases gets a share, and a task makes its calls one after the other.
     A prompt beyond the rest, and every one after a writer's quota is gone, has the status left: a later run asks for it. What
-    the ledger has as result is not asked again, unless ``fresh``. ``load`` makes the writer in a task.
+    the ledger has as result is not asked again, unless ``fresh``. ``load`` makes the writer in a task; ``whose`` names the quota that it draws on.
     No more prompts than the day has calls are taken at once, so that a lease fits its task.
     """
     spark = asked.sparkSession
     day = today or datetime.date.today().isoformat()
-    rest = max(0, limits.per_day - ledger.entries(f"calls/{day}"))
+    rest = max(0, limits.per_day - ledger.entries(f"calls/{whose}/{day}"))
     once = keep(asked.select("key", "prompt", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")), ["key"], [F.col("prompt")])
     taken = once.orderBy("key").limit(max(rest, limits.per_day))
     writers = max(1, min(limits.writers, rest or 1))
@@ -165,7 +169,7 @@ def write_prompts(
 
     def write(key: tuple, rows: pa.Table) -> pa.Table:
         nth = key[0].as_py()
-        lease = Lease(ledger, f"calls/{day}/{run}-{nth}", rest // writers + (nth < rest % writers), limits, wait)
+        lease = Lease(ledger, f"calls/{whose}/{day}/{run}-{nth}", rest // writers + (nth < rest % writers), limits, wait)
         writer, over, out = None, False, []
         for r in sorted(rows.select(["key", "prompt", "tokens"]).to_pylist(), key=lambda r: r["key"]):
             sha = hashlib.sha256(r["prompt"].encode()).hexdigest()
@@ -180,7 +184,7 @@ def write_prompts(
             prose, status, calls, waited, error = lease.ask(writer, system, r["key"], r["prompt"], r["tokens"])
             over = status in ("quota", "left")
             row = {"key": r["key"], "prose": prose, "model": getattr(writer, "model", writer.name), "prompt_sha256": sha, "generated": day, "status": status, "calls": calls, "waited": waited, "error": error}
-            if status == "written":
+            if status == "written" and writer.name not in STAND_INS:
                 ledger.enter(results, f"{r['key']}-{sha[:16]}", json.dumps(row))
             out.append(row)
         return pa.Table.from_pylist(out, schema=_SCHEMA)
@@ -201,10 +205,13 @@ def counted(results: DataFrame) -> DataFrame:
 # --- the cache
 
 
-def remember(results: DataFrame, path: str, run: str | None = None, never: Sequence[str] = ("stub", "rogue")) -> None:
-    """Append what was written to a cache folder, as one version of its keys. Nothing there is changed; what stand-ins wrote isn't kept."""
+def remember(results: DataFrame, path: str, run: str | None = None, never: Sequence[str] = STAND_INS) -> None:
+    """Append what was written to a cache folder, as one version of its keys. Nothing there is changed; what stand-ins wrote isn't kept.
+
+    ``run`` names the version; by default it begins with the time, and the last one counts.
+    """
     new = results.where((F.col("status") == "written") & ~F.col("model").isin(*never))
-    new.select("key", "prose", "model", "prompt_sha256", "generated", F.lit(run or uuid.uuid4().hex).alias("run")).write.mode("append").parquet(path)
+    new.select("key", "prose", "model", "prompt_sha256", "generated", F.lit(run or f"{datetime.datetime.now(datetime.UTC):%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex[:8]}").alias("run")).write.mode("append").parquet(path)
 
 
 def remembered(spark: SparkSession, path: str, at: str | None = None) -> DataFrame:

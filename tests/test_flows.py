@@ -2,6 +2,7 @@
 
 import csv
 import json
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from lodestone import flows
 from lodestone.__main__ import main
 from lodestone.functions import text as T
 from lodestone.functions.fixed import HEADER_RULE
+from lodestone.operators import vectors, writing
 from lodestone.sources import files, schemas, sinks
 
 
@@ -204,3 +206,83 @@ def test_institution_lane_beside_the_corpus(spark, world):
     assert [(r.id, r.text.split("\n")[0], r.institution_key, r.has_quantity, r.chars) for r in rows] == [("doc::a::d1.pdf::0000", "Plan.PDF", "a", True, len("\n".join([line] * 3)))]
     listed = files.read_manifest(spark, f"{d}/manifest.csv", f"{d}/texts")
     assert {r.outcome: r.documents for r in flows.document_outcomes(listed).collect()} == {"indexed": 2, "duplicate": 1, "spreadsheet": 1}
+
+
+@pytest.fixture(scope="module")
+def told(spark, world):
+    """The world with a master table, chunks of both lanes, an outline, and a module of writers that tasks can import."""
+    d = world
+    if not (d / "told").exists():
+        assert run(spark, "combine", "--out", d / "told_scores", f"3.0={d}/a.csv", f"3.0={d}/b.csv") == 0
+        assert run(spark, "master", "--scores", d / "told_scores", "--fields", d / "fields.csv", "--out", d / "told") == 0
+    write(d / "told_manifest.csv", schemas.MANIFEST.fieldNames(), [[f"https://x/{k}", f"University, {who}", "OP-6", "f", f"plan {k}.docx", f"plan{k}.docx", "1", "ok", "", "ok", "5"] for k, who in (("1", "A"), ("2", "B"))])
+    (d / "told_texts").mkdir(exist_ok=True)
+    for k, word in (("1", "boilers"), ("2", "forests")):
+        (d / "told_texts" / f"plan{k}.txt").write_text(f"Emissions of gases are cut by 31 percent with new {word} on campus. " * 12, encoding="utf-8")
+    assert run(spark, "chunk", "--corpus", d / "corpus", "--manifest", d / "told_manifest.csv", "--documents", d / "told_texts", "--institution", "a=University, A", "--institution", "b=University, B", "--out", d / "told_chunks") == 0
+    write(d / "told_sections.csv", ["section", "title", "brief", "disclosure"], [["water", "Water", "", "305-7"], ["ghg", "Gases", "emissions of gases on campus", "305-1"], ["ghg", "Gases", "emissions of gases on campus", "305-4"]])
+    (d / "own_writers.py").write_text(
+        "class Model:\n    name = model = 'm-1'\n    said = 'Prose'\n    def write(self, system, prompt, tokens):\n"
+        "        about = [w for w in ('boilers', 'forests', 'COVER: emissions', 'STYLE', '[figure]') if w in prompt]\n        assert '31 percent' not in prompt\n"
+        "        return self.said + ' on ' + ', '.join(about) + '. ' + ' '.join('It is {{ ' + t + ' }}.' for t in tokens)\n"
+        "class Newer(Model):\n    model = 'm-2'\n    said = 'Newer prose'\n"
+        "class Never(Model):\n    def write(self, system, prompt, tokens):\n        raise ValueError('asked again')\n",
+        encoding="utf-8",
+    )
+    spark.sparkContext.addPyFile(str(d / "own_writers.py"))
+    sys.path.insert(0, str(d))
+    yield d
+    sys.path.remove(str(d))
+
+
+def test_narrative_resumes_from_its_cache(spark, told, capsys):
+    d = told
+    common = ["narrative", "--mapping", d / "mapping.csv", "--vocabulary", d / "vocabulary.json", "--master", d / "told", "--sections", d / "told_sections.csv", "--chunks", d / "told_chunks", "--cache", d / "said", "--out", d / "story", "--pace", "0"]
+    assert run(spark, *common, "--writer", "stub") == 0 and not (d / "story").exists() and not spark.read.parquet(f"{d}/said").count()
+    # a day's calls are for one section only: what is done is kept, nothing is published
+    assert run(spark, *common, "--writer", "own_writers:Model", "--per-day", "1", "--ledger", d / "other_ledger") == 1
+    assert not (d / "story").exists() and sinks.read_published(spark, f"{d}/story.preview").count() == 1 and spark.read.parquet(f"{d}/said").count() == 1
+    assert run(spark, *common, "--writer", "own_writers:Model") == 0
+    story = {r.entity[-1]: r for r in sinks.read_published(spark, f"{d}/story").collect()}
+    assert set(story) == {"A", "B"} and all(r.section == "ghg" and r.publishable and r.model == "m-1" for r in story.values())
+    assert "boilers" in story["A"].rendered and "forests" not in story["A"].rendered and "forests" in story["B"].rendered and "1,200 t" in story["A"].rendered
+    assert all("COVER: emissions" in r.rendered and "[figure]" in r.rendered for r in story.values())
+    capsys.readouterr()
+    assert run(spark, *common, "--writer", "own_writers:Never") == 0
+    assert "failed" not in capsys.readouterr().out and sinks.read_published(spark, f"{d}/story").count() == 2
+    assert run(spark, *common, "--writer", "own_writers:Newer", "--no-cache", "--section", "ghg") == 0
+    assert {r.model for r in sinks.read_published(spark, f"{d}/story").collect()} == {"m-1"}
+    assert {r.rendered.split(" on ")[0] for r in sinks.read_published(spark, f"{d}/story.preview").collect()} == {"Newer prose"}
+    assert {r.model for r in writing.remembered(spark, f"{d}/said").collect()} == {"m-2"} and spark.read.parquet(f"{d}/said").count() == 4
+    known = ["--institution", "a=University, A", "--institution", "b=University, B"]
+    assert run(spark, "index", "--mapping", d / "mapping.csv", "--vocabulary", d / "vocabulary.json", "--master", d / "told", "--out", d / "story_index", *known) == 0
+    assert run(spark, "report", "--narrative", d / "story", "--index", d / "story_index", "--sections", d / "told_sections.csv", "--out", d / "full", "--html") == 0
+    full = {r.entity[-1]: r for r in spark.read.parquet(f"{d}/full").collect()}
+    assert full["A"].markdown.startswith("# Sustainability report — University, A\n\n| Sections | Written by |") and "| 1 | m-1 | 0 | 0 |" in full["A"].markdown and full["A"].markdown.count("\n# ") == 1
+    assert "<h2>Gases</h2>" in full["A"].html and "<td>Reported</td>" in full["A"].html and full["A"].html.endswith("</html>\n")
+    with pytest.raises(ImportError):
+        run(spark, *common, "--writer", "own_writers:Nobody")
+
+
+def test_search_is_safe_as_a_command(spark, told, capsys):
+    d = told
+    search = lambda *more: (run(spark, "search", "--chunks", d / "told_chunks", *more), capsys.readouterr().out)[1]
+    assert "plan 1" in search("boilers on campus", "--lane", "institution", "--institution", "a") and "plan 2" not in search("emissions on campus", "--lane", "institution", "--institution", "sity, A")
+    both = search("emissions on campus", "--lane", "all", "--institution", "b")
+    assert "plan 2" in both and "plan 1" not in both and "knowledge" in both
+    assert "plan" not in search("emissions on campus") and "plan" not in search("emissions", "--lane", "institution", "--institution", "a", "--min-score", "1.1")
+    assert "word for word" in search("what does GRI 305-1 ask")
+    for wrong in (["--lane", "institution"], ["--lane", "all"]):
+        with pytest.raises(vectors.LaneMisuse):
+            search("emissions", *wrong)
+    with pytest.raises(LookupError):
+        search("emissions", "--lane", "institution", "--institution", "University")
+    write(d / "questions.csv", ["question", "expected"], [["emissions of carbon reported", "one"], ["water on campus pipes", "one"], ["quantum", ""]])
+    assert run(spark, "evaluate", "--chunks", d / "told_chunks", "-k", "1", d / "questions.csv") == 0
+    shown = capsys.readouterr().out
+    assert "|3        |1   |1   |" in shown
+    found = {r.question[:3]: r for r in flows.evaluated(files.read_json_lines(spark, f"{d}/told_chunks", schemas.CHUNK).where("lane = 'knowledge'"), spark.read.csv(str(d / "questions.csv"), header=True), 1).collect()}
+    assert (found["emi"].source, found["emi"].hit, found["wat"].source, found["wat"].hit, found["qua"].weak, found["qua"].hit) == ("one", True, "two", False, True, None)
+    assert run(spark, "index-chunks", "--chunks", d / "told_chunks", "--out", d / "told_index", "--backend", "no_such_module:Embedder") == 0
+    index = spark.read.parquet(f"{d}/told_index")
+    assert {r[0] for r in index.select("backend").distinct().collect()} == {"tfidf"} and {r[0] for r in index.select("lane").distinct().collect()} == {"knowledge", "institution"}

@@ -44,7 +44,7 @@ def test_calls_and_waits_are_counted(spark, tmp_path):
     got, ledger = run(spark, tmp_path, 30, limits={"per_day": 200, "writers": 3, "attempts": 6})
     assert {r.status for r in got.values()} <= {"written", "failed"} and sum(r.status == "written" for r in got.values()) >= 28
     assert got["k007"].prose == "prompt 7 by t,u7" and got["k007"].model == "model-1" and got["k007"].generated == "2026-01-01"
-    assert sum(r.calls for r in got.values()) == ledger.entries("calls/2026-01-01") > 30
+    assert sum(r.calls for r in got.values()) == ledger.entries("calls/writer/2026-01-01") > 30
     once = [r for r in got.values() if r.calls == 1]
     assert once and all(r.waited <= 18.0 for r in once) and any(r.waited >= 4 for r in got.values() if r.calls > 1)
     # a second run calls nobody
@@ -57,9 +57,9 @@ def test_the_quota_holds_over_runs_and_days(spark, tmp_path):
     steady = lambda: Model(0)
     first, ledger = run(spark, tmp_path, 25, load=steady, limits={"per_day": 10, "writers": 4})
     count = lambda rows: {s: sum(r.status == s for r in rows.values()) for s in {r.status for r in rows.values()}}
-    assert count(first) == {"written": 10, "left": 15} and ledger.entries("calls/2026-01-01") == 10
+    assert count(first) == {"written": 10, "left": 15} and ledger.entries("calls/writer/2026-01-01") == 10
     second, _ = run(spark, tmp_path, 25, load=steady, limits={"per_day": 10})
-    assert count(second) == {"written": 10, "left": 15} and ledger.entries("calls/2026-01-01") == 10 and sum(r.calls for r in second.values()) == 0
+    assert count(second) == {"written": 10, "left": 15} and ledger.entries("calls/writer/2026-01-01") == 10 and sum(r.calls for r in second.values()) == 0
     fresh, _ = run(spark, tmp_path, 25, load=steady, limits={"per_day": 10}, fresh=True)
     assert count(fresh) == {"left": 25}
 
@@ -79,7 +79,7 @@ def test_what_is_left_is_taken_up_the_next_day(spark, tmp_path):
 @pytest.mark.parametrize(("error", "status", "calls"), [(W.QuotaExhausted("gone"), "quota", 1), (W.Busy("wait long", 3600), "quota", 1), (ValueError("blocked"), "failed", 4), (W.Busy("503"), "failed", 12)])
 def test_ends(spark, tmp_path, error, status, calls):
     got, ledger = run(spark, tmp_path, 4, load=lambda: Model(error=error), limits={"attempts": 3})
-    assert got["k000"].status == status and ledger.entries("calls/2026-01-01") == calls
+    assert got["k000"].status == status and ledger.entries("calls/writer/2026-01-01") == calls
     assert {r.status for r in got.values()} == ({"quota", "left"} if status == "quota" else {status})
     assert str(error) in got["k000"].error
 
@@ -118,3 +118,13 @@ def test_sections_as_files(spark, tmp_path):
     got = sorted(tuple(r) for r in W.read_sections(spark, str(tmp_path)).collect())
     assert got == [("uni", "a__b", "00000000", "no header", None, None, None, "files"), ("uni", "ghg_scope", "0a1b2c3d", "Some prose.\n\nMore: of it.", "m:1", "abc", "2026-01-01", "files")]
     assert spark.createDataFrame([(text,)], "t string").select(F.size(W.header_fields(F.col("t")))).first()[0] == 3
+
+
+def test_stand_ins_leave_nothing_and_quotas_are_apart(spark, tmp_path):
+    class Stub(Model):
+        name = model = "stub"
+
+    got, ledger = run(spark, tmp_path, 3, load=lambda: Stub(0), whose="stub")
+    assert {r.status for r in got.values()} == {"written"} and ledger.entries("results") == 0 and ledger.entries("calls/stub/2026-01-01") == 3
+    got, _ = run(spark, tmp_path, 3, load=lambda: Model(0), limits={"per_day": 3})
+    assert {(r.status, r.model) for r in got.values()} == {("written", "model-1")} and ledger.entries("results") == 3
