@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from lodestone import flows
 from lodestone.functions import markdown as M
 from lodestone.functions import text as T
+from lodestone.functions.stages import passing_folder
 from lodestone.operators import embedding as E
+from lodestone.operators import writing as W
 from lodestone.operators.references import References
 from lodestone.plans.disclosures import STAR, star
 from lodestone.plans.texts import CHUNKS, TERMS
@@ -123,3 +125,32 @@ def many_references(spark: SparkSession, d: str) -> DataFrame:
     pair = lambda a, b: F.concat_ws("-", (a % 50 + 1).cast("string"), (b % 45).cast("string"))
     text = F.concat(F.lit("GRI "), pair(k, c), F.lit(", "), pair(c, k), F.lit(" and Disclosure "), pair(c, k), F.lit(": "), F.format_string("%.2f", "o_totalprice"), F.lit(" t of Scope 2 and 3."))
     return table(spark, d, "orders").select("o_orderkey", T.redact_figures(text, found).alias("text"))
+
+
+class Unsteady:
+    """Fails as often as its prompt says, then writes; after five times it would give up."""
+
+    name = model = "unsteady"
+
+    def __init__(self) -> None:
+        self.failed: dict[str, int] = {}
+
+    def write(self, system: str, prompt: str, tokens: list[str]) -> str:
+        n = self.failed.get(prompt, 0)
+        if n < int(prompt.rsplit(" ", 1)[1]):
+            self.failed[prompt] = n + 1
+            raise W.Busy("not now")
+        return f"{prompt.rsplit(' ', 1)[0]}: {', '.join(tokens)}"
+
+
+@query("""
+SELECT 'k' || s_suppkey AS key, CASE WHEN s_suppkey % 6 < 4 THEN s_name || ': a, t' || s_suppkey END AS prose, CASE WHEN s_suppkey % 6 < 4 THEN 'written' ELSE 'failed' END AS status, least(s_suppkey % 6 + 1, 4)::INT AS calls,
+  CASE WHEN s_suppkey % 6 = 0 THEN 0.0 WHEN s_suppkey % 6 = 1 THEN 2.0 WHEN s_suppkey % 6 = 2 THEN 6.0 ELSE 14.0 END::DOUBLE AS waited FROM supplier
+""")
+def prompt_calls(spark: SparkSession, d: str) -> DataFrame:
+    """What a writer that is often busy makes of a prompt for each supplier: how many calls each took, and how long it would have waited."""
+    k = F.col("s_suppkey")
+    asked = table(spark, d, "supplier").select(F.concat(F.lit("k"), k.cast("string")).alias("key"), F.concat_ws(" ", "s_name", (k % 6).cast("string")).alias("prompt"), F.array(F.lit("a"), F.concat(F.lit("t"), k.cast("string"))).alias("tokens"))
+    limits = W.Limits(per_day=10_000_000, pace=0, attempts=4, backoff=2, jitter=0, writers=8)
+    with passing_folder(spark, "prompt_calls") as at:
+        return W.write_prompts(asked, Unsteady, "system", W.Ledger(at), limits, wait=lambda _: None).select("key", "prose", "status", "calls", "waited")
