@@ -184,7 +184,7 @@ def block_links(members: list[Member], bucket: int, parts: tuple[int, int], thre
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """_id, _key (a 128-bit digest of the set of shingles), _n (its size) and _sig of each row."""
+    """_id, _hash (of the text), _key (a 128-bit digest of the set of shingles), _n (its size) and _sig of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,9 +195,9 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
                 keys += map(key_of, sets)
                 sizes += map(len, sets)
                 rows += [row.tobytes() for row in minhashes(sets)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())], names=["_id", "_key", "_n", "_sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())], names=["_id", "_hash", "_key", "_n", "_sig"])
 
-    return in_arrow(docs.select(F.col(id_col), F.col(text_col)), run, f"_id {kind}, _key binary, _n long, _sig binary")
+    return in_arrow(docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col)), run, f"_id {kind}, _hash long, _key binary, _n long, _sig binary")
 
 
 def places(sets: DataFrame, rows: int) -> DataFrame:
@@ -312,12 +312,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts cross the exchange.
     """
     base = checkpointed(signed(docs, id_col, text_col, words))
-    sets = base.where("_n > 0").groupBy("_key", "_n", "_sig").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_weight"))
+    sets = base.where("_n > 0").groupBy("_key", "_n", "_sig").agg(F.min(F.struct("_id", "_hash")).alias("_first"), F.count(F.lit(1)).alias("_weight"))
     candidates = checkpointed(places(sets, band_rows(threshold)))
-    texts = docs.select(F.col(id_col).alias("_of"), F.col(text_col).alias("_text"))
-    # first, by ids alone, to the texts that are needed
-    needed = texts.join(sent_if_small(candidates.select("_first")), F.col("_first").eqNullSafe(F.col("_of")), "left_semi")
-    found = checkpointed(met(needed.join(candidates, F.col("_first").eqNullSafe(F.col("_of"))), words, threshold))
+    texts = docs.select(F.col(id_col).alias("_of"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
+    # a row is found by its id and its text's hash, so that null and repeated ids bring no other texts along
+    own = F.col("_first._id").eqNullSafe(F.col("_of")) & (F.col("_first._hash") == F.col("_hash"))
+    # first, by these alone, to the texts that are needed
+    needed = texts.join(sent_if_small(candidates.select("_first")), own, "left_semi")
+    found = checkpointed(met(needed.join(candidates, own), words, threshold))
     links = found.groupBy("_key").agg(F.sum("_links").alias("_links"))
     roots = components(found.select(F.col("_key").alias("a"), F.col("_root").alias("b")))
     classes = (

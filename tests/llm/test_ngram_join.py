@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -135,3 +136,27 @@ def test_components(spark, edges):
     for r in got:
         groups[r.root].add(r.node)
     assert {r.node: r.root for r in got} == {k: root(k) for k in up}
+
+
+def test_null_and_repeated_ids_bring_no_other_texts(spark):
+    """A third of the rows without an id: each candidate is joined to its own text alone."""
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(6)) for _ in range(60))
+    base = [text() for _ in range(40)]
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, t) for k, t in enumerate(base)] + [(None if k % 2 else 7, t + " and more") for k, t in enumerate(base)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.ngram_join(df).collect()
+    assert len(got) == 80 and all(r.n_links == 1 for r in got)
+    joined = []
+    real = J.met
+
+    def met(candidates, words, threshold):
+        joined.append(candidates.count())
+        return real(candidates, words, threshold)
+
+    J.met = met
+    try:
+        assert J.ngram_join(df).count() == 80
+    finally:
+        J.met = real
+    assert joined == [80]
