@@ -280,7 +280,7 @@ def test_search_is_safe_as_a_command(spark, told, capsys):
     write(d / "questions.csv", ["question", "expected"], [["emissions of carbon reported", "one"], ["water on campus pipes", "one"], ["quantum", ""]])
     assert run(spark, "evaluate", "--chunks", d / "told_chunks", "-k", "1", d / "questions.csv") == 0
     shown = capsys.readouterr().out
-    assert "|3        |1   |1   |" in shown
+    assert "|        3|   1|   1|" in shown
     found = {r.question[:3]: r for r in flows.evaluated(files.read_json_lines(spark, f"{d}/told_chunks", schemas.CHUNK).where("lane = 'knowledge'"), spark.read.csv(str(d / "questions.csv"), header=True), 1).collect()}
     assert (found["emi"].source, found["emi"].hit, found["wat"].source, found["wat"].hit, found["qua"].weak, found["qua"].hit) == ("one", True, "two", False, True, None)
     assert run(spark, "index-chunks", "--chunks", d / "told_chunks", "--out", d / "told_index", "--backend", "no_such_module:Embedder") == 0
