@@ -147,11 +147,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     row for each digest and map task, so a chunk that a third of all documents hold is no
     burden there; in the join back Spark splits its partition.
     """
-    found = chunked(docs, id_col, text_col).withColumn("_who", F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_text").alias("text")))
-    several = (F.col("_first") < F.col("_last")) | F.col("_repeats")
-    held = found.groupBy("_digest").agg(F.min("_who").alias("_first"), F.max("_who").alias("_last"), F.max("_again").alias("_repeats")).where(several)
+    apart = several_texts(docs, id_col, text_col)
+    # where each id has one text it is who a chunk belongs to; else the id and the text's hash are, nulls last
+    who = F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_text").alias("text")) if apart else F.col("_id")
+    found = chunked(docs, id_col, text_col).select(who.alias("_who"), "_start", "_end", "_digest", "_again")
+    several = (F.col("_first") < F.col("_last")) | F.col("_repeats") | (F.col("_nulls") & F.col("_first").isNotNull())
+    held = found.groupBy("_digest").agg(F.min("_who").alias("_first"), F.max("_who").alias("_last"), F.max("_again").alias("_repeats"), F.max(F.col("_who").isNull()).alias("_nulls")).where(several)
     held = held.select(F.col("_digest").alias("_held"), "_first")
-    kept = (F.col("_who") == F.col("_first")) & ~F.col("_again")
+    kept = F.col("_who").eqNullSafe(F.col("_first")) & ~F.col("_again")
     shared = found.join(held, F.col("_digest") == F.col("_held")).select("_who", "_start", "_end", "_first", kept.alias("_kept"))
     shared = shared.groupBy("_who", "_start", "_end").agg(F.min("_first").alias("_first"), F.min("_kept").alias("_kept"))
     order = Window.partitionBy("_who").orderBy("_start", "_end")
@@ -163,7 +166,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         passages = joined(passages, touches & ~F.col("_other") & ~F.lag("_other").over(order))
         first = F.when(F.col("_kept"), F.col("_who")).otherwise(first)
     size = F.col("_end") - F.col("_start")
-    return passages.where(size >= least).select(F.col("_who.id").alias(id_col), F.col("_start").alias("start"), F.col("_end").alias("end"), size.alias("n_chars"), first["id"].alias("first_doc"), F.col("_kept").alias("kept"))
+    id_of = lambda c: c["id"] if apart else c
+    return passages.where(size >= least).select(id_of(F.col("_who")).alias(id_col), F.col("_start").alias("start"), F.col("_end").alias("end"), size.alias("n_chars"), id_of(first).alias("first_doc"), F.col("_kept").alias("kept"))
+
+
+def several_texts(docs: DataFrame, id_col: str, text_col: str) -> bool:
+    """Whether some id, or null, has different texts: by their hashes, of which a row for each id and map task is shuffled."""
+    hashed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_hash"))
+    return hashed.groupBy("_id").agg(F.min("_hash").alias("_low"), F.max("_hash").alias("_high")).where("_low <> _high").limit(1).count() > 0
 
 
 def joined(parts: DataFrame, on: Column) -> DataFrame:
