@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
@@ -106,15 +107,18 @@ class Trie:
         return out
 
 
-_tries: dict[int, Trie] = {}
+_tries: dict[str, Trie] = {}
+#: Tries that a worker keeps.
+TRIES_KEPT = 4
 
 
-def trie_of(numbers: Broadcast) -> Trie:
-    """The trie of a broadcast vocabulary, built once in a worker."""
-    key = numbers._jid if hasattr(numbers, "_jid") else id(numbers)
-    if key not in _tries:
-        _tries[key] = Trie(numbers.value)
-    return _tries[key]
+def trie_of(name: str, numbers: Broadcast) -> Trie:
+    """The trie of a broadcast vocabulary, built once in a worker; ``name`` is a digest of what is in it."""
+    if name not in _tries:
+        if len(_tries) >= TRIES_KEPT:
+            _tries.clear()
+        _tries[name] = Trie(numbers.value)
+    return _tries[name]
 
 
 def numbers_left(text: str, spans: list[tuple[int, int]]) -> list[str]:
@@ -145,22 +149,23 @@ class References:
     """
 
     def __init__(self, spark: SparkSession, numbers: Iterable[str]):
-        shared = spark.sparkContext.broadcast(sorted({n for n in numbers if n and n.strip() == n}))
+        own = sorted({n for n in numbers if n and n.strip() == n})
+        name, shared = hashlib.sha256("\0".join(own).encode()).hexdigest(), spark.sparkContext.broadcast(own)
         tiers = ("ok", "review", "invented", "spelled")
 
         @F.pandas_udf("array<string>")
         def in_each(texts: pd.Series) -> pd.Series:
-            trie = trie_of(shared)
+            trie = trie_of(name, shared)
             return texts.map(lambda t: None if t is None else numbers_left(t, trie.spans(t)))
 
         @F.pandas_udf("string")
         def redact_each(texts: pd.Series) -> pd.Series:
-            trie = trie_of(shared)
+            trie = trie_of(name, shared)
             return texts.map(lambda t: None if t is None else redacted(t, trie.spans(t)))
 
         @F.pandas_udf(", ".join(f"{t} array<string>" for t in tiers))
         def audit_each(texts: pd.Series, substituted: pd.Series, context: pd.Series) -> pd.DataFrame:
-            trie = trie_of(shared)
+            trie = trie_of(name, shared)
             rows = [dict.fromkeys(tiers) if t is None else audited(trie, t, a if a is not None else [], b if b is not None else []) for t, a, b in zip(texts, substituted, context, strict=True)]
             return pd.DataFrame({t: [r[t] for r in rows] for t in tiers})
 

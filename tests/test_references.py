@@ -58,3 +58,12 @@ def test_a_hundred_thousand_numbers(spark):
     assert all(r.n == ["5", "101", str(r.id)] and r.r.endswith("-100, 7-3 and [figure]-[figure] it is [figure] t.") for r in got)
     with pytest.raises(ValueError, match="more than"):
         R.references_of(vocabulary, most=99_999)
+
+
+def test_vocabularies_of_one_session_are_told_apart(spark):
+    rows = spark.createDataFrame([("GRI 1-1, GRI 2-2 and GRI 3-3",)], "t string").repartition(1)
+    for _ in range(2):
+        for k in range(1, 8):
+            found = R.References(spark, [f"{k}-{k}"])
+            expected = [n for j in (1, 2, 3) if j != k for n in (str(j), str(j))]
+            assert rows.select(T.numbers_in(F.col("t"), found)).first()[0] == expected
