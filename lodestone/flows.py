@@ -213,23 +213,25 @@ def candidate_fields(targets: DataFrame, joined: DataFrame, k: int = 6, least: f
 
 
 def lexical_passages(
-    sections: DataFrame, entities: DataFrame, chunks: DataFrame, references: str | T.ReferenceFinder, style_k: int = narrate.STYLE_K, evidence_k: int = narrate.EVIDENCE_K, least: float = narrate.LEAST_SCORE
+    sections: DataFrame, entities: DataFrame, chunks: DataFrame, references: str | T.ReferenceFinder, style_k: int = narrate.STYLE_K, evidence_k: int = narrate.EVIDENCE_K, least: float = narrate.LEAST_SCORE, digits: int | None = None
 ) -> DataFrame:
     """Facts of kind evidence and style for each section of each entity, by lexical vectors; see ``operators.narrative.passages`` for their shape.
 
     A section asks with its title and brief. Evidence comes from an entity's own chunks alone, style from the knowledge lane
-    without peer reports, other languages and quantities; both from ``least`` on, and with figures blanked out.
+    without peer reports, other languages and quantities; both from ``least`` on, and with figures blanked out. ``digits``: scores are
+    rounded before they are compared, so that ties don't hang on the order of sums.
     sections: section, title, and a brief if there is one; a few. entities: entity; chunks: as of ``corpus_chunks`` and ``document_chunks``.
     """
     brief = F.col("brief") if "brief" in sections.columns else F.lit(None).cast("string")
     asked = sections.select(F.col("section").alias("query_id"), F.concat_ws(". ", "title", brief).alias("text")).dropDuplicates(["query_id"])
-    style = search(vectors.allowed(chunks, drop_quantities=True), asked, style_k, corpus=chunks).join(sent_if_small(entities.select("entity")))
+    style = search(vectors.allowed(chunks, drop_quantities=True), asked, style_k, corpus=chunks, digits=digits).join(sent_if_small(entities.select("entity")))
     own = chunks.where("lane = 'institution'").join(sent_if_small(entities.select(F.col("entity").alias("institution"))), "institution", "left_semi")
     counts = vectors.term_counts(own, "id", "text")
     frequencies = vectors.document_frequencies(vectors.term_counts(chunks, "id", "text"), chunks.count())
     weighed = vectors.weights(counts, frequencies, "id").join(own.select("id", F.col("institution").alias("entity")), "id")
     questions = vectors.weights(vectors.term_counts(asked, "query_id", "text"), frequencies, "query_id")
     scored = weighed.withColumnRenamed("w", "_v").join(sent_if_small(questions), "term").groupBy("query_id", "entity", "id").agg(F.sum(F.col("w") * F.col("_v")).alias("score"))
+    scored = scored if digits is None else scored.withColumn("score", F.round("score", digits))
     evidence = vectors.top_k(scored, ["query_id", "entity"], evidence_k, "id")
     out = None
     for kind, hits, chars in (("evidence", evidence, narrate.CONTEXT_CHARS), ("style", style, narrate.STYLE_CHARS)):
@@ -303,16 +305,17 @@ def full_reports(sections: DataFrame, order: DataFrame, index: DataFrame, preamb
     return rows.select("entity", F.concat_ws("\n\n", sinks.assembled(F.array("_index"), front), check).alias("markdown"))
 
 
-def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str | None = None, corpus: DataFrame | None = None) -> DataFrame:
+def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str | None = None, corpus: DataFrame | None = None, digits: int | None = None) -> DataFrame:
     """The k best chunks for each query (query_id, text) by lexical vectors; filter the chunks before (``vectors.allowed``). ``first_lane`` has ceil(k / 2) places.
 
-    corpus: what terms are weighed by, with what is filtered out; the chunks themselves by default.
+    corpus: what terms are weighed by, with what is filtered out; the chunks themselves by default. digits: places that scores are rounded to before they are compared.
     """
     counts = vectors.term_counts(chunks, "id", "text")
     every = counts if corpus is None else vectors.term_counts(corpus, "id", "text")
     frequencies = vectors.document_frequencies(every, (chunks if corpus is None else corpus).count())
     asked = vectors.weights(vectors.term_counts(queries, "query_id", "text"), frequencies, "query_id")
     scored = vectors.lexical_scores(asked, vectors.weights(counts, frequencies, "id"), "query_id", "id")
+    scored = scored if digits is None else scored.withColumn("score", F.round("score", digits))
     if first_lane is None:
         return vectors.top_k(scored, ["query_id"], k, "id")
     return vectors.lane_quota(scored.join(chunks.select("id", "lane"), "id").withColumnRenamed("id", "item_id"), k, first_lane).withColumnRenamed("item_id", "id")

@@ -13,7 +13,7 @@ from lodestone.operators import embedding as E
 from lodestone.operators import writing as W
 from lodestone.operators.references import References
 from lodestone.plans.disclosures import STAR, star
-from lodestone.plans.texts import CHUNKS, TERMS
+from lodestone.plans.texts import CHUNKS, STOP, TERMS
 from lodestone.sources import files
 from lodestone.sources.pdf import pdf_text
 from lodestone.sources.tables import table
@@ -174,3 +174,26 @@ def pdf_files(spark: SparkSession, d: str) -> DataFrame:
         found = files.extract_documents(spark, at, {".txt": pdf_text}, least=1)
         lines = F.transform(F.split("text", "\n"), lambda s: F.trim(F.regexp_replace(s, " +", " ")))
         return written(found.select(F.regexp_extract("file", r"/at=(\d+)/", 1).cast("long").alias("s_suppkey"), F.array_join(lines, "\n").alias("text"), "status"))
+
+
+@query(TERMS + f""", qc AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z0-9-]+')) AS term FROM benchmark) WHERE term NOT IN ('{STOP}') GROUP BY 1, 2),
+qr AS (SELECT item_id, term, (1 + ln(tf)) * idf AS w FROM qc JOIN f USING (term)), q AS (SELECT item_id, term, w / greatest(sqrt(sum(w * w) OVER (PARTITION BY item_id)), 1e-12) AS w FROM qr),
+x AS (SELECT item_id, doc_id, round(sum(q.w * w.w), 6) AS score FROM q JOIN w USING (term) GROUP BY 1, 2),
+s AS (SELECT * FROM x WHERE doc_id % 3 > 0 AND doc_id % 5 <> 1 AND doc_id % 4 > 0 AND doc_id % 7 > 0), e AS (SELECT *, 'U' || doc_id % 2 AS entity FROM x WHERE doc_id % 3 = 0),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS nth FROM s QUALIFY nth <= 3), n AS (SELECT item_id, entity, doc_id, score, row_number() OVER (PARTITION BY item_id, entity ORDER BY score DESC, doc_id) AS nth FROM e QUALIFY nth <= 4)
+SELECT u.v AS entity, item_id AS section, 'style' AS kind, lpad(nth::VARCHAR, 3, '0') AS nth, 'd' || doc_id AS source FROM k, (VALUES ('U0'), ('U1')) u(v) WHERE score >= 0.1
+UNION ALL SELECT entity, item_id, 'evidence', lpad(nth::VARCHAR, 3, '0'), 'd' || doc_id FROM n WHERE score >= 0.1
+""")
+def section_passages(spark: SparkSession, d: str) -> DataFrame:
+    """What a section of each entity gets to read: its own documents' best as evidence, others' best as style, never peers', other languages' or quantities'."""
+    k = F.col("doc_id")
+    own = k % 3 == 0
+    chunks = table(spark, d, "documents").select(
+        k.alias("id"), "text", F.concat(F.lit("d"), k.cast("string")).alias("source"), F.when(own, "institution").otherwise("knowledge").alias("lane"), F.when(own, F.concat(F.lit("U"), (k % 2).cast("string"))).otherwise("").alias("institution"),
+        F.when(k % 5 == 1, "peer_report").otherwise("framework").alias("source_type"), F.when(k % 4 == 0, "fr").otherwise("en").alias("language"), (k % 7 == 0).alias("has_quantity"), F.lit("").alias("pillar"),
+    )
+    sections = table(spark, d, "benchmark").select(F.col("item_id").alias("section"), F.col("text").alias("title"))
+    entities = spark.createDataFrame([("U0",), ("U1",)], "entity string")
+    found = flows.lexical_passages(sections, entities, chunks, T.reference_pattern(["305-1"]), least=0.1, digits=6)
+    source = F.regexp_extract("text", r"^\[([^\]]*)\] ", 1)
+    return found.select("entity", "section", "kind", F.col("disclosure").alias("nth"), source.alias("source"))
