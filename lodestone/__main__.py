@@ -60,8 +60,8 @@ def narrate(spark: SparkSession, a: argparse.Namespace, mapping: DataFrame) -> i
     writing.counted(new).orderBy("status").show()
     if a.cache:
         writing.remember(new, a.cache)
-    done = new.where("status = 'written'").select("key", "prose", "model")
-    have, lacking = narrative.to_write(asked, cache.select("key", "prose", "model").join(done.select("key"), "key", "left_anti").unionByName(done), SYSTEM)
+    done = new.where("status = 'written'").select("key", "prose", "model", "prompt_sha256")
+    have, lacking = narrative.to_write(asked, cache.select("key", "prose", "model", "prompt_sha256").join(done.select("key", "prompt_sha256"), ["key", "prompt_sha256"], "left_anti").unionByName(done), SYSTEM)
     rows = flows.sections_of(found, have, titles, references).select("entity", "section", "title", "rendered", "model", "invented", "review", "spelled", "publishable")
     missing = lacking.limit(1).count() > 0
     # prose of a stub, one section alone, or with figures that nobody reported, is never published

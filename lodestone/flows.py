@@ -257,7 +257,7 @@ def narrative(
     asked = narrate.prompts(found, titles)
     new = written_now(found, asked, writer, system, cache, ledger, limits, fresh)
     added = new.where("status = 'written'").select("key", "prose", "model", "prompt_sha256", "generated", F.lit("now").alias("run"))
-    cache = (cache.join(added.select("key"), "key", "left_anti") if fresh else cache).unionByName(added, allowMissingColumns=True)
+    cache = (cache.join(added.select("key", "prompt_sha256"), ["key", "prompt_sha256"], "left_anti") if fresh else cache).unionByName(added, allowMissingColumns=True)
     have, _ = narrate.to_write(asked, cache, system)
     return sections_of(found, have, titles, references), cache
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.sizes import sent_if_small
@@ -98,9 +98,18 @@ def cache_key(system: Column, prompt: Column) -> Column:
 
 
 def to_write(asked: DataFrame, cache: DataFrame, system: str) -> tuple[DataFrame, DataFrame]:
-    """(sections that the cache has, those that it lacks); cache: key, prose, model."""
+    """(sections that the cache has, those that it lacks); cache: key, prose, model and prompt_sha256.
+
+    Keys have 32 bits, so among many prompts some share one: the hash of the whole prompt tells them apart. A row without that hash,
+    as files without a header have none, counts where its key has no row with one.
+    """
     keyed = asked.withColumn("key", cache_key(F.lit(system), F.col("prompt")))
-    return keyed.join(cache, "key"), keyed.join(cache, "key", "left_anti")
+    if "prompt_sha256" not in cache.columns:
+        return keyed.join(cache, "key"), keyed.join(cache, "key", "left_anti")
+    stated = F.col("prompt_sha256").isNotNull()
+    kept = cache.withColumn("_stated", F.max(stated).over(Window.partitionBy("key"))).where(stated | ~F.col("_stated")).drop("_stated").withColumnRenamed("key", "_key")
+    same = (F.col("key") == F.col("_key")) & F.coalesce(F.col("prompt_sha256") == F.sha2("prompt", 256), F.lit(True))
+    return keyed.join(kept, same).drop("_key"), keyed.join(kept, same, "left_anti")
 
 
 def missing_disclosures(sections: DataFrame, vocabulary: DataFrame) -> DataFrame:

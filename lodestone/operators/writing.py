@@ -159,26 +159,26 @@ def write_prompts(
     spark = asked.sparkSession
     day = today or datetime.date.today().isoformat()
     rest = max(0, limits.per_day - ledger.entries(f"calls/{whose}/{day}"))
-    once = keep(asked.select("key", "prompt", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")), ["key"], [F.col("prompt")])
-    taken = once.orderBy("key").limit(max(rest, limits.per_day))
+    once = keep(asked.select("key", "prompt", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")), ["key", "prompt"], [F.col("tokens")])
+    taken = once.orderBy("key", "prompt").limit(max(rest, limits.per_day))
     writers = max(1, min(limits.writers, rest or 1))
     run = uuid.uuid4().hex
     results = f"results/{run}" if fresh else "results"
     # one order of what a day's calls can take, so that the leases' shares are even
-    leased = taken.withColumn("_lease", (F.row_number().over(Window.orderBy("key")) - 1) % writers)
+    leased = taken.withColumn("_lease", (F.row_number().over(Window.orderBy("key", "prompt")) - 1) % writers)
 
     def write(key: tuple, rows: pa.Table) -> pa.Table:
         nth = key[0].as_py()
         lease = Lease(ledger, f"calls/{whose}/{day}/{run}-{nth}", rest // writers + (nth < rest % writers), limits, wait)
         writer, over, out = None, False, []
-        for r in sorted(rows.select(["key", "prompt", "tokens"]).to_pylist(), key=lambda r: r["key"]):
+        for r in sorted(rows.select(["key", "prompt", "tokens"]).to_pylist(), key=lambda r: (r["key"], r["prompt"])):
             sha = hashlib.sha256(r["prompt"].encode()).hexdigest()
             kept = ledger.read(results, f"{r['key']}-{sha[:16]}")
             if kept is not None:
                 out.append(kept | {"calls": 0, "waited": 0.0})
                 continue
             if over:
-                out.append({"key": r["key"], "status": "left", "calls": 0, "waited": 0.0})
+                out.append({"key": r["key"], "prompt_sha256": sha, "status": "left", "calls": 0, "waited": 0.0})
                 continue
             writer = writer or load()
             prose, status, calls, waited, error = lease.ask(writer, system, r["key"], r["prompt"], r["tokens"])
@@ -190,7 +190,7 @@ def write_prompts(
         return pa.Table.from_pylist(out, schema=_SCHEMA)
 
     done = written(leased.groupBy("_lease").applyInArrow(write, RESULTS))
-    others = once.join(done.select("key"), "key", "left_anti").select("key", F.lit("left").alias("status"), F.lit(0).alias("calls"), F.lit(0.0).alias("waited"))
+    others = once.withColumn("prompt_sha256", F.sha2("prompt", 256)).join(done.select("key", "prompt_sha256"), ["key", "prompt_sha256"], "left_anti").select("key", "prompt_sha256", F.lit("left").alias("status"), F.lit(0).alias("calls"), F.lit(0.0).alias("waited"))
     return done.unionByName(others, allowMissingColumns=True)
 
 
@@ -215,7 +215,7 @@ def remember(results: DataFrame, path: str, run: str | None = None, never: Seque
 
 
 def remembered(spark: SparkSession, path: str, at: str | None = None) -> DataFrame:
-    """The cache's last version of each key (key, prose, model, prompt_sha256, generated, run), or as it was on a day; several runs' rows are merged by key.
+    """The cache's last version of each prompt (key, prose, model, prompt_sha256, generated, run), or as it was on a day; several runs' rows are merged by key and hash.
 
     A folder that isn't there yet has none.
     """
@@ -224,7 +224,7 @@ def remembered(spark: SparkSession, path: str, at: str | None = None) -> DataFra
         return spark.createDataFrame([], CACHE)
     rows = spark.read.schema(CACHE).parquet(path)
     rows = rows if at is None else rows.where(F.col("generated") <= at)
-    return keep(rows, ["key"], [F.col("generated").desc(), F.col("run").desc(), F.col("prose")])
+    return keep(rows, ["key", "prompt_sha256"], [F.col("generated").desc(), F.col("run").desc(), F.col("prose")])
 
 
 def with_header(prose: str = "prose", model: str = "model", sha: str = "prompt_sha256", generated: str = "generated") -> Column:

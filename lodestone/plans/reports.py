@@ -103,7 +103,7 @@ SELECT o_orderkey, substr(sha256('system' || chr(0) || 'prompt ' || o_custkey),
 def prompt_cache(spark: SparkSession, d: str) -> DataFrame:
     """Which sections the cache has already, by their prompts' keys."""
     asked = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.concat(F.lit("prompt "), F.col("o_custkey").cast("string")).alias("prompt"))
-    cache = asked.where("o_custkey % 2 = 0").select(N.cache_key(F.lit("system"), F.col("prompt")).alias("key"), F.lit("x").alias("prose"), F.lit("m").alias("model")).distinct()
+    cache = asked.where("o_custkey % 2 = 0").select(N.cache_key(F.lit("system"), F.col("prompt")).alias("key"), F.lit("x").alias("prose"), F.lit("m").alias("model"), F.sha2("prompt", 256).alias("prompt_sha256")).distinct()
     have, lack = N.to_write(asked, cache, "system")
     return have.select("o_orderkey", "key", F.lit(True).alias("cached")).unionByName(lack.select("o_orderkey", "key", F.lit(False).alias("cached")))
 

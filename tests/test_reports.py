@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +62,17 @@ def test_cache_and_gate(spark):
     assert sorted(tuple(r) for r in N.missing_disclosures(sections, vocabulary).collect()) == [("d2", "right"), ("dx", "left")]
 
 
+def test_prompts_of_one_key_are_told_apart(spark):
+    # SHA-256 of "system", a zero and either prompt begins with the same 32 bits
+    asked = spark.createDataFrame([(1, "prompt 1059"), (2, "prompt 4053")], "k int, prompt string").withColumn("_key", N.cache_key(F.lit("system"), F.col("prompt")))
+    (key,) = {r[0] for r in asked.select("_key").collect()}
+    columns = "key string, prose string, model string, prompt_sha256 string"
+    own = (key, "own", "m", hashlib.sha256(b"prompt 1059").hexdigest())
+    for rows, had in (([own], [(1, "own")]), ([own, (key, "bare", "m", None)], [(1, "own")]), ([(key, "bare", "m", None)], [(1, "bare"), (2, "bare")])):
+        hit, miss = N.to_write(asked.drop("_key"), spark.createDataFrame(rows, columns), "system")
+        assert sorted((r.k, r.prose) for r in hit.collect()) == had and {r.k for r in miss.collect()} == {1, 2} - {k for k, _ in had}
+
+
 def test_requirements(spark):
     html = "<nav><h2>305-9 no</h2></nav><h2>Disclosure 305-1 Direct emissions</h2><p>Report CO<sub>2</sub>:</p><ul><li>a<li>b</ul><h3>Guidance to it</h3><p>no</p><h2>Background</h2><p>no</p><h2>2-9 Other</h2><p>c</p><h2>305-1 Again</h2><p>d</p>"
     got = R.extract_requirements(spark.createDataFrame([(1, html)], "k int, html string"), "k", "html")
