@@ -44,6 +44,26 @@ def test_ranking_prefers_and_cuts_at_the_quantile():
     assert abs((model.scores(rows) >= 0.5).mean() - 0.5) < 0.02
 
 
+def test_every_labelled_row_counts(spark):
+    """Many more rows than were once drawn: the loss over all pairs is at its least, and the threshold is the quantile of all scores."""
+    rng = np.random.default_rng(3)
+    rows = rng.normal(0, 1, (6000, 4))
+    better = rows @ np.array([1, -1, 0.5, 0]) + rng.normal(0, 1, 6000) > -1
+    model = Q.rank(rows, better, float(better.mean()))
+    unit = np.clip((rows - model.mean) / model.scale, -8, 8)
+    s = unit @ model.weights
+    lean = 1 / (1 + np.exp(s[better][:, None] - s[~better][None]))
+    slope = -(lean.mean(axis=1) @ unit[better]) / better.sum() + (lean.mean(axis=0) @ unit[~better]) / (~better).sum() + Q.DECAY * model.weights
+    assert np.abs(slope).max() < 2e-3
+    assert (model.scores(rows) >= 0.5).sum() == better.sum()
+    # 500 copies of each text: none may be left out of what is learned
+    docs, labels = table(spark, 40)
+    copies = spark.range(500).select((F.col("id") * 1000).alias("_k"))
+    many = [d.join(copies).withColumn("doc_id", F.col("doc_id") + F.col("_k")).drop("_k") for d in (docs.withColumn("text", F.concat("text", F.lit(" end"))), labels)]
+    few = Q.fit(docs.withColumn("text", F.concat("text", F.lit(" end"))), labels)
+    assert np.allclose(few.weights, Q.fit(*many).weights, atol=1e-4) and np.allclose(few.mean, Q.fit(*many).mean)
+
+
 def test_features_of_a_text_do_not_depend_on_others():
     texts = ["A b c.", "", "x x x x", "\n\n", "Ünï 12 !!"]
     together = Q.features(texts)
