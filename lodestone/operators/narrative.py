@@ -32,9 +32,10 @@ def facts(sections: DataFrame, mapping: DataFrame, records: DataFrame, reference
     fields count once, by their first value.
     """
     rows = sections.join(mapping.where("review_status = 'confirmed'"), "disclosure")
-    gaps = rows.where("relationship = 'gap_gri_side'").select("section", "disclosure", T.redact_figures(F.coalesce("rationale", F.lit("")), references).alias("text"), "line")
-    gaps = keep(gaps, ["section", "disclosure"], [F.col("line")]).drop("line")
-    used = rows.where(F.col("relationship").isin(*X.ANSWERS)).join(gaps.select("section", "disclosure"), ["section", "disclosure"], "left_anti")
+    gaps = rows.where("relationship = 'gap_gri_side'").groupBy("section", "disclosure").agg(F.min(F.struct("line", F.coalesce("rationale", F.lit("")).alias("why"))).alias("_first"))
+    gaps = gaps.select("section", "disclosure", T.redact_figures(F.col("_first.why"), references).alias("text"))
+    # rows of a mapping that say the same are one before they meet the entities
+    used = rows.where(F.col("relationship").isin(*X.ANSWERS)).select("section", "disclosure", "credit", "field", "caveat").distinct().join(gaps.select("section", "disclosure"), ["section", "disclosure"], "left_anti")
     entities = records.select("entity").distinct()
     first = keep(records, ["entity", "credit", "field"], [F.col("value").asc_nulls_last()])
     grid = used.join(sent_if_small(entities)).join(first, ["entity", "credit", "field"], "left")

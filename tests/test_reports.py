@@ -73,6 +73,23 @@ def test_prompts_of_one_key_are_told_apart(spark):
         assert sorted((r.k, r.prose) for r in hit.collect()) == had and {r.k for r in miss.collect()} == {1, 2} - {k for k, _ in had}
 
 
+def test_facts_meet_entities_once(spark, monkeypatch):
+    """A mapping that says the same on many lines makes no more rows than one that says it once."""
+    sections = spark.createDataFrame([("s", "d1"), ("s", "d2")], "section string, disclosure string")
+    mapping = spark.range(3000).select(
+        F.col("id").alias("line"), F.lit("C").alias("credit"), F.concat(F.lit("f"), (F.col("id") % 3).cast("string")).alias("field"), F.when(F.col("id") % 10 == 9, "d2").otherwise("d1").alias("disclosure"),
+        F.when(F.col("id") % 10 == 9, "gap_gri_side").otherwise("equivalent").alias("relationship"), F.lit("confirmed").alias("review_status"), F.concat(F.lit("why "), (F.lit(5000) - F.col("id")).cast("string")).alias("rationale"), F.lit(None).cast("string").alias("caveat"),
+    )
+    records = spark.createDataFrame([(e, "C", f, "1", "kg", "number") for e in ("a", "b") for f in ("f0", "f1")], "entity string, credit string, field string, value string, units string, value_type string")
+    named, sizes = T.unique_slugs, []
+    monkeypatch.setattr(T, "unique_slugs", lambda rows, *more: (sizes.append(rows.count()), named(rows, *more))[1])
+    found = N.facts(sections, mapping, records, T.reference_pattern(["305-1"])).collect()
+    expected = [(e, k, f) for e in ("a", "b") for k, f in (("figure", "f0"), ("figure", "f1"), ("unavailable", "f2"), ("gap", ""))]
+    assert sorted((r.entity, r.kind, r.field or "") for r in found) == sorted(expected) and sizes == [4]
+    # a gap's first line says why
+    assert {r.text for r in found if r.kind == "gap"} == {"why [figure]"}
+
+
 def test_requirements(spark):
     html = "<nav><h2>305-9 no</h2></nav><h2>Disclosure 305-1 Direct emissions</h2><p>Report CO<sub>2</sub>:</p><ul><li>a<li>b</ul><h3>Guidance to it</h3><p>no</p><h2>Background</h2><p>no</p><h2>2-9 Other</h2><p>c</p><h2>305-1 Again</h2><p>d</p>"
     got = R.extract_requirements(spark.createDataFrame([(1, html)], "k int, html string"), "k", "html")
