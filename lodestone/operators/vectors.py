@@ -9,10 +9,16 @@ from lodestone.functions import fixed as X
 from lodestone.functions.sizes import sent_if_small
 from lodestone.operators.search import best_in_blocks
 
+#: Terms up to which a vocabulary is broadcast: some 200 MB.
+SENT_TERMS = 2_000_000
+
 
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf), stop words left out."""
-    found = docs.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(X.TERM), F.lit(0))).alias("term"))
+    """(key, term, tf), stop words left out.
+
+    Texts are dealt out by key once, before they become many rows; what is grouped by key later stays where it is.
+    """
+    found = docs.select(key, text).repartition(key).select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(X.TERM), F.lit(0))).alias("term"))
     return found.where(~F.col("term").isin(*X.STOPWORDS)).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -23,8 +29,11 @@ def document_frequencies(counts: DataFrame, n: int, least: int = X.MIN_DOC_FREQU
 
 
 def weights(counts: DataFrame, frequencies: DataFrame, key: str) -> DataFrame:
-    """(key, term, w): (1 + ln tf) * idf, each key's weights of length 1; terms outside the table are dropped."""
-    raw = counts.join(frequencies.select("term", "idf"), "term").withColumn("_w", (1 + F.log("tf")) * F.col("idf"))
+    """(key, term, w): (1 + ln tf) * idf, each key's weights of length 1; terms outside the table are dropped.
+
+    Up to ``SENT_TERMS`` terms are sent to all tasks, for which a count reads the table: give it one that is written. Above, counts are shuffled.
+    """
+    raw = counts.join(sent_if_small(frequencies.select("term", "idf"), SENT_TERMS), "term").withColumn("_w", (1 + F.log("tf")) * F.col("idf"))
     norm = F.greatest(F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key))), F.lit(X.NORM_FLOOR))
     return raw.select(key, "term", (F.col("_w") / norm).alias("w"))
 

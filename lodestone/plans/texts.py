@@ -123,10 +123,10 @@ r AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM c JOIN f USING (term)),
 
 
 def lexical(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The counts of each document's terms, written once as several tables are made of them, and the weights of terms."""
+    """The counts of each document's terms, and the weights of terms, written; counts, many times their size, are made again from texts instead."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    counts = written(W.term_counts(docs, "doc_id", "text"))
-    return counts, W.document_frequencies(counts, docs.count())
+    counts = W.term_counts(docs, "doc_id", "text")
+    return counts, written(W.document_frequencies(counts, docs.count()))
 
 
 @query(TERMS + "SELECT term, df, round(idf, 6) AS idf FROM f")

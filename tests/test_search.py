@@ -84,3 +84,20 @@ def test_ties_beyond_k():
     scores = np.array([[0.5, 0.9, 0.5, 0.5], [-np.inf, -np.inf, 0.1, -np.inf]])
     row, column = S.best_of_rows(scores, 2, np.array([3, 2, 1, 0]))
     assert list(zip(row.tolist(), column.tolist(), strict=True)) == [(0, 1), (0, 3), (1, 2)]
+
+
+def test_texts_are_dealt_out_once(spark, tmp_path):
+    """Terms are counted, weighed and brought to length 1 where their texts are; texts cross one exchange, counts none."""
+    from lodestone.operators import vectors as W
+
+    docs = spark.createDataFrame([(1, "solar wind power solar"), (2, "wind power grid"), (2, "grid grid"), (3, None)], "id long, text string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    counts = W.term_counts(docs, "id", "text")
+    assert {(r.id, r.term): r.tf for r in counts.collect()} == {(1, "solar"): 2, (1, "wind"): 1, (1, "power"): 1, (2, "wind"): 1, (2, "power"): 1, (2, "grid"): 3}
+    frequencies = spark.createDataFrame([("wind", 2, 1.0), ("grid", 2, 2.0)], "term string, df long, idf double")
+    weighed = W.weights(counts, frequencies, "id")
+    plan = weighed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    got = {(r.id, r.term): r.w for r in weighed.collect()}
+    assert got[1, "wind"] == 1 and abs(got[2, "wind"] ** 2 + got[2, "grid"] ** 2 - 1) < 1e-12 and len(got) == 3
