@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.sizes import sent_if_small
-from lodestone.functions.stages import passing_folder
+from lodestone.functions.stages import passing_folder, written
 from lodestone.functions import fixed as X
 from lodestone.functions import text as T
 from lodestone.functions import values as V
@@ -224,18 +224,17 @@ def lexical_passages(
     """
     brief = F.col("brief") if "brief" in sections.columns else F.lit(None).cast("string")
     asked = sections.select(F.col("section").alias("query_id"), F.concat_ws(". ", "title", brief).alias("text")).dropDuplicates(["query_id"])
-    style = search(vectors.allowed(chunks, drop_quantities=True), asked, style_k, corpus=chunks, digits=digits).join(sent_if_small(entities.select("entity")))
+    frequencies = written(vectors.document_frequencies(vectors.term_counts(chunks, "id", "text"), chunks.count()))
+    style = search(vectors.allowed(chunks, drop_quantities=True), asked, style_k, digits=digits, frequencies=frequencies).join(sent_if_small(entities.select("entity")))
     own = chunks.where("lane = 'institution'").join(sent_if_small(entities.select(F.col("entity").alias("institution"))), "institution", "left_semi")
     counts = vectors.term_counts(own, "id", "text")
-    frequencies = vectors.document_frequencies(vectors.term_counts(chunks, "id", "text"), chunks.count())
-    weighed = vectors.weights(counts, frequencies, "id").join(own.select("id", F.col("institution").alias("entity")), "id")
-    questions = vectors.weights(vectors.term_counts(asked, "query_id", "text"), frequencies, "query_id")
-    scored = weighed.withColumnRenamed("w", "_v").join(sent_if_small(questions), "term").groupBy("query_id", "entity", "id").agg(F.sum(F.col("w") * F.col("_v")).alias("score"))
+    questions = written(vectors.weights(vectors.term_counts(asked, "query_id", "text"), frequencies, "query_id"))
+    scored = vectors.lexical_scores(questions, vectors.weights(counts, frequencies, "id"), "query_id", "id").join(own.select("id", F.col("institution").alias("entity")).distinct(), "id")
     scored = scored if digits is None else scored.withColumn("score", F.round("score", digits))
     evidence = vectors.top_k(scored, ["query_id", "entity"], evidence_k, "id")
     out = None
     for kind, hits, chars in (("evidence", evidence, narrate.CONTEXT_CHARS), ("style", style, narrate.STYLE_CHARS)):
-        found = hits.where(F.col("score") >= least).join(chunks.select("id", "source", F.substring("text", 1, chars).alias("_text")), "id")
+        found = chunks.select("id", "source", F.substring("text", 1, chars).alias("_text")).join(sent_if_small(written(hits.where(F.col("score") >= least))), "id")
         nothing = F.lit(None).cast("string")
         rows = found.select(
             "entity", F.col("query_id").alias("section"), F.lit(kind).alias("kind"), F.lpad(F.col("rank").cast("string"), 3, "0").alias("disclosure"), nothing.alias("credit"), nothing.alias("field"), nothing.alias("token"),
@@ -305,14 +304,16 @@ def full_reports(sections: DataFrame, order: DataFrame, index: DataFrame, preamb
     return rows.select("entity", F.concat_ws("\n\n", sinks.assembled(F.array("_index"), front), check).alias("markdown"))
 
 
-def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str | None = None, corpus: DataFrame | None = None, digits: int | None = None) -> DataFrame:
+def search(chunks: DataFrame, queries: DataFrame, k: int = 5, first_lane: str | None = None, corpus: DataFrame | None = None, digits: int | None = None, frequencies: DataFrame | None = None) -> DataFrame:
     """The k best chunks for each query (query_id, text) by lexical vectors; filter the chunks before (``vectors.allowed``). ``first_lane`` has ceil(k / 2) places.
 
-    corpus: what terms are weighed by, with what is filtered out; the chunks themselves by default. digits: places that scores are rounded to before they are compared.
+    corpus: what terms are weighed by, with what is filtered out; the chunks themselves by default; frequencies: its terms' weights, where they are known.
+    digits: places that scores are rounded to before they are compared.
     """
     counts = vectors.term_counts(chunks, "id", "text")
-    every = counts if corpus is None else vectors.term_counts(corpus, "id", "text")
-    frequencies = vectors.document_frequencies(every, (chunks if corpus is None else corpus).count())
+    if frequencies is None:
+        every = chunks if corpus is None else corpus
+        frequencies = written(vectors.document_frequencies(vectors.term_counts(every, "id", "text"), every.count()))
     asked = vectors.weights(vectors.term_counts(queries, "query_id", "text"), frequencies, "query_id")
     scored = vectors.lexical_scores(asked, vectors.weights(counts, frequencies, "id"), "query_id", "id")
     scored = scored if digits is None else scored.withColumn("score", F.round("score", digits))
