@@ -15,3 +15,8 @@ def sent_if_small(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
     The count reads the table's first rows only; give it one that is cheap to read.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def dealt_out(df: DataFrame, rows: int) -> DataFrame:
+    """The rows in tasks of about ``rows``: costly work on short rows, which a few small files hold, would else be that of a few tasks."""
+    return df.repartition(max(1, -(-df.count() // rows)))

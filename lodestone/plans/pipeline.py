@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestone import flows
 from lodestone.functions import markdown as M
 from lodestone.functions import text as T
+from lodestone.functions.sizes import dealt_out
 from lodestone.functions.stages import passing_folder, written
 from lodestone.operators import embedding as E
 from lodestone.operators import writing as W
@@ -105,7 +106,7 @@ SELECT p_partkey, '<h2>Part ' || p_partkey || ' <em>' || replace(p_brand, '#', '
 """)
 def markdown_html(spark: SparkSession, d: str) -> DataFrame:
     """A report of each kind of block for each part, as HTML."""
-    p, k = table(spark, d, "part"), F.col("p_partkey").cast("string")
+    p, k = dealt_out(table(spark, d, "part"), 5_000), F.col("p_partkey").cast("string")
     lines = F.array(
         F.concat(F.lit("## Part "), k, F.lit(" *"), F.col("p_brand"), F.lit("*")), F.lit(""), F.concat(F.lit("Made by **"), F.col("p_brand"), F.lit("** & others, 5 < 6,")), F.concat(F.lit("of `"), F.col("p_type"), F.lit("*`. [See](https://x/"), k, F.lit("_a?b=1&c) \\*it\\*")),
         F.lit("- one"), F.concat(F.lit("* "), F.col("p_name")), F.lit(""), F.lit("1. first"), F.lit(""), F.lit("| Name | Size |"), F.lit("|:--|--:|"), F.concat(F.lit("| "), F.col("p_name"), F.lit(" \\| "), F.col("p_brand"), F.lit(" | "), F.col("p_size").cast("string"), F.lit(" |")),

@@ -44,3 +44,11 @@ def test_a_long_document(spark):
     text = "\n".join(["# h", "", "| a | b |", "|---|---|", *["| 1 | *2* |"] * 3000, "", *["- item **x**"] * 3000, "", *["line"] * 3000])
     (html,) = spark.createDataFrame([(text,)], "t string").select(M.to_html(F.col("t"))).first()
     assert html.count("<td>") == 6000 and html.count("<li>") == 3000 and html.count("<p>") == 1 and html.endswith("line</p>")
+
+
+def test_short_rows_are_dealt_out(spark):
+    from lodestone.functions.sizes import dealt_out
+
+    rows = dealt_out(spark.range(0, 1050, 1, 1), 100)
+    assert rows.rdd.getNumPartitions() == 11 and sorted(r.id for r in rows.collect()) == list(range(1050))
+    assert dealt_out(spark.range(0), 100).count() == 0
