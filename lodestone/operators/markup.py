@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.sizes import dealt_by_key
 from lodestone.functions.text import collapse_space
 
+#: Code units of markup that one task takes apart, about; its tokens are sorted and carried through windows several times.
+TASK_CHARS = 16_000_000
 #: A tag, a text, or a sign that is neither.
 TOKEN = r"(?s)</?[A-Za-z][^>]*>|[^<]+|<"
 UNREAD = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
@@ -23,6 +26,7 @@ LISTS = ["ul", "ol"]
 
 def entities(c: Column) -> Column:
     """The commonest named and all numbered character references read."""
+    whole = c
     for name, char in (("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
         c = F.replace(c, F.lit(name), F.lit(char))
     of = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
@@ -33,7 +37,8 @@ def entities(c: Column) -> Column:
         step = lambda acc, n: F.when(valid(F.conv(n, base, 10).cast("long")), F.regexp_replace(acc, F.concat(F.lit("&#[xX]?0*" if base == 10 else "&#[xX]0*"), F.ltrim(n, F.lit("0")), F.lit(";")), of(F.conv(n, base, 10).cast("long")))).otherwise(acc)
         return F.aggregate(found, text, step)
 
-    return F.replace(read(read(c, "&#([0-9]{1,7});", 10), "&#[xX]([0-9A-Fa-f]{1,6});", 16), F.lit("&amp;"), F.lit("&"))
+    found = F.replace(read(read(c, "&#([0-9]{1,7});", 10), "&#[xX]([0-9A-Fa-f]{1,6});", 16), F.lit("&amp;"), F.lit("&"))
+    return F.when(F.contains(whole, F.lit("&")), found).otherwise(whole)
 
 
 def tokens(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -96,7 +101,10 @@ def text_blocks(
     elements. A span of a class in ``promoted`` is a heading h2, spans within it included. An item's text is without that of
     lists and paragraphs within it, which speak for themselves; an item that goes on after them has one text. Tags within
     a text leave nothing, as in CO<sub>2</sub>, but a space in headings.
+
+    Pages are dealt out whole, by their key and in tasks of ``TASK_CHARS`` at most, about, before they are taken apart: no token is shuffled.
     """
+    pages = dealt_by_key(pages.select(key, html), key, F.length(html), TASK_CHARS)
     rows = with_depths(tokens(pages, key, html), key, {**{f"_in_{t}": [t] for t in hidden}, "_div": ["div"], "_span": ["span"], "_list": LISTS})
     shown = F.lit(True)
     for t in hidden:

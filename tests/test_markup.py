@@ -61,3 +61,17 @@ def test_guidance_ends_what_is_binding(spark):
     cut = [("1-1", "T", "a"), ("1-2", "U", "c")]
     assert of("<h3>Guidance</h3>") == of("<p>Background:</p>") == of("<li>Guidance for Disclosure 1-1</li>") == of("<p>GLOSSARY</p>") == cut
     assert of("<p>Guidance on it</p>")[0] == ("1-1", "T", "a\nGuidance on it\nb")
+
+
+def test_tasks_grow_in_number_not_in_size(spark, monkeypatch):
+    pages = spark.range(400).selectExpr("id k", "concat('<h2>T', id, '</h2>', repeat('<p>a &amp; b', 20)) html").repartition(2)
+    whole = sorted(tuple(r) for r in M.text_blocks(pages, "k", "html").collect())
+    monkeypatch.setattr(M, "TASK_CHARS", 10_000)
+    found = M.text_blocks(pages, "k", "html")
+    size = pages.selectExpr("sum(length(html)) n").first().n
+    assert size > 80_000 and found.rdd.getNumPartitions() == -(-size // 10_000)
+    assert sorted(tuple(r) for r in found.collect()) == whole and len(whole) == 400 * 21
+
+
+def test_texts_without_references_stay(spark):
+    assert blocks(spark, "<p>a; #38; b<p>&lt;&#38;&#x26;amp;<p>R&D") == [("p", "a; #38; b"), ("p", "<&&"), ("p", "R&D")]
