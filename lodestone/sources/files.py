@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import partial
+from itertools import chain, count, islice
 from xml.etree import ElementTree
 
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions import fixed as X
 from lodestone.functions.nulls import missing_to_null
-from lodestone.functions.sizes import sent_if_small
+from lodestone.functions.sizes import dealt_out, sent_if_small
 from lodestone.operators.chunking import strip
 from lodestone.sources.pdf import pdf_text
 from lodestone.sources.schemas import MANIFEST, REQUIREMENT, VOCABULARY
@@ -129,29 +134,78 @@ def xlsx_text(raw: bytes) -> str:
 EXTRACTORS: dict[str, Callable[[bytes], str]] = {".pdf": pdf_text, ".docx": docx_text, ".xlsx": xlsx_text, ".xlsm": xlsx_text, ".csv": lambda raw: raw.decode("utf-8", "replace"), ".txt": lambda raw: raw.decode("utf-8", "replace")}
 
 
-def extract_documents(spark: SparkSession, path: str, extractors: dict[str, Callable[[bytes], str]] | None = None, least: int = 200) -> DataFrame:
+#: Documents of an archive, and bytes from which on a next one is begun. A reader has an archive in memory as a whole.
+ARCHIVED, ARCHIVE_BYTES = 5_000, 32_000_000
+BATCH = 1_000
+
+
+def write_archives(documents: DataFrame, path: str, each: int = ARCHIVED) -> None:
+    """Documents (name string, content binary) as members of zip archives in a folder, ``each`` a task, about.
+
+    A file and a folder for each document would be written by one task where the table is small, moved and listed one by one by the
+    driver. ``path`` is a local path or a URI of a store that Arrow knows (file, hdfs, s3, gs). ``extract_documents`` reads archives.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+        fs.create_dir(root, recursive=True)
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        for nth in count():
+            if (first := next(rows, None)) is None:
+                return
+            # what begins with _ is not there for readers; a task that is done again finds its archives, which hold the same
+            fresh, name, size, n = f"{root}/_{uuid.uuid4().hex}", f"{root}/part-{TaskContext.get().partitionId():06d}-{nth:06d}.zip", 0, 0
+            with fs.open_output_stream(fresh) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                for member, content in chain([first], rows):
+                    z.writestr(zipfile.ZipInfo(member), content or b"", zipfile.ZIP_DEFLATED)
+                    size, n = size + len(content or b""), n + 1
+                    if size >= ARCHIVE_BYTES:
+                        break
+            if fs.get_file_info(name).type == pafs.FileType.NotFound:
+                fs.move(fresh, name)
+            else:
+                fs.delete_file(fresh)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    dealt_out(documents.select("name", "content"), each).mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+
+
+def extract_documents(spark: SparkSession, path: str, extractors: dict[str, Callable[[bytes], str]] | None = None, least: int = 200, archives: bool = False) -> DataFrame:
     """(file, extension, text, status) of binary documents.
 
     status: ok, empty (fewer than ``least`` code points), unsupported, or failed with the error's name. Spark lists no
-    file without any byte.
+    file without any byte. ``archives``: a zip archive is as a folder of its members, those without any byte left out.
     """
     by = extractors or EXTRACTORS
     raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
 
+    def extracted(file: str, read: Callable[[], bytes]) -> tuple[str, str, str | None, str]:
+        ext = (re.search(r"\.[^./]+$", file.lower()) or [""])[0]
+        if ext not in by:
+            return file, ext, None, "unsupported"
+        try:
+            text = by[ext](read())
+            return file, ext, text, "ok" if len(text) >= least else "empty"
+        except Exception as e:  # a broken file is a row's status, not the job's end
+            return file, ext, None, f"failed: {type(e).__name__}"
+
+    def within(file: str, content: bytes) -> Iterator[tuple[str, str, str | None, str]]:
+        if not (archives and file.lower().endswith(".zip")):
+            yield extracted(file, lambda: content)
+            return
+        try:
+            members = zipfile.ZipFile(io.BytesIO(content))
+        except Exception as e:
+            yield file, ".zip", None, f"failed: {type(e).__name__}"
+            return
+        for m in members.infolist():
+            if m.file_size:
+                yield extracted(f"{file}/{m.filename}", partial(members.read, m))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ext = (re.search(r"\.[^./]+$", file.lower()) or [""])[0]
-                if ext not in by:
-                    out.append((file, ext, None, "unsupported"))
-                    continue
-                try:
-                    text = by[ext](content)
-                    out.append((file, ext, text, "ok" if len(text) >= least else "empty"))
-                except Exception as e:  # a broken file is a row's status, not the job's end
-                    out.append((file, ext, None, f"failed: {type(e).__name__}"))
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], names=["file", "extension", "text", "status"])
+            rows = (row for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for row in within(file, content))
+            while some := list(islice(rows, BATCH)):
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in zip(*some, strict=True)], names=["file", "extension", "text", "status"])
 
     return raw.mapInArrow(run, "file string, extension string, text string, status string")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions.fixed import HEADER_RULE
+from lodestone.plans import pipeline
 from lodestone.sources import files, schemas, sinks
 from lodestone.streaming import upsert as U
 
@@ -170,3 +171,34 @@ def test_a_manifest_of_several_files_keeps_its_order(spark, tmp_path):
         (tmp_path / "manifest" / f"part-{part}.csv").write_text(head + "\n" + "\n".join(rows) + "\n")
     got = files.read_manifest(spark, f"{tmp_path}/manifest", f"{tmp_path}/texts").orderBy("ord").collect()
     assert [(r.ord, r.original_name, r.text) for r in got] == [(k, f"name {k}.docx", f"text {k}") for k in range(at)]
+
+
+def test_archives_are_folders_of_their_members(spark, tmp_path, monkeypatch):
+    rows = [(f"a/{k}.csv", f"text {k}".encode()) for k in range(40)] + [("a/0.csv", b"other"), ("b.bin", b"x"), ("c.docx", b"broken"), ("d.csv", None), ("e.zip", b"nested")]
+    monkeypatch.setattr(files, "ARCHIVE_BYTES", 30)
+    files.write_archives(spark.createDataFrame(rows, "name string, content binary"), f"{tmp_path}/in", each=20)
+    written = sorted(p.name for p in (tmp_path / "in").iterdir() if not p.name.endswith(".crc"))
+    assert len({n[:11] for n in written}) == 3 and len(written) > 6 and all(n.endswith(".zip") for n in written)
+    (tmp_path / "in/z.zip").write_bytes(b"broken")
+    (tmp_path / "in/f.csv").write_bytes(b"plain file")
+    got = files.extract_documents(spark, f"{tmp_path}/in", least=5, archives=True).collect()
+    found = sorted((r.file.split(".zip/")[-1].rsplit("/in/")[-1], r.extension, r.text, r.status) for r in got)
+    other = [("a/0.csv", ".csv", "other", "ok"), ("b.bin", ".bin", None, "unsupported"), ("c.docx", ".docx", None, "failed: BadZipFile"), ("e.zip", ".zip", None, "unsupported"), ("f.csv", ".csv", "plain file", "ok"), ("z.zip", ".zip", None, "failed: BadZipFile")]
+    assert found == sorted([(f"a/{k}.csv", ".csv", f"text {k}", "ok") for k in range(40)] + other)
+    assert {r.status for r in files.extract_documents(spark, f"{tmp_path}/in").where("file like '%.zip'").collect()} == {"unsupported"}
+    files.write_archives(spark.createDataFrame([], "name string, content binary"), f"{tmp_path}/none")
+    assert files.extract_documents(spark, f"{tmp_path}/none", archives=True).count() == 0
+
+
+def test_pdfs_of_a_query_are_few_files(spark, tmp_path, monkeypatch):
+    spark.range(30).selectExpr("id s_suppkey", "concat('S', id) s_name", "cast(id % 25 as int) s_nationkey", "0.5D s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    read, seen = files.extract_documents, []
+
+    def counted(spark, path, *args, **more):
+        seen.append(spark.read.format("binaryFile").load(path).count())
+        return read(spark, path, *args, **more)
+
+    monkeypatch.setattr(files, "extract_documents", counted)
+    got = {r.s_suppkey: (r.text, r.status) for r in pipeline.pdf_files(spark, str(tmp_path)).collect()}
+    assert got == {k: (None, "failed: PdfError") if k % 5 == 0 else (f"S{k} ({k % 25}) of two" + ("" if k % 3 == 0 else "\nbelow it"), "ok") for k in range(30)}
+    assert seen == [1]
