@@ -129,9 +129,10 @@ def html_segments(spark: SparkSession, d: str) -> DataFrame:
 
     Headings are plain, spans within spans, or first ranks; texts are in paragraphs, divs and nested items. One in six stands
     below another heading and one below a glossary, so that they are nobody's; headers, footers and what is outside the body are left out.
+    Numbers count a page's paragraphs, so they have as many digits as it takes, unlike those of a standard.
     """
     p = table(spark, d, "pages")
-    trimmed = F.transform(F.regexp_extract_all("html", F.lit("<p>([^<]+)"), F.lit(1)), lambda t: F.trim(F.regexp_replace(t, r"(?:\s|&nbsp;)+", " ")))
+    trimmed = F.transform(F.regexp_extract_all("html", F.lit("<p>([^<]+)"), F.lit(1)), lambda t: F.trim(F.regexp_replace(t, r"(?:[ \t\n\f\r\xa0]|&nbsp;)+", " ")))
 
     def planted(t: F.Column, k: F.Column) -> F.Column:
         n, kind = (k + 1).cast("string"), (k + 1) % 6
@@ -151,7 +152,7 @@ def html_segments(spark: SparkSession, d: str) -> DataFrame:
         F.array_join(F.transform(F.filter(trimmed, lambda t: t != ""), planted), "\n"),
         F.lit("</div><nav><li>no</li></nav><footer><p>no</p></footer></div><p>no</p></div><footer><h2>Disclosure 3-99 No</h2><p>no</p></footer></body></html>"),
     )
-    return R.extract_requirements(p.select("page_id", whole.alias("html")), "page_id", "html")
+    return R.extract_requirements(p.select("page_id", whole.alias("html")), "page_id", "html", heading=r"^Disclosure ([0-9]+--?[0-9]+) (.+)$")
 
 
 @query("""

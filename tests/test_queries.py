@@ -44,6 +44,17 @@ def test_query_equals_sql(spark, duck, name):
     assert expected, "nothing to compare"
 
 
+def test_long_pages_equal_sql(spark, tmp_path):
+    paragraphs = "".join(f"<p>t{n}</p>" for n in range(1, 1200))
+    pages = [(7, paragraphs), (8, "<p>a<p>\xa0<p>b<p> &nbsp;\xa0<p>c<p>d\xa0 e"), (-7, "<p>a<p>b"), (9, None), (10, "")]
+    spark.createDataFrame(pages, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {tuple(r[c] for c in ("page_id", "number", "title", "text")) for r in reports.html_segments(spark, str(tmp_path)).collect()}
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == set(c.sql(f"SELECT page_id, number, title, text FROM ({ORACLES['html_segments']})").fetchall())
+    assert (7, "1197-8", "Title of 1197", "t1197") in got and (8, "3-9", "Title of 3", "c") in got and (-7, "1--6", "Title of 1", "a2") in got
+
+
 def test_entry_module(spark):
     import __spark_entry__ as e
 
