@@ -44,14 +44,16 @@ def entities(c: Column) -> Column:
 def tokens(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, ord, raw, tag, step, classes): the tags and texts of pages in order; tag is empty for a text, step 1 where an element begins and -1 where it ends.
 
-    Comments, scripts and styles are left out; null has no row.
+    A tag without attributes has no classes. Comments, scripts and styles are left out; null has no row.
     """
-    rows = pages.select(key, F.posexplode(F.regexp_extract_all(F.regexp_replace(html, UNREAD, ""), F.lit(TOKEN), F.lit(0))).alias("ord", "raw"))
-    tag = F.lower(F.regexp_extract("raw", r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    named = lambda raw: F.struct(raw.alias("raw"), F.lower(F.regexp_extract(raw, r"^</?([A-Za-z][A-Za-z0-9]*)", 1)).alias("tag"))
+    found = F.transform(F.regexp_extract_all(F.regexp_replace(html, UNREAD, ""), F.lit(TOKEN), F.lit(0)), named)
+    rows = pages.select(key, F.posexplode(found).alias("ord", "_token")).select(key, "ord", "_token.raw", "_token.tag")
+    tag = F.col("tag")
     step = F.when((tag == "") | tag.isin(*VOID), 0).when(F.startswith("raw", F.lit("</")), -1).otherwise(1)
     quoted = F.regexp_extract("raw", r"""(?is)^<[^>]*?\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", 0)
     classes = F.split(F.trim(F.regexp_replace(F.regexp_replace(quoted, r"(?is)^.*?\sclass\s*=\s*", ""), "[\"']", "")), r"\s+")
-    return rows.select(key, "ord", "raw", tag.alias("tag"), step.alias("step"), F.when(step == 1, classes).alias("classes"))
+    return rows.select(key, "ord", "raw", "tag", step.alias("step"), F.when((step == 1) & (F.length("raw") > F.length(tag) + 2), classes).alias("classes"))
 
 
 def with_depths(rows: DataFrame, key: str, of: dict[str, Sequence[str]]) -> DataFrame:
@@ -69,7 +71,7 @@ def with_depths(rows: DataFrame, key: str, of: dict[str, Sequence[str]]) -> Data
 def within_first(rows: DataFrame, key: str, begins: Column, depth: str, out: str) -> DataFrame:
     """The tokens with whether they are in the first element that ``begins`` marks, up to where its tag's depth falls below that of its beginning; in all, if none is marked."""
     page = Window.partitionBy(key)
-    rows = rows.withColumn("_from", F.min(F.when(begins, F.col("ord"))).over(page)).withColumn("_level", F.min_by(F.when(begins, F.col(depth)), F.when(begins, F.col("ord"))).over(page))
+    rows = rows.withColumns({"_from": F.min(F.when(begins, F.col("ord"))).over(page), "_level": F.min_by(F.when(begins, F.col(depth)), F.when(begins, F.col("ord"))).over(page)})
     rows = rows.withColumn("_upto", F.min(F.when((F.col("ord") > F.col("_from")) & (F.col(depth) < F.col("_level")), F.col("ord"))).over(page))
     inside = F.col("_from").isNull() | ((F.col("ord") > F.col("_from")) & (F.col("_upto").isNull() | (F.col("ord") < F.col("_upto"))))
     return rows.withColumn(out, inside).drop("_from", "_level", "_upto")
@@ -93,7 +95,8 @@ def outermost(rows: DataFrame, key: str, marked: Column, tag: str, depth: str) -
 
 
 def text_blocks(
-    pages: DataFrame, key: str, html: str, scope: str = "doc-body", hidden: Sequence[str] = ("nav", "header", "footer"), promoted: Sequence[str] = ("heading", "h2")
+    pages: DataFrame, key: str, html: str, scope: str = "doc-body", hidden: Sequence[str] = ("nav", "header", "footer"), promoted: Sequence[str] = ("heading", "h2"),
+    size: str | None = None,
 ) -> DataFrame:
     """(key, ord, tag, text): headings h1 to h3, paragraphs and list items of pages, each with the text that is its own.
 
@@ -103,14 +106,21 @@ def text_blocks(
     a text leave nothing, as in CO<sub>2</sub>, but a space in headings.
 
     Pages are dealt out whole, by their key and in tasks of ``TASK_CHARS`` at most, about, before they are taken apart: no token is shuffled.
+    A column ``size`` stands for the length of markup that isn't stored, so that it needn't be made twice.
     """
-    pages = dealt_by_key(pages.select(key, html), key, F.length(html), TASK_CHARS)
-    rows = with_depths(tokens(pages, key, html), key, {**{f"_in_{t}": [t] for t in hidden}, "_div": ["div"], "_span": ["span"], "_list": LISTS})
+    pages = dealt_by_key(pages.select(key, html, *[size] * (size is not None)), key, F.col(size) if size else F.length(html), TASK_CHARS)
+    # windows carry what has a say in them: texts, tags of blocks, lists and spans, and whether their classes are those asked for
+    begins = lambda tag, marked: (F.col("tag") == tag) & (F.col("step") == 1) & marked
+    rows = tokens(pages, key, html).where(F.col("tag").isin("", "span", *BLOCKS, *hidden)).select(
+        key, "ord", F.when(F.col("tag") == "", F.col("raw")).alias("raw"), "tag", "step",
+        begins("div", F.array_contains("classes", scope)).alias("_scoped"), begins("span", F.arrays_overlap("classes", F.array(*map(F.lit, promoted)))).alias("_promoted"),
+    )
+    rows = with_depths(rows, key, {**{f"_in_{t}": [t] for t in hidden}, "_div": ["div"], "_span": ["span"], "_list": LISTS})
     shown = F.lit(True)
     for t in hidden:
         shown = shown & (F.col(f"_in_{t}") == 0) & (F.col("tag") != t)
-    rows = within_first(rows, key, (F.col("tag") == "div") & (F.col("step") == 1) & F.array_contains("classes", scope), "_div", "_scope").withColumn("_shown", F.col("_scope") & shown)
-    rows = outermost(rows, key, F.col("_shown") & (F.col("tag") == "span") & (F.col("step") == 1) & F.arrays_overlap("classes", F.array(*map(F.lit, promoted))), "span", "_span")
+    rows = within_first(rows, key, F.col("_scoped"), "_div", "_scope").withColumn("_shown", F.col("_scope") & shown).drop("_scoped", "_scope", *[f"_in_{t}" for t in hidden])
+    rows = outermost(rows, key, F.col("_shown") & F.col("_promoted"), "span", "_span").drop("_promoted", "_span", "_div")
     order = Window.partitionBy(key).orderBy("ord")
     edge = F.when(F.col("tag").isin(*BLOCKS) & (F.col("step") != 0), F.struct("ord", "tag", "step"))
     # items and the lists they are in, by the number of open lists
@@ -126,4 +136,6 @@ def text_blocks(
     parts = F.transform(F.array_sort(F.collect_list(F.struct("ord", "raw"))), lambda s: s["raw"])
     whole = texts.groupBy(key, "_owner").agg(parts.alias("_parts"))
     joined = F.when(F.startswith("_owner.tag", F.lit("h")), F.array_join("_parts", " ")).otherwise(F.array_join("_parts", ""))
-    return whole.select(key, "_owner.ord", "_owner.tag", collapse_space(entities(joined)).alias("text")).where("text <> ''")
+    # a condition on the text would be pushed below and read it twice
+    text = F.filter(F.array(collapse_space(entities(joined))), lambda t: t != "")
+    return whole.select(key, "_owner.ord", "_owner.tag", F.explode(text).alias("text"))

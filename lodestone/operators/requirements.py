@@ -18,10 +18,10 @@ def is_guidance(tag: str = "tag", text: str = "text", heading: str = GUIDANCE) -
     return (F.col(tag).startswith("h") & F.col(text).rlike(heading)) | F.rtrim(low, F.lit(":")).isin(*X.GUIDANCE_MARKERS) | low.startswith(X.GUIDANCE_PREFIX)
 
 
-def extract_requirements(pages: DataFrame, key: str, html: str, heading: str = HEADING, guidance: str = GUIDANCE) -> DataFrame:
+def extract_requirements(pages: DataFrame, key: str, html: str, heading: str = HEADING, guidance: str = GUIDANCE, size: str | None = None) -> DataFrame:
     """(page, number, title, text): what stands below each disclosure's heading, up to the next
     heading of its rank or the guidance. A number's first heading counts. See ``markup.text_blocks`` for what is read of a page."""
-    found = text_blocks(pages, key, html)
+    found = text_blocks(pages, key, html, size=size)
     top = F.col("tag").isin("h1", "h2")
     order = Window.partitionBy(key).orderBy("ord")
     rows = found.withColumn("_part", F.sum(F.when(top, 1).otherwise(0)).over(order))

@@ -152,7 +152,9 @@ def html_segments(spark: SparkSession, d: str) -> DataFrame:
         F.array_join(F.transform(F.filter(trimmed, lambda t: t != ""), planted), "\n"),
         F.lit("</div><nav><li>no</li></nav><footer><p>no</p></footer></div><p>no</p></div><footer><h2>Disclosure 3-99 No</h2><p>no</p></footer></body></html>"),
     )
-    return R.extract_requirements(p.select("page_id", whole.alias("html")), "page_id", "html", heading=r"^Disclosure ([0-9]+--?[0-9]+) (.+)$")
+    # the markup put around a paragraph, the "<p>" of which is 3, has some 105 code points
+    size = F.length("html") + 35 * (F.length("html") - F.length(F.replace("html", F.lit("<p>"), F.lit(""))))
+    return R.extract_requirements(p.select("page_id", whole.alias("html"), size.alias("size")), "page_id", "html", size="size", heading=r"^Disclosure ([0-9]+--?[0-9]+) (.+)$")
 
 
 @query("""

@@ -75,3 +75,11 @@ def test_tasks_grow_in_number_not_in_size(spark, monkeypatch):
 
 def test_texts_without_references_stay(spark):
     assert blocks(spark, "<p>a; #38; b<p>&lt;&#38;&#x26;amp;<p>R&D") == [("p", "a; #38; b"), ("p", "<&&"), ("p", "R&D")]
+
+
+def test_size_stands_for_the_length_of_markup(spark, monkeypatch):
+    monkeypatch.setattr(M, "TASK_CHARS", 100)
+    pages = spark.range(40).selectExpr("id k", "concat('<p class>a<i>b</i><p>', id) html", "50 size")
+    found = M.text_blocks(pages, "k", "html", size="size")
+    assert found.rdd.getNumPartitions() == 20
+    assert sorted((r.k, r.text) for r in found.collect()) == sorted((k, t) for k in range(40) for t in ("ab", str(k)))
